@@ -1,10 +1,217 @@
-"""Detection metrics as DataFrame queries (no per-image Python)."""
+"""Detection metrics as DataFrame queries (no per-image Python).
+
+Inputs are long form: truth boxes ``gt`` (``ImageID, box_id, LabelName, xmin..ymax``)
+and detections ``det`` (``ImageID, det_id, LabelName, score, xmin..ymax``).
+Every grouping here is a partial+final aggregate or a window over a bounded
+group; pairs come from the grid join in ``pairs.py``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxframe.operators.pairs import overlap_pairs
+from boxframe.operators.scan import prefix_sum
+
+IOU_THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]  # 0.50:0.05:0.95
+NONE_LABEL = "__none__"
+
+
+def _ratio(num, den):
+    return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
+
+
+def _f1(p, r):
+    return F.when((p + r) > 0, F.lit(2) * (p * r) / (p + r)).otherwise(F.lit(0.0))
+
+
+def iou_pairs(gt: DataFrame, det: DataFrame, same_label: bool = False, **kw) -> DataFrame:
+    """Truth/prediction pairs of an image with positive overlap and their IoU."""
+    return overlap_pairs(gt, det, same="LabelName" if same_label else None, **kw)
+
+
+def best_iou(gt: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Best IoU of each truth box over the image's predictions, 0 without any."""
+    best = pairs.groupBy("box_id").agg(F.max("iou").alias("_b"))
+    return gt.select("ImageID", "box_id").join(best, "box_id", "left").select(
+        "ImageID", "box_id", F.coalesce("_b", F.lit(0.0)).alias("best_iou")
+    )
+
+
+def _image_sizes(gt: DataFrame, det: DataFrame) -> DataFrame:
+    n_pred = det.groupBy("ImageID").agg(F.count(F.lit(1)).alias("n_pred"))
+    n_gt = gt.groupBy("ImageID").agg(F.count(F.lit(1)).alias("n_gt"))
+    return n_gt.join(n_pred, "ImageID", "left").select(
+        "ImageID", "n_gt", F.coalesce("n_pred", F.lit(0)).cast("bigint").alias("n_pred")
+    )
+
+
+def match_one_to_one(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Each prediction takes its best truth (IoU > threshold; ties: lowest box_id),
+    each truth keeps its best such prediction (ties: lowest det_id).
+
+    Two aggregations of ``max(struct)``, which combine map-side, instead of
+    windows that would sort a heavily shared box in one task.
+    """
+    p = pairs.where(F.col("iou") > threshold)
+    per_det = p.groupBy("det_id").agg(F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"))
+    per_det = per_det.select("det_id", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"))
+    per_gt = per_det.groupBy("box_id").agg(F.max(F.struct("iou", (-F.col("det_id")).alias("nd"))).alias("m"))
+    return per_gt.select("box_id", (-F.col("m.nd")).alias("det_id"), F.col("m.iou").alias("iou"))
+
+
+def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold: float = 0.5,
+                     mode: str = "per_image") -> DataFrame:
+    """Per image ``n_gt, n_pred, tp, fp, fn``.
+
+    ``per_image``: tp = truth boxes whose best IoU > threshold.
+    ``cumulative``: tp counted over all images up to this one (ordered by
+    ImageID), while fp/fn use this image's sizes -- the original evaluation
+    loop's behaviour; fp and fn can go negative.
+    ``one_to_one``: tp = truth boxes matched one-to-one.
+    Predictions' labels and scores are ignored, as in that loop.
+    """
+    sizes = _image_sizes(gt, det)
+    if mode == "one_to_one":
+        m = match_one_to_one(pairs, threshold)
+        per = gt.select("ImageID", "box_id").join(m, "box_id").groupBy("ImageID").agg(
+            F.count(F.lit(1)).alias("tp")
+        )
+    else:
+        b = best_iou(gt, pairs)
+        per = b.groupBy("ImageID").agg(F.count_if(F.col("best_iou") > threshold).alias("tp"))
+    c = sizes.join(per, "ImageID", "left").withColumn("tp", F.coalesce("tp", F.lit(0)).cast("bigint"))
+    if mode == "cumulative":
+        c = prefix_sum(c, ["ImageID"], "tp", "tp")
+    elif mode not in ("per_image", "one_to_one"):
+        raise ValueError(mode)
+    return c.select(
+        "ImageID", "n_gt", "n_pred", "tp",
+        (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_gt") - F.col("tp")).alias("fn"),
+    )
+
+
+def prf_per_image(counts: DataFrame) -> DataFrame:
+    """Precision, recall and F1 per image with zero guards."""
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    p = _ratio(tp, tp + fp)
+    r = _ratio(tp, tp + fn)
+    return counts.select("ImageID", p.alias("precision"), r.alias("recall")).withColumn(
+        "f1", _f1(F.col("precision"), F.col("recall"))
+    )
+
+
+def macro_summary(best: DataFrame, prf: DataFrame) -> DataFrame:
+    """Mean IoU over truth boxes and mean P/R/F1 over images (NULL on empty input)."""
+    a = best.agg(F.avg("best_iou").alias("mean_iou"), F.count(F.lit(1)).alias("n_boxes"))
+    b = prf.agg(
+        F.avg("precision").alias("mean_precision"), F.avg("recall").alias("mean_recall"),
+        F.avg("f1").alias("mean_f1"), F.count(F.lit(1)).alias("n_images"),
+    )
+    j = a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one")  # two one-row aggregates
+    return j.select(
+        F.round("mean_iou", 6).alias("mean_iou"), F.round("mean_precision", 6).alias("mean_precision"),
+        F.round("mean_recall", 6).alias("mean_recall"), F.round("mean_f1", 6).alias("mean_f1"),
+        "n_boxes", "n_images",
+    )
+
+
+def label_pairs(gt: DataFrame, det: DataFrame, matches: DataFrame) -> DataFrame:
+    """``(y_true, y_pred)`` per matched pair; unmatched truth pairs with ``__none__``,
+    unmatched predictions the other way round."""
+    t = gt.select("box_id", F.col("LabelName").alias("y_true")).join(matches.select("box_id", "det_id"), "box_id", "left")
+    dl = det.select("det_id", F.col("LabelName").alias("y_pred"))
+    truth_side = t.join(dl, "det_id", "left").select("y_true", F.coalesce("y_pred", F.lit(NONE_LABEL)).alias("y_pred"))
+    unmatched = dl.join(matches.select("det_id"), "det_id", "left_anti").select(
+        F.lit(NONE_LABEL).alias("y_true"), "y_pred"
+    )
+    return truth_side.unionByName(unmatched)
+
+
+def weighted_prf(pairs_labels: DataFrame) -> DataFrame:
+    """Support-weighted precision/recall/F1 over classes (``__none__`` has no weight), zero_division=0."""
+    support = pairs_labels.groupBy(F.col("y_true").alias("c")).agg(F.count(F.lit(1)).alias("support"))
+    predicted = pairs_labels.groupBy(F.col("y_pred").alias("c")).agg(F.count(F.lit(1)).alias("n_pred"))
+    hits = pairs_labels.where(F.col("y_true") == F.col("y_pred")).groupBy(F.col("y_true").alias("c")).agg(
+        F.count(F.lit(1)).alias("tp")
+    )
+    per = (
+        support.where(F.col("c") != NONE_LABEL)
+        .join(predicted, "c", "left")
+        .join(hits, "c", "left")
+        .fillna(0, ["n_pred", "tp"])
+    )
+    p = _ratio(F.col("tp"), F.col("n_pred"))
+    r = _ratio(F.col("tp"), F.col("support"))
+    per = per.select("c", "support", p.alias("p"), r.alias("r")).withColumn("f", _f1(F.col("p"), F.col("r")))
+    tot = F.sum("support").cast("double")
+    return per.agg(
+        F.round(F.sum(F.col("support") * F.col("p")) / tot, 6).alias("precision"),
+        F.round(F.sum(F.col("support") * F.col("r")) / tot, 6).alias("recall"),
+        F.round(F.sum(F.col("support") * F.col("f")) / tot, 6).alias("f1"),
+    )
+
+
+def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], cell: float | None = None) -> DataFrame:
+    """Per detection and IoU threshold: ``det_id, LabelName, score, iou_thr, tp``.
+
+    A detection takes its best-IoU truth of the same class (ties: lowest
+    box_id); it is a true positive at threshold t when that IoU exceeds t and
+    it has the highest score (ties: lowest det_id) among the detections
+    claiming the same truth box at t.
+    """
+    kw = {"cell": cell} if cell else {}
+    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), **kw)
+    best = pairs.groupBy("det_id").agg(
+        F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
+    )
+    thr = F.array(*[F.lit(float(t)) for t in thresholds])
+    cand = best.select(
+        "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
+    ).where(F.col("iou") > F.col("iou_thr"))
+    winners = cand.groupBy("iou_thr", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
+    winners = winners.select("iou_thr", (-F.col("w.nd")).alias("det_id"), F.lit(1).alias("_tp"))
+    d = det.select("det_id", "LabelName", "score", F.explode(thr).alias("iou_thr"))
+    return d.join(winners, ["iou_thr", "det_id"], "left").select(
+        "det_id", "LabelName", "score", "iou_thr", F.coalesce("_tp", F.lit(0)).alias("tp")
+    )
+
+
+def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
+                      cell: float | None = None) -> DataFrame:
+    """101-point interpolated AP per ``(LabelName, iou_thr)`` for every class with truth.
+
+    Detections of a class are ranked by score (ties: det_id); the precision
+    envelope at rank k is the max precision at ranks >= k, written as a
+    running max in descending order (a frame ending at the current row, which
+    Spark evaluates incrementally). Recall point i/100 is first reached at the
+    rank where floor(100*ctp/n) reaches i; AP = sum of the envelope at those
+    ranks / 101. A class with truth and no detection scores 0.
+    """
+    thresholds = thresholds or IOU_THRESHOLDS
+    tp = voc_true_positives(gt, det, thresholds, cell)
+    n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
+    d = tp.join(n_gt, "LabelName")
+    seg = ["LabelName", "iou_thr"]
+    w = Window.partitionBy(*seg).orderBy(F.col("score").desc(), F.col("det_id")).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("k", F.row_number().over(Window.partitionBy(*seg).orderBy(F.col("score").desc(), F.col("det_id"))))
+    d = d.withColumn("ctp", F.sum("tp").over(w))
+    d = d.withColumn("prec", F.col("ctp").cast("double") / F.col("k").cast("double"))
+    d = d.withColumn("fk", F.expr("(100 * ctp) div n_gt"))
+    w_rev = Window.partitionBy(*seg).orderBy(F.col("score").asc(), F.col("det_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("env", F.max("prec").over(w_rev))
+    w_lag = Window.partitionBy(*seg).orderBy(F.col("score").desc(), F.col("det_id"))
+    d = d.withColumn("fprev", F.coalesce(F.lag("fk").over(w_lag), F.lit(-1)))
+    ap = d.groupBy(*seg).agg((F.sum(F.col("env") * (F.col("fk") - F.col("fprev"))) / F.lit(101.0)).alias("ap"))
+    grid = n_gt.select("LabelName", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("iou_thr"))
+    return grid.join(ap, seg, "left").select("LabelName", "iou_thr", F.coalesce("ap", F.lit(0.0)).alias("ap"))
+
+
+def mean_average_precision(ap: DataFrame) -> DataFrame:
+    """Mean AP over classes with truth and over thresholds."""
+    return ap.agg(F.round(F.avg("ap"), 6).alias("map"))
+
 
 def loss_by_epoch(log: DataFrame) -> DataFrame:
     """Summed loss and batch count per ``(rank, epoch)`` of a training log."""

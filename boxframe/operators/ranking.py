@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxframe.session import cut_lineage
+
 PREFIX_HEX = 4
 
 
@@ -60,7 +62,8 @@ def global_row_number(
         return df.withColumn(out, F.row_number().over(Window.orderBy(*cols)))
     parts = num_partitions or max(1, n // 1_000_000)
     r = df.repartitionByRange(parts, *cols).withColumn("_pid", F.spark_partition_id())
-    r = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*cols)))
+    # Materialised once so both branches see the same partition ids.
+    r = cut_lineage(r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*cols))))
     sizes = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     offs = sizes.select(
         "_pid", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")
