@@ -134,11 +134,20 @@ class Fixtures:
         if name not in self._cache:
             if name == "scaled":
                 from boxframe.operators.boxes import scale_boxes
+                from boxframe.session import cut_lineage
 
-                self._cache[name] = scale_boxes(self.boxes, self.image_meta).result
+                # Read by many branches of the evaluation queries: written once
+                # to the shared checkpoint folder instead of recomputed per branch.
+                self._cache[name] = cut_lineage(scale_boxes(self.boxes, self.image_meta).result)
             else:
                 deps = {d: getattr(self, d) for d in VIEW_DEPS[name]}
-                self._cache[name] = view(self.spark, name, **deps)
+                v = view(self.spark, name, **deps)
+                if name == "boxes":
+                    # stands in for the annotation file: stored once, not re-aggregated per use
+                    from boxframe.session import cut_lineage
+
+                    v = cut_lineage(v)
+                self._cache[name] = v
         return self._cache[name]
 
 

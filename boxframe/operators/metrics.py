@@ -159,7 +159,9 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
     A detection takes its best-IoU truth of the same class (ties: lowest
     box_id); it is a true positive at threshold t when that IoU exceeds t and
     it has the highest score (ties: lowest det_id) among the detections
-    claiming the same truth box at t.
+    claiming the same truth box at t. The winners (at most one per truth box
+    and threshold) are joined to the detections before the thresholds are
+    expanded, so the join sees one row per detection.
     """
     kw = {"cell": cell} if cell else {}
     pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), **kw)
@@ -171,39 +173,49 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
         "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
     ).where(F.col("iou") > F.col("iou_thr"))
     winners = cand.groupBy("iou_thr", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
-    winners = winners.select("iou_thr", (-F.col("w.nd")).alias("det_id"), F.lit(1).alias("_tp"))
-    d = det.select("det_id", "LabelName", "score", F.explode(thr).alias("iou_thr"))
-    return d.join(winners, ["iou_thr", "det_id"], "left").select(
-        "det_id", "LabelName", "score", "iou_thr", F.coalesce("_tp", F.lit(0)).alias("tp")
-    )
+    won = winners.groupBy((-F.col("w.nd")).alias("det_id")).agg(F.collect_list("iou_thr").alias("_won"))  # <= len(thresholds)
+    d = det.select("det_id", "LabelName", "score").join(won, "det_id", "left")
+    d = d.select("det_id", "LabelName", "score", F.coalesce("_won", F.array().cast("array<double>")).alias("_won"),
+                 F.explode(thr).alias("iou_thr"))
+    return d.select("det_id", "LabelName", "score", "iou_thr",
+                    F.array_contains("_won", F.col("iou_thr")).cast("int").alias("tp"))
 
 
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
-                      cell: float | None = None) -> DataFrame:
+                      cell: float | None = None, single_task_rows: int | None = None) -> DataFrame:
     """101-point interpolated AP per ``(LabelName, iou_thr)`` for every class with truth.
 
-    Detections of a class are ranked by score (ties: det_id); the precision
-    envelope at rank k is the max precision at ranks >= k, written as a
-    running max in descending order (a frame ending at the current row, which
-    Spark evaluates incrementally). Recall point i/100 is first reached at the
-    rank where floor(100*ctp/n) reaches i; AP = sum of the envelope at those
-    ranks / 101. A class with truth and no detection scores 0.
+    Detections of a class are ranked by score (ties: det_id); ``k`` and the
+    running true-positive count ``ctp`` come from one ordered pass
+    (``segmented_prefix``: a window per class, or range partitions when a
+    class is too large for one task). Recall point i/100 is reached from the
+    first rank where ``f = floor(100*ctp/n)`` >= i, and its interpolated
+    precision is the max precision at ranks with a larger-or-equal ``f``.
+    So the ranks collapse to at most 101 ``(f, max precision)`` steps per
+    class, and the envelope is a suffix max over those steps:
+    ``AP = sum_j S_j * (f_j - f_{j-1}) / 101`` with ``f_0 = -1``.
+    A class with truth and no detection scores 0.
     """
+    from boxframe.operators.scan import SINGLE_TASK_ROWS, segmented_prefix
+
     thresholds = thresholds or IOU_THRESHOLDS
     tp = voc_true_positives(gt, det, thresholds, cell)
     n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
-    d = tp.join(n_gt, "LabelName")
     seg = ["LabelName", "iou_thr"]
-    w = Window.partitionBy(*seg).orderBy(F.col("score").desc(), F.col("det_id")).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("k", F.row_number().over(Window.partitionBy(*seg).orderBy(F.col("score").desc(), F.col("det_id"))))
-    d = d.withColumn("ctp", F.sum("tp").over(w))
-    d = d.withColumn("prec", F.col("ctp").cast("double") / F.col("k").cast("double"))
-    d = d.withColumn("fk", F.expr("(100 * ctp) div n_gt"))
-    w_rev = Window.partitionBy(*seg).orderBy(F.col("score").asc(), F.col("det_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("env", F.max("prec").over(w_rev))
-    w_lag = Window.partitionBy(*seg).orderBy(F.col("score").desc(), F.col("det_id"))
-    d = d.withColumn("fprev", F.coalesce(F.lag("fk").over(w_lag), F.lit(-1)))
-    ap = d.groupBy(*seg).agg((F.sum(F.col("env") * (F.col("fk") - F.col("fprev"))) / F.lit(101.0)).alias("ap"))
+    largest = det.groupBy("LabelName").count().agg(F.max("count")).first()[0] or 0
+    ranked = segmented_prefix(
+        tp.join(n_gt, "LabelName"), seg, [F.col("score").desc(), F.col("det_id")],
+        {"k": F.lit(1), "ctp": F.col("tp")}, max_segment_rows=largest,
+        single_task_rows=single_task_rows if single_task_rows is not None else SINGLE_TASK_ROWS,
+    )
+    steps = ranked.groupBy(*seg, F.expr("(100 * ctp) div n_gt").alias("f")).agg(
+        F.max(F.col("ctp").cast("double") / F.col("k").cast("double")).alias("m")
+    )
+    w_suffix = Window.partitionBy(*seg).orderBy(F.col("f").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    w_prev = Window.partitionBy(*seg).orderBy("f")
+    steps = steps.select(*seg, "f", F.max("m").over(w_suffix).alias("env"),
+                         F.coalesce(F.lag("f").over(w_prev), F.lit(-1)).alias("fprev"))
+    ap = steps.groupBy(*seg).agg((F.sum(F.col("env") * (F.col("f") - F.col("fprev"))) / F.lit(101.0)).alias("ap"))
     grid = n_gt.select("LabelName", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("iou_thr"))
     return grid.join(ap, seg, "left").select("LabelName", "iou_thr", F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
