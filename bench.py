@@ -46,6 +46,17 @@ def main() -> None:
     # warm-up: JVM, parquet footers
     catalog.run(spark, sf_dir, "parse_image_list").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
+    # The stored input tables (annotation table, processed table, detector
+    # output) are derived from the parquet tables once per application;
+    # timed here and counted in the total.
+    from boxframe.fixtures import STORED_VIEWS, Fixtures
+
+    t0 = time.perf_counter()
+    fx = Fixtures(spark, sf_dir)
+    for v in STORED_VIEWS:
+        getattr(fx, v)
+    times["prepare_inputs"] = round(time.perf_counter() - t0, 3)
+    print(f"prepare_inputs: {times['prepare_inputs']}s", file=sys.stderr)
     for name in names:
         t0 = time.perf_counter()
         catalog.run(spark, sf_dir, name).write.format("noop").mode("overwrite").save()

@@ -109,11 +109,23 @@ def view(spark: SparkSession, name: str, **inputs: DataFrame) -> DataFrame:
     return spark.sql(VIEW_SQL[name], **{d: inputs[d] for d in VIEW_DEPS[name]})
 
 
+# Derived input tables written once per application: (app id, folder, view) -> path.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+# Views stored as tables. ``boxes`` stands in for the annotation file,
+# ``scaled`` for the processed table the preprocess job writes, and
+# ``detections`` for the detector's output table.
+STORED_VIEWS = ("boxes", "scaled", "detections")
+
+
 class Fixtures:
     """Lazily built fixture views over one scale-factor folder.
 
-    ``scaled`` comes from the library operator, ``detections`` is derived
-    from that result with the fixture SQL.
+    ``scaled`` comes from the library operator (``scale_boxes``), and
+    ``detections`` is derived from it with the fixture SQL. The stored views
+    are written to the shared checkpoint folder the first time an
+    application asks for them and read back afterwards, the way downstream
+    jobs read the tables an upstream job wrote.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -126,28 +138,32 @@ class Fixtures:
             self._cache[name] = table(self.spark, self.sf_dir, name)
         return self._cache[name]
 
+    def _build(self, name: str) -> DataFrame:
+        if name == "scaled":
+            from boxframe.operators.boxes import scale_boxes
+
+            return scale_boxes(self.boxes, self.image_meta).result
+        deps = {d: getattr(self, d) for d in VIEW_DEPS[name]}
+        return view(self.spark, name, **deps)
+
+    def _stored(self, name: str) -> DataFrame:
+        from boxframe.session import scratch_path
+
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        path = _STORED.get(key)
+        if path is None:
+            path = scratch_path(self.spark, name)
+            self._build(name).write.mode("overwrite").parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(path)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in VIEW_SQL and name not in BASE_TABLES:
             raise AttributeError(name)
         if name in BASE_TABLES:
             return self.table(name)
         if name not in self._cache:
-            if name == "scaled":
-                from boxframe.operators.boxes import scale_boxes
-                from boxframe.session import cut_lineage
-
-                # Read by many branches of the evaluation queries: written once
-                # to the shared checkpoint folder instead of recomputed per branch.
-                self._cache[name] = cut_lineage(scale_boxes(self.boxes, self.image_meta).result)
-            else:
-                deps = {d: getattr(self, d) for d in VIEW_DEPS[name]}
-                v = view(self.spark, name, **deps)
-                if name == "boxes":
-                    # stands in for the annotation file: stored once, not re-aggregated per use
-                    from boxframe.session import cut_lineage
-
-                    v = cut_lineage(v)
-                self._cache[name] = v
+            self._cache[name] = self._stored(name) if name in STORED_VIEWS else self._build(name)
         return self._cache[name]
 
 

@@ -16,7 +16,9 @@ from boxframe.plans.catalog import register
     sql="select ImageID, box_id, LabelName, xmin, ymin, xmax, ymax from scaled",
 )
 def q_scale_boxes(fx):
-    return fx.scaled.select("ImageID", "box_id", "LabelName", "xmin", "ymin", "xmax", "ymax")
+    # the operator itself, from the annotation table (not the stored processed table)
+    r = B.scale_boxes(fx.boxes, fx.image_meta).result
+    return r.select("ImageID", "box_id", "LabelName", "xmin", "ymin", "xmax", "ymax")
 
 
 @register(

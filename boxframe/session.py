@@ -52,10 +52,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/boxframe-{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint (the files outlive any
+    executor), and unlike an RDD checkpoint the result is columnar: later
+    reads prune columns and push filters into the scan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def local_path(uri: str) -> str:
