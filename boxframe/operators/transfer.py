@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.ids import object_key
 from boxframe.schemas import MANIFEST
+from boxframe.session import ship_package
 
 
 def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -22,15 +23,14 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     from pyarrow import fs as pafs
 
-    handles: dict[str, tuple] = {}
+    from boxframe.sources.fs import arrow_fs
+
+    handles: dict[str, object] = {}
 
     def resolve(uri: str):
-        scheme = uri.split("://", 1)[0] if "://" in uri else "file"
-        if scheme not in handles:
-            handles[scheme] = pafs.FileSystem.from_uri(uri)[0]
-        fs = handles[scheme]
-        path = pafs.FileSystem.from_uri(uri)[1] if "://" in uri else uri
-        return fs, path
+        fs, path = arrow_fs(uri)
+        scheme = uri.split(":", 1)[0] if ":" in uri else "file"
+        return handles.setdefault(scheme, fs), path
 
     for pdf in batches:
         ok, nbytes, errors = [], [], []
@@ -70,10 +70,11 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def copy_objects(parsed: DataFrame, src_root: str, dst_root: str, ext: str = ".jpg",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, src_by_split: bool = True) -> DataFrame:
     """Copy the listed objects ``{src_root}{split}/{id}{ext}`` -> ``{dst_root}{split}/{id}{ext}``.
 
-    Duplicates are copied once. The id list is hash-repartitioned so copies
+    Duplicates are copied once. ``src_by_split=False`` reads a flat source
+    folder (``{src_root}{id}{ext}``). The id list is hash-repartitioned so copies
     spread over all executors; the result is the manifest
     ``split, image_id, src, dst, ok, bytes, error``.
     """
@@ -81,9 +82,10 @@ def copy_objects(parsed: DataFrame, src_root: str, dst_root: str, ext: str = ".j
     d = d.select(
         "split",
         "image_id",
-        object_key(src_root, "split", "image_id", ext).alias("src"),
+        object_key(src_root, "split" if src_by_split else None, "image_id", ext).alias("src"),
         object_key(dst_root, "split", "image_id", ext).alias("dst"),
     )
+    ship_package(parsed.sparkSession)
     n = num_partitions or parsed.sparkSession.sparkContext.defaultParallelism
     return d.repartition(n, "src").mapInPandas(_copy_partition, schema=MANIFEST)
 

@@ -1 +1,201 @@
-"""Registered rows-only queries that touch files: images, copies, detectors."""
+"""Registered queries that touch files: sources, images, copies, detectors.
+
+Images are rendered by a Spark job from ``image_meta`` (one small PNG per
+image, ``width/16 x height/16``; ids whose last two hex digits are a multiple
+of 97 get undecodable bytes) into the shared checkpoint folder, once per
+application. Sizes follow from the table, so most of these have an oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from boxframe.plans.catalog import register
+from boxframe.session import local_path, scratch_path
+
+_RENDERED: dict[tuple[str, str], str] = {}
+_TEXTS: dict[tuple[str, str, str], str] = {}
+
+_CORRUPT_SQL = "cast('0x' || substring(ImageID, 15, 2) as int) % 97 = 0"
+
+
+def _corrupt_col():
+    return F.pmod(F.conv(F.substring("ImageID", 15, 2), 16, 10).cast("int"), F.lit(97)) == 0
+
+
+def _rendered(fx) -> str:
+    """Folder of rendered images for this application and scale factor."""
+    from boxframe.operators.images import render_images
+
+    key = (fx.spark.sparkContext.applicationId, fx.sf_dir)
+    if key not in _RENDERED:
+        root = scratch_path(fx.spark, "images")
+        import os
+
+        os.makedirs(local_path(root), exist_ok=True)
+        meta = fx.image_meta.withColumn("_bad", _corrupt_col())
+        render_images(meta, local_path(root), shrink=16, corrupt_col="_bad").write.format("noop").mode("overwrite").save()
+        _RENDERED[key] = root
+    return _RENDERED[key]
+
+
+def _pixels(fx):
+    from boxframe.operators.images import image_rows
+    from boxframe.sources.readers import read_images
+
+    return image_rows(read_images(fx.spark, _rendered(fx)), ext=".png")
+
+
+_META = ("image_meta",)
+_SIZE_SQL = f"""
+select ImageID,
+       case when {_CORRUPT_SQL} then null else cast(greatest(1, height // 16) as int) end as height,
+       case when {_CORRUPT_SQL} then null else cast(greatest(1, width // 16) as int) end as width,
+       case when {_CORRUPT_SQL} then null else 3 end as nChannels,
+       case when {_CORRUPT_SQL} then 'failed to decode image' else null end as error
+from image_meta
+"""
+
+
+@register("read_images", views=list(_META), sql=_SIZE_SQL)
+def q_read_images(fx):
+    return _pixels(fx).select("ImageID", "height", "width", "nChannels", "error")
+
+
+@register("list_objects", views=list(_META), sql="select ImageID as image_id from image_meta")
+def q_list_objects(fx):
+    from boxframe.sources.readers import list_objects
+
+    return list_objects(fx.spark, _rendered(fx), ext=".png").select("image_id")
+
+
+@register(
+    "resize_images",
+    views=list(_META),
+    sql=f"""
+select ImageID,
+       case when {_CORRUPT_SQL} then null else 299 end as height,
+       case when {_CORRUPT_SQL} then null else 299 end as width,
+       case when {_CORRUPT_SQL} then 'failed to decode image' else null end as error
+from image_meta
+""",
+)
+def q_resize_images(fx):
+    from boxframe.operators.images import resize_images
+
+    return resize_images(_pixels(fx), (299, 299)).select("ImageID", "height", "width", "error")
+
+
+@register(
+    "to_tensor_columns",
+    views=list(_META),
+    sql=f"""
+select ImageID, 3 as c, cast(greatest(1, height // 16) as int) as h, cast(greatest(1, width // 16) as int) as w,
+       cast(3 * greatest(1, height // 16) * greatest(1, width // 16) as int) as n_values
+from image_meta where not ({_CORRUPT_SQL})
+""",
+)
+def q_to_tensor(fx):
+    from boxframe.operators.images import to_tensor_columns
+
+    t = to_tensor_columns(_pixels(fx))
+    return t.select(
+        "ImageID", F.col("shape")[0].alias("c"), F.col("shape")[1].alias("h"), F.col("shape")[2].alias("w"),
+        F.size("tensor").alias("n_values"),
+    )
+
+
+@register(
+    "write_images",
+    views=list(_META),
+    sql=f"select ImageID, true as ok from image_meta where not ({_CORRUPT_SQL})",
+)
+def q_write_images(fx):
+    from boxframe.operators.images import resize_images, write_images
+
+    out = scratch_path(fx.spark, "resized")
+    return write_images(resize_images(_pixels(fx), (299, 299)), out).select("ImageID", "ok")
+
+
+_PARSED = r"""parsed as (select distinct regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 1) as split,
+    regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 2) as image_id
+    from (select replace(regexp_replace(line, '^\s+|\s+$', '', 'g'), '.jpg', '') as n from image_list) t
+    where regexp_matches(n, '^(test|train|validation|challenge2018)/'))"""
+
+
+@register(
+    "copy_objects",
+    views=["image_list", "image_meta"],
+    extra_ctes=_PARSED,
+    sql="select split, image_id, image_id in (select ImageID from image_meta) as ok from parsed",
+)
+def q_copy_objects(fx):
+    from boxframe.operators.listing import parse_image_list
+    from boxframe.operators.transfer import copy_objects
+
+    parsed = parse_image_list(fx.image_list, col="line")
+    src = _rendered(fx).rstrip("/") + "/"
+    dst = scratch_path(fx.spark, "copies") + "/"
+    return copy_objects(parsed, src, dst, ext=".png", src_by_split=False).select("split", "image_id", "ok")
+
+
+@register("run_detector")
+def q_run_detector(fx):
+    from boxframe.operators.infer import bright_region_detector, run_detector
+
+    return run_detector(_pixels(fx), bright_region_detector)
+
+
+def _stored_text(fx, name: str, write) -> str:
+    key = (fx.spark.sparkContext.applicationId, fx.sf_dir, name)
+    if key not in _TEXTS:
+        path = scratch_path(fx.spark, name)
+        write(path)
+        _TEXTS[key] = path
+    return _TEXTS[key]
+
+
+@register(
+    "read_image_list",
+    views=["image_list"],
+    extra_ctes=r"""parsed_in as (select line, replace(regexp_replace(line, '^\s+|\s+$', '', 'g'), '.jpg', '') as n
+    from image_list)""",
+    sql="""
+select line, regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 1) as split,
+       regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 2) as image_id
+from parsed_in where regexp_matches(n, '^(test|train|validation|challenge2018)/')
+""",
+)
+def q_read_image_list(fx):
+    from boxframe.operators.listing import parse_image_list
+    from boxframe.sources.readers import read_image_list
+
+    path = _stored_text(fx, "image_list_txt", lambda p: fx.image_list.write.mode("overwrite").text(p))
+    return parse_image_list(read_image_list(fx.spark, path), col="value")
+
+
+@register("read_annotations", views=["boxes"], sql="select ImageID, XMin, YMin, XMax, YMax, LabelName from boxes")
+def q_read_annotations(fx):
+    from boxframe.sources.readers import read_annotations
+    from boxframe.sources.sinks import write_annotations_csv
+
+    path = _stored_text(fx, "annotations_csv", lambda p: write_annotations_csv(fx.boxes, p))
+    return read_annotations(fx.spark, path)
+
+
+@register(
+    "processed_table",
+    views=["scaled"],
+    sql="""
+select ImageID, count(*) as n_boxes, 'gs://bkt_1/resized/' || ImageID || '.jpg' as FilePath
+from scaled group by ImageID
+""",
+)
+def q_processed_table(fx):
+    from boxframe.operators.boxes import to_processed
+    from boxframe.sources.sinks import write_processed
+
+    path = scratch_path(fx.spark, "processed")
+    write_processed(to_processed(fx.scaled, "gs://bkt_1/resized/", order_by="box_id"), path)
+    back = fx.spark.read.parquet(path)
+    return back.select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"), "FilePath")

@@ -80,3 +80,34 @@ def is_local_fs(uri: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_fs(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``boxframe`` importable in Python workers (``addPyFile`` of a zip, once per application).
+
+    Functions handed to ``mapInPandas`` are pickled by reference to this
+    package, so executors need it; on a cluster this is the same mechanism
+    as ``--py-files``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="boxframe-pyfiles-"), "boxframe.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
