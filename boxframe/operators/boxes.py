@@ -41,10 +41,13 @@ def image_status(boxes: DataFrame, image_meta: DataFrame, key: str = "ImageID")
     so an image holding a third of all boxes is reduced map-side.
     """
     flags = boxes.groupBy(key).agg(F.max(_bad_coordinate(REL_COLS).cast("int")).alias("_bad"))
-    meta = image_meta.select(key, "width", "height", F.lit(True).alias("_found"))
+    # an ``error`` column in image_meta (e.g. a decode failure) is reported as is
+    meta_err = F.col("error") if "error" in image_meta.columns else F.lit(None).cast("string")
+    meta = image_meta.select(key, "width", "height", meta_err.alias("_merr"), F.lit(True).alias("_found"))
     joined = flags.join(meta, key, "left")
     error = (
         F.when(F.col("_found").isNull(), F.lit("image not found"))
+        .when(F.col("_merr").isNotNull(), F.col("_merr"))
         .when(
             F.col("width").isNull() | F.col("height").isNull() | (F.col("width") <= 0) | (F.col("height") <= 0),
             F.lit("bad image size"),
