@@ -1,0 +1,49 @@
+"""Line parsing vs a plain-Python restatement of the original rule."""
+
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from boxframe.functions.ids import image_id_from_path, split_uri
+from boxframe.operators.listing import parse_image_list, rejected_lines
+
+RULE = re.compile(r"(test|train|validation|challenge2018)/([a-fA-F0-9]*)")
+
+
+def py_parse(line):
+    m = RULE.match(line.strip().replace(".jpg", ""))
+    return (m.group(1), m.group(2)) if m else None
+
+
+pieces = st.sampled_from(["train/", "test/", "validation/", "challenge2018/", "bogus/", "Train/", ".jpg", "abc", "F0",
+                          "zz", " ", "\t", " ", "\x1c", " ", "/", "0", "9a", ".jp", "g"])
+lines = st.lists(pieces, min_size=0, max_size=7).map("".join)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(lines, min_size=1, max_size=30))
+def test_parse_matches_python(spark, batch):
+    df = spark.createDataFrame([(x,) for x in batch], "value string")
+    got = sorted((r.line, r.split, r.image_id) for r in parse_image_list(df).collect())
+    want = sorted((x, *py_parse(x)) for x in batch if py_parse(x))
+    assert got == want
+    rej = sorted(r.line for r in rejected_lines(df).collect())
+    assert rej == sorted(x for x in batch if not py_parse(x))
+
+
+def test_known_lines(spark):
+    df = spark.createDataFrame([("  train/00ab.jpg ",), ("challenge2018/00abzz",), ("train/",), ("x/1",), (None,)], "value string")
+    got = sorted((r.split, r.image_id) for r in parse_image_list(df).collect())
+    assert got == [("challenge2018", "00ab"), ("train", ""), ("train", "00ab")]
+    strict = sorted((r.split, r.image_id) for r in parse_image_list(df, strict=True).collect())
+    assert strict == [("train", "00ab")]
+    assert rejected_lines(df).count() == 2
+
+
+def test_uri_and_ids(spark):
+    df = spark.createDataFrame([("gs://bkt_1/a/b/c.jpg",), ("s3://b/k.png",)], "p string")
+    b, k = split_uri("p")
+    rows = df.select(b.alias("b"), k.alias("k"), image_id_from_path("p").alias("i")).collect()
+    assert [(r.b, r.k, r.i) for r in rows] == [("bkt_1", "a/b/c.jpg", "c"), ("b", "k.png", "k.png")]

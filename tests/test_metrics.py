@@ -1,0 +1,99 @@
+"""Metrics vs brute-force Python on the smallest fixture, and AP properties."""
+
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from boxframe.operators import metrics as M
+from boxframe.operators.boxes import drop_invalid
+from tests.test_geometry import py_iou
+
+
+def _load(fx):
+    gt = drop_invalid(fx.scaled)
+    det = fx.detections
+    g = [r.asDict() for r in gt.collect()]
+    d = [r.asDict() for r in det.collect()]
+    return gt, det, g, d
+
+
+def _box(r):
+    return (r["xmin"], r["ymin"], r["xmax"], r["ymax"])
+
+
+def test_counts_and_pairs_brute_force(fx):
+    gt, det, g, d = _load(fx)
+    by_img = defaultdict(list)
+    for x in d:
+        by_img[x["ImageID"]].append(x)
+    want_pairs = {(a["box_id"], b["det_id"]): py_iou(_box(a), _box(b))
+                  for a in g for b in by_img[a["ImageID"]] if py_iou(_box(a), _box(b)) > 0 or False}
+    # pairs with positive intersection only (IoU > 0 here since areas are positive)
+    pairs = M.iou_pairs(gt, det)
+    got_pairs = {(r.box_id, r.det_id): r.iou for r in pairs.collect()}
+    assert got_pairs == want_pairs
+    counts = {r.ImageID: (r.n_gt, r.n_pred, r.tp) for r in M.detection_counts(gt, det, pairs).collect()}
+    gt_by_img = defaultdict(list)
+    for a in g:
+        gt_by_img[a["ImageID"]].append(a)
+    for img, boxes in gt_by_img.items():
+        tp = sum(1 for a in boxes if max([py_iou(_box(a), _box(b)) for b in by_img[img]] or [0]) > 0.5)
+        assert counts[img] == (len(boxes), len(by_img[img]), tp)
+
+
+def _py_ap(g, d, thr):
+    """101-point AP per class with VOC-style greedy claiming in score order."""
+    out = {}
+    classes = {a["LabelName"] for a in g}
+    for c in classes:
+        gts = [a for a in g if a["LabelName"] == c]
+        dets = sorted((x for x in d if x["LabelName"] == c), key=lambda x: (-x["score"], x["det_id"]))
+        taken, tps = set(), []
+        for x in dets:
+            cands = [(py_iou(_box(a), _box(x)), -a["box_id"], a["box_id"]) for a in gts if a["ImageID"] == x["ImageID"]]
+            best = max(cands) if cands else None
+            if best and best[0] > thr and best[2] not in taken:
+                taken.add(best[2])
+                tps.append(1)
+            else:
+                tps.append(0)
+        n = len(gts)
+        prec, rec, ctp = [], [], 0
+        for k, t in enumerate(tps, 1):
+            ctp += t
+            prec.append(ctp / k)
+            rec.append(ctp / n)
+        env = prec[:]
+        for i in range(len(env) - 2, -1, -1):
+            env[i] = max(env[i], env[i + 1])
+        s = 0.0
+        for i in range(101):
+            ks = [k for k in range(len(rec)) if rec[k] * 100 >= i - 1e-9 and (100 * round(rec[k] * n)) // n >= i]
+            s += env[ks[0]] if ks else 0.0
+        out[c] = s / 101
+    return out
+
+
+def test_average_precision_brute_force(fx):
+    gt, det, g, d = _load(fx)
+    for thr in (0.5, 0.75):
+        got = {r.LabelName: r.ap for r in M.average_precision(gt, det, [thr]).collect()}
+        want = _py_ap(g, d, thr)
+        assert got.keys() == want.keys()
+        for c in got:
+            assert abs(got[c] - want[c]) < 1e-9, (c, thr)
+
+
+def test_ap_properties(fx):
+    gt = drop_invalid(fx.scaled)
+    perfect = gt.select("ImageID", F.col("box_id").alias("det_id"), "LabelName", F.lit(0.9).alias("score"),
+                        "xmin", "ymin", "xmax", "ymax")
+    assert M.mean_average_precision(M.average_precision(gt, perfect)).first().map == 1.0
+    det = fx.detections
+    base = {r.LabelName: r.ap for r in M.average_precision(gt, det, [0.5]).collect()}
+    # a zero-score false positive ranks last and never raises AP
+    fp = det.limit(20).select("ImageID", (F.col("det_id") + F.lit(10**15)).alias("det_id"), "LabelName",
+                              F.lit(0.0).alias("score"), F.lit(-50).alias("xmin"), F.lit(-50).alias("ymin"),
+                              F.lit(-40).alias("xmax"), F.lit(-40).alias("ymax"))
+    more = {r.LabelName: r.ap for r in M.average_precision(gt, det.unionByName(fp), [0.5]).collect()}
+    assert all(more[c] <= base[c] + 1e-12 for c in base)
