@@ -28,6 +28,7 @@ def plan_batches(
     drop_last: bool = False,
     partition_cols: list[str] | None = None,
     order_seed_col: str | None = None,
+    group_count: int = 1,
 ) -> DataFrame:
     """Add ``shard, batch_no, pos``: disjoint, complete batches of at most ``batch_size``.
 
@@ -42,7 +43,8 @@ def plan_batches(
         base = F.concat(F.col(order_seed_col).cast("string"), F.lit(":"), base)
     okey = hash_order_key(base, seed)
     d = df.withColumn("shard", shard_of(key, world_size)).withColumn("_ok", okey)
-    ranked = rank_by_hash(d, "_ok", key, partition_cols=[*parts, "shard"], out="_rn", with_total="_n")
+    ranked = rank_by_hash(d, "_ok", key, partition_cols=[*parts, "shard"], out="_rn", with_total="_n",
+                          n_groups=world_size * group_count)
     out = ranked.withColumn("batch_no", F.floor((F.col("_rn") - 1) / batch_size).cast("int")).withColumn(
         "pos", F.pmod(F.col("_rn") - 1, F.lit(batch_size)).cast("int")
     )
@@ -56,7 +58,7 @@ def epoch_plan(df: DataFrame, epochs: int, key: str = "ImageID", world_size: int
     """A fresh shuffled batch plan for each epoch ``1..epochs`` (rows repeated by a generator, not a join)."""
     rep = df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     return plan_batches(rep, key, world_size, batch_size, seed=seed, drop_last=drop_last,
-                        partition_cols=["epoch"], order_seed_col="epoch")
+                        partition_cols=["epoch"], order_seed_col="epoch", group_count=epochs)
 
 
 def assemble_batches(plan: DataFrame, item_cols: list[str], group_cols: list[str] | None = None) -> DataFrame:

@@ -96,38 +96,56 @@ def images_with_boxes(valid: DataFrame, key: str = "ImageID") -> DataFrame:
     return valid.groupBy(key).agg(F.count(F.lit(1)).alias("n_boxes"))
 
 
+# An image with more boxes than this is spread over several rows (``chunk``).
+MAX_BOXES_PER_ROW = 100_000
+# Hot-image lists up to this many rows are broadcast (checked by a count).
+MAX_BROADCAST_HOT = 1_000_000
+
+
 def group_annotations(
     df: DataFrame,
     fields: tuple[str, ...],
     order_by: str | None = None,
     key: str = "ImageID",
     out: str = "annotations",
-    max_per_row: int | None = None,
+    max_per_row: int | None = MAX_BOXES_PER_ROW,
 ) -> DataFrame:
-    """One row per image with an array of box structs.
+    """One row per image with an array of box structs, plus ``chunk`` (0 unless split).
 
     ``order_by`` gives the array a fixed order (sorted by that column, which
-    is not kept in the struct). With ``max_per_row`` an image with many boxes
-    is spread over several rows (``chunk`` column) so no row or task has to
-    hold an unbounded group; every box is kept.
+    is not kept in the struct). An image with more than ``max_per_row``
+    boxes is spread over ``ceil(n / max_per_row)`` rows by a hash of its
+    boxes, so no row, task or group holds an unbounded list; every box is
+    kept. The hot images are found with a map-side-combined count; their
+    list is broadcast after its size is checked, so ordinary images are
+    grouped with a single shuffle on ``(key, chunk)``.
     """
     sort_key = [F.col(order_by).alias("_k")] if order_by else []
     item = F.struct(*sort_key, *[F.col(f) for f in fields])
-    group_cols = [key]
-    src = df
-    if max_per_row is not None:
+    if max_per_row is None:
+        src = df.withColumn("chunk", F.lit(0))
+    else:
+        from boxframe.session import cut_lineage
+
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        src = df.join(counts, key).withColumn(
-            "chunk",
-            F.pmod(F.xxhash64(*( [order_by] if order_by else list(fields))), F.ceil(F.col("_n") / F.lit(max_per_row))).cast("int"),
+        hot = cut_lineage(
+            counts.where(F.col("_n") > max_per_row).select(
+                F.col(key), F.ceil(F.col("_n") / F.lit(max_per_row)).cast("int").alias("_chunks")
+            ),
+            "hot-images",
         )
-        group_cols = [key, "chunk"]
-    agg = src.groupBy(*group_cols).agg(F.array_sort(F.collect_list(item)).alias("_a"))
+        if hot.count() <= MAX_BROADCAST_HOT:
+            hot = F.broadcast(hot)
+        spread = F.xxhash64(*([order_by] if order_by else list(fields)))
+        src = df.join(hot, key, "left").withColumn(
+            "chunk", F.coalesce(F.pmod(spread, F.col("_chunks")).cast("int"), F.lit(0))
+        ).drop("_chunks")
+    agg = src.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(item)).alias("_a"))
     if order_by:
         arr = F.transform("_a", lambda s: F.struct(*[s[f].alias(f) for f in fields]))
     else:
         arr = F.col("_a")
-    return agg.select(*group_cols, arr.alias(out))
+    return agg.select(key, "chunk", arr.alias(out))
 
 
 def explode_annotations(df: DataFrame, col: str = "annotations", key: str = "ImageID") -> DataFrame:
@@ -147,4 +165,4 @@ def to_processed(scaled: DataFrame, resized_dir: str, key: str = "ImageID", orde
         "LabelName",
     )
     g = group_annotations(renamed, ("XMin", "YMin", "XMax", "YMax", "LabelName"), order_by=order_by, key=key, out="Annotations")
-    return g.select(key, "Annotations", F.concat(F.lit(resized_dir), F.col(key), F.lit(ext)).alias("FilePath"))
+    return g.select(key, "Annotations", F.concat(F.lit(resized_dir), F.col(key), F.lit(ext)).alias("FilePath"), "chunk")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.operators.boxes import group_annotations
+from boxframe.operators.boxes import MAX_BOXES_PER_ROW, group_annotations
 from boxframe.operators.ranking import global_row_number
 
 # Vocabularies up to this many entries are broadcast to the join.
@@ -51,7 +51,7 @@ def training_targets(
     vocab: DataFrame,
     order_by: str = "box_id",
     key: str = "ImageID",
-    max_per_row: int | None = None,
+    max_per_row: int | None = MAX_BOXES_PER_ROW,
 ) -> DataFrame:
     """Valid long-form boxes -> per image ``boxes ARRAY<ARRAY<FLOAT>>, labels ARRAY<BIGINT>``.
 

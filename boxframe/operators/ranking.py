@@ -9,12 +9,24 @@ inputs use one window, large ones range partitions plus partition offsets.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxframe.session import cut_lineage
 
-PREFIX_HEX = 4
+ROWS_PER_PREFIX = 2_000  # target rows per (group, key prefix) cell
+
+
+def prefix_length(n_rows: int, n_groups: int = 1, rows_per_prefix: int = ROWS_PER_PREFIX) -> int:
+    """Hex digits of key prefix so that each (group, prefix) cell holds about ``rows_per_prefix`` rows.
+
+    Keeps the offsets table near ``n_rows / rows_per_prefix`` rows whatever
+    the number of groups, and the window inside a cell small.
+    """
+    cells = max(1.0, n_rows / max(1, n_groups) / rows_per_prefix)
+    return int(min(8, max(1, math.ceil(math.log(cells, 16)))))
 
 
 def rank_by_hash(
@@ -23,15 +35,20 @@ def rank_by_hash(
     tiebreak: str,
     partition_cols: list[str] | None = None,
     out: str = "rn",
-    prefix_hex: int = PREFIX_HEX,
+    prefix_hex: int | None = None,
     with_total: str | None = None,
+    n_groups: int = 1,
 ) -> DataFrame:
     """1-based row number per ``partition_cols`` ordered by ``(order_key, tiebreak)``.
 
     ``order_key`` must be a lower-case hex string whose prefix is uniform
     (md5); ``with_total`` adds the partition's row count under that name.
+    Without ``prefix_hex`` the prefix length comes from a row count and
+    ``n_groups`` (the number of partition groups, e.g. shards x epochs).
     """
     parts = list(partition_cols or [])
+    if prefix_hex is None:
+        prefix_hex = prefix_length(df.count(), n_groups)
     d = df.withColumn("_pre", F.substring(F.col(order_key), 1, prefix_hex))
     counts = d.groupBy(*parts, "_pre").agg(F.count(F.lit(1)).alias("_c"))
     w_before = Window.partitionBy(*parts).orderBy("_pre").rowsBetween(Window.unboundedPreceding, -1)

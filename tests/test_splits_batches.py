@@ -64,3 +64,17 @@ def test_page_and_sample(spark):
     flat = [x for p in pages for x in p]
     assert flat == sorted(r.ImageID for r in df.collect())
     assert sample_one(df).count() == 1
+
+
+def test_hot_image_is_split_without_losing_boxes(spark):
+    from boxframe.operators.boxes import explode_annotations, group_annotations
+
+    rows = [("hot", i, float(i)) for i in range(50)] + [("cold", 100 + i, float(i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "ImageID string, box_id long, XMin double")
+    g = group_annotations(df, ("XMin",), order_by="box_id", max_per_row=10).collect()
+    hot = [r for r in g if r.ImageID == "hot"]
+    cold = [r for r in g if r.ImageID == "cold"]
+    assert len(cold) == 1 and cold[0].chunk == 0 and [a.XMin for a in cold[0].annotations] == [0.0, 1.0, 2.0]
+    assert 2 <= len(hot) <= 5 and {r.chunk for r in hot} <= set(range(5))
+    assert sorted(a.XMin for r in hot for a in r.annotations) == [float(i) for i in range(50)]
+    assert explode_annotations(spark.createDataFrame(g)).count() == 53
