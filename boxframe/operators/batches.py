@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxframe.functions.hashing import hash_int32, hash_order_key
@@ -29,13 +29,16 @@ def plan_batches(
     partition_cols: list[str] | None = None,
     order_seed_col: str | None = None,
     group_count: int = 1,
+    pad: bool = False,
 ) -> DataFrame:
     """Add ``shard, batch_no, pos``: disjoint, complete batches of at most ``batch_size``.
 
     Shards come from the key's hash; inside a shard rows are ordered by
     md5 of the key (optionally salted by ``order_seed_col``, e.g. the epoch),
     numbered exactly with ``rank_by_hash``. ``drop_last`` removes each shard's
-    last incomplete batch.
+    last incomplete batch. ``pad`` makes every shard as long as the longest
+    one by repeating its own first rows (flag ``padded``), like a sampler
+    that pads to equal shard lengths; no row is dropped.
     """
     parts = list(partition_cols or [])
     base = F.col(key).cast("string")
@@ -45,6 +48,8 @@ def plan_batches(
     d = df.withColumn("shard", shard_of(key, world_size)).withColumn("_ok", okey)
     ranked = rank_by_hash(d, "_ok", key, partition_cols=[*parts, "shard"], out="_rn", with_total="_n",
                           n_groups=world_size * group_count)
+    if pad:
+        ranked = _pad_shards(ranked, parts)
     out = ranked.withColumn("batch_no", F.floor((F.col("_rn") - 1) / batch_size).cast("int")).withColumn(
         "pos", F.pmod(F.col("_rn") - 1, F.lit(batch_size)).cast("int")
     )
@@ -53,6 +58,46 @@ def plan_batches(
     return out.drop("_ok", "_rn", "_n")
 
 
+def _pad_shards(ranked: DataFrame, parts: list[str]) -> DataFrame:
+    """Append copies of each shard's first rows until it is as long as the longest shard of its group.
+
+    Needs per-shard sizes (one row per group and shard, broadcast). Copy k of
+    row rn gets row number ``size * k + rn``; rows get ``padded`` and the
+    shard size ``_n`` becomes the padded length.
+    """
+    sizes = ranked.groupBy(*parts, "shard").agg(F.max("_n").alias("_size"))
+    if parts:
+        target = sizes.groupBy(*parts).agg(F.max("_size").alias("_target"))
+        need = sizes.join(target, parts)
+    else:
+        need = sizes.withColumn("_target", F.max("_size").over(Window.partitionBy()))
+    need = need.select(*parts, "shard", "_size", "_target", (F.col("_target") - F.col("_size")).alias("_need"))
+    need = F.broadcast(need)  # one row per (group, shard)
+    base = ranked.join(need.select(*parts, "shard", "_target"), [*parts, "shard"]).withColumn("padded", F.lit(False))
+    cand = ranked.join(need.where(F.col("_need") > 0), [*parts, "shard"])
+    cand = cand.withColumn("_k", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_need") / F.col("_size")).cast("int"))))
+    extra = (
+        cand.where(F.col("_size") * (F.col("_k") - 1) + F.col("_rn") <= F.col("_need"))
+        .withColumn("_rn", F.col("_size") * F.col("_k") + F.col("_rn"))
+        .withColumn("padded", F.lit(True))
+        .drop("_k", "_size", "_need")
+    )
+    both = base.unionByName(extra)
+    return both.withColumn("_n", F.col("_target")).drop("_target")
+
+
+def batch_counts(df: DataFrame, key: str = "ImageID", world_size: int = 1, batch_size: int = 8) -> DataFrame:
+    """Rows and batches per shard, and the original loader's ``num_batches``:
+    ``ceil((count // world_size) / batch_size)`` from the total row count."""
+    per = df.groupBy(shard_of(key, world_size).alias("shard")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return per.select(
+        "shard", "n_rows",
+        F.ceil(F.col("n_rows") / F.lit(batch_size)).cast("bigint").alias("n_batches"),
+        # a window over one row per shard
+        F.expr(f"((sum(n_rows) over ()) div {world_size} + {batch_size} - 1) div {batch_size}").alias("num_batches"),
+    )
+
+
 def epoch_plan(df: DataFrame, epochs: int, key: str = "ImageID", world_size: int = 1, batch_size: int = 8,
                seed: int = 42, drop_last: bool = False) -> DataFrame:
     """A fresh shuffled batch plan for each epoch ``1..epochs`` (rows repeated by a generator, not a join)."""

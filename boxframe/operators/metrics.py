@@ -52,13 +52,15 @@ def match_one_to_one(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
     each truth keeps its best such prediction (ties: lowest det_id).
 
     Two aggregations of ``max(struct)``, which combine map-side, instead of
-    windows that would sort a heavily shared box in one task.
+    windows that would sort a heavily shared box in one task. Grouping keys
+    include ``ImageID`` (functionally dependent) so it is carried along.
+    Any further pair columns named in ``carry`` (e.g. labels) are kept.
     """
     p = pairs.where(F.col("iou") > threshold)
-    per_det = p.groupBy("det_id").agg(F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"))
-    per_det = per_det.select("det_id", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"))
-    per_gt = per_det.groupBy("box_id").agg(F.max(F.struct("iou", (-F.col("det_id")).alias("nd"))).alias("m"))
-    return per_gt.select("box_id", (-F.col("m.nd")).alias("det_id"), F.col("m.iou").alias("iou"))
+    per_det = p.groupBy("ImageID", "det_id").agg(F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"))
+    per_det = per_det.select("ImageID", "det_id", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"))
+    per_gt = per_det.groupBy("ImageID", "box_id").agg(F.max(F.struct("iou", (-F.col("det_id")).alias("nd"))).alias("m"))
+    return per_gt.select("ImageID", "box_id", (-F.col("m.nd")).alias("det_id"), F.col("m.iou").alias("iou"))
 
 
 def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold: float = 0.5,
@@ -70,22 +72,20 @@ def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold:
     ImageID), while fp/fn use this image's sizes -- the original evaluation
     loop's behaviour; fp and fn can go negative.
     ``one_to_one``: tp = truth boxes matched one-to-one.
-    Predictions' labels and scores are ignored, as in that loop.
+    Predictions' labels and scores are ignored, as in that loop. The true
+    positives come from the pair table alone (it carries ImageID).
     """
     sizes = _image_sizes(gt, det)
     if mode == "one_to_one":
-        m = match_one_to_one(pairs, threshold)
-        per = gt.select("ImageID", "box_id").join(m, "box_id").groupBy("ImageID").agg(
-            F.count(F.lit(1)).alias("tp")
-        )
+        per = match_one_to_one(pairs, threshold).groupBy("ImageID").agg(F.count(F.lit(1)).alias("tp"))
+    elif mode in ("per_image", "cumulative"):
+        best = pairs.groupBy("ImageID", "box_id").agg(F.max("iou").alias("_b"))
+        per = best.groupBy("ImageID").agg(F.count_if(F.col("_b") > threshold).alias("tp"))
     else:
-        b = best_iou(gt, pairs)
-        per = b.groupBy("ImageID").agg(F.count_if(F.col("best_iou") > threshold).alias("tp"))
+        raise ValueError(mode)
     c = sizes.join(per, "ImageID", "left").withColumn("tp", F.coalesce("tp", F.lit(0)).cast("bigint"))
     if mode == "cumulative":
         c = prefix_sum(c, ["ImageID"], "tp", "tp")
-    elif mode not in ("per_image", "one_to_one"):
-        raise ValueError(mode)
     return c.select(
         "ImageID", "n_gt", "n_pred", "tp",
         (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_gt") - F.col("tp")).alias("fn"),
@@ -136,6 +136,28 @@ def weighted_prf(pairs_labels: DataFrame) -> DataFrame:
     hits = pairs_labels.where(F.col("y_true") == F.col("y_pred")).groupBy(F.col("y_true").alias("c")).agg(
         F.count(F.lit(1)).alias("tp")
     )
+    return _weighted(support, predicted, hits)
+
+
+def weighted_prf_matched(gt: DataFrame, det: DataFrame, matches: DataFrame) -> DataFrame:
+    """``weighted_prf`` without building the label-pair table.
+
+    Every truth box is a ``y_true`` exactly once and every prediction a
+    ``y_pred`` exactly once, so support and predicted counts come straight
+    from ``gt`` and ``det``; only the hits need the matches' labels.
+    """
+    support = gt.groupBy(F.col("LabelName").alias("c")).agg(F.count(F.lit(1)).alias("support"))
+    predicted = det.groupBy(F.col("LabelName").alias("c")).agg(F.count(F.lit(1)).alias("n_pred"))
+    g = gt.select("box_id", F.col("LabelName").alias("_t"))
+    d = det.select("det_id", F.col("LabelName").alias("_p"))
+    hits = (
+        matches.select("box_id", "det_id").join(g, "box_id").join(d, "det_id")
+        .where(F.col("_t") == F.col("_p")).groupBy(F.col("_t").alias("c")).agg(F.count(F.lit(1)).alias("tp"))
+    )
+    return _weighted(support, predicted, hits)
+
+
+def _weighted(support: DataFrame, predicted: DataFrame, hits: DataFrame) -> DataFrame:
     per = (
         support.where(F.col("c") != NONE_LABEL)
         .join(predicted, "c", "left")
@@ -153,7 +175,7 @@ def weighted_prf(pairs_labels: DataFrame) -> DataFrame:
     )
 
 
-def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], cell: float | None = None) -> DataFrame:
+def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="auto") -> DataFrame:
     """Per detection and IoU threshold: ``det_id, LabelName, score, iou_thr, tp``.
 
     A detection takes its best-IoU truth of the same class (ties: lowest
@@ -163,8 +185,7 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
     and threshold) are joined to the detections before the thresholds are
     expanded, so the join sees one row per detection.
     """
-    kw = {"cell": cell} if cell else {}
-    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), **kw)
+    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), cell=cell)
     best = pairs.groupBy("det_id").agg(
         F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
     )
@@ -182,7 +203,7 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
 
 
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
-                      cell: float | None = None, single_task_rows: int | None = None) -> DataFrame:
+                      cell="auto", single_task_rows: int | None = None) -> DataFrame:
     """101-point interpolated AP per ``(LabelName, iou_thr)`` for every class with truth.
 
     Detections of a class are ranked by score (ties: det_id); ``k`` and the

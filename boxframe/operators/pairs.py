@@ -16,7 +16,41 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.geometry import intersection, iou
 
-DEFAULT_CELL = 64.0
+import math
+
+# The plain per-image join is used while the worst image's truth x prediction
+# candidates stay below this; beyond it the grid join takes over.
+MAX_CANDIDATES_PER_IMAGE = 1_000_000
+TARGET_BOXES_PER_CELL = 1_000
+
+
+def choose_cell(gt: DataFrame, det: DataFrame, key: str, gt_box, det_box,
+                max_candidates: int = MAX_CANDIDATES_PER_IMAGE, target_per_cell: int = TARGET_BOXES_PER_CELL):
+    """``None`` (join per image) when every image's candidate pairs are bounded, else a grid cell size.
+
+    One aggregate job gives the worst image's candidate count; only for the
+    grid a second one gives the extent and median box size, so that a hot image spreads
+    over about ``n / target_per_cell`` cells without replicating typical
+    boxes into many cells.
+    """
+    sides = gt.select(F.col(key).alias("_k"), F.lit(1).alias("_g")).unionByName(
+        det.select(F.col(key).alias("_k"), F.lit(0).alias("_g"))
+    )
+    per = sides.groupBy("_k").agg(F.sum("_g").alias("g"), F.count(F.lit(1)).alias("n"))
+    worst = per.agg(
+        F.max(F.col("g") * (F.col("n") - F.col("g"))).alias("cand"), F.max("g").alias("mg"), F.max(F.col("n") - F.col("g")).alias("md")
+    ).first()
+    mg, md = worst.mg or 0, worst.md or 0
+    if (worst.cand or 0) <= max_candidates:
+        return None
+    x0, y0, x1, y1 = (F.col(c) for c in gt_box)
+    st = gt.agg(
+        F.percentile_approx(F.greatest(x1 - x0, y1 - y0), 0.5).alias("med"),
+        F.min(x0).alias("lx"), F.max(x1).alias("hx"), F.min(y0).alias("ly"), F.max(y1).alias("hy"),
+    ).first()
+    extent = max(float(st.hx - st.lx), float(st.hy - st.ly), 1.0)
+    per_side = math.ceil(math.sqrt(max(mg, md) / target_per_cell))
+    return max(extent / per_side, float(st.med or 1.0), 1.0)
 
 
 def _with_cells(df: DataFrame, box: tuple[str, str, str, str], cell: float, prefix: str) -> DataFrame:
@@ -40,13 +74,17 @@ def overlap_pairs(
     same: str | None = None,
     gt_cols: tuple[str, ...] = (),
     det_cols: tuple[str, ...] = (),
-    cell: float = DEFAULT_CELL,
+    cell: float | str | None = "auto",
 ) -> DataFrame:
     """Pairs ``(key, gt_id, det_id, iou, *gt_cols, *det_cols)`` with intersection > 0.
 
     ``same`` adds an equality on that column (e.g. the class label).
-    Column names of ``gt_cols`` and ``det_cols`` must differ.
+    Column names of ``gt_cols`` and ``det_cols`` must differ. ``cell``:
+    ``"auto"`` decides with ``choose_cell``, ``None`` joins per image, a
+    number uses a grid of that cell size.
     """
+    if cell == "auto":
+        cell = choose_cell(gt, det, key, gt_box, det_box)
     g = gt.select(
         F.col(key).alias("_k"),
         F.col(gt_id).alias(gt_id),
@@ -61,20 +99,18 @@ def overlap_pairs(
         *([F.col(same).alias("_ds")] if same else []),
         *det_cols,
     )
-    g = _with_cells(g, ("_g0", "_g1", "_g2", "_g3"), cell, "_g")
-    d = _with_cells(d, ("_d0", "_d1", "_d2", "_d3"), cell, "_d")
     a = tuple(F.col(f"_g{i}") for i in range(4))
     b = tuple(F.col(f"_d{i}") for i in range(4))
-    c = F.lit(float(cell))
-    cond = (g["_k"] == d["_k2"]) & (g["_gcx"] == d["_dcx"]) & (g["_gcy"] == d["_dcy"])
+    cond = g["_k"] == d["_k2"]
+    if cell is not None:
+        g = _with_cells(g, ("_g0", "_g1", "_g2", "_g3"), cell, "_g")
+        d = _with_cells(d, ("_d0", "_d1", "_d2", "_d3"), cell, "_d")
+        c = F.lit(float(cell))
+        cond = cond & (g["_gcx"] == d["_dcx"]) & (g["_gcy"] == d["_dcy"])
+        # the cell of the intersection's lower corner: each pair is kept once
+        cond = cond & (F.floor(F.greatest(a[0], b[0]) / c) == g["_gcx"]) & (F.floor(F.greatest(a[1], b[1]) / c) == g["_gcy"])
     if same:
         cond = cond & (g["_gs"] == d["_ds"])
-    # the cell of the intersection's lower corner: each pair is kept once
-    cond = (
-        cond
-        & (intersection(a, b) > 0)
-        & (F.floor(F.greatest(a[0], b[0]) / c) == g["_gcx"])
-        & (F.floor(F.greatest(a[1], b[1]) / c) == g["_gcy"])
-    )
+    cond = cond & (intersection(a, b) > 0)
     j = g.join(d, cond, "inner")
     return j.select(F.col("_k").alias(key), gt_id, det_id, iou(a, b).alias("iou"), *gt_cols, *det_cols)

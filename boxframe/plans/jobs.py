@@ -174,7 +174,7 @@ def evaluate_job(
         "counts": counts,
         "prf_per_image": prf,
         "macro": M.macro_summary(best, prf),
-        "weighted": M.weighted_prf(M.label_pairs(gt, detections, matches)),
+        "weighted": M.weighted_prf_matched(gt, detections, matches),
         "average_precision": M.average_precision(gt, detections),
     }
     out["map"] = M.mean_average_precision(out["average_precision"])

@@ -396,6 +396,70 @@ def q_epoch_shuffle(fx):
     )
 
 
+_RN_CTE = (
+    _VALID_CTE
+    + f""",
+img as (select ImageID, count(*) as n_boxes from valid group by ImageID),
+pl as (select ImageID, cast({_H.format(k='ImageID')} % 4 as int) as shard,
+              row_number() over (partition by {_H.format(k='ImageID')} % 4 order by md5(ImageID), ImageID) as rn
+       from img),
+sz as (select shard, count(*) as size from pl group by shard),
+nd as (select s.shard, s.size, t.target - s.size as need from sz s, (select max(size) as target from sz) t),
+ex as (select * from (select p.ImageID, p.shard, p.rn, n.size, n.need,
+                             unnest(generate_series(1, cast(ceil(cast(n.need as double) / n.size) as bigint))) as k
+                      from pl p join nd n on p.shard = n.shard where n.need > 0) t
+       where size * (k - 1) + rn <= need),
+allr as (select ImageID, shard, rn, false as padded from pl
+         union all select ImageID, shard, size * k + rn as rn, true as padded from ex)"""
+)
+
+
+@register(
+    "batch_plan_padded",
+    views=["scaled"],
+    extra_ctes=_RN_CTE,
+    sql="select ImageID, shard, cast((rn - 1) // 8 as int) as batch_no, cast((rn - 1) % 8 as int) as pos, padded from allr",
+)
+def q_batch_plan_padded(fx):
+    from boxframe.operators.batches import plan_batches
+
+    img = B.images_with_boxes(B.drop_invalid(fx.scaled))
+    return plan_batches(img, "ImageID", world_size=4, batch_size=8, pad=True).select(
+        "ImageID", "shard", "batch_no", "pos", "padded"
+    )
+
+
+@register(
+    "batch_counts",
+    views=["scaled"],
+    extra_ctes=_RN_CTE,
+    sql="""
+select shard, n_rows, cast(ceil(n_rows / 8) as bigint) as n_batches,
+       cast((sum(n_rows) over () // 4 + 7) // 8 as bigint) as num_batches
+from (select shard, count(*) as n_rows from pl group by shard) t
+""",
+)
+def q_batch_counts(fx):
+    from boxframe.operators.batches import batch_counts
+
+    return batch_counts(B.images_with_boxes(B.drop_invalid(fx.scaled)), "ImageID", world_size=4, batch_size=8)
+
+
+@register(
+    "preview_processed",
+    views=["scaled"],
+    sql="""
+select ImageID, count(*) as n_boxes, 'gs://bkt_1/resized/' || ImageID || '.jpg' as FilePath
+from scaled group by ImageID order by ImageID limit 5
+""",
+)
+def q_preview(fx):
+    return (
+        _processed(fx).orderBy("ImageID").limit(5)
+        .select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"), "FilePath")
+    )
+
+
 @register(
     "page_subtract",
     views=["scaled"],

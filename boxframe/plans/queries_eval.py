@@ -45,6 +45,23 @@ def _pairs(fx, same_label=False):
     return M.iou_pairs(_gt(fx), fx.detections, same_label=same_label)
 
 
+@register(
+    "label_pairs_weighted",
+    views=_EV,
+    extra_ctes=f"""{_VALID},\n{_PAIRS},\n{_O2O},
+lp as (select g.LabelName as y_true, coalesce(d.LabelName, '__none__') as y_pred
+       from valid g left join m on g.box_id = m.box_id left join detections d on d.det_id = m.det_id
+       union all
+       select '__none__' as y_true, d.LabelName as y_pred from detections d
+       where d.det_id not in (select det_id from m))""",
+    sql="select y_true, y_pred, count(*) as n from lp group by y_true, y_pred",
+)
+def q_label_pairs(fx):
+    gt, det = _gt(fx), fx.detections
+    m = M.match_one_to_one(_pairs(fx))
+    return M.label_pairs(gt, det, m).groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("iou_pairs", views=_EV, extra_ctes=f"{_VALID},\n{_PAIRS}", sql="select ImageID, box_id, det_id, iou from pairs")
 def q_iou_pairs(fx):
     return _pairs(fx).select("ImageID", "box_id", "det_id", "iou")
@@ -152,7 +169,7 @@ from per2
 def q_weighted_prf(fx):
     gt, det = _gt(fx), fx.detections
     m = M.match_one_to_one(_pairs(fx))
-    return M.weighted_prf(M.label_pairs(gt, det, m))
+    return M.weighted_prf_matched(gt, det, m)
 
 
 def _ap_ctes(thresholds: str) -> str:

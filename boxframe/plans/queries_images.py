@@ -199,3 +199,18 @@ def q_processed_table(fx):
     write_processed(to_processed(fx.scaled, "gs://bkt_1/resized/", order_by="box_id"), path)
     back = fx.spark.read.parquet(path)
     return back.select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"), "FilePath")
+
+
+@register(
+    "training_images",
+    views=["scaled", "image_meta"],
+    sql=f"""
+select m.ImageID, cast(greatest(1, m.height // 16) as int) as height, cast(greatest(1, m.width // 16) as int) as width
+from image_meta m where m.ImageID in (select ImageID from scaled) and not ({_CORRUPT_SQL.replace('ImageID', 'm.ImageID')})
+""",
+)
+def q_training_images(fx):
+    from boxframe.operators.presence import join_images
+
+    px = _pixels(fx).where(F.col("error").isNull()).select("ImageID", "height", "width")
+    return join_images(fx.scaled.select("ImageID").distinct(), px, "ImageID", "inner")

@@ -97,3 +97,25 @@ def test_ap_properties(fx):
                               F.lit(-40).alias("xmax"), F.lit(-40).alias("ymax"))
     more = {r.LabelName: r.ap for r in M.average_precision(gt, det.unionByName(fp), [0.5]).collect()}
     assert all(more[c] <= base[c] + 1e-12 for c in base)
+
+
+def test_grid_and_plain_pair_joins_agree(fx):
+    gt, det, g, d = _load(fx)
+    plain = {(r.box_id, r.det_id): r.iou for r in M.iou_pairs(gt, det, cell=None).collect()}
+    for cell in (7.0, 32.0, 64.0, 500.0):
+        grid = {(r.box_id, r.det_id): r.iou for r in M.iou_pairs(gt, det, cell=cell).collect()}
+        assert grid == plain, cell
+    same = {(r.box_id, r.det_id) for r in M.iou_pairs(gt, det, same_label=True, cell=16.0).collect()}
+    same_plain = {(r.box_id, r.det_id) for r in M.iou_pairs(gt, det, same_label=True, cell=None).collect()}
+    assert same == same_plain
+
+
+def test_choose_cell_switches_to_grid_for_a_hot_image(spark):
+    from boxframe.operators.pairs import choose_cell
+
+    rows = [("hot", i, i % 300, i % 290, i % 300 + 10, i % 290 + 10) for i in range(3000)]
+    rows += [("cold", 10_000 + i, 0, 0, 5, 5) for i in range(3)]
+    df = spark.createDataFrame(rows, "ImageID string, box_id long, xmin int, ymin int, xmax int, ymax int")
+    box = ("xmin", "ymin", "xmax", "ymax")
+    assert choose_cell(df, df, "ImageID", box, box) is not None
+    assert choose_cell(df.where("ImageID = 'cold'"), df.where("ImageID = 'cold'"), "ImageID", box, box) is None

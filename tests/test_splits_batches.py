@@ -78,3 +78,17 @@ def test_hot_image_is_split_without_losing_boxes(spark):
     assert 2 <= len(hot) <= 5 and {r.chunk for r in hot} <= set(range(5))
     assert sorted(a.XMin for r in hot for a in r.annotations) == [float(i) for i in range(50)]
     assert explode_annotations(spark.createDataFrame(g)).count() == 53
+
+
+def test_padded_shards_are_equal_and_complete(spark):
+    from collections import Counter
+
+    df = _ids(spark, 103)
+    p = plan_batches(df, world_size=4, batch_size=5, pad=True).collect()
+    per_shard = Counter(r.shard for r in p)
+    assert len(set(per_shard.values())) == 1
+    originals = sorted(r.ImageID for r in p if not r.padded)
+    assert originals == sorted(r.ImageID for r in df.collect())
+    for s in per_shard:
+        rows = sorted((r.batch_no, r.pos) for r in p if r.shard == s)
+        assert rows == sorted({(i // 5, i % 5) for i in range(per_shard[s])})
