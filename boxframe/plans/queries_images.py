@@ -111,10 +111,12 @@ def q_to_tensor(fx):
     sql=f"select ImageID, true as ok from image_meta where not ({_CORRUPT_SQL})",
 )
 def q_write_images(fx):
-    from boxframe.operators.images import resize_images, write_images
+    # Encodes and writes the decoded images as they are: resizing has its own
+    # query, and 299x299 copies of every image would cost ~2 GB per run at sf0.01.
+    from boxframe.operators.images import write_images
 
-    out = scratch_path(fx.spark, "resized")
-    return write_images(resize_images(_pixels(fx), (299, 299)), out).select("ImageID", "ok")
+    out = scratch_path(fx.spark, "written")
+    return write_images(_pixels(fx), out).select("ImageID", "ok")
 
 
 _PARSED = r"""parsed as (select distinct regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 1) as split,
