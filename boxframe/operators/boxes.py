@@ -116,13 +116,14 @@ def group_annotations(
     is not kept in the struct). An image with more than ``max_per_row``
     boxes is spread over ``ceil(n / max_per_row)`` rows by a hash of its
     boxes, so no row, task or group holds an unbounded list; every box is
-    kept. The hot images are found with a map-side-combined count; their
-    list is broadcast after its size is checked, so ordinary images are
-    grouped with a single shuffle on ``(key, chunk)``.
+    kept. One map-side-combined count gives the largest image; only if it
+    exceeds the bound are the hot images listed, and that list is broadcast
+    after its size is checked, so ordinary images are grouped with a single
+    shuffle on ``(key, chunk)``.
     """
     sort_key = [F.col(order_by).alias("_k")] if order_by else []
     item = F.struct(*sort_key, *[F.col(f) for f in fields])
-    if max_per_row is None:
+    if max_per_row is None or _largest_image(df, key) <= max_per_row:
         src = df.withColumn("chunk", F.lit(0))
     else:
         from boxframe.session import cut_lineage
@@ -148,6 +149,12 @@ def group_annotations(
     return agg.select(key, "chunk", arr.alias(out))
 
 
+def _largest_image(df: DataFrame, key: str) -> int:
+    from boxframe.operators.stats import largest_group
+
+    return largest_group(df, [key])
+
+
 def explode_annotations(df: DataFrame, col: str = "annotations", key: str = "ImageID") -> DataFrame:
     """Grouped form back to long form with the array position ``pos``."""
     return df.select(key, F.posexplode(col).alias("pos", "_a")).select(key, "pos", "_a.*")

@@ -41,7 +41,9 @@ def encode_labels(
     written or checkpointed vocabulary so the count is cheap.
     """
     v = vocab.select(F.col("LabelName").alias("_lbl"), F.col("idx").cast("bigint").alias(out))
-    if v.count() <= max_broadcast:
+    from boxframe.operators.stats import row_count
+
+    if row_count(v) <= max_broadcast:
         v = F.broadcast(v)
     return df.join(v, df[label_col] == v["_lbl"], "left").drop("_lbl")
 

@@ -223,7 +223,9 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     tp = voc_true_positives(gt, det, thresholds, cell)
     n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
     seg = ["LabelName", "iou_thr"]
-    largest = det.groupBy("LabelName").count().agg(F.max("count")).first()[0] or 0
+    from boxframe.operators.stats import largest_group
+
+    largest = largest_group(det, ["LabelName"])
     ranked = segmented_prefix(
         tp.join(n_gt, "LabelName"), seg, [F.col("score").desc(), F.col("det_id")],
         {"k": F.lit(1), "ctp": F.col("tp")}, max_segment_rows=largest,

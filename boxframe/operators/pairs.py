@@ -84,7 +84,9 @@ def overlap_pairs(
     number uses a grid of that cell size.
     """
     if cell == "auto":
-        cell = choose_cell(gt, det, key, gt_box, det_box)
+        from boxframe.operators.stats import memo
+
+        cell = memo(f"cell:{key}", [gt, det], lambda: choose_cell(gt, det, key, gt_box, det_box))
     g = gt.select(
         F.col(key).alias("_k"),
         F.col(gt_id).alias(gt_id),

@@ -48,7 +48,9 @@ def rank_by_hash(
     """
     parts = list(partition_cols or [])
     if prefix_hex is None:
-        prefix_hex = prefix_length(df.count(), n_groups)
+        from boxframe.operators.stats import row_count
+
+        prefix_hex = prefix_length(row_count(df), n_groups)
     d = df.withColumn("_pre", F.substring(F.col(order_key), 1, prefix_hex))
     counts = d.groupBy(*parts, "_pre").agg(F.count(F.lit(1)).alias("_c"))
     w_before = Window.partitionBy(*parts).orderBy("_pre").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +76,9 @@ def global_row_number(
     partitions before (a table with one row per partition).
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n = df.count()
+    from boxframe.operators.stats import row_count
+
+    n = row_count(df)
     if n <= single_task_limit:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*cols)))
     parts = num_partitions or max(1, n // 1_000_000)

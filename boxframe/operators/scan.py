@@ -26,7 +26,9 @@ def prefix_sum(
     the partitions before it (one row per partition, broadcast) are added.
     ``order_cols`` must be unique per row for a well-defined result.
     """
-    n = df.count()
+    from boxframe.operators.stats import row_count
+
+    n = row_count(df)
     if n <= single_task_rows:
         w = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value_col).over(w))
