@@ -202,36 +202,56 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
                     F.array_contains("_won", F.col("iou_thr")).cast("int").alias("tp"))
 
 
+def voc_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="auto") -> DataFrame:
+    """``iou_thr, det_id``: the true positives at each threshold (VOC matching, see ``voc_true_positives``)."""
+    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), cell=cell)
+    best = pairs.groupBy("det_id").agg(
+        F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
+    )
+    thr = F.array(*[F.lit(float(t)) for t in thresholds])
+    cand = best.select(
+        "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
+    ).where(F.col("iou") > F.col("iou_thr"))
+    winners = cand.groupBy("iou_thr", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
+    return winners.select("iou_thr", (-F.col("w.nd")).alias("det_id"))
+
+
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
                       cell="auto", single_task_rows: int | None = None) -> DataFrame:
     """101-point interpolated AP per ``(LabelName, iou_thr)`` for every class with truth.
 
-    Detections of a class are ranked by score (ties: det_id); ``k`` and the
-    running true-positive count ``ctp`` come from one ordered pass
-    (``segmented_prefix``: a window per class, or range partitions when a
-    class is too large for one task). Recall point i/100 is reached from the
-    first rank where ``f = floor(100*ctp/n)`` >= i, and its interpolated
-    precision is the max precision at ranks with a larger-or-equal ``f``.
-    So the ranks collapse to at most 101 ``(f, max precision)`` steps per
-    class, and the envelope is a suffix max over those steps:
+    Detections of a class are ranked by score (ties: det_id). The rank ``k``
+    does not depend on the threshold, so it is computed once per detection;
+    per threshold only the true positives are needed: the running count
+    ``ctp`` over them in rank order gives each one's precision ``ctp / k``.
+    Recall point i/100 is reached from the first rank where
+    ``f = floor(100*ctp/n)`` >= i, and its interpolated precision is the max
+    precision over ranks with a larger-or-equal ``f``; that maximum is always
+    attained at a true positive (precision only falls between them). So the
+    ranks collapse to at most 101 ``(f, max precision)`` steps per class,
+    the envelope is a suffix max over those steps, and
     ``AP = sum_j S_j * (f_j - f_{j-1}) / 101`` with ``f_0 = -1``.
-    A class with truth and no detection scores 0.
+    Both ordered passes use ``segmented_prefix`` (a window per class, or
+    range partitions when a class is too large for one task). A class with
+    truth and no true positive scores 0.
     """
     from boxframe.operators.scan import SINGLE_TASK_ROWS, segmented_prefix
+    from boxframe.operators.stats import largest_group
 
     thresholds = thresholds or IOU_THRESHOLDS
-    tp = voc_true_positives(gt, det, thresholds, cell)
+    limit = single_task_rows if single_task_rows is not None else SINGLE_TASK_ROWS
+    winners = voc_winners(gt, det, thresholds, cell)
     n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
-    seg = ["LabelName", "iou_thr"]
-    from boxframe.operators.stats import largest_group
-
     largest = largest_group(det, ["LabelName"])
-    ranked = segmented_prefix(
-        tp.join(n_gt, "LabelName"), seg, [F.col("score").desc(), F.col("det_id")],
-        {"k": F.lit(1), "ctp": F.col("tp")}, max_segment_rows=largest,
-        single_task_rows=single_task_rows if single_task_rows is not None else SINGLE_TASK_ROWS,
+    ranks = segmented_prefix(
+        det.select("det_id", "LabelName", "score"), ["LabelName"], [F.col("score").desc(), F.col("det_id")],
+        {"k": F.lit(1)}, max_segment_rows=largest, single_task_rows=limit,
     )
-    steps = ranked.groupBy(*seg, F.expr("(100 * ctp) div n_gt").alias("f")).agg(
+    tp = winners.join(ranks.select("det_id", "LabelName", "k"), "det_id")
+    tp = segmented_prefix(tp, ["LabelName", "iou_thr"], [F.col("k")], {"ctp": F.lit(1)},
+                          max_segment_rows=largest, single_task_rows=limit)
+    seg = ["LabelName", "iou_thr"]
+    steps = tp.join(n_gt, "LabelName").groupBy(*seg, F.expr("(100 * ctp) div n_gt").alias("f")).agg(
         F.max(F.col("ctp").cast("double") / F.col("k").cast("double")).alias("m")
     )
     w_suffix = Window.partitionBy(*seg).orderBy(F.col("f").desc()).rowsBetween(Window.unboundedPreceding, 0)
