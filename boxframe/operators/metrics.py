@@ -217,7 +217,8 @@ def voc_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="au
 
 
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
-                      cell="auto", single_task_rows: int | None = None) -> DataFrame:
+                      cell="auto", single_task_rows: int | None = None, matching: str = "voc",
+                      max_dets: int = 100) -> DataFrame:
     """101-point interpolated AP per ``(LabelName, iou_thr)`` for every class with truth.
 
     Detections of a class are ranked by score (ties: det_id). The rank ``k``
@@ -234,13 +235,23 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     Both ordered passes use ``segmented_prefix`` (a window per class, or
     range partitions when a class is too large for one task). A class with
     truth and no true positive scores 0.
+
+    ``matching="coco"`` uses greedy per-image matching over the top
+    ``max_dets`` detections of each image and class (``coco.py``) instead.
     """
     from boxframe.operators.scan import SINGLE_TASK_ROWS, segmented_prefix
     from boxframe.operators.stats import largest_group
 
     thresholds = thresholds or IOU_THRESHOLDS
     limit = single_task_rows if single_task_rows is not None else SINGLE_TASK_ROWS
-    winners = voc_winners(gt, det, thresholds, cell)
+    if matching == "coco":
+        from boxframe.operators.coco import coco_winners
+
+        winners, det = coco_winners(gt, det, thresholds, max_dets, cell)
+    elif matching == "voc":
+        winners = voc_winners(gt, det, thresholds, cell)
+    else:
+        raise ValueError(matching)
     n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
     largest = largest_group(det, ["LabelName"])
     ranks = segmented_prefix(

@@ -251,3 +251,10 @@ def q_overlay_rows(fx):
     from boxframe.operators.infer import overlay_rows
 
     return overlay_rows(_gt(fx), fx.detections, score_threshold=0.5)
+
+
+@register("map_coco")
+def q_map_coco(fx):
+    # greedy per-image matching is sequential: rows-only here, brute force in tests/test_coco.py
+    ap = M.average_precision(_gt(fx), fx.detections, matching="coco")
+    return ap.groupBy("iou_thr").agg(F.round(F.avg("ap"), 6).alias("map"))
