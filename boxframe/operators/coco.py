@@ -69,8 +69,22 @@ def coco_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], max_det
     kept = top_detections(det, max_dets)
     pairs = overlap_pairs(gt, kept, same="LabelName", det_cols=("score",), gt_cols=("LabelName",), cell=cell)
     pairs = pairs.where(F.col("iou") >= min(thresholds))
+    # A pair whose detection overlaps no other truth box and whose truth box no
+    # other detection is its own component: greedy order cannot change it, so
+    # it is decided here (matched at t iff IoU >= t). Only the remaining
+    # (image, class) groups, where detections compete, go through Python.
+    deg_d = pairs.groupBy("det_id").agg(F.count(F.lit(1)).alias("_dd"))
+    deg_g = pairs.groupBy("box_id").agg(F.count(F.lit(1)).alias("_dg"))
+    p = pairs.join(deg_d, "det_id").join(deg_g, "box_id")
+    alone = (F.col("_dd") == 1) & (F.col("_dg") == 1)
+    thr = F.array(*[F.lit(float(t)) for t in thresholds])
+    simple = p.where(alone).select("det_id", "iou", F.explode(thr).alias("iou_thr")).where(
+        F.col("iou") >= F.least(F.col("iou_thr"), F.lit(1 - 1e-10))
+    ).select("iou_thr", "det_id")
+    contested = p.join(p.where(~alone).select("ImageID", "LabelName").distinct(), ["ImageID", "LabelName"], "left_semi")
     ship_package(det.sparkSession)
-    winners = pairs.select("ImageID", "LabelName", "det_id", "score", "box_id", "iou").groupBy("ImageID", "LabelName").applyInPandas(
+    greedy = contested.select("ImageID", "LabelName", "det_id", "score", "box_id", "iou").groupBy("ImageID", "LabelName").applyInPandas(
         _greedy(list(thresholds)), schema="iou_thr double, det_id long"
     )
-    return winners, kept
+    # a contested group's isolated pairs are decided in both branches; keep one copy
+    return simple.unionByName(greedy).distinct(), kept
