@@ -26,9 +26,11 @@ class ScaleResult:
 
 
 def _bad_coordinate(cols: tuple[str, ...]) -> Column:
+    """NULL, NaN or infinite: ``int()`` of such a value fails, which fails the whole image."""
     cond = F.lit(False)
     for c in cols:
-        cond = cond | F.col(c).isNull() | F.isnan(F.col(c))
+        x = F.col(c)
+        cond = cond | x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     return cond
 
 
@@ -52,7 +54,7 @@ def image_status(boxes: DataFrame, image_meta: DataFrame, key: str = "ImageID")
             F.col("width").isNull() | F.col("height").isNull() | (F.col("width") <= 0) | (F.col("height") <= 0),
             F.lit("bad image size"),
         )
-        .when(F.col("_bad") == 1, F.lit("null or NaN coordinate"))
+        .when(F.col("_bad") == 1, F.lit("null or NaN coordinate"))  # also infinite
     )
     return joined.select(key, "width", "height", error.alias("error"))
 

@@ -29,7 +29,8 @@ select ImageID, case when ImageID not in (select ImageID from image_meta) then '
                      else 'null or NaN coordinate' end as error
 from boxes group by ImageID
 having max(case when XMin is null or YMin is null or XMax is null or YMax is null
-                  or isnan(XMin) or isnan(YMin) or isnan(XMax) or isnan(YMax) then 1 else 0 end) = 1
+                  or isnan(XMin) or isnan(YMin) or isnan(XMax) or isnan(YMax)
+                  or isinf(XMin) or isinf(YMin) or isinf(XMax) or isinf(YMax) then 1 else 0 end) = 1
     or ImageID not in (select ImageID from image_meta)
 """,
 )

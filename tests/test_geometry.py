@@ -58,3 +58,17 @@ def test_caption_rounds_like_python(spark):
     df = spark.createDataFrame([(3, v) for v in vals], "l int, s double")
     got = [r.c for r in df.select(caption("l", "s").alias("c")).collect()]
     assert got == [f"{3} ({v:.2f})" for v in vals]
+
+
+def test_non_finite_coordinates_quarantine_the_image(spark):
+    from boxframe.operators.boxes import scale_boxes
+
+    boxes = spark.createDataFrame(
+        [("a", 1, 0.1, 0.1, 0.5, 0.5, "x"), ("a", 2, 0.1, 0.1, float("inf"), 0.5, "x"),
+         ("b", 3, float("nan"), 0.1, 0.5, 0.5, "x"), ("c", 4, 0.1, 0.1, 0.5, 0.5, "x")],
+        "ImageID string, box_id long, XMin double, YMin double, XMax double, YMax double, LabelName string",
+    )
+    meta = spark.createDataFrame([("a", 100, 100), ("b", 100, 100), ("c", 100, 100)], "ImageID string, width int, height int")
+    r = scale_boxes(boxes, meta)
+    assert {x.ImageID for x in r.result.collect()} == {"c"}
+    assert {x.ImageID for x in r.quarantine.collect()} == {"a", "b"}
