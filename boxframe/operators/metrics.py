@@ -182,19 +182,11 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
     box_id); it is a true positive at threshold t when that IoU exceeds t and
     it has the highest score (ties: lowest det_id) among the detections
     claiming the same truth box at t. The winners (at most one per truth box
-    and threshold) are joined to the detections before the thresholds are
+    and threshold) are collected per detection before the thresholds are
     expanded, so the join sees one row per detection.
     """
-    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), cell=cell)
-    best = pairs.groupBy("det_id").agg(
-        F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
-    )
+    won = voc_winners(gt, det, thresholds, cell).groupBy("det_id").agg(F.collect_list("iou_thr").alias("_won"))
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
-    cand = best.select(
-        "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
-    ).where(F.col("iou") > F.col("iou_thr"))
-    winners = cand.groupBy("iou_thr", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
-    won = winners.groupBy((-F.col("w.nd")).alias("det_id")).agg(F.collect_list("iou_thr").alias("_won"))  # <= len(thresholds)
     d = det.select("det_id", "LabelName", "score").join(won, "det_id", "left")
     d = d.select("det_id", "LabelName", "score", F.coalesce("_won", F.array().cast("array<double>")).alias("_won"),
                  F.explode(thr).alias("iou_thr"))

@@ -119,3 +119,11 @@ def test_choose_cell_switches_to_grid_for_a_hot_image(spark):
     box = ("xmin", "ymin", "xmax", "ymax")
     assert choose_cell(df, df, "ImageID", box, box) is not None
     assert choose_cell(df.where("ImageID = 'cold'"), df.where("ImageID = 'cold'"), "ImageID", box, box) is None
+
+
+def test_voc_true_positive_flags_agree_with_winners(fx):
+    gt, det = drop_invalid(fx.scaled), fx.detections
+    flags = M.voc_true_positives(gt, det, [0.5, 0.9]).where("tp = 1").select("iou_thr", "det_id").collect()
+    win = M.voc_winners(gt, det, [0.5, 0.9]).collect()
+    assert sorted(map(tuple, flags)) == sorted(map(tuple, win))
+    assert M.voc_true_positives(gt, det, [0.5]).count() == det.count()
