@@ -81,3 +81,37 @@ def test_preprocess_then_training_then_evaluate(spark, tmp_path):
     assert (m.mean_iou, m.mean_precision, m.mean_recall, m.mean_f1) == (1.0, 1.0, 1.0, 1.0)
     w = ev["weighted"].first()
     assert (w.precision, w.recall, w.f1) == (1.0, 1.0, 1.0)
+
+
+def test_cli_download(spark, tmp_path, capsys):
+    from boxframe.__main__ import main
+
+    src = tmp_path / "src" / "train"
+    src.mkdir(parents=True)
+    (src / "00ab.jpg").write_bytes(b"abc")
+    lst = tmp_path / "l.txt"
+    lst.write_text("train/00ab\n")
+    assert main(["download", str(lst), f"{tmp_path}/src/", f"{tmp_path}/dst/", str(tmp_path / "m")], spark) == 0
+    assert "train: copied 1 of 1" in capsys.readouterr().out
+
+
+def test_cli_evaluate(spark, tmp_path, capsys):
+    from boxframe.__main__ import main
+
+    truth = spark.createDataFrame(
+        [("i1", 1, "/m/a", 10, 10, 50, 50), ("i1", 2, "/m/b", 60, 60, 90, 90), ("i2", 3, "/m/a", 0, 0, 20, 20)],
+        "ImageID string, box_id long, LabelName string, xmin int, ymin int, xmax int, ymax int",
+    )
+    det = spark.createDataFrame(
+        [("i1", 10, "/m/a", 0.9, 10, 10, 50, 52), ("i2", 11, "/m/a", 0.8, 100, 100, 120, 120)],
+        "ImageID string, det_id long, LabelName string, score double, xmin int, ymin int, xmax int, ymax int",
+    )
+    truth.write.parquet(str(tmp_path / "t"))
+    det.write.parquet(str(tmp_path / "d"))
+    assert main(["evaluate", str(tmp_path / "t"), str(tmp_path / "d"), str(tmp_path / "e")], spark) == 0
+    out = capsys.readouterr().out
+    assert "mAP:" in out and "Precision:" in out and "Average IoU:" in out
+    ap = {(r.LabelName, r.iou_thr): r.ap for r in spark.read.parquet(str(tmp_path / "e" / "average_precision")).collect()}
+    # class a: one of two truths found at rank 1 (IoU 0.95) -> recall points 0..50 at precision 1
+    assert abs(ap[("/m/a", 0.5)] - 51 / 101) < 1e-12
+    assert ap[("/m/b", 0.5)] == 0.0
