@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxframe.functions.hashing import hash_int32, hash_order_key
-from boxframe.operators.ranking import rank_by_hash
 
 
 def split_by_hash(df: DataFrame, key: str = "ImageID", train_fraction: float = 0.8, seed: int = 42,
@@ -23,14 +22,37 @@ def split_exact(df: DataFrame, key: str = "ImageID", train_fraction: float = 0.8
                 out: str = "split") -> DataFrame:
     """Exactly ``floor(train_fraction * n)`` rows to ``train`` in a seeded random order.
 
-    The order is md5(seed:key); the global position comes from ``rank_by_hash``
-    so no single task sorts the whole input.
+    The order is md5(seed:key) (ties: key). Only the position of the K-th
+    key matters: a histogram of key prefixes (at most 16^4 rows, collected)
+    locates the prefix bucket holding it. Rows in earlier buckets are train,
+    rows in later buckets are test -- decided map-side, no shuffle of the
+    data -- and only the one cut bucket (about n / 16^h rows) is ranked by a
+    window.
     """
-    ok = hash_order_key(key, seed)
-    ranked = rank_by_hash(df.withColumn("_ok", ok), "_ok", key, out="_rn", with_total="_n")
-    # decimal literal: floor(0.8 * n) without binary rounding at multiples of 5
-    train = F.col("_rn") <= F.floor(F.lit(Decimal(str(train_fraction))) * F.col("_n"))
-    return ranked.withColumn(out, F.when(train, F.lit("train")).otherwise(F.lit("test"))).drop("_ok", "_rn", "_n")
+    from boxframe.operators.ranking import prefix_length
+    from boxframe.operators.stats import row_count
+
+    d = df.withColumn("_ok", hash_order_key(key, seed))
+    n = row_count(d)
+    k = int((Decimal(str(train_fraction)) * n).to_integral_value(rounding="ROUND_FLOOR"))
+    h = min(4, prefix_length(n))
+    d = d.withColumn("_pre", F.substring("_ok", 1, h))
+    hist = sorted((r[0], r[1]) for r in d.groupBy("_pre").count().collect())  # <= 16^h rows
+    before, cut, need = 0, None, 0
+    for pre, c in hist:
+        if before + c >= k:
+            cut, need = pre, k - before
+            break
+        before += c
+    train, test = F.lit("train"), F.lit("test")
+    if cut is None or k == 0:
+        label = train if cut is None and k > 0 else test
+        return d.withColumn(out, label).drop("_ok", "_pre")
+    outside = d.where(F.col("_pre") != cut).withColumn(out, F.when(F.col("_pre") < cut, train).otherwise(test))
+    inside = d.where(F.col("_pre") == cut).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_pre").orderBy("_ok", key))
+    ).withColumn(out, F.when(F.col("_rn") <= need, train).otherwise(test)).drop("_rn")
+    return outside.unionByName(inside).drop("_ok", "_pre")
 
 
 def sample_one(df: DataFrame, key: str = "ImageID", seed: int = 42) -> DataFrame:

@@ -92,3 +92,16 @@ def test_padded_shards_are_equal_and_complete(spark):
     for s in per_shard:
         rows = sorted((r.batch_no, r.pos) for r in p if r.shard == s)
         assert rows == sorted({(i // 5, i % 5) for i in range(per_shard[s])})
+
+
+def test_exact_split_edge_sizes(spark):
+    for n, frac in ((1, 0.8), (5, 0.8), (10, 0.5), (37, 0.0), (37, 1.0)):
+        df = _ids(spark, n)
+        got = {r.ImageID: r.split for r in split_exact(df, train_fraction=frac).collect()}
+        assert len(got) == n
+        assert sum(v == "train" for v in got.values()) == int(frac * n)
+        # the train rows are exactly the first ones in md5(seed:key) order
+        import hashlib
+
+        order = sorted(got, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+        assert all(got[i] == "train" for i in order[: int(frac * n)])
