@@ -39,14 +39,6 @@ def best_iou(gt: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _image_sizes(gt: DataFrame, det: DataFrame) -> DataFrame:
-    n_pred = det.groupBy("ImageID").agg(F.count(F.lit(1)).alias("n_pred"))
-    n_gt = gt.groupBy("ImageID").agg(F.count(F.lit(1)).alias("n_gt"))
-    return n_gt.join(n_pred, "ImageID", "left").select(
-        "ImageID", "n_gt", F.coalesce("n_pred", F.lit(0)).cast("bigint").alias("n_pred")
-    )
-
-
 def match_one_to_one(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Each prediction takes its best truth (IoU > threshold; ties: lowest box_id),
     each truth keeps its best such prediction (ties: lowest det_id).
@@ -75,15 +67,24 @@ def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold:
     Predictions' labels and scores are ignored, as in that loop. The true
     positives come from the pair table alone (it carries ImageID).
     """
-    sizes = _image_sizes(gt, det)
     if mode == "one_to_one":
-        per = match_one_to_one(pairs, threshold).groupBy("ImageID").agg(F.count(F.lit(1)).alias("tp"))
+        hits = match_one_to_one(pairs, threshold).select("ImageID", F.lit(1).alias("_t"))
     elif mode in ("per_image", "cumulative"):
         best = pairs.groupBy("ImageID", "box_id").agg(F.max("iou").alias("_b"))
-        per = best.groupBy("ImageID").agg(F.count_if(F.col("_b") > threshold).alias("tp"))
+        hits = best.select("ImageID", (F.col("_b") > threshold).cast("int").alias("_t"))
     else:
         raise ValueError(mode)
-    c = sizes.join(per, "ImageID", "left").withColumn("tp", F.coalesce("tp", F.lit(0)).cast("bigint"))
+    # one aggregation over truth, predictions and hits instead of three plus two joins
+    zero, one = F.lit(0), F.lit(1)
+    u = (
+        gt.select("ImageID", one.alias("_g"), zero.alias("_d"), zero.alias("_t"))
+        .unionByName(det.select("ImageID", zero.alias("_g"), one.alias("_d"), zero.alias("_t")))
+        .unionByName(hits.select("ImageID", zero.alias("_g"), zero.alias("_d"), "_t"))
+    )
+    c = u.groupBy("ImageID").agg(
+        F.sum("_g").cast("bigint").alias("n_gt"), F.sum("_d").cast("bigint").alias("n_pred"),
+        F.sum("_t").cast("bigint").alias("tp"),
+    ).where(F.col("n_gt") > 0)  # images with truth are the evaluated images
     if mode == "cumulative":
         c = prefix_sum(c, ["ImageID"], "tp", "tp")
     return c.select(
