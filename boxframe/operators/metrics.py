@@ -33,10 +33,9 @@ def iou_pairs(gt: DataFrame, det: DataFrame, same_label: bool = False, **kw) ->
 
 def best_iou(gt: DataFrame, pairs: DataFrame) -> DataFrame:
     """Best IoU of each truth box over the image's predictions, 0 without any."""
-    best = pairs.groupBy("box_id").agg(F.max("iou").alias("_b"))
-    return gt.select("ImageID", "box_id").join(best, "box_id", "left").select(
-        "ImageID", "box_id", F.coalesce("_b", F.lit(0.0)).alias("best_iou")
-    )
+    # every truth box enters with IoU 0, so a box without any prediction keeps 0; one aggregation, no join
+    u = gt.select("ImageID", "box_id", F.lit(0.0).alias("iou")).unionByName(pairs.select("ImageID", "box_id", "iou"))
+    return u.groupBy("ImageID", "box_id").agg(F.max("iou").alias("best_iou"))
 
 
 def match_one_to_one(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
