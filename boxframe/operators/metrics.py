@@ -38,20 +38,26 @@ def best_iou(gt: DataFrame, pairs: DataFrame) -> DataFrame:
     return u.groupBy("ImageID", "box_id").agg(F.max("iou").alias("best_iou"))
 
 
-def match_one_to_one(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
+def match_one_to_one(pairs: DataFrame, threshold: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each prediction takes its best truth (IoU > threshold; ties: lowest box_id),
     each truth keeps its best such prediction (ties: lowest det_id).
 
     Two aggregations of ``max(struct)``, which combine map-side, instead of
     windows that would sort a heavily shared box in one task. Grouping keys
-    include ``ImageID`` (functionally dependent) so it is carried along.
-    Any further pair columns named in ``carry`` (e.g. labels) are kept.
+    include ``ImageID`` (functionally dependent) so it is carried along, and
+    so are the pair columns named in ``carry`` (e.g. both labels).
     """
     p = pairs.where(F.col("iou") > threshold)
-    per_det = p.groupBy("ImageID", "det_id").agg(F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"))
-    per_det = per_det.select("ImageID", "det_id", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"))
-    per_gt = per_det.groupBy("ImageID", "box_id").agg(F.max(F.struct("iou", (-F.col("det_id")).alias("nd"))).alias("m"))
-    return per_gt.select("ImageID", "box_id", (-F.col("m.nd")).alias("det_id"), F.col("m.iou").alias("iou"))
+    per_det = p.groupBy("ImageID", "det_id").agg(
+        F.max(F.struct("iou", (-F.col("box_id")).alias("nb"), *carry)).alias("m")
+    )
+    per_det = per_det.select("ImageID", "det_id", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"),
+                             *[F.col(f"m.{c}").alias(c) for c in carry])
+    per_gt = per_det.groupBy("ImageID", "box_id").agg(
+        F.max(F.struct("iou", (-F.col("det_id")).alias("nd"), *carry)).alias("m")
+    )
+    return per_gt.select("ImageID", "box_id", (-F.col("m.nd")).alias("det_id"), F.col("m.iou").alias("iou"),
+                         *[F.col(f"m.{c}").alias(c) for c in carry])
 
 
 def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold: float = 0.5,
@@ -144,17 +150,39 @@ def weighted_prf_matched(gt: DataFrame, det: DataFrame, matches: DataFrame) -> D
 
     Every truth box is a ``y_true`` exactly once and every prediction a
     ``y_pred`` exactly once, so support and predicted counts come straight
-    from ``gt`` and ``det``; only the hits need the matches' labels.
+    from ``gt`` and ``det``; only the hits need the matches' labels. With
+    ``y_true``/``y_pred`` carried in ``matches`` (see ``labelled_matches``)
+    all three counts are one aggregation; otherwise the labels are joined.
     """
-    support = gt.groupBy(F.col("LabelName").alias("c")).agg(F.count(F.lit(1)).alias("support"))
-    predicted = det.groupBy(F.col("LabelName").alias("c")).agg(F.count(F.lit(1)).alias("n_pred"))
-    g = gt.select("box_id", F.col("LabelName").alias("_t"))
-    d = det.select("det_id", F.col("LabelName").alias("_p"))
-    hits = (
-        matches.select("box_id", "det_id").join(g, "box_id").join(d, "det_id")
-        .where(F.col("_t") == F.col("_p")).groupBy(F.col("_t").alias("c")).agg(F.count(F.lit(1)).alias("tp"))
+    if {"y_true", "y_pred"} <= set(matches.columns):
+        hits = matches.where(F.col("y_true") == F.col("y_pred")).select(F.col("y_true").alias("c"))
+    else:
+        g = gt.select("box_id", F.col("LabelName").alias("_t"))
+        d = det.select("det_id", F.col("LabelName").alias("_p"))
+        hits = (
+            matches.select("box_id", "det_id").join(g, "box_id").join(d, "det_id")
+            .where(F.col("_t") == F.col("_p")).select(F.col("_t").alias("c"))
+        )
+    zero, one = F.lit(0), F.lit(1)
+    u = (
+        gt.select(F.col("LabelName").alias("c"), one.alias("_s"), zero.alias("_p"), zero.alias("_h"))
+        .unionByName(det.select(F.col("LabelName").alias("c"), zero.alias("_s"), one.alias("_p"), zero.alias("_h")))
+        .unionByName(hits.select("c", zero.alias("_s"), zero.alias("_p"), one.alias("_h")))
     )
-    return _weighted(support, predicted, hits)
+    per = u.groupBy("c").agg(
+        F.sum("_s").cast("bigint").alias("support"), F.sum("_p").cast("bigint").alias("n_pred"),
+        F.sum("_h").cast("bigint").alias("tp"),
+    ).where(F.col("support") > 0)
+    return _weighted(per.select("c", "support"), per.select("c", "n_pred"), per.select("c", "tp"))
+
+
+def labelled_matches(gt: DataFrame, det: DataFrame, threshold: float = 0.5, **kw) -> DataFrame:
+    """One-to-one matches (label-agnostic) carrying ``y_true`` and ``y_pred``."""
+    pairs = overlap_pairs(
+        gt.withColumnRenamed("LabelName", "y_true"), det.withColumnRenamed("LabelName", "y_pred"),
+        gt_cols=("y_true",), det_cols=("y_pred",), **kw,
+    )
+    return match_one_to_one(pairs, threshold, carry=("y_true", "y_pred"))
 
 
 def _weighted(support: DataFrame, predicted: DataFrame, hits: DataFrame) -> DataFrame:

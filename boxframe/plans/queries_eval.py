@@ -168,8 +168,7 @@ from per2
 )
 def q_weighted_prf(fx):
     gt, det = _gt(fx), fx.detections
-    m = M.match_one_to_one(_pairs(fx))
-    return M.weighted_prf_matched(gt, det, m)
+    return M.weighted_prf_matched(gt, det, M.labelled_matches(gt, det))
 
 
 def _ap_ctes(thresholds: str) -> str:

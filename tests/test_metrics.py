@@ -127,3 +127,11 @@ def test_voc_true_positive_flags_agree_with_winners(fx):
     win = M.voc_winners(gt, det, [0.5, 0.9]).collect()
     assert sorted(map(tuple, flags)) == sorted(map(tuple, win))
     assert M.voc_true_positives(gt, det, [0.5]).count() == det.count()
+
+
+def test_weighted_prf_paths_agree(fx):
+    gt, det = drop_invalid(fx.scaled), fx.detections
+    carried = M.weighted_prf_matched(gt, det, M.labelled_matches(gt, det)).first()
+    joined = M.weighted_prf_matched(gt, det, M.match_one_to_one(M.iou_pairs(gt, det))).first()
+    table = M.weighted_prf(M.label_pairs(gt, det, M.match_one_to_one(M.iou_pairs(gt, det)))).first()
+    assert tuple(carried) == tuple(joined) == tuple(table)
