@@ -124,3 +124,12 @@ def rows_page(df: DataFrame, order_cols: list[str], start: int, size: int) -> Da
     if start == 0:
         return upto
     return upto.subtract(ordered.limit(start))
+
+
+def partition_by_shard(plan: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Co-locate each shard's rows (``repartition`` on ``shard`` and ``extra``, e.g. epoch).
+
+    Before a ``partitionBy('shard')`` write this gives one file per shard
+    folder; shards are hash-balanced, so no partition is hot.
+    """
+    return plan.repartition(*(extra or []), "shard")

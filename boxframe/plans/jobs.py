@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from boxframe.operators import boxes as B
 from boxframe.operators import metrics as M
-from boxframe.operators.batches import epoch_plan, plan_batches
+from boxframe.operators.batches import epoch_plan, partition_by_shard, plan_batches
 from boxframe.operators.images import image_rows, image_session_conf, resize_images, write_images
 from boxframe.operators.labels import build_vocabulary, training_targets
 from boxframe.operators.listing import parse_image_list, rejected_lines
@@ -141,8 +141,9 @@ def prepare_training_job(
     s = put("split", split_by_hash(t.select("ImageID"), train_fraction=train_fraction, seed=seed))
     train = s.where(F.col("split") == "train").select("ImageID")
     test = s.where(F.col("split") == "test").select("ImageID")
-    put("train_batches", epoch_plan(train, epochs, "ImageID", world_size, batch_size, seed=seed), ["epoch", "shard"])
-    put("test_batches", plan_batches(test, "ImageID", world_size, batch_size), ["shard"])
+    train_plan = partition_by_shard(epoch_plan(train, epochs, "ImageID", world_size, batch_size, seed=seed), ["epoch"])
+    put("train_batches", train_plan, ["epoch", "shard"])
+    put("test_batches", partition_by_shard(plan_batches(test, "ImageID", world_size, batch_size)), ["shard"])
     return out
 
 

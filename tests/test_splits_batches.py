@@ -105,3 +105,14 @@ def test_exact_split_edge_sizes(spark):
 
         order = sorted(got, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
         assert all(got[i] == "train" for i in order[: int(frac * n)])
+
+
+def test_partition_by_shard_colocates(spark):
+    from boxframe.operators.batches import partition_by_shard
+
+    p = partition_by_shard(plan_batches(_ids(spark, 500), world_size=4, batch_size=8))
+    rows = p.select("shard", F.spark_partition_id().alias("pid")).distinct().collect()
+    owners = {}
+    for r in rows:
+        owners.setdefault(r.shard, set()).add(r.pid)
+    assert all(len(v) == 1 for v in owners.values()) and len(owners) == 4
