@@ -72,12 +72,11 @@ def preprocess_job(
     image_session_conf(spark)
     ann = read_annotations(spark, csv_path)
     pixels = image_rows(read_images(spark, image_dir), ext=ext_in)
-    pixels = pixels.join(ann.select("ImageID").distinct(), "ImageID", "left_semi")
+    pixels = pixels.join(ann.select("ImageID"), "ImageID", "left_semi")  # a semi join ignores duplicate keys
     meta = pixels.select("ImageID", "width", "height", "error")
     scaled = B.scale_boxes(ann, meta, size)
     scaled_boxes = cut_lineage(scaled.result, "scaled")
-    good = scaled_boxes.select("ImageID").distinct()
-    to_write = pixels.join(good, "ImageID", "left_semi")
+    to_write = pixels.join(scaled_boxes.select("ImageID"), "ImageID", "left_semi")
     status = cut_lineage(write_images(resize_images(to_write, size), resized_dir, ext=ext_out), "written")
     ok = status.where("ok").select("ImageID")
     processed = B.to_processed(scaled_boxes.join(ok, "ImageID", "left_semi"), resized_dir.rstrip("/") + "/", ext=ext_out)
