@@ -109,17 +109,19 @@ def prf_per_image(counts: DataFrame) -> DataFrame:
 
 
 def macro_summary(best: DataFrame, prf: DataFrame) -> DataFrame:
-    """Mean IoU over truth boxes and mean P/R/F1 over images (NULL on empty input)."""
-    a = best.agg(F.avg("best_iou").alias("mean_iou"), F.count(F.lit(1)).alias("n_boxes"))
-    b = prf.agg(
-        F.avg("precision").alias("mean_precision"), F.avg("recall").alias("mean_recall"),
-        F.avg("f1").alias("mean_f1"), F.count(F.lit(1)).alias("n_images"),
+    """Mean IoU over truth boxes and mean P/R/F1 over images (NULL on empty input).
+
+    One aggregation over the union of box rows and image rows: ``avg`` and
+    ``count`` skip the NULLs of the other side, so no join is needed.
+    """
+    nd = F.lit(None).cast("double")
+    u = best.select(F.col("best_iou").alias("_iou"), nd.alias("_p"), nd.alias("_r"), nd.alias("_f")).unionByName(
+        prf.select(nd.alias("_iou"), F.col("precision").alias("_p"), F.col("recall").alias("_r"), F.col("f1").alias("_f"))
     )
-    j = a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one")  # two one-row aggregates
-    return j.select(
-        F.round("mean_iou", 6).alias("mean_iou"), F.round("mean_precision", 6).alias("mean_precision"),
-        F.round("mean_recall", 6).alias("mean_recall"), F.round("mean_f1", 6).alias("mean_f1"),
-        "n_boxes", "n_images",
+    return u.agg(
+        F.round(F.avg("_iou"), 6).alias("mean_iou"), F.round(F.avg("_p"), 6).alias("mean_precision"),
+        F.round(F.avg("_r"), 6).alias("mean_recall"), F.round(F.avg("_f"), 6).alias("mean_f1"),
+        F.count("_iou").alias("n_boxes"), F.count("_p").alias("n_images"),
     )
 
 

@@ -23,6 +23,8 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan  # no cross joins
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
         assert len(df.columns) > 0
