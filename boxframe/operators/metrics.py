@@ -139,12 +139,12 @@ def label_pairs(gt: DataFrame, det: DataFrame, matches: DataFrame) -> DataFrame:
 
 def weighted_prf(pairs_labels: DataFrame) -> DataFrame:
     """Support-weighted precision/recall/F1 over classes (``__none__`` has no weight), zero_division=0."""
-    support = pairs_labels.groupBy(F.col("y_true").alias("c")).agg(F.count(F.lit(1)).alias("support"))
-    predicted = pairs_labels.groupBy(F.col("y_pred").alias("c")).agg(F.count(F.lit(1)).alias("n_pred"))
-    hits = pairs_labels.where(F.col("y_true") == F.col("y_pred")).groupBy(F.col("y_true").alias("c")).agg(
-        F.count(F.lit(1)).alias("tp")
-    )
-    return _weighted(support, predicted, hits)
+    zero, one = F.lit(0), F.lit(1)
+    u = pairs_labels.select(
+        F.col("y_true").alias("c"), one.alias("_s"), zero.alias("_p"),
+        (F.col("y_true") == F.col("y_pred")).cast("int").alias("_h"),
+    ).unionByName(pairs_labels.select(F.col("y_pred").alias("c"), zero.alias("_s"), one.alias("_p"), zero.alias("_h")))
+    return _weighted(u)
 
 
 def weighted_prf_matched(gt: DataFrame, det: DataFrame, matches: DataFrame) -> DataFrame:
@@ -171,11 +171,27 @@ def weighted_prf_matched(gt: DataFrame, det: DataFrame, matches: DataFrame) -> D
         .unionByName(det.select(F.col("LabelName").alias("c"), zero.alias("_s"), one.alias("_p"), zero.alias("_h")))
         .unionByName(hits.select("c", zero.alias("_s"), zero.alias("_p"), one.alias("_h")))
     )
+    return _weighted(u)
+
+
+def _weighted(u: DataFrame) -> DataFrame:
+    """``u``: rows ``c, _s, _p, _h`` (support, predicted, hit indicators) -> weighted P/R/F1.
+
+    Per-class counts are one aggregation; the weighted means a second one
+    over the (bounded) class rows.
+    """
     per = u.groupBy("c").agg(
-        F.sum("_s").cast("bigint").alias("support"), F.sum("_p").cast("bigint").alias("n_pred"),
-        F.sum("_h").cast("bigint").alias("tp"),
-    ).where(F.col("support") > 0)
-    return _weighted(per.select("c", "support"), per.select("c", "n_pred"), per.select("c", "tp"))
+        F.sum("_s").alias("support"), F.sum("_p").alias("n_pred"), F.sum("_h").alias("tp")
+    ).where((F.col("support") > 0) & (F.col("c") != NONE_LABEL))
+    p = _ratio(F.col("tp"), F.col("n_pred"))
+    r = _ratio(F.col("tp"), F.col("support"))
+    per = per.select("c", "support", p.alias("p"), r.alias("r")).withColumn("f", _f1(F.col("p"), F.col("r")))
+    tot = F.sum("support").cast("double")
+    return per.agg(
+        F.round(F.sum(F.col("support") * F.col("p")) / tot, 6).alias("precision"),
+        F.round(F.sum(F.col("support") * F.col("r")) / tot, 6).alias("recall"),
+        F.round(F.sum(F.col("support") * F.col("f")) / tot, 6).alias("f1"),
+    )
 
 
 def labelled_matches(gt: DataFrame, det: DataFrame, threshold: float = 0.5, **kw) -> DataFrame:
@@ -194,24 +210,6 @@ def labelled_matches(gt: DataFrame, det: DataFrame, threshold: float = 0.5, **kw
     return match_one_to_one(pairs, threshold, carry=("y_true", "y_pred"))
 
 
-def _weighted(support: DataFrame, predicted: DataFrame, hits: DataFrame) -> DataFrame:
-    per = (
-        support.where(F.col("c") != NONE_LABEL)
-        .join(predicted, "c", "left")
-        .join(hits, "c", "left")
-        .fillna(0, ["n_pred", "tp"])
-    )
-    p = _ratio(F.col("tp"), F.col("n_pred"))
-    r = _ratio(F.col("tp"), F.col("support"))
-    per = per.select("c", "support", p.alias("p"), r.alias("r")).withColumn("f", _f1(F.col("p"), F.col("r")))
-    tot = F.sum("support").cast("double")
-    return per.agg(
-        F.round(F.sum(F.col("support") * F.col("p")) / tot, 6).alias("precision"),
-        F.round(F.sum(F.col("support") * F.col("r")) / tot, 6).alias("recall"),
-        F.round(F.sum(F.col("support") * F.col("f")) / tot, 6).alias("f1"),
-    )
-
-
 def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="auto") -> DataFrame:
     """Per detection and IoU threshold: ``det_id, LabelName, score, iou_thr, tp``.
 
