@@ -111,6 +111,7 @@ def group_annotations(
     key: str = "ImageID",
     out: str = "annotations",
     max_per_row: int | None = MAX_BOXES_PER_ROW,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per image with an array of box structs, plus ``chunk`` (0 unless split).
 
@@ -121,11 +122,14 @@ def group_annotations(
     kept. One map-side-combined count gives the largest image; only if it
     exceeds the bound are the hot images listed, and that list is broadcast
     after its size is checked, so ordinary images are grouped with a single
-    shuffle on ``(key, chunk)``.
+    shuffle on ``(key, chunk)``. ``largest`` passes that count when the
+    caller knows it (e.g. from the same boxes before a lookup join).
     """
     sort_key = [F.col(order_by).alias("_k")] if order_by else []
     item = F.struct(*sort_key, *[F.col(f) for f in fields])
-    if max_per_row is None or _largest_image(df, key) <= max_per_row:
+    if largest is None and max_per_row is not None:
+        largest = _largest_image(df, key)
+    if max_per_row is None or largest <= max_per_row:
         src = df.withColumn("chunk", F.lit(0))
     else:
         from boxframe.session import cut_lineage
