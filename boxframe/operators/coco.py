@@ -38,10 +38,14 @@ def top_detections(det: DataFrame, k: int = MAX_DETS, by: tuple[str, ...] = ("Im
 
 def _greedy(thresholds: list[float]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one (image, class): det_id, score, box_id, iou
-        dets = pdf[["det_id", "score"]].drop_duplicates("det_id").sort_values(["score", "det_id"], ascending=[False, True])
+        # one (image, class): det_id, score, k, LabelName, box_id, iou
+        dets = pdf[["det_id", "score", "k", "LabelName"]].drop_duplicates("det_id").sort_values(
+            ["score", "det_id"], ascending=[False, True]
+        )
         gts = sorted(pdf["box_id"].unique())
         iou = {(d, g): v for d, g, v in zip(pdf["det_id"], pdf["box_id"], pdf["iou"])}
+        rank = dict(zip(dets["det_id"], dets["k"]))
+        label = dets["LabelName"].iloc[0] if len(dets) else None
         out_t, out_d = [], []
         for t in thresholds:
             taken = set()
@@ -58,16 +62,22 @@ def _greedy(thresholds: list[float]):
                     taken.add(best)
                     out_t.append(t)
                     out_d.append(int(d))
-        return pd.DataFrame({"iou_thr": pd.Series(out_t, dtype="float64"), "det_id": pd.Series(out_d, dtype="int64")})
+        return pd.DataFrame({
+            "iou_thr": pd.Series(out_t, dtype="float64"), "det_id": pd.Series(out_d, dtype="int64"),
+            "k": pd.Series([int(rank[d]) for d in out_d], dtype="int64"),
+            "LabelName": pd.Series([label] * len(out_d), dtype="object"),
+        })
 
     return run
 
 
-def coco_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], max_dets: int = MAX_DETS,
-                 cell="auto") -> tuple[DataFrame, DataFrame]:
-    """``(winners, kept)``: true positives ``iou_thr, det_id`` and the detections taking part."""
-    kept = top_detections(det, max_dets)
-    pairs = overlap_pairs(gt, kept, same="LabelName", det_cols=("score",), gt_cols=("LabelName",), cell=cell)
+def coco_winners(gt: DataFrame, kept: DataFrame, thresholds: list[float], cell="auto") -> DataFrame:
+    """True positives ``iou_thr, det_id, k, LabelName`` of the detections taking part.
+
+    ``kept``: the top detections per image and class (``top_detections``)
+    with their class rank ``k``.
+    """
+    pairs = overlap_pairs(gt, kept, same="LabelName", det_cols=("score", "k", "LabelName"), cell=cell)
     pairs = pairs.where(F.col("iou") >= min(thresholds))
     # A pair whose detection overlaps no other truth box and whose truth box no
     # other detection is its own component: greedy order cannot change it, so
@@ -78,13 +88,13 @@ def coco_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], max_det
     p = pairs.join(deg_d, "det_id").join(deg_g, "box_id")
     alone = (F.col("_dd") == 1) & (F.col("_dg") == 1)
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
-    simple = p.where(alone).select("det_id", "iou", F.explode(thr).alias("iou_thr")).where(
+    simple = p.where(alone).select("det_id", "iou", "k", "LabelName", F.explode(thr).alias("iou_thr")).where(
         F.col("iou") >= F.least(F.col("iou_thr"), F.lit(1 - 1e-10))
-    ).select("iou_thr", "det_id")
+    ).select("iou_thr", "det_id", "k", "LabelName")
     contested = p.join(p.where(~alone).select("ImageID", "LabelName").distinct(), ["ImageID", "LabelName"], "left_semi")
-    ship_package(det.sparkSession)
-    greedy = contested.select("ImageID", "LabelName", "det_id", "score", "box_id", "iou").groupBy("ImageID", "LabelName").applyInPandas(
-        _greedy(list(thresholds)), schema="iou_thr double, det_id long"
-    )
+    ship_package(kept.sparkSession)
+    greedy = contested.select("ImageID", "LabelName", "det_id", "score", "k", "box_id", "iou").groupBy(
+        "ImageID", "LabelName"
+    ).applyInPandas(_greedy(list(thresholds)), schema="iou_thr double, det_id long, k long, LabelName string")
     # a contested group's isolated pairs are decided in both branches; keep one copy
-    return simple.unionByName(greedy).distinct(), kept
+    return simple.unionByName(greedy).distinct()

@@ -229,18 +229,24 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
                     F.array_contains("_won", F.col("iou_thr")).cast("int").alias("tp"))
 
 
-def voc_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="auto") -> DataFrame:
-    """``iou_thr, det_id``: the true positives at each threshold (VOC matching, see ``voc_true_positives``)."""
-    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), cell=cell)
+def voc_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="auto",
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """``iou_thr, det_id, *carry``: the true positives at each threshold (VOC matching,
+    see ``voc_true_positives``); detection columns in ``carry`` ride along."""
+    pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score", *carry), cell=cell)
     best = pairs.groupBy("det_id").agg(
-        F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
+        F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score"),
+        *[F.max(c).alias(c) for c in carry],  # constant per detection
     )
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
     cand = best.select(
-        "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
+        "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr"),
+        *carry,
     ).where(F.col("iou") > F.col("iou_thr"))
-    winners = cand.groupBy("iou_thr", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
-    return winners.select("iou_thr", (-F.col("w.nd")).alias("det_id"))
+    winners = cand.groupBy("iou_thr", "box_id").agg(
+        F.max(F.struct("score", (-F.col("det_id")).alias("nd"), *carry)).alias("w")
+    )
+    return winners.select("iou_thr", (-F.col("w.nd")).alias("det_id"), *[F.col(f"w.{c}").alias(c) for c in carry])
 
 
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
@@ -266,26 +272,32 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     ``matching="coco"`` uses greedy per-image matching over the top
     ``max_dets`` detections of each image and class (``coco.py``) instead.
     """
+    from boxframe.operators.pairs import choose_cell
     from boxframe.operators.scan import SINGLE_TASK_ROWS, segmented_prefix
-    from boxframe.operators.stats import largest_group
+    from boxframe.operators.stats import largest_group, memo
 
     thresholds = thresholds or IOU_THRESHOLDS
     limit = single_task_rows if single_task_rows is not None else SINGLE_TASK_ROWS
+    if cell == "auto":  # decided once on the inputs (memoised), then reused
+        box = ("xmin", "ymin", "xmax", "ymax")
+        cell = memo("cell:ImageID", [gt, det], lambda: choose_cell(gt, det, "ImageID", box, box))
+    if matching == "coco":
+        from boxframe.operators.coco import top_detections
+
+        det = top_detections(det, max_dets)
+    elif matching != "voc":
+        raise ValueError(matching)
+    largest = largest_group(det, ["LabelName"])
+    # rank within the class first; k and the label ride through matching, so no join back
+    ranked = segmented_prefix(det, ["LabelName"], [F.col("score").desc(), F.col("det_id")],
+                              {"k": F.lit(1)}, max_segment_rows=largest, single_task_rows=limit)
     if matching == "coco":
         from boxframe.operators.coco import coco_winners
 
-        winners, det = coco_winners(gt, det, thresholds, max_dets, cell)
-    elif matching == "voc":
-        winners = voc_winners(gt, det, thresholds, cell)
+        tp = coco_winners(gt, ranked, thresholds, cell)
     else:
-        raise ValueError(matching)
+        tp = voc_winners(gt, ranked, thresholds, cell, carry=("k", "LabelName"))
     n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
-    largest = largest_group(det, ["LabelName"])
-    ranks = segmented_prefix(
-        det.select("det_id", "LabelName", "score"), ["LabelName"], [F.col("score").desc(), F.col("det_id")],
-        {"k": F.lit(1)}, max_segment_rows=largest, single_task_rows=limit,
-    )
-    tp = winners.join(ranks.select("det_id", "LabelName", "k"), "det_id")
     tp = segmented_prefix(tp, ["LabelName", "iou_thr"], [F.col("k")], {"ctp": F.lit(1)},
                           max_segment_rows=largest, single_task_rows=limit)
     seg = ["LabelName", "iou_thr"]
