@@ -119,7 +119,7 @@ def q_rejected_lines(fx):
     extra_ctes=_NORM_CTE,
     sql=f"""
 select split, image_id, split || '/' || image_id || '.jpg' as src_key,
-       'Open-Images/' || split || '/' || image_id || '.jpg' as dst_key
+       'images/' || split || '/' || image_id || '.jpg' as dst_key
 from (select regexp_extract(n, '{_PAT}', 1) as split, regexp_extract(n, '{_PAT}', 2) as image_id
       from parsed_in where regexp_matches(n, '{_PAT}')) p
 """,
@@ -128,7 +128,7 @@ def q_object_keys(fx):
     from boxframe.operators.listing import parse_image_list, with_object_keys
 
     p = parse_image_list(fx.image_list, col="line")
-    return with_object_keys(p, "", "Open-Images/").select("split", "image_id", "src_key", "dst_key")
+    return with_object_keys(p, "", "images/").select("split", "image_id", "src_key", "dst_key")
 
 
 @register(
