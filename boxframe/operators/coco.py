@@ -53,7 +53,7 @@ def _greedy(thresholds: list[float]):
                     v = iou.get((d, g))
                     if v is None or v < m:
                         continue
-                    m, best = v, g  # a later box with the same IoU replaces, as in the reference protocol
+                    m, best = v, g  # a later box with the same IoU replaces, as in the COCO evaluation protocol
                 if best is not None:
                     taken.add(best)
                     out_t.append(t)
