@@ -61,7 +61,7 @@ def match_one_to_one(pairs: DataFrame, threshold: float = 0.5, carry: tuple[str,
 
 
 def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold: float = 0.5,
-                     mode: str = "per_image") -> DataFrame:
+                     mode: str = "per_image", single_task_rows: int | None = None) -> DataFrame:
     """Per image ``n_gt, n_pred, tp, fp, fn``.
 
     ``per_image``: tp = truth boxes whose best IoU > threshold.
@@ -91,7 +91,8 @@ def detection_counts(gt: DataFrame, det: DataFrame, pairs: DataFrame, threshold:
         F.sum("_t").cast("bigint").alias("tp"),
     ).where(F.col("n_gt") > 0)  # images with truth are the evaluated images
     if mode == "cumulative":
-        c = prefix_sum(c, ["ImageID"], "tp", "tp")
+        kw = {} if single_task_rows is None else {"single_task_rows": single_task_rows, "num_partitions": 7}
+        c = prefix_sum(c, ["ImageID"], "tp", "tp", **kw)
     return c.select(
         "ImageID", "n_gt", "n_pred", "tp",
         (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_gt") - F.col("tp")).alias("fn"),

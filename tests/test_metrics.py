@@ -135,3 +135,16 @@ def test_weighted_prf_paths_agree(fx):
     joined = M.weighted_prf_matched(gt, det, M.match_one_to_one(M.iou_pairs(gt, det))).first()
     table = M.weighted_prf(M.label_pairs(gt, det, M.match_one_to_one(M.iou_pairs(gt, det)))).first()
     assert tuple(carried) == tuple(joined) == tuple(table)
+
+
+def test_cumulative_counts_distributed_path(fx):
+    gt, det = drop_invalid(fx.scaled), fx.detections
+    pairs = M.iou_pairs(gt, det)
+    a = {r.ImageID: tuple(r) for r in M.detection_counts(gt, det, pairs, mode="cumulative").collect()}
+    b = {r.ImageID: tuple(r) for r in M.detection_counts(gt, det, pairs, mode="cumulative", single_task_rows=0).collect()}
+    assert a == b
+    per = {r.ImageID: r.tp for r in M.detection_counts(gt, det, pairs).collect()}
+    running = 0
+    for img in sorted(per):
+        running += per[img]
+        assert a[img][3] == running
