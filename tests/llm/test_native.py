@@ -1,0 +1,163 @@
+"""Sharding, quality rules and license scan against plain Python."""
+
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from boxframe.llm import licenses, quality, queries, sharding
+
+TEXTS = [
+    None, "", "   \n\t ", "one", "the mit license", "MIT LICENSE and mit license, gnu General  public\nlicense x",
+    "a b c d e f g h " * 3, "x " * 50, "same line\nsame line\n \n\nsame line\nother #*$|<>&%", "é ü ß " * 20 + "cc by cc-by",
+    " ".join(f"w{i}" for i in range(40)) + " " + " ".join(f"w{i}" for i in range(12)), "long " * 30_000,
+    "K mit lİcense mit licensK apache\x00license", "\x1c\x85  word word",
+]
+
+
+def rows(spark, texts=TEXTS):
+    data = [(i, t, "en" if i % 2 else None, "s", 1) for i, t in enumerate(texts)] + [(None, "null id mit license", "en", None, None)] * 2
+    return spark.createDataFrame(data, "doc_id bigint, text string, lang string, slot string, n_words int")
+
+
+def brute_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    wins = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    count = Counter(wins)
+    covered = set()
+    for i, w in enumerate(wins):
+        if count[w] > 1:
+            covered.update(range(i, i + 8))
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def test_measures(spark):
+    docs = rows(spark)
+    got = quality.measure(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        if r[0] is not None:
+            assert tuple(r)[1:] == brute_measures(TEXTS[r[0]]), r[0]
+
+
+def test_measures_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in quality.measure(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect():
+        assert tuple(r)[1:] == brute_measures(texts[r[0]])
+
+
+def test_binomial_tail(spark):
+    cases = [(0, 100), (1, 100), (3, 1000), (40, 5000), (0, 1), (60, 100), (100, 20000)]
+    df = spark.createDataFrame(cases, "k bigint, n bigint").withColumn("p", quality.binomial_tail(F.col("k"), F.col("n"), 0.01))
+    for r in df.collect():
+        want = sum(math.comb(r.n, i) * 0.01**i * 0.99**(r.n - i) for i in range(r.k + 1)) if r.n < 3000 else math.fsum(
+            math.exp(math.lgamma(r.n + 1) - math.lgamma(i + 1) - math.lgamma(r.n - i + 1) + i * math.log(0.01) + (r.n - i) * math.log(0.99))
+            for i in range(r.k + 1))
+        assert r.p == pytest.approx(want if r.k <= r.n * 0.01 else 1.0, rel=1e-6)
+
+
+def test_certified_cutoffs_limit_false_rejection(spark):
+    """Bad texts are full of symbols; good ones have none in one stratum and many in the other."""
+    good = spark.range(8000).select((F.col("id")).alias("doc_id"), F.lit("calm").alias("stratum"), F.lit(True).alias("good"), F.lit(0.0).alias("r_symbols"))
+    bad = spark.range(8000, 12000).select(F.col("id").alias("doc_id"), F.lit("calm").alias("stratum"), F.lit(False).alias("good"), F.lit(0.3).alias("r_symbols"))
+    noisy = spark.range(12000, 12300).select(F.col("id").alias("doc_id"), F.lit("few").alias("stratum"), (F.col("id") % 2 == 0).alias("good"), F.lit(0.2).alias("r_symbols"))
+    labelled = good.union(bad).union(noisy).withColumn("fit", F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+    for r in quality.RULES[1:]:
+        labelled = labelled.withColumn(f"r_{r}", F.lit(0.0))
+    got = {(r.stratum, r.rule): r.cutoff for r in quality.certify(labelled, "stratum").collect()}
+    assert got["calm", "symbols"] == 0.0
+    assert got["few", "symbols"] is None  # too few good documents to certify
+    assert got["calm", "repeats"] is None  # rejects no bad document
+
+
+def test_judge_edge_rows(spark):
+    labels = spark.createDataFrame([(0, 1, 0), (1, None, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    out = quality.judge(rows(spark), labels)
+    assert out.count() == len(TEXTS) + 2
+    assert quality.judge(rows(spark).limit(0), labels.limit(0)).count() == 0
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].base_failed and not got[0].kept and got[11].base_failed
+
+
+def brute_licenses(text):
+    words = re.findall(licenses.LICENSE_WORD, re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    places = []
+    for phrase, label in licenses.PHRASES:
+        p = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i:i + len(p)] == p]
+    starts = [i for i, _ in places]
+    return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})))
+
+
+def test_license_base(spark):
+    got = licenses.scan_licenses(rows(spark)).collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        text = "null id mit license" if r.doc_id is None else TEXTS[r.doc_id]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_licenses(text), r.doc_id
+    assert licenses.scan_licenses(rows(spark).limit(0)).count() == 0
+
+
+def test_license_base_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in queries.op6_license_scan(spark, "/root/testdata/sf0.01").collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_licenses(texts[r.doc_id])
+
+
+def test_license_notices_with_edits(spark):
+    mit = licenses.TEMPLATES[0][1].split()
+    edited = mit[:10] + ["really"] + mit[10:40] + mit[42:]
+    bsd = next(t for x, t in licenses.TEMPLATES if x == "bsd")
+    texts = ["foo " * 30 + " ".join(edited) + " bar" * 30, " ".join(mit[:15]), "Licensed under CC BY-NC 4.0.", bsd.upper(),
+             " ".join(w for m in mit for w in (m, "x"))]
+    got = {r.doc_id: r for r in licenses.scan_licenses(rows(spark, texts)).collect()}
+    assert got[0].labels == "mit" and got[0].n_base == 0 and 0.6 < got[0].score < 1
+    assert got[1].labels == "" and got[2].labels == "cc-by,cc-by-nc" and got[3].labels == "bsd" and got[4].labels == ""
+
+
+def test_fill_table_balanced_and_stable():
+    a = sharding.fill_table([f"s{i}" for i in range(10)], 1009)
+    b = sharding.fill_table([f"s{i}" for i in range(9)], 1009)
+    assert max(Counter(a).values()) - min(Counter(a).values()) <= 1
+    assert sum(x != y for x, y in zip(a, b, strict=True) if x != 9) / 1009 < 0.2
+    assert sharding.fill_table(["a"], 2) == [0, 0]
+    for bad in ([], ["a", "a"]):
+        with pytest.raises(ValueError):
+            sharding.fill_table(bad, 7)
+    with pytest.raises(ValueError):
+        sharding.fill_table(["a"], 8)
+
+
+def test_fill_table_brute_force():
+    """Each slot belongs to the shard whose turn first reached it in its own preference order."""
+    shards, size = ["x", "y", "z"], 13
+    prefs = [[(sharding._number(s, "offset") + j * (sharding._number(s, "skip") % (size - 1) + 1)) % size for j in range(size)] for s in shards]
+    table = {}
+    while len(table) < size:
+        for k in range(3):
+            free = [p for p in prefs[k] if p not in table]
+            if free:
+                table[free[0]] = k
+    assert [table[i] for i in range(size)] == sharding.fill_table(shards, size)
+
+
+def test_place(spark):
+    docs = rows(spark).select("doc_id", "text", "slot")
+    out = sharding.place(docs, ["a", "b", "c"], size=101).collect()
+    assert len(out) == len(TEXTS) + 2 and all(0 <= r.slot < 101 for r in out)
+    table = sharding.fill_table(["a", "b", "c"], 101)
+    assert all(r.shard == "abc"[table[r.slot]] for r in out)
+    assert len({r.shard for r in out if r.doc_id is None}) == 1
+    assert sharding.place(docs.limit(0), ["a"], size=3).count() == 0
+
+
+def test_write_shards(spark, tmp_path):
+    placed = sharding.place(spark.range(500).withColumnRenamed("id", "doc_id"), ["a", "b"], size=11)
+    sharding.write_shards(placed, str(tmp_path / "out"), 2)
+    assert spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().count() == 2
