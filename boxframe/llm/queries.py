@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import licenses, quality, sharding
+from boxframe.llm import bpe, licenses, quality, sharding, simhash
 from boxframe.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
+def vocabulary_path() -> str:
+    """The public tokenizer file of the BPE queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "kept", F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary_path(),
+                                columns=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -37,6 +54,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_simhash": op4_simhash,
+    "op5_bpe": op5_bpe,
     "op6_license_scan": op6_license_scan,
     "op8_sharding": op8_sharding,
 }
