@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 from itertools import groupby
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -189,7 +190,7 @@ class Bpe:
         return " ".join(self.token[i] for i in ids if i in self.token)
 
 
-_BPE: dict[int, Bpe] = {}
+_BPE: dict[str, Bpe] = {}
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -202,7 +203,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(load(path))
-    mark = shared.id if hasattr(shared, "id") else hash(path)
+    mark = uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _BPE.get(mark)

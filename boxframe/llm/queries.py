@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import bpe, licenses, quality, sharding, simhash
-from boxframe.llm.common import read_table
+from boxframe.llm import bpe, licenses, quality, sharding, simhash, toxicity
+from boxframe.llm.common import held_out, read_table
 
+#: Texts that score this much are toxic.
+TOXIC = 0.3
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: 64 shards for the placement query.
@@ -27,6 +29,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= TOXIC, 1).otherwise(0).alias("predicted"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -53,6 +62,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
