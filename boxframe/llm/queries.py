@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import bpe, licenses, quality, sharding, simhash, toxicity
+from boxframe.llm import bpe, licenses, line_dedup, quality, sharding, simhash, toxicity
 from boxframe.llm.common import held_out, read_table
 
 #: Texts that score this much are toxic.
@@ -61,6 +61,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, SHARDS).select("doc_id", "slot", "shard")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_lines(docs).select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed", "text")
+
+
 QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op5_bpe": op5_bpe,
     "op6_license_scan": op6_license_scan,
     "op8_sharding": op8_sharding,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 SQL: dict[str, str] = {}

@@ -52,7 +52,6 @@ GROUPS = (
 WORDS = re.compile(r"[^\W\d_]+")
 BREAKS = re.compile(r"[.!?\n]+")
 SEGMENT = 40
-BUCKETS = 1 << 18
 CACHE = 300_000
 
 
@@ -68,20 +67,20 @@ class Fit:
     swap: float = 0.5  # weight of the counterfactual penalty
     swaps: int = 3  # swapped copies per group term
     support: int = 5  # texts that must hold a bucket
-    clear: float = 5.0  # pooled standard errors between the classes' rates of a bucket
+    clear: float = 3.0  # pooled standard errors between the classes' rates of a bucket
     least: float = 0.01  # smaller weights become zero
 
 
 @dataclass(frozen=True)
 class Model:
-    weights: np.ndarray
+    weights: dict[int, float]  # of buckets; others weigh nothing
     bias: float
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a lower-cased word: the word, its letters' beginnings of 4 to 6."""
+    """Buckets (32-bit hashes) of a lower-cased word: the word, its letters' beginnings of 4 to 6."""
     names = [f"w:{word}", *[f"{k}:{word[:k]}" for k in (4, 5, 6) if len(word) >= k]]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in names]
 
 
 def segments(text: str) -> list[list[str]]:
@@ -110,7 +109,7 @@ def fit(texts: list[str], labels: list[int], weights: list[float], how: Fit = Fi
     y, share = np.array(labels, float), np.array(weights, float)
     if not len(y) or y.min() == y.max():
         rate = float(np.clip(y.mean() if len(y) else 0.0, 0.01, 0.99))
-        return Model(np.zeros(BUCKETS), float(np.log(rate / (1 - rate))))
+        return Model({}, float(np.log(rate / (1 - rate))))
     share /= share.sum()
     known: dict[str, list[int]] = {}
     flat, seg_end, doc_end, plus, minus = [], [], [], [], []
@@ -127,7 +126,7 @@ def fit(texts: list[str], labels: list[int], weights: list[float], how: Fit = Fi
     for text in texts:
         for words in segments(text) or [[]]:
             own = buckets(words)
-            flat.append(np.array(own, np.int32))
+            flat.append(np.array(own, np.int64))
             n_flat += len(own)
             seg_end.append(n_flat)
             for other in swapped(words, how.swaps):
@@ -136,49 +135,60 @@ def fit(texts: list[str], labels: list[int], weights: list[float], how: Fit = Fi
         doc_end.append(len(seg_end))
     index = np.concatenate(flat)
     seg_end, doc_end = np.array(seg_end), np.array(doc_end)
+    doc_of = np.repeat(np.arange(len(y)), np.diff(np.concatenate(([0], doc_end))))
+    usable, first = select(index, np.repeat(doc_of, np.diff(np.concatenate(([0], seg_end)))), y, how)
+    # From here on a bucket is its place among the usable ones.
+    at, held = place(index, usable)
+    seg_end = np.concatenate(([0], np.cumsum(held)))[seg_end]
+    index = at[held]
+    swaps = [(a[ka], c[kc]) for (a, ka), (c, kc) in ((place(x, usable), place(z, usable)) for x, z in zip(plus, minus, strict=True))]
     seg_start, doc_start = np.concatenate(([0], seg_end[:-1])), np.concatenate(([0], doc_end[:-1]))
-    doc_of = np.repeat(np.arange(len(y)), doc_end - doc_start)
-    w, b, gw, gb = np.zeros(BUCKETS), -2.0, np.full(BUCKETS, 1e-8), 1e-8
-    # First weights: smoothed log odds of the buckets' presence by class, so the first choice of segments is informed.
-    rows = np.unique(np.repeat(doc_of, seg_end - seg_start).astype(np.int64) * BUCKETS + index)
-    n1 = np.bincount(rows[y[rows // BUCKETS] > 0] % BUCKETS, minlength=BUCKETS) / max(1, (y > 0).sum())
-    n0 = np.bincount(rows[y[rows // BUCKETS] == 0] % BUCKETS, minlength=BUCKETS) / max(1, (y == 0).sum())
-    strong = (n1 > 5 * n0) & (n1 * (y > 0).sum() >= how.support)
-    w[strong] = 0.5 * np.log((n1[strong] + 1e-3) / (n0[strong] + 1e-3))
-    # Buckets of few texts or of no clear class would only be learned by heart.
-    at = n1 * (y > 0).sum() + n0 * (y == 0).sum() >= how.support
-    toxic_n, clean_n = max(1, (y > 0).sum()), max(1, (y == 0).sum())
-    pooled = (n1 * toxic_n + n0 * clean_n) / (toxic_n + clean_n)
-    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / toxic_n + 1 / clean_n))
-    usable = at & (np.abs(n1 - n0) > how.clear * error)
-    w[~usable] = 0.0
-    del rows
-    for step in range(how.steps):
+    w, b, gw, gb = first, -2.0, np.full(len(first), 1e-8), 1e-8
+    for _ in range(how.steps):
         sums = np.concatenate(([0.0], np.cumsum(w[index])))
         logits = sums[seg_end] - sums[seg_start]
         top = np.maximum.reduceat(logits, doc_start)
         # The most toxic segment of every text (the first of equals).
-        at = np.flatnonzero(logits == top[doc_of])
-        pick = at[np.unique(doc_of[at], return_index=True)[1]]
-        p = 1 / (1 + np.exp(-np.clip(logits[pick] + b, -30, 30)))
-        err = (p - y) * share
+        best = np.flatnonzero(logits == top[doc_of])
+        pick = best[np.unique(doc_of[best], return_index=True)[1]]
+        err = (1 / (1 + np.exp(-np.clip(logits[pick] + b, -30, 30))) - y) * share
         grad = how.l2 * w
-        for i in np.flatnonzero(np.abs(err) > 1e-9):
+        for i in range(len(pick)):
             np.add.at(grad, index[seg_start[pick[i]] : seg_end[pick[i]]], err[i])
-        if plus:
-            scale = 2 * how.swap / len(plus)
-            for a, c in zip(plus, minus, strict=True):
-                change = w[a].sum() - w[c].sum()
-                np.add.at(grad, a, scale * change)
-                np.add.at(grad, c, -scale * change)
-        grad[~usable] = 0.0
+        for a, c in swaps:
+            change = 2 * how.swap / len(swaps) * (w[a].sum() - w[c].sum())
+            np.add.at(grad, a, change)
+            np.add.at(grad, c, -change)
         gw += grad**2
         w -= how.rate * grad / np.sqrt(gw)
         g = err.sum()
         gb += g**2
         b -= how.rate * g / np.sqrt(gb)
-    w[np.abs(w) < how.least] = 0.0
-    return Model(w, float(b))
+    return Model({int(k): float(v) for k, v in zip(usable, w, strict=True) if abs(v) >= how.least}, float(b))
+
+
+def place(buckets: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each bucket in the sorted ``usable``, and whether it is in it."""
+    at = np.searchsorted(usable, buckets)
+    at[at == len(usable)] = 0
+    return at, usable[at] == buckets if len(usable) else np.zeros(len(buckets), bool)
+
+
+def select(index: np.ndarray, doc: np.ndarray, y: np.ndarray, how: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets whose presence differs clearly between the classes, and their first weights (damped log odds).
+
+    Buckets of few texts or of no clear class would only be learned by heart.
+    """
+    rows = np.unique(doc.astype(np.int64) << 32 | index)
+    buckets, where = np.unique(rows & 0xFFFFFFFF, return_inverse=True)
+    toxic = np.bincount(where[y[rows >> 32] > 0], minlength=len(buckets))
+    clean = np.bincount(where[y[rows >> 32] == 0], minlength=len(buckets))
+    n1, n0 = (y > 0).sum(), (y == 0).sum()
+    pooled = (toxic + clean) / (n1 + n0)
+    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / n1 + 1 / n0))
+    usable = (toxic + clean >= how.support) & (np.abs(toxic / n1 - clean / n0) > how.clear * error)
+    odds = np.log((toxic / n1 + 1e-3) / (clean / n0 + 1e-3))
+    return buckets[usable], np.where(odds > 0, 0.5 * odds, 0.0)[usable]
 
 
 def sample(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> tuple[list[str], list[int], list[float]]:
@@ -215,7 +225,7 @@ class Scorer:
             if v is None:
                 if len(value) >= CACHE:
                     value.clear()
-                v = value[x] = float(self.w[features(x)].sum())
+                v = value[x] = sum([self.w.get(k, 0.0) for k in features(x)])
             total += v
         return total
 
@@ -239,18 +249,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     NULL and empty texts get the bias' score and an empty ``worst``; repeated
     rows get equal scores.
     """
-    at = np.flatnonzero(model.weights)
-    shared = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), model.weights[at], model.bias))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most as large as the bounded sample
     columns, mark = [id_col, *keep], uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _SCORERS.get(mark)
         if scorer is None:
-            where, values, bias = shared.value
-            w = np.zeros(BUCKETS)
-            w[where] = values
             _SCORERS.clear()
-            scorer = _SCORERS[mark] = Scorer(Model(w, bias))
+            scorer = _SCORERS[mark] = Scorer(shared.value)
         for batch in slices(batches, "__text"):
             got = [scorer.score(x) for x in batch.column(len(columns)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
