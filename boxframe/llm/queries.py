@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import bpe, licenses, line_dedup, quality, sharding, simhash, toxicity
+from boxframe.llm import bpe, decontaminate, licenses, line_dedup, quality, sharding, simhash, toxicity
 from boxframe.llm.common import held_out, read_table
 
 #: Texts that score this much are toxic.
@@ -56,6 +56,14 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select(
+        "doc_id", F.col("hit.item").alias("item_id"), F.col("hit.first").alias("first_word"),
+        F.col("hit.last").alias("last_word"), F.col("hit.distance").alias("distance"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, SHARDS).select("doc_id", "slot", "shard")
@@ -72,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op6_license_scan": op6_license_scan,
+    "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_line_dedup": op9_line_dedup,
 }
