@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from boxframe.llm.common import map_arrow, slices
 
-CACHE = 300_000
+CACHE = 500_000
 COLUMNS = {
     "n_tokens": "bigint", "ids": "array<int>", "tokens": "array<string>", "decoded": "string",
     "ids_sha256": "string", "decoded_sha256": "string",
@@ -106,8 +106,12 @@ class Bpe:
         self.token = {i: t for t, i in (v.ids | v.special).items()}
         self.special = v.special
         self.split = re.compile("(" + "|".join(re.escape(s) for s in sorted(v.special, key=len, reverse=True)) + ")") if v.special else None
+        self.name = {i: str(i) for i in self.token}
+        self.complete = min(self.inner) >= 0 and min(self.last) >= 0
+        # Two generations, so that frequent words outlive a full cache.
         self.cache: dict[str, tuple[list[int], str, str]] = {}
-        self.limit = cache
+        self.old: dict[str, tuple[list[int], str, str]] = {}
+        self.limit = cache // 2
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge pairs, lowest rank first and leftmost among equals, until none is left."""
@@ -127,60 +131,87 @@ class Bpe:
         for i in range(size - 1, 0, -1):
             a, b = tree[2 * i], tree[2 * i + 1]
             tree[i] = a if a < b else b
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while tree[1] < none:
-            r, at = divmod(tree[1], n)
+        after, before, merged, get = list(range(1, n + 1)), list(range(-1, n - 1)), self.merged, rank.get
+        low = tree[1]
+        while low < none:
+            r, at = divmod(low, n)
             gone = after[at]
             right = after[at] = after[gone]
-            ids[at] = self.merged[r]
+            new = ids[at] = merged[r]
             ids[gone] = -1
+            value = none
             if right < n:
                 before[right] = at
-                r2 = rank.get(ids[at] << shift | ids[right])
-                changed = [(gone, none), (at, none if r2 is None else r2 * n + at)]
-            else:
-                changed = [(gone, none), (at, none)]
+                r = get(new << shift | ids[right])
+                if r is not None:
+                    value = r * n + at
+            i = size + at
+            tree[i] = value
+            j = size + gone
+            if j < 2 * size:  # the last symbol starts no pair
+                tree[j] = none
+                if j != i ^ 1:
+                    while j > 1:
+                        j >>= 1
+                        a, b = tree[2 * j], tree[2 * j + 1]
+                        low = a if a < b else b
+                        if tree[j] == low:
+                            break
+                        tree[j] = low
             left = before[at]
             if left >= 0:
-                r2 = rank.get(ids[left] << shift | ids[at])
-                changed.append((left, none if r2 is None else r2 * n + left))
-            for leaf, value in changed:
-                if leaf >= size:  # the last symbol starts no pair
-                    continue
-                i = size + leaf
-                tree[i] = value
-                while i > 1:
-                    i >>= 1
-                    a, b = tree[2 * i], tree[2 * i + 1]
-                    low = a if a < b else b
-                    if tree[i] == low:
-                        break
-                    tree[i] = low
+                r = get(ids[left] << shift | new)
+                j = size + left
+                tree[j] = none if r is None else r * n + left
+                if j != i ^ 1:
+                    while j > 1:
+                        j >>= 1
+                        a, b = tree[2 * j], tree[2 * j + 1]
+                        low = a if a < b else b
+                        if tree[j] == low:
+                            break
+                        tree[j] = low
+            while i > 1:
+                i >>= 1
+                a, b = tree[2 * i], tree[2 * i + 1]
+                low = a if a < b else b
+                if tree[i] == low:
+                    break
+                tree[i] = low
+            low = tree[1]
         return [i for i in ids if i >= 0]
 
     def word(self, word: str) -> tuple[list[int], str, str]:
         """Ids, ids as text and tokens as text of one pre-token."""
-        raw = word.encode("utf-8", "surrogatepass")
-        ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
-        ids = self.merge([i for i in ids if i >= 0])
-        out = ids, " ".join(map(str, ids)), " ".join(self.token[i] for i in ids)
+        out = self.old.get(word)
+        if out is None:
+            out = self.encode_word(word)
         if len(word) < 64:
             if len(self.cache) >= self.limit:
-                self.cache.clear()
+                self.cache, self.old = {}, self.cache
             self.cache[word] = out
         return out
 
-    def pieces(self, text: str) -> Iterator[tuple[list[int], str, str]]:
+    def encode_word(self, word: str) -> tuple[list[int], str, str]:
+        raw = word.encode("utf-8", "surrogatepass")
+        ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
+        ids = self.merge([i for i in ids if i >= 0])
+        return ids, " ".join([self.name[i] for i in ids]), " ".join([self.token[i] for i in ids])
+
+    def pieces(self, text: str) -> list[tuple[list[int], str, str]]:
+        """What ``word`` returns for every pre-token of a whole text; pre-tokens without any known letter are left out."""
+        out: list[tuple[list[int], str, str]] = []
+        find = pre_token().findall
         for part in self.split.split(text) if self.split and "<" in text else (text,):
             if part in self.special:
-                yield [self.special[part]], str(self.special[part]), part
+                out.append(([self.special[part]], str(self.special[part]), part))
                 continue
             if not unicodedata.is_normalized("NFC", part):
                 part = unicodedata.normalize("NFC", part)
             # Letter by letter: str.lower alone would write a final sigma by its context.
-            get, word, find = self.cache.get, self.word, pre_token().findall
-            for w in find(part.replace("Σ", "σ").lower()):
-                yield get(w) or word(w)
+            get, word = self.cache.get, self.word
+            out += [get(w) or word(w) for w in find(part.replace("Σ", "σ").lower())]
+        return out if self.complete else [x for x in out if x[0]]
 
     def encode(self, text: str) -> list[int]:
         return [i for ids, _, _ in self.pieces(text) for i in ids]
@@ -213,11 +244,12 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         for batch in slices(batches, "__text"):
             out: dict[str, list] = {c: [] for c in columns}
             for text in batch.column(1).to_pylist():
-                got = list(bpe.pieces(text)) if text else []
-                decoded = " ".join([x[2] for x in got if x[0]])
+                got = bpe.pieces(text) if text else []
+                decoded = " ".join([x[2] for x in got])
+                names = " ".join([x[1] for x in got])
                 for c in columns:
                     if c == "n_tokens":
-                        out[c].append(sum([len(x[0]) for x in got]))
+                        out[c].append(names.count(" ") + bool(names))
                     elif c == "ids":
                         out[c].append([i for x in got for i in x[0]])
                     elif c == "tokens":
@@ -225,7 +257,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                     elif c == "decoded":
                         out[c].append(decoded)
                     elif c == "ids_sha256":
-                        out[c].append(hashlib.sha256(" ".join([x[1] for x in got if x[0]]).encode()).hexdigest())
+                        out[c].append(hashlib.sha256(names.encode()).hexdigest())
                     else:
                         out[c].append(hashlib.sha256(decoded.encode()).hexdigest())
             kinds = {"bigint": pa.int64(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()), "string": pa.string()}

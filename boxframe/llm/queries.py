@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import bpe, decontaminate, licenses, line_dedup, quality, sharding, simhash, toxicity
+from boxframe.llm import bpe, decontaminate, langid, licenses, line_dedup, quality, sharding, simhash, toxicity
 from boxframe.llm.common import held_out, read_table
 
 #: Texts that score this much are toxic.
@@ -29,6 +29,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
@@ -75,6 +81,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_langid": op1_langid,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
