@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import bpe, decontaminate, langid, licenses, line_dedup, quality, sharding, simhash, toxicity
+from boxframe.llm import bpe, decontaminate, html_extract, langid, licenses, line_dedup, quality, sharding, simhash, toxicity
 from boxframe.llm.common import held_out, read_table
 
 #: Texts that score this much are toxic.
@@ -80,6 +80,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs).select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed", "text")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
     "op2_toxicity": op2_toxicity,
@@ -90,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_line_dedup": op9_line_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 SQL: dict[str, str] = {}
