@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp
@@ -111,37 +112,29 @@ def fit(texts: list[str], labels: list[int], weights: list[float], how: Fit = Fi
         rate = float(np.clip(y.mean() if len(y) else 0.0, 0.01, 0.99))
         return Model({}, float(np.log(rate / (1 - rate))))
     share /= share.sum()
+    usable, first = select(texts, y, how)
+    number = {k: i for i, k in enumerate(usable)}
     known: dict[str, list[int]] = {}
-    flat, seg_end, doc_end, plus, minus = [], [], [], [], []
-    n_flat = 0
 
     def buckets(words: list[str]) -> list[int]:
+        """Places of the usable buckets of a segment's distinct words."""
         out = []
         for w in dict.fromkeys(words):
             if w not in known:
-                known[w] = features(w)
+                known[w] = [number[k] for k in features(w) if k in number]
             out += known[w]
         return out
 
+    flat, seg_end, doc_end, swaps = [], [], [], []
     for text in texts:
         for words in segments(text) or [[]]:
             own = buckets(words)
-            flat.append(np.array(own, np.int64))
-            n_flat += len(own)
-            seg_end.append(n_flat)
-            for other in swapped(words, how.swaps):
-                plus.append(np.array(buckets(other), np.int64))
-                minus.append(np.array(own, np.int64))
+            flat += own
+            seg_end.append(len(flat))
+            swaps += [(np.array(buckets(other), np.int64), np.array(own, np.int64)) for other in swapped(words, how.swaps)]
         doc_end.append(len(seg_end))
-    index = np.concatenate(flat)
-    seg_end, doc_end = np.array(seg_end), np.array(doc_end)
+    index, seg_end, doc_end = np.array(flat, np.int64), np.array(seg_end), np.array(doc_end)
     doc_of = np.repeat(np.arange(len(y)), np.diff(np.concatenate(([0], doc_end))))
-    usable, first = select(index, np.repeat(doc_of, np.diff(np.concatenate(([0], seg_end)))), y, how)
-    # From here on a bucket is its place among the usable ones.
-    at, held = place(index, usable)
-    seg_end = np.concatenate(([0], np.cumsum(held)))[seg_end]
-    index = at[held]
-    swaps = [(a[ka], c[kc]) for (a, ka), (c, kc) in ((place(x, usable), place(z, usable)) for x, z in zip(plus, minus, strict=True))]
     seg_start, doc_start = np.concatenate(([0], seg_end[:-1])), np.concatenate(([0], doc_end[:-1]))
     w, b, gw, gb = first, -2.0, np.full(len(first), 1e-8), 1e-8
     for _ in range(how.steps):
@@ -167,28 +160,28 @@ def fit(texts: list[str], labels: list[int], weights: list[float], how: Fit = Fi
     return Model({int(k): float(v) for k, v in zip(usable, w, strict=True) if abs(v) >= how.least}, float(b))
 
 
-def place(buckets: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each bucket in the sorted ``usable``, and whether it is in it."""
-    at = np.searchsorted(usable, buckets)
-    at[at == len(usable)] = 0
-    return at, usable[at] == buckets if len(usable) else np.zeros(len(buckets), bool)
-
-
-def select(index: np.ndarray, doc: np.ndarray, y: np.ndarray, how: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets whose presence differs clearly between the classes, and their first weights (damped log odds).
+def select(texts: list[str], y: np.ndarray, how: Fit) -> tuple[list[int], np.ndarray]:
+    """Buckets that are clearly more frequent in toxic texts, and their first weights (damped log odds).
 
     Buckets of few texts or of no clear class would only be learned by heart.
     """
-    rows = np.unique(doc.astype(np.int64) << 32 | index)
-    buckets, where = np.unique(rows & 0xFFFFFFFF, return_inverse=True)
-    toxic = np.bincount(where[y[rows >> 32] > 0], minlength=len(buckets))
-    clean = np.bincount(where[y[rows >> 32] == 0], minlength=len(buckets))
+    toxic: Counter = Counter()
+    for text, label in zip(texts, y, strict=True):
+        if label:
+            toxic.update({k for w in set(WORDS.findall(text.lower())) for k in features(w)})
+    toxic = Counter({k: n for k, n in toxic.items() if n >= 2})
+    clean: Counter = Counter()
+    for text, label in zip(texts, y, strict=True):
+        if not label:
+            clean.update({k for w in set(WORDS.findall(text.lower())) for k in features(w) if k in toxic})
+    buckets = sorted(k for k, n in toxic.items() if n + clean[k] >= how.support)
+    a, c = np.array([toxic[k] for k in buckets], float), np.array([clean[k] for k in buckets], float)
     n1, n0 = (y > 0).sum(), (y == 0).sum()
-    pooled = (toxic + clean) / (n1 + n0)
+    pooled = (a + c) / (n1 + n0)
     error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / n1 + 1 / n0))
-    usable = (toxic + clean >= how.support) & (np.abs(toxic / n1 - clean / n0) > how.clear * error)
-    odds = np.log((toxic / n1 + 1e-3) / (clean / n0 + 1e-3))
-    return buckets[usable], np.where(odds > 0, 0.5 * odds, 0.0)[usable]
+    usable = a / n1 - c / n0 > how.clear * error
+    odds = np.log((a / n1 + 1e-3) / (c / n0 + 1e-3))
+    return [k for k, u in zip(buckets, usable, strict=True) if u], np.maximum(0.5 * odds, 0.0)[usable]
 
 
 def sample(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> tuple[list[str], list[int], list[float]]:
@@ -274,8 +267,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` (all columns) with a score under ``threshold``; texts are scored in the same pass."""
-    others = tuple(c for c in docs.columns if c not in ("text",))
-    if {"score", "worst"} & set(docs.columns):
-        raise ValueError("columns score and worst would clash; rename them first")
-    scored = score(docs, model, others[0], "text", (*others[1:], "text"))
-    return scored.filter(F.col("score") < threshold).select(*docs.columns)
+    inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])  # own names: none can clash
+    first, *others = inner.columns
+    scored = score(inner, model, first, f"c{docs.columns.index('text')}", tuple(others))
+    return scored.filter(F.col("score") < threshold).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

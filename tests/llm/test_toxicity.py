@@ -79,5 +79,7 @@ def test_edge_rows(spark):
     kept = toxicity.keep_clean(docs, model)
     assert kept.columns == docs.columns and kept.filter("doc_id in (200, 201, 202)").count() == 3
     assert kept.filter("doc_id = 203 or doc_id is null").count() == 0
+    clash = docs.withColumnRenamed("toxic", "score").withColumnRenamed("lang", "worst")
+    assert toxicity.keep_clean(clash, model).columns == clash.columns and toxicity.keep_clean(clash, model).count() == kept.count()
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert toxicity.train(docs.limit(0), labels.limit(0)).bias < 0
