@@ -115,14 +115,14 @@ def assemble_batches(plan: DataFrame, item_cols: list[str], group_cols: list[str
 
 
 def rows_page(df: DataFrame, order_cols: list[str], start: int, size: int) -> DataFrame:
-    """Rows ``[start, start + size)`` of an ordered frame: first ``start+size`` minus first ``start``.
+    """Distinct rows among the first ``start + size`` of an ordered frame that are not among the first ``start``.
 
-    ``subtract`` is EXCEPT DISTINCT over whole rows (nested columns included).
+    Every page is EXCEPT DISTINCT over whole rows (nested columns included), the first one too.
     """
     ordered = df.orderBy(*order_cols)
     upto = ordered.limit(start + size)
     if start == 0:
-        return upto
+        return upto.distinct()
     return upto.subtract(ordered.limit(start))
 
 

@@ -156,14 +156,14 @@ def group_annotations(
 
 
 def _largest_image(df: DataFrame, key: str) -> int:
-    from boxframe.operators.stats import largest_group
-
-    return largest_group(df, [key])
+    """Counted anew each time: the result depends on it, and the files behind a plan can change."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
 
 
 def explode_annotations(df: DataFrame, col: str = "annotations", key: str = "ImageID") -> DataFrame:
-    """Grouped form back to long form with the array position ``pos``."""
-    return df.select(key, F.posexplode(col).alias("pos", "_a")).select(key, "pos", "_a.*")
+    """Grouped form back to long form with the array position ``pos`` (and ``chunk``, if the rows have one)."""
+    keep = [key, *(["chunk"] if "chunk" in df.columns else [])]
+    return df.select(*keep, F.posexplode(col).alias("pos", "_a")).select(*keep, "pos", "_a.*")
 
 
 def to_processed(scaled: DataFrame, resized_dir: str, key: str = "ImageID", order_by: str | None = None, ext: str = ".jpg") -> DataFrame:

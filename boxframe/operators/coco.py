@@ -1,29 +1,35 @@
 """COCO-style matching for AP: per image and class, detections in score order
-greedily take the best still-free truth box with IoU >= threshold; at most
-``max_dets`` detections per image and class take part (part of the protocol).
+greedily take the best still-free truth box with IoU >= threshold.
 
-The greedy step is sequential inside one (image, class) group, so it runs in
-``applyInPandas``; the group holds at most ``max_dets`` detections and the
-truth boxes they overlap. Selecting those detections is a two-stage top-k
-(salted, then per group), so an image with a huge number of detections is
-never ranked in a single task.
+The greedy step is sequential only where detections compete for a truth box.
+It is played in rounds over the table of all (threshold, detection, truth)
+pairs: in a round, a detection whose best free truth box has no better-scored
+undecided suitor takes it, exactly as it would in score order. Every round
+decides at least the best-scored detection of each group of competitors, and
+the pairs of decided detections and taken boxes leave the table. Rounds are
+aggregations and joins, so no image or class has to fit into one task; each is
+written, so a lost executor costs one round.
+
+``max_dets`` keeps the best-scored detections of each image and class, as the
+public protocol does with 100; the default keeps all. Selecting them is a
+two-stage top-k, so an image with a huge number of detections is never ranked
+in a single task.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxframe.operators.pairs import overlap_pairs
-from boxframe.session import ship_package
+from boxframe.session import cut_lineage
 
-MAX_DETS = 100
 SALT = 64
 
 
-def top_detections(det: DataFrame, k: int = MAX_DETS, by: tuple[str, ...] = ("ImageID", "LabelName"),
-                   salt: int = SALT) -> DataFrame:
+def top_detections(det: DataFrame, k: int, by: tuple[str, ...] = ("ImageID", "LabelName"), salt: int = SALT) -> DataFrame:
     """The ``k`` highest-scoring detections (ties: det_id) of every ``by`` group.
 
     Stage one keeps the top ``k`` of each (group, salt) slice, stage two the
@@ -36,55 +42,32 @@ def top_detections(det: DataFrame, k: int = MAX_DETS, by: tuple[str, ...] = ("Im
     return s.drop("_salt", "_r")
 
 
-def _greedy(thresholds: list[float]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one (image, class): det_id, score, box_id, iou
-        dets = pdf[["det_id", "score"]].drop_duplicates("det_id").sort_values(["score", "det_id"], ascending=[False, True])
-        gts = sorted(pdf["box_id"].unique())
-        iou = {(d, g): v for d, g, v in zip(pdf["det_id"], pdf["box_id"], pdf["iou"])}
-        out_t, out_d = [], []
-        for t in thresholds:
-            taken = set()
-            for d in dets["det_id"]:
-                best, m = None, min(t, 1 - 1e-10)
-                for g in gts:
-                    if g in taken:
-                        continue
-                    v = iou.get((d, g))
-                    if v is None or v < m:
-                        continue
-                    m, best = v, g  # a later box with the same IoU replaces, as in the COCO evaluation protocol
-                if best is not None:
-                    taken.add(best)
-                    out_t.append(t)
-                    out_d.append(int(d))
-        return pd.DataFrame({"iou_thr": pd.Series(out_t, dtype="float64"), "det_id": pd.Series(out_d, dtype="int64")})
-
-    return run
-
-
-def coco_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], max_dets: int = MAX_DETS,
+def coco_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], max_dets: int | None = None,
                  cell="auto") -> tuple[DataFrame, DataFrame]:
-    """``(winners, kept)``: true positives ``iou_thr, det_id`` and the detections taking part."""
-    kept = top_detections(det, max_dets)
-    pairs = overlap_pairs(gt, kept, same="LabelName", det_cols=("score",), gt_cols=("LabelName",), cell=cell)
-    pairs = pairs.where(F.col("iou") >= min(thresholds))
-    # A pair whose detection overlaps no other truth box and whose truth box no
-    # other detection is its own component: greedy order cannot change it, so
-    # it is decided here (matched at t iff IoU >= t). Only the remaining
-    # (image, class) groups, where detections compete, go through Python.
-    deg_d = pairs.groupBy("det_id").agg(F.count(F.lit(1)).alias("_dd"))
-    deg_g = pairs.groupBy("box_id").agg(F.count(F.lit(1)).alias("_dg"))
-    p = pairs.join(deg_d, "det_id").join(deg_g, "box_id")
-    alone = (F.col("_dd") == 1) & (F.col("_dg") == 1)
+    """``(winners, kept)``: true positives ``iou_thr, ImageID, det_id`` and the detections taking part.
+
+    Ties: equal scores go by det_id (the smaller first), equal IoUs to the
+    larger box_id, as a later box replaces an earlier one in the protocol.
+    """
+    kept = det if max_dets is None else top_detections(det, max_dets)
+    pairs = overlap_pairs(gt, kept, same="LabelName", det_cols=("score",), cell=cell)
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
-    simple = p.where(alone).select("det_id", "iou", F.explode(thr).alias("iou_thr")).where(
-        F.col("iou") >= F.least(F.col("iou_thr"), F.lit(1 - 1e-10))
-    ).select("iou_thr", "det_id")
-    contested = p.join(p.where(~alone).select("ImageID", "LabelName").distinct(), ["ImageID", "LabelName"], "left_semi")
-    ship_package(det.sparkSession)
-    greedy = contested.select("ImageID", "LabelName", "det_id", "score", "box_id", "iou").groupBy("ImageID", "LabelName").applyInPandas(
-        _greedy(list(thresholds)), schema="iou_thr double, det_id long"
+    left = cut_lineage(
+        pairs.where(F.col("iou") >= min(min(thresholds), 1 - 1e-10)).select(
+            "ImageID", "det_id", "box_id", "score", "iou", F.explode(thr).alias("iou_thr")
+        ).where(F.col("iou") >= F.least("iou_thr", F.lit(1 - 1e-10))),
+        "coco-pairs",
     )
-    # a contested group's isolated pairs are decided in both branches; keep one copy
-    return simple.unionByName(greedy).distinct(), kept
+    by_det, by_box = ["iou_thr", "ImageID", "det_id"], ["iou_thr", "ImageID", "box_id"]
+    rounds: list[DataFrame] = []
+    while left.limit(1).count():
+        best = left.groupBy(*by_det).agg(F.max(F.struct("iou", "box_id")).alias("m")).select(*by_det, F.col("m.box_id").alias("box_id"))
+        first = left.groupBy(*by_box).agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("m")).select(
+            *by_box, (-F.col("m.nd")).alias("det_id"))
+        won = cut_lineage(best.join(first, [*by_det, "box_id"]), "coco-round")
+        rounds.append(won)
+        left = cut_lineage(
+            left.join(won.select(*by_det), by_det, "left_anti").join(won.select(*by_box), by_box, "left_anti"), "coco-pairs")
+    if not rounds:
+        return left.select(*by_det), kept
+    return reduce(DataFrame.unionByName, rounds).select(*by_det), kept

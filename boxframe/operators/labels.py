@@ -59,8 +59,6 @@ def training_targets(
 
     Boxes and labels are filtered together, so they stay aligned.
     """
-    from boxframe.operators.stats import largest_group
-
     enc = encode_labels(valid, vocab)
     g = group_annotations(
         enc.select(key, order_by, "xmin", "ymin", "xmax", "ymax", "label"),
@@ -69,8 +67,6 @@ def training_targets(
         key=key,
         out="_t",
         max_per_row=max_per_row,
-        # same per-image counts as the valid boxes, whose plan is stable (memoised)
-        largest=largest_group(valid, [key]) if max_per_row is not None else None,
     )
     keep = [c for c in g.columns if c != "_t"]
     boxes = F.transform("_t", lambda s: F.array(*[s[c].cast("float") for c in ("xmin", "ymin", "xmax", "ymax")]))

@@ -129,13 +129,14 @@ def macro_summary(best: DataFrame, prf: DataFrame) -> DataFrame:
 def label_pairs(gt: DataFrame, det: DataFrame, matches: DataFrame) -> DataFrame:
     """``(y_true, y_pred)`` per matched pair; unmatched truth pairs with ``__none__``,
     unmatched predictions the other way round."""
-    t = gt.select("box_id", F.col("LabelName").alias("y_true")).join(matches.select("box_id", "det_id"), "box_id", "left")
-    dl = det.select("det_id", F.col("LabelName").alias("y_pred"))
-    truth_side = t.join(dl, "det_id", "left").select("y_true", F.coalesce("y_pred", F.lit(NONE_LABEL)).alias("y_pred"))
-    unmatched = dl.join(matches.select("det_id"), "det_id", "left_anti").select(
-        F.lit(NONE_LABEL).alias("y_true"), "y_pred"
-    )
-    return truth_side.unionByName(unmatched)
+    m = matches.select("ImageID", "box_id", "det_id")
+    t = gt.select("ImageID", "box_id", F.col("LabelName").alias("y_true"))
+    dl = det.select("ImageID", "det_id", F.col("LabelName").alias("y_pred"))
+    # unmatched rows never enter the pair join, so no NULL key gathers them
+    matched = m.join(t, ["ImageID", "box_id"]).join(dl, ["ImageID", "det_id"]).select("y_true", "y_pred")
+    truth_left = t.join(m, ["ImageID", "box_id"], "left_anti").select("y_true", F.lit(NONE_LABEL).alias("y_pred"))
+    pred_left = dl.join(m, ["ImageID", "det_id"], "left_anti").select(F.lit(NONE_LABEL).alias("y_true"), "y_pred")
+    return matched.unionByName(truth_left).unionByName(pred_left)
 
 
 def weighted_prf(pairs_labels: DataFrame) -> DataFrame:
@@ -160,10 +161,10 @@ def weighted_prf_matched(gt: DataFrame, det: DataFrame, matches: DataFrame) -> D
     if {"y_true", "y_pred"} <= set(matches.columns):
         hits = matches.where(F.col("y_true") == F.col("y_pred")).select(F.col("y_true").alias("c"))
     else:
-        g = gt.select("box_id", F.col("LabelName").alias("_t"))
-        d = det.select("det_id", F.col("LabelName").alias("_p"))
+        g = gt.select("ImageID", "box_id", F.col("LabelName").alias("_t"))
+        d = det.select("ImageID", "det_id", F.col("LabelName").alias("_p"))
         hits = (
-            matches.select("box_id", "det_id").join(g, "box_id").join(d, "det_id")
+            matches.select("ImageID", "box_id", "det_id").join(g, ["ImageID", "box_id"]).join(d, ["ImageID", "det_id"])
             .where(F.col("_t") == F.col("_p")).select(F.col("_t").alias("c"))
         )
     zero, one = F.lit(0), F.lit(1)
@@ -221,9 +222,9 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
     and threshold) are collected per detection before the thresholds are
     expanded, so the join sees one row per detection.
     """
-    won = voc_winners(gt, det, thresholds, cell).groupBy("det_id").agg(F.collect_list("iou_thr").alias("_won"))
+    won = voc_winners(gt, det, thresholds, cell).groupBy("ImageID", "det_id").agg(F.collect_list("iou_thr").alias("_won"))
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
-    d = det.select("det_id", "LabelName", "score").join(won, "det_id", "left")
+    d = det.select("ImageID", "det_id", "LabelName", "score").join(won, ["ImageID", "det_id"], "left")
     d = d.select("det_id", "LabelName", "score", F.coalesce("_won", F.array().cast("array<double>")).alias("_won"),
                  F.explode(thr).alias("iou_thr"))
     return d.select("det_id", "LabelName", "score", "iou_thr",
@@ -231,22 +232,22 @@ def voc_true_positives(gt: DataFrame, det: DataFrame, thresholds: list[float], c
 
 
 def voc_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="auto") -> DataFrame:
-    """``iou_thr, det_id``: the true positives at each threshold (VOC matching, see ``voc_true_positives``)."""
+    """``iou_thr, ImageID, det_id``: the true positives at each threshold (VOC matching, see ``voc_true_positives``)."""
     pairs = overlap_pairs(gt, det, same="LabelName", det_cols=("score",), cell=cell)
-    best = pairs.groupBy("det_id").agg(
+    best = pairs.groupBy("ImageID", "det_id").agg(
         F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
     )
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
     cand = best.select(
-        "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
+        "ImageID", "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
     ).where(F.col("iou") > F.col("iou_thr"))
-    winners = cand.groupBy("iou_thr", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
-    return winners.select("iou_thr", (-F.col("w.nd")).alias("det_id"))
+    winners = cand.groupBy("iou_thr", "ImageID", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
+    return winners.select("iou_thr", "ImageID", (-F.col("w.nd")).alias("det_id"))
 
 
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
                       cell="auto", single_task_rows: int | None = None, matching: str = "voc",
-                      max_dets: int = 100) -> DataFrame:
+                      max_dets: int | None = None) -> DataFrame:
     """101-point interpolated AP per ``(LabelName, iou_thr)`` for every class with truth.
 
     Detections of a class are ranked by score (ties: det_id). The rank ``k``
@@ -264,8 +265,8 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     range partitions when a class is too large for one task). A class with
     truth and no true positive scores 0.
 
-    ``matching="coco"`` uses greedy per-image matching over the top
-    ``max_dets`` detections of each image and class (``coco.py``) instead.
+    ``matching="coco"`` uses greedy per-image matching (``coco.py``) instead,
+    over all detections, or the top ``max_dets`` of each image and class.
     """
     from boxframe.operators.scan import SINGLE_TASK_ROWS, segmented_prefix
     from boxframe.operators.stats import largest_group
@@ -283,10 +284,11 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     n_gt = gt.groupBy("LabelName").agg(F.count(F.lit(1)).alias("n_gt"))
     largest = largest_group(det, ["LabelName"])
     ranks = segmented_prefix(
-        det.select("det_id", "LabelName", "score"), ["LabelName"], [F.col("score").desc(), F.col("det_id")],
+        det.select("ImageID", "det_id", "LabelName", "score"), ["LabelName"],
+        [F.col("score").desc(), F.col("det_id"), F.col("ImageID")],
         {"k": F.lit(1)}, max_segment_rows=largest, single_task_rows=limit,
     )
-    tp = winners.join(ranks.select("det_id", "LabelName", "k"), "det_id")
+    tp = winners.join(ranks.select("ImageID", "det_id", "LabelName", "k"), ["ImageID", "det_id"])
     tp = segmented_prefix(tp, ["LabelName", "iou_thr"], [F.col("k")], {"ctp": F.lit(1)},
                           max_segment_rows=largest, single_task_rows=limit)
     seg = ["LabelName", "iou_thr"]

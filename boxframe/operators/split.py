@@ -23,21 +23,16 @@ def split_exact(df: DataFrame, key: str = "ImageID", train_fraction: float = 0.8
     """Exactly ``floor(train_fraction * n)`` rows to ``train`` in a seeded random order.
 
     The order is md5(seed:key) (ties: key). Only the position of the K-th
-    key matters: a histogram of key prefixes (at most 16^4 rows, collected)
-    locates the prefix bucket holding it. Rows in earlier buckets are train,
+    key matters: a histogram of 4-digit key prefixes (at most 16^4 rows,
+    collected; its sum is n) locates the prefix bucket holding it. Rows in earlier buckets are train,
     rows in later buckets are test -- decided map-side, no shuffle of the
-    data -- and only the one cut bucket (about n / 16^h rows) is ranked by a
+    data -- and only the one cut bucket (about n / 65,536 rows) is ranked by a
     window.
     """
-    from boxframe.operators.ranking import prefix_length
-    from boxframe.operators.stats import row_count
-
-    d = df.withColumn("_ok", hash_order_key(key, seed))
-    n = row_count(d)
+    d = df.withColumn("_ok", hash_order_key(key, seed)).withColumn("_pre", F.substring("_ok", 1, 4))
+    hist = sorted((r[0], r[1]) for r in d.groupBy("_pre").count().collect())
+    n = sum(c for _, c in hist)
     k = int((Decimal(str(train_fraction)) * n).to_integral_value(rounding="ROUND_FLOOR"))
-    h = min(4, prefix_length(n))
-    d = d.withColumn("_pre", F.substring("_ok", 1, h))
-    hist = sorted((r[0], r[1]) for r in d.groupBy("_pre").count().collect())  # <= 16^h rows
     before, cut, need = 0, None, 0
     for pre, c in hist:
         if before + c >= k:

@@ -1,8 +1,9 @@
 """Plan-time statistics (row counts, largest groups) that pick a strategy.
 
 They only choose between equivalent plans (window vs range partitions,
-broadcast vs shuffle, per-image vs grid join); results never depend on
-them. Each value is computed by one small Spark job and remembered per
+broadcast vs shuffle, per-image vs grid join). Nothing that a result depends
+on (a split's size, the chunks of a large image) may come from here: the
+remembered value does not follow files that change behind a path. Each value is computed by one small Spark job and remembered per
 input plan (``semanticHash``) for the application, so queries over the same
 inputs do not repeat the job.
 """

@@ -21,6 +21,7 @@ class Query:
     sql: str | None = None  # body after the fixture CTEs
     views: list[str] = field(default_factory=list)
     extra_ctes: str = ""  # further CTEs appended after the fixture ones
+    recursive: bool = False  # whether one of them is recursive
 
     def oracle(self) -> str | None:
         if self.sql is None:
@@ -28,15 +29,18 @@ class Query:
         head = duckdb_ctes(self.views)
         if self.extra_ctes:
             head = (head + ",\n" if head else "with ") + self.extra_ctes.strip()
+        if self.recursive:
+            head = head.replace("with ", "with recursive ", 1)
         return f"{head}\n{self.sql.strip()}"
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None = None, views: list[str] | None = None, extra_ctes: str = ""):
+def register(name: str, sql: str | None = None, views: list[str] | None = None, extra_ctes: str = "",
+             recursive: bool = False):
     def deco(fn: Callable[[Fixtures], DataFrame]):
-        REGISTRY[name] = Query(name, fn, sql, views or [], extra_ctes)
+        REGISTRY[name] = Query(name, fn, sql, views or [], extra_ctes, recursive)
         return fn
 
     return deco

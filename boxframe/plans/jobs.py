@@ -90,11 +90,15 @@ def preprocess_job(
 
 
 def long_boxes(processed: DataFrame) -> DataFrame:
-    """Processed table -> one box per row with a box id (xxhash64 of image and position)."""
+    """Processed table -> one box per row with a box id (xxhash64 of image, chunk and position).
+
+    An image spread over several rows keeps its boxes apart by ``chunk``.
+    """
     e = B.explode_annotations(processed, "Annotations")
+    place = ["ImageID", *(["chunk"] if "chunk" in e.columns else []), "pos"]
     return e.select(
         "ImageID",
-        F.xxhash64("ImageID", "pos").alias("box_id"),
+        F.xxhash64(*place).alias("box_id"),
         "LabelName",
         F.col("XMin").alias("xmin"), F.col("YMin").alias("ymin"),
         F.col("XMax").alias("xmax"), F.col("YMax").alias("ymax"),
@@ -137,7 +141,7 @@ def prepare_training_job(
     boxes = long_boxes(present)
     vocab = put("vocabulary", build_vocabulary(boxes))
     t = put("targets", training_targets(B.drop_invalid(boxes), vocab))
-    s = put("split", split_by_hash(t.select("ImageID"), train_fraction=train_fraction, seed=seed))
+    s = put("split", split_by_hash(t.select("ImageID").distinct(), train_fraction=train_fraction, seed=seed))
     train = s.where(F.col("split") == "train").select("ImageID")
     test = s.where(F.col("split") == "test").select("ImageID")
     train_plan = partition_by_shard(epoch_plan(train, epochs, "ImageID", world_size, batch_size, seed=seed), ["epoch"])
@@ -156,12 +160,16 @@ def evaluate_job(
     out_dir: str,
     iou_threshold: float = 0.5,
     count_mode: str = "per_image",
+    matching: str = "coco",
+    max_dets: int | None = None,
 ) -> dict[str, DataFrame]:
     """All detection metrics for long-form truth and detections; each written under ``out_dir``.
 
     ``truth``: ``ImageID, box_id, LabelName, xmin..ymax``;
     ``detections``: ``ImageID, det_id, LabelName, score, xmin..ymax``.
-    The pair table is written once and read by every metric.
+    The pair table is written once and read by every metric. ``matching``
+    and ``max_dets`` choose the AP protocol (greedy COCO matching by default;
+    ``max_dets=100`` is that protocol's usual limit).
     """
     gt = B.drop_invalid(truth)
     pairs = cut_lineage(M.iou_pairs(gt, detections), "pairs")
@@ -175,7 +183,7 @@ def evaluate_job(
         "prf_per_image": prf,
         "macro": M.macro_summary(best, prf),
         "weighted": M.weighted_prf_matched(gt, detections, matches),
-        "average_precision": M.average_precision(gt, detections),
+        "average_precision": M.average_precision(gt, detections, matching=matching, max_dets=max_dets),
     }
     out["map"] = M.mean_average_precision(out["average_precision"])
     for name, df in out.items():

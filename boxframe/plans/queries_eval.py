@@ -171,16 +171,37 @@ def q_weighted_prf(fx):
     return M.weighted_prf_matched(gt, det, M.labelled_matches(gt, det))
 
 
-def _ap_ctes(thresholds: str) -> str:
-    return f"""{_VALID},
-pl as (select g.box_id, d.det_id, {_IOU} as iou
-       from valid g join detections d on g.ImageID = d.ImageID and g.LabelName = d.LabelName where {_I} > 0),
-bestd as (select det_id, box_id, iou from (select *, row_number() over (partition by det_id order by iou desc, box_id) as rn
+_VOC_WIN = """bestd as (select det_id, box_id, iou from (select *, row_number() over (partition by det_id order by iou desc, box_id) as rn
           from pl) t where rn = 1),
 thr as (select unnest({thresholds}::double[]) as iou_thr),
 win as (select det_id, iou_thr from (
           select b.det_id, t.iou_thr, row_number() over (partition by t.iou_thr, b.box_id order by d.score desc, b.det_id) as rn
-          from bestd b join thr t on b.iou > t.iou_thr join detections d on d.det_id = b.det_id) x where rn = 1),
+          from bestd b join thr t on b.iou > t.iou_thr join detections d on d.det_id = b.det_id) x where rn = 1)"""
+
+# Greedy matching in score order, one detection of each (threshold, image, class) per recursion step.
+_COCO_WIN = """thr as (select unnest({thresholds}::double[]) as iou_thr),
+opts as (select t.iou_thr, d.ImageID, d.LabelName, d.det_id, d.score,
+                list(p.box_id order by p.iou desc, p.box_id desc) as boxes
+         from pl p join thr t on p.iou >= least(t.iou_thr, 1 - 1e-10) join detections d on d.det_id = p.det_id
+         group by t.iou_thr, d.ImageID, d.LabelName, d.det_id, d.score),
+turns as (select *, row_number() over (partition by iou_thr, ImageID, LabelName order by score desc, det_id) as turn
+          from opts),
+played as (select iou_thr, ImageID, LabelName, turn, det_id, boxes[1] as pick, [boxes[1]] as taken from turns where turn = 1
+           union all
+           select iou_thr, ImageID, LabelName, turn, det_id, pick,
+                  case when pick is null then taken else list_append(taken, pick) end as taken
+           from (select t.iou_thr, t.ImageID, t.LabelName, t.turn, t.det_id, p.taken,
+                        list_filter(t.boxes, lambda x: not list_contains(p.taken, x))[1] as pick
+                 from played p join turns t on t.iou_thr = p.iou_thr and t.ImageID = p.ImageID
+                      and t.LabelName = p.LabelName and t.turn = p.turn + 1) s),
+win as (select det_id, iou_thr from played where pick is not null)"""
+
+
+def _ap_ctes(thresholds: str, win: str = _VOC_WIN) -> str:
+    return f"""{_VALID},
+pl as (select g.box_id, d.det_id, {_IOU} as iou
+       from valid g join detections d on g.ImageID = d.ImageID and g.LabelName = d.LabelName where {_I} > 0),
+{win.replace("{thresholds}", thresholds)},
 ngt as (select LabelName, count(*) as n_gt from valid group by LabelName),
 dt as (select d.det_id, d.LabelName, d.score, t.iou_thr, case when w.det_id is null then 0 else 1 end as tp, n.n_gt
        from detections d join ngt n on d.LabelName = n.LabelName cross join thr t
@@ -252,8 +273,13 @@ def q_overlay_rows(fx):
     return overlay_rows(_gt(fx), fx.detections, score_threshold=0.5)
 
 
-@register("map_coco")
+@register(
+    "map_coco",
+    views=_EV,
+    extra_ctes=_ap_ctes(_THR10, _COCO_WIN),
+    recursive=True,
+    sql="select iou_thr, round(avg(ap), 6) as map from ap group by iou_thr",
+)
 def q_map_coco(fx):
-    # greedy per-image matching is sequential: rows-only here, brute force in tests/test_coco.py
     ap = M.average_precision(_gt(fx), fx.detections, matching="coco")
     return ap.groupBy("iou_thr").agg(F.round(F.avg("ap"), 6).alias("map"))

@@ -30,8 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests on a laptop) a fresh
-    temporary folder is created and registered.
+    Read from the session; only when it is unset and the master is local
+    (tests on a laptop) a fresh temporary folder is created and registered. On
+    a cluster a machine-local folder would differ from node to node.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -39,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="boxframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

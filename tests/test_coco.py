@@ -82,3 +82,21 @@ def test_top_detections_two_stage(spark):
     want = sorted((-float(i % 97), i) for i in range(5000))[:10]
     assert a == want
     assert sum(r.LabelName == "b" for r in top) == 3
+
+
+def test_coco_keeps_all_detections_by_default(spark):
+    """More than 100 detections of one image and class: the right one is the worst-scored."""
+    gt = spark.createDataFrame([("i", 1, "a", 0, 0, 10, 10)], "ImageID string, box_id long, LabelName string, xmin int, ymin int, xmax int, ymax int")
+    rows = [("i", k, "a", 1.0 - k / 1000, 500, 500, 510, 510) for k in range(150)] + [("i", 999, "a", 0.01, 0, 0, 10, 10)]
+    det = spark.createDataFrame(rows, "ImageID string, det_id long, LabelName string, score double, xmin int, ymin int, xmax int, ymax int")
+    assert M.average_precision(gt, det, [0.5], matching="coco").first().ap > 0
+    assert M.average_precision(gt, det, [0.5], matching="coco", max_dets=100).first().ap == 0
+
+
+def test_equal_ids_in_two_images(spark):
+    """det_id and box_id are unique within an image only."""
+    kind = "ImageID string, {} long, LabelName string, {}xmin int, ymin int, xmax int, ymax int"
+    gt = spark.createDataFrame([("i", 1, "a", 0, 0, 10, 10), ("j", 1, "a", 0, 0, 10, 10)], kind.format("box_id", ""))
+    det = spark.createDataFrame([("i", 1, "a", 0.9, 0, 0, 10, 10), ("j", 1, "a", 0.8, 50, 50, 60, 60)], kind.format("det_id", "score double, "))
+    for matching in ("coco", "voc"):
+        assert abs(M.average_precision(gt, det, [0.5], matching=matching).first().ap - 51 / 101) < 1e-9
