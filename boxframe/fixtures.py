@@ -38,18 +38,19 @@ from {orders} where o_orderkey % 10 <> 3
 """,
     "boxes": """
 select lpad(lower(hex(l_orderkey)), 16, '0') as ImageID,
-       (l_orderkey * 100000 + l_partkey) * 10 + l_linenumber as box_id,
+       l_orderkey * 100000 + rn as box_id,
        case when (l_orderkey + l_partkey) % 997 = 0 then null else x0 end as XMin,
        y0 as YMin, x0 + w as XMax, y0 + h as YMax,
        concat('/m/', lower(rf), lower(ls), cast(sk % 5 as varchar(10))) as LabelName
-from (select l_orderkey, l_partkey, l_linenumber, sk, rf, ls,
+from (select l_orderkey, l_partkey, l_linenumber, sk, rf, ls, rn,
              cast((l_partkey * 37 + l_linenumber * 101) % 900 - 20 as double) / 1000 as x0,
              cast((l_partkey * 59 + sk * 13) % 900 - 20 as double) / 1000 as y0,
              cast((sk * 53 + l_linenumber * 17) % 400 as double) / 1000 as w,
              cast((sk * 29 + l_partkey * 3) % 400 as double) / 1000 as h
-      from (select l_orderkey, l_partkey, l_linenumber, min(l_suppkey) as sk,
-                   min(l_returnflag) as rf, min(l_linestatus) as ls
-            from {lineitem} group by l_orderkey, l_partkey, l_linenumber) a) b
+      from (select l_orderkey, l_partkey, l_linenumber, l_suppkey as sk, l_returnflag as rf, l_linestatus as ls,
+                   row_number() over (partition by l_orderkey
+                                      order by l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus) as rn
+            from {lineitem}) a) b
 """,
     "scaled": """
 select ImageID, box_id, LabelName,

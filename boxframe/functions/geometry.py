@@ -19,11 +19,14 @@ def to_pixel(rel: Column | str, size: Column | str, target: int) -> Column:
     """``int(rel * size * (target / size))`` truncating toward zero.
 
     The operand order is kept on purpose: it differs from ``rel * target`` at
-    the edges (e.g. 1.0 with width 275 gives 298). NULL stays NULL;
-    ``try_cast`` turns NaN/overflow into NULL instead of failing the task.
+    the edges (e.g. 1.0 with width 275 gives 298). NULL stays NULL, NaN
+    becomes NULL, and values beyond INT become its ends, so that a huge
+    coordinate is clamped to the canvas like any other outside of it.
     """
     s = _c(size)
-    return (_c(rel) * s * (F.lit(float(target)) / s)).try_cast("int")
+    v = _c(rel) * s * (F.lit(float(target)) / s)
+    low, high = F.lit(float(-(1 << 31))), F.lit(float((1 << 31) - 1))
+    return F.when(~F.isnan(v), F.greatest(low, F.least(high, v))).cast("int")
 
 
 def clamp_box(x0: Column, y0: Column, x1: Column, y1: Column, width: int, height: int) -> Box:

@@ -25,7 +25,7 @@ class ScaleResult:
     quarantine: DataFrame  # (ImageID, error) of images that could not be processed
 
 
-def _bad_coordinate(cols: tuple[str, ...]) -> Column:
+def bad_coordinate(cols: tuple[str, ...] = REL_COLS) -> Column:
     """NULL, NaN or infinite: ``int()`` of such a value fails, which fails the whole image."""
     cond = F.lit(False)
     for c in cols:
@@ -42,7 +42,7 @@ def image_status(boxes: DataFrame, image_meta: DataFrame, key: str = "ImageID")
     its size is not positive. The per-image flag is a partial+final aggregate,
     so an image holding a third of all boxes is reduced map-side.
     """
-    flags = boxes.groupBy(key).agg(F.max(_bad_coordinate(REL_COLS).cast("int")).alias("_bad"))
+    flags = boxes.groupBy(key).agg(F.max(bad_coordinate().cast("int")).alias("_bad"))
     # an ``error`` column in image_meta (e.g. a decode failure) is reported as is
     meta_err = F.col("error") if "error" in image_meta.columns else F.lit(None).cast("string")
     meta = image_meta.select(key, "width", "height", meta_err.alias("_merr"), F.lit(True).alias("_found"))

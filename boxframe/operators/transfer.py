@@ -13,24 +13,29 @@ from boxframe.schemas import MANIFEST
 from boxframe.session import ship_package
 
 
-def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Copy each ``src`` to ``dst``: temp name, length check, rename; skip finished copies.
+def _copy_batches(options: dict | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _copy_partition(batches, options)
 
-    One filesystem handle per URI scheme per task. A retried task finds the
-    finished objects and does not copy them again.
+    return run
+
+
+def _copy_partition(batches: Iterator[pd.DataFrame], options: dict | None = None) -> Iterator[pd.DataFrame]:
+    """Copy each ``src`` to ``dst``: temp name, length check, rename.
+
+    One filesystem handle per task and store (scheme and authority). An object
+    is always copied: an old target of the same size proves nothing about its
+    content. A retried task copies again, to the same bytes.
     """
     import uuid
 
     from pyarrow import fs as pafs
 
-    from boxframe.sources.fs import arrow_fs
-
-    handles: dict[str, object] = {}
+    from boxframe.sources.fs import Stores
 
-    def resolve(uri: str):
-        fs, path = arrow_fs(uri)
-        scheme = uri.split(":", 1)[0] if ":" in uri else "file"
-        return handles.setdefault(scheme, fs), path
+    stores = Stores(options)
+    resolve = stores.resolve
+    made: set[tuple[int, str]] = set()
 
     for pdf in batches:
         ok, nbytes, errors = [], [], []
@@ -41,13 +46,10 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 info = sfs.get_file_info(spath)
                 if info.type != pafs.FileType.File:
                     raise FileNotFoundError(src)
-                done = dfs.get_file_info(dpath)
-                if done.type == pafs.FileType.File and done.size == info.size:
-                    ok.append(True), nbytes.append(int(info.size)), errors.append(None)
-                    continue
                 parent = dpath.rsplit("/", 1)[0]
-                if parent:
+                if parent and (id(dfs), parent) not in made:
                     dfs.create_dir(parent, recursive=True)
+                    made.add((id(dfs), parent))
                 tmp = f"{dpath}.tmp-{uuid.uuid4().hex}"
                 with sfs.open_input_stream(spath) as r, dfs.open_output_stream(tmp) as w:
                     while True:
@@ -70,11 +72,12 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def copy_objects(parsed: DataFrame, src_root: str, dst_root: str, ext: str = ".jpg",
-                 num_partitions: int | None = None, src_by_split: bool = True) -> DataFrame:
+                 num_partitions: int | None = None, src_by_split: bool = True, options: dict | None = None) -> DataFrame:
     """Copy the listed objects ``{src_root}{split}/{id}{ext}`` -> ``{dst_root}{split}/{id}{ext}``.
 
     Duplicates are copied once. ``src_by_split=False`` reads a flat source
-    folder (``{src_root}{id}{ext}``). The id list is hash-repartitioned so copies
+    folder (``{src_root}{id}{ext}``). ``options`` configures the stores, by
+    scheme or ``scheme://authority`` (see ``sources.fs.arrow_fs``). The id list is hash-repartitioned so copies
     spread over all executors; the result is the manifest
     ``split, image_id, src, dst, ok, bytes, error``.
     """
@@ -87,7 +90,7 @@ def copy_objects(parsed: DataFrame, src_root: str, dst_root: str, ext: str = ".j
     )
     ship_package(parsed.sparkSession)
     n = num_partitions or parsed.sparkSession.sparkContext.defaultParallelism
-    return d.repartition(n, "src").mapInPandas(_copy_partition, schema=MANIFEST)
+    return d.repartition(n, "src").mapInPandas(_copy_batches(options), schema=MANIFEST)
 
 
 def existence_manifest(parsed: DataFrame, listing: DataFrame, prefix: str, ext: str = ".jpg",
@@ -95,9 +98,12 @@ def existence_manifest(parsed: DataFrame, listing: DataFrame, prefix: str, ext:
     """Manifest whose ``ok`` says whether ``{prefix}{id}{ext}`` is in an object listing."""
     hits = listing.select(F.col(path_col).alias("_p")).distinct().withColumn("_hit", F.lit(True))
     key = object_key(prefix, None, "image_id", ext)
-    d = parsed.withColumn("dst", key)
-    j = d.join(hits, d["dst"] == hits["_p"], "left")
-    return j.select("split", "image_id", "dst", F.col("_hit").isNotNull().alias("ok"))
+    # Lines of one name (an empty id, for one) count once in the join, however many there are.
+    names = parsed.select(key.alias("dst")).distinct()
+    found = names.join(hits, names["dst"] == hits["_p"], "left").select("dst", F.col("_hit").isNotNull().alias("ok"))
+    d = parsed.groupBy("split", "image_id").agg(F.count(F.lit(1)).cast("int").alias("_n")).withColumn("dst", key)
+    j = d.join(found, "dst").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return j.select("split", "image_id", "dst", "ok")
 
 
 def transfer_summary(manifest: DataFrame, by: str | None = "split") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from boxframe.operators import boxes as B
 from boxframe.operators import metrics as M
 from boxframe.operators.batches import epoch_plan, partition_by_shard, plan_batches
-from boxframe.operators.images import image_rows, image_session_conf, resize_images, write_images
+from boxframe.operators.images import encode_png, image_rows, image_session_conf, write_images
 from boxframe.operators.labels import build_vocabulary, training_targets
 from boxframe.operators.listing import parse_image_list, rejected_lines
 from boxframe.operators.presence import missing_images, with_existing_images
@@ -62,27 +62,26 @@ def preprocess_job(
     size: tuple[int, int] = (299, 299),
     ext_in: str = ".jpg",
     ext_out: str = ".png",
+    encoder=encode_png,
 ) -> PreprocessOutput:
     """Annotations + images -> resized images, pixel boxes (processed table) and a quarantine table.
 
     Boxes stay in long form until the sink; an image with a NULL/NaN
     coordinate, without a decodable file or whose resized file could not be
-    written goes to quarantine as a whole.
+    written goes to quarantine as a whole. Every image is decoded once: one
+    pass resizes, encodes and writes it and reports its size and status, and
+    that small table serves boxes and quarantine. ``encoder`` must give the
+    bytes that ``ext_out`` promises.
     """
     image_session_conf(spark)
     ann = read_annotations(spark, csv_path)
     pixels = image_rows(read_images(spark, image_dir), ext=ext_in)
-    pixels = pixels.join(ann.select("ImageID"), "ImageID", "left_semi")  # a semi join ignores duplicate keys
-    meta = pixels.select("ImageID", "width", "height", "error")
-    scaled = B.scale_boxes(ann, meta, size)
-    scaled_boxes = cut_lineage(scaled.result, "scaled")
-    to_write = pixels.join(scaled_boxes.select("ImageID"), "ImageID", "left_semi")
-    status = cut_lineage(write_images(resize_images(to_write, size), resized_dir, ext=ext_out), "written")
-    ok = status.where("ok").select("ImageID")
-    processed = B.to_processed(scaled_boxes.join(ok, "ImageID", "left_semi"), resized_dir.rstrip("/") + "/", ext=ext_out)
-    write_processed(processed, output_path)
-    quarantine = scaled.quarantine.unionByName(status.where(~F.col("ok")).select("ImageID", "error"))
-    write_quarantine(quarantine, quarantine_path)
+    # ids only on the annotation side; images with a bad coordinate are looked at but not written
+    wanted = ann.groupBy("ImageID").agg((~F.max(B.bad_coordinate())).alias("wanted"))
+    status = cut_lineage(write_images(pixels.join(wanted, "ImageID"), resized_dir, ext_out, size, encoder, "wanted"), "written")
+    scaled = B.scale_boxes(ann, status.select("ImageID", "width", "height", "error"), size)
+    write_processed(B.to_processed(scaled.result, resized_dir.rstrip("/") + "/", ext=ext_out), output_path)
+    write_quarantine(scaled.quarantine, quarantine_path)
     return PreprocessOutput(spark.read.parquet(output_path), spark.read.parquet(quarantine_path))
 
 

@@ -455,10 +455,10 @@ from scaled group by ImageID order by ImageID limit 5
 """,
 )
 def q_preview(fx):
-    return (
-        _processed(fx).orderBy("ImageID").limit(5)
-        .select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"), "FilePath")
-    )
+    # the five ids first, then only their boxes are grouped
+    ids = fx.scaled.select("ImageID").distinct().orderBy("ImageID").limit(5)
+    few = B.to_processed(fx.scaled.join(F.broadcast(ids), "ImageID", "left_semi"), "gs://bkt_1/resized/", order_by="box_id")
+    return few.select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"), "FilePath")
 
 
 @register(

@@ -1,9 +1,11 @@
 """Registered queries that touch files: sources, images, copies, detectors.
 
 Images are rendered by a Spark job from ``image_meta`` (one small PNG per
-image, ``width/16 x height/16``; ids whose last two hex digits are a multiple
-of 97 get undecodable bytes) into the shared checkpoint folder, once per
-application. Sizes follow from the table, so most of these have an oracle.
+image, ``width/16 x height/16``, patterns and flat colours, some gray or with
+an alpha channel; ids whose last two hex digits are a multiple of 97 get
+undecodable bytes) into the shared checkpoint folder, once per application.
+Sizes and pixels follow from the table, so the oracles check the sums of the
+pixels themselves: of every image as read, and of one-colour images resized.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boxframe.plans.catalog import register
-from boxframe.session import local_path, scratch_path
+from boxframe.session import scratch_path
 
 _RENDERED: dict[tuple[str, str], str] = {}
 _TEXTS: dict[tuple[str, str, str], str] = {}
@@ -25,16 +27,13 @@ def _corrupt_col():
 
 def _rendered(fx) -> str:
     """Folder of rendered images for this application and scale factor."""
-    from boxframe.operators.images import render_images
+    from boxframe.fixture_images import render_images
 
     key = (fx.spark.sparkContext.applicationId, fx.sf_dir)
     if key not in _RENDERED:
         root = scratch_path(fx.spark, "images")
-        import os
-
-        os.makedirs(local_path(root), exist_ok=True)
         meta = fx.image_meta.withColumn("_bad", _corrupt_col())
-        render_images(meta, local_path(root), shrink=16, corrupt_col="_bad").write.format("noop").mode("overwrite").save()
+        render_images(meta, root, shrink=16, corrupt_col="_bad", variety=True).write.format("noop").mode("overwrite").save()
         _RENDERED[key] = root
     return _RENDERED[key]
 
@@ -47,19 +46,36 @@ def _pixels(fx):
 
 
 _META = ("image_meta",)
-_SIZE_SQL = f"""
-select ImageID,
-       case when {_CORRUPT_SQL} then null else cast(greatest(1, height // 16) as int) end as height,
-       case when {_CORRUPT_SQL} then null else cast(greatest(1, width // 16) as int) end as width,
-       case when {_CORRUPT_SQL} then null else 3 end as nChannels,
-       case when {_CORRUPT_SQL} then 'failed to decode image' else null end as error
-from image_meta
-"""
-
-
-@register("read_images", views=list(_META), sql=_SIZE_SQL)
+# The pictures' formula: sums of their channels as read, and their colour if they have only one.
+_PX = f"""px0 as (select ImageID, cast(greatest(1, width // 16) as int) as w, cast(greatest(1, height // 16) as int) as h,
+                cast('0x' || substring(ImageID, 13, 4) as int) as seed, {_CORRUPT_SQL} as corrupt from image_meta),
+px as (select ImageID, w, h, seed % 16 = 0 as pattern, seed % 16 = 1 as gray, seed % 16 = 2 as alpha, corrupt,
+              case when seed % 16 = 0 then h * list_sum(list_transform(range(w), lambda x: (x * 7 + seed) % 256))
+                   else w * h * (seed % 256) end as b,
+              case when seed % 16 = 0 then w * list_sum(list_transform(range(h), lambda y: (y * 5 + seed // 3) % 256))
+                   when seed % 16 = 1 then w * h * (seed % 256) else w * h * (seed // 3 % 256) end as g,
+              case when seed % 16 = 0 then list_sum(list_transform(range(w * h), lambda k: ((k % w + k // w) * 3 + seed // 7) % 256))
+                   when seed % 16 = 1 then w * h * (seed % 256) else w * h * (seed // 7 % 256) end as r
+       from px0)"""
+
+
+def _one_colour():
+    return F.conv(F.substring("ImageID", 13, 4), 16, 10).cast("int") % 16 != 0
+
+
+@register("read_images", views=list(_META), extra_ctes=_PX, sql="""
+select ImageID, case when not corrupt then h end as height, case when not corrupt then w end as width,
+       case when corrupt then null when gray then 1 when alpha then 4 else 3 end as nChannels,
+       case when corrupt then 'failed to decode image' end as error,
+       case when not corrupt then cast(b as bigint) end as b, case when not corrupt then cast(g as bigint) end as g,
+       case when not corrupt then cast(r as bigint) end as r
+from px
+""")
 def q_read_images(fx):
-    return _pixels(fx).select("ImageID", "height", "width", "nChannels", "error")
+    from boxframe.fixture_images import channel_sums
+
+    px = _pixels(fx)
+    return px.select("ImageID", "height", "width", "nChannels", "error").join(channel_sums(px), "ImageID")
 
 
 @register("list_objects", views=list(_META), sql="select ImageID as image_id from image_meta")
@@ -69,54 +85,117 @@ def q_list_objects(fx):
     return list_objects(fx.spark, _rendered(fx), ext=".png").select("image_id")
 
 
+_RESIZED = "cast(299 * 299 * (c // (w * h)) as bigint)"
+
+
 @register(
     "resize_images",
     views=list(_META),
+    extra_ctes=_PX,
     sql=f"""
-select ImageID,
-       case when {_CORRUPT_SQL} then null else 299 end as height,
-       case when {_CORRUPT_SQL} then null else 299 end as width,
-       case when {_CORRUPT_SQL} then 'failed to decode image' else null end as error
-from image_meta
+select ImageID, case when not corrupt then 299 end as height, case when not corrupt then 299 end as width,
+       case when corrupt then 'failed to decode image' end as error,
+       case when not corrupt and not pattern then {_RESIZED.replace("c //", "b //")} end as b,
+       case when not corrupt and not pattern then {_RESIZED.replace("c //", "g //")} end as g,
+       case when not corrupt and not pattern then {_RESIZED.replace("c //", "r //")} end as r
+from px
 """,
 )
 def q_resize_images(fx):
+    from boxframe.fixture_images import channel_sums
     from boxframe.operators.images import resize_images
 
-    return resize_images(_pixels(fx), (299, 299)).select("ImageID", "height", "width", "error")
+    px = resize_images(_pixels(fx), (299, 299))
+    sums = channel_sums(px).select("ImageID", *[F.when(_one_colour(), F.col(c)).alias(c) for c in "bgr"])
+    return px.select("ImageID", "height", "width", "error").join(sums, "ImageID")
 
 
 @register(
     "to_tensor_columns",
     views=list(_META),
-    sql=f"""
-select ImageID, 3 as c, cast(greatest(1, height // 16) as int) as h, cast(greatest(1, width // 16) as int) as w,
-       cast(3 * greatest(1, height // 16) * greatest(1, width // 16) as int) as n_values
-from image_meta where not ({_CORRUPT_SQL})
+    extra_ctes=_PX,
+    sql="""
+select ImageID, 3 as c, h, w, 3 * w * h as n_values, cast(r as bigint) as plane0, cast(g as bigint) as plane1,
+       cast(b as bigint) as plane2
+from px where not corrupt
 """,
 )
 def q_to_tensor(fx):
     from boxframe.operators.images import to_tensor_columns
 
     t = to_tensor_columns(_pixels(fx))
+    size = F.col("shape")[1] * F.col("shape")[2]
+    t = t.select("ImageID", "shape", "tensor", size.alias("_n"))
+
+    def plane(k: int):
+        part = F.slice("tensor", F.col("_n") * k + 1, F.col("_n"))
+        return F.round(F.aggregate(part, F.lit(0.0), lambda a, x: a + x * 255)).cast("bigint")
+
     return t.select(
         "ImageID", F.col("shape")[0].alias("c"), F.col("shape")[1].alias("h"), F.col("shape")[2].alias("w"),
-        F.size("tensor").alias("n_values"),
+        F.size("tensor").alias("n_values"), *[plane(k).alias(f"plane{k}") for k in range(3)],
     )
 
 
 @register(
     "write_images",
     views=list(_META),
-    sql=f"select ImageID, true as ok from image_meta where not ({_CORRUPT_SQL})",
+    extra_ctes=_PX,
+    sql=f"""
+select ImageID, not corrupt as ok, case when corrupt then 'failed to decode image' end as error,
+       case when not corrupt and not pattern then {_RESIZED.replace("c //", "b //")} end as b,
+       case when not corrupt and not pattern then {_RESIZED.replace("c //", "g //")} end as g,
+       case when not corrupt and not pattern then {_RESIZED.replace("c //", "r //")} end as r
+from px
+""",
 )
 def q_write_images(fx):
-    # Encodes and writes the decoded images as they are: resizing has its own
-    # query, and 299x299 copies of every image would cost ~2 GB per run at sf0.01.
-    from boxframe.operators.images import write_images
+    from boxframe.fixture_images import channel_sums
+    from boxframe.operators.images import image_rows, write_images
+    from boxframe.session import cut_lineage
+    from boxframe.sources.readers import read_images
 
     out = scratch_path(fx.spark, "written")
-    return write_images(_pixels(fx), out).select("ImageID", "ok")
+    status = cut_lineage(write_images(_pixels(fx), out, size=(299, 299)), "status")
+    back = channel_sums(image_rows(read_images(fx.spark, out), ext=".png"))
+    sums = back.select("ImageID", *[F.when(_one_colour(), F.col(c)).alias(c) for c in "bgr"])
+    return status.select("ImageID", "ok", "error").join(sums, "ImageID", "left")
+
+
+@register(
+    "preprocess",
+    views=["boxes", "scaled", "image_meta"],
+    extra_ctes=_PX,
+    sql="""
+select s.ImageID, count(*) as n_boxes, cast(sum(s.xmin + 2 * s.ymin + 3 * s.xmax + 4 * s.ymax) as bigint) as coordinates,
+       cast(null as varchar) as error,
+       cast(max(case when not p.pattern then 299 * 299 * (p.b // (p.w * p.h)) end) as bigint) as b
+from scaled s join px p on p.ImageID = s.ImageID where not p.corrupt group by s.ImageID
+union all
+select b.ImageID, cast(null as bigint), cast(null as bigint),
+       case when max(case when p.corrupt then 1 else 0 end) = 1 then 'failed to decode image' else 'null or NaN coordinate' end,
+       cast(null as bigint)
+from boxes b join px p on p.ImageID = b.ImageID group by b.ImageID
+having max(case when p.corrupt or b.XMin is null then 1 else 0 end) = 1
+""",
+)
+def q_preprocess(fx):
+    """The whole job: CSV and images in; boxes, quarantine and resized pixels out."""
+    from boxframe.fixture_images import channel_sums
+    from boxframe.operators.images import image_rows
+    from boxframe.plans.jobs import long_boxes, preprocess_job
+    from boxframe.sources.readers import read_images
+    from boxframe.sources.sinks import write_annotations_csv
+
+    csv = _stored_text(fx, "annotations_csv", lambda p: write_annotations_csv(fx.boxes, p))
+    out = scratch_path(fx.spark, "preprocess")
+    done = preprocess_job(fx.spark, csv, _rendered(fx), f"{out}/resized", f"{out}/processed", f"{out}/quarantine", ext_in=".png")
+    weighted = F.col("xmin") + 2 * F.col("ymin") + 3 * F.col("xmax") + 4 * F.col("ymax")
+    boxes = long_boxes(done.processed).groupBy("ImageID").agg(F.count("*").alias("n_boxes"), F.sum(weighted).alias("coordinates"))
+    pixels = channel_sums(image_rows(read_images(fx.spark, f"{out}/resized"), ext=".png")).select("ImageID", F.when(_one_colour(), F.col("b")).alias("b"))
+    good = boxes.join(pixels, "ImageID").select("ImageID", "n_boxes", "coordinates", F.lit(None).cast("string").alias("error"), "b")
+    null = F.lit(None).cast("bigint")
+    return good.unionByName(done.quarantine.select("ImageID", null.alias("n_boxes"), null.alias("coordinates"), "error", null.alias("b")))
 
 
 _PARSED = r"""parsed as (select distinct regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 1) as split,
@@ -129,7 +208,11 @@ _PARSED = r"""parsed as (select distinct regexp_extract(n, '^(test|train|validat
     "copy_objects",
     views=["image_list", "image_meta"],
     extra_ctes=_PARSED,
-    sql="select split, image_id, image_id in (select ImageID from image_meta) as ok from parsed",
+    sql="""
+select split, image_id, image_id in (select ImageID from image_meta) as ok,
+       case when image_id in (select ImageID from image_meta) then true end as same_bytes
+from parsed
+""",
 )
 def q_copy_objects(fx):
     from boxframe.operators.listing import parse_image_list
@@ -138,7 +221,18 @@ def q_copy_objects(fx):
     parsed = parse_image_list(fx.image_list, col="line")
     src = _rendered(fx).rstrip("/") + "/"
     dst = scratch_path(fx.spark, "copies") + "/"
-    return copy_objects(parsed, src, dst, ext=".png", src_by_split=False).select("split", "image_id", "ok")
+    from boxframe.functions.ids import image_id_from_path
+    from boxframe.session import cut_lineage
+
+    manifest = cut_lineage(copy_objects(parsed, src, dst, ext=".png", src_by_split=False), "manifest")
+
+    def digests(root: str, name: str):
+        files = fx.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        return files.select("path", image_id_from_path("path", ".png").alias("image_id"), F.md5("content").alias(name))
+
+    copies = digests(dst, "copied").withColumn("split", F.element_at(F.split("path", "/"), -2)).drop("path")
+    both = manifest.join(digests(src, "original").drop("path"), "image_id", "left").join(copies, ["split", "image_id"], "left")
+    return both.select("split", "image_id", "ok", F.when(F.col("ok"), F.col("original") == F.col("copied")).alias("same_bytes"))
 
 
 @register("run_detector")
@@ -189,8 +283,9 @@ def q_read_annotations(fx):
     "processed_table",
     views=["scaled"],
     sql="""
-select ImageID, count(*) as n_boxes, 'gs://bkt_1/resized/' || ImageID || '.jpg' as FilePath
-from scaled group by ImageID
+select ImageID, xmin as XMin, ymin as YMin, xmax as XMax, ymax as YMax, LabelName,
+       'gs://bkt_1/resized/' || ImageID || '.jpg' as FilePath
+from scaled
 """,
 )
 def q_processed_table(fx):
@@ -200,19 +295,39 @@ def q_processed_table(fx):
     path = scratch_path(fx.spark, "processed")
     write_processed(to_processed(fx.scaled, "gs://bkt_1/resized/", order_by="box_id"), path)
     back = fx.spark.read.parquet(path)
-    return back.select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"), "FilePath")
+    return back.select("ImageID", "FilePath", F.inline("Annotations")).select(
+        "ImageID", "XMin", "YMin", "XMax", "YMax", "LabelName", "FilePath")
+
+
+@register(
+    "chunked_box_ids",
+    views=["scaled"],
+    sql="select ImageID, count(*) as n_boxes, count(*) as n_ids from scaled group by ImageID",
+)
+def q_chunked_box_ids(fx):
+    """Images spread over several rows (3 boxes each, about) still have one id per box."""
+    from boxframe.operators.boxes import group_annotations
+    from boxframe.plans.jobs import long_boxes
+
+    named = fx.scaled.select("ImageID", "box_id", *[F.col(c).alias(n) for c, n in zip(("xmin", "ymin", "xmax", "ymax"), ("XMin", "YMin", "XMax", "YMax"))], "LabelName")
+    rows = group_annotations(named, ("XMin", "YMin", "XMax", "YMax", "LabelName"), order_by="box_id", out="Annotations", max_per_row=3)
+    return long_boxes(rows).groupBy("ImageID").agg(F.count("*").alias("n_boxes"), F.countDistinct("box_id").alias("n_ids"))
 
 
 @register(
     "training_images",
     views=["scaled", "image_meta"],
-    sql=f"""
-select m.ImageID, cast(greatest(1, m.height // 16) as int) as height, cast(greatest(1, m.width // 16) as int) as width
-from image_meta m where m.ImageID in (select ImageID from scaled) and not ({_CORRUPT_SQL.replace('ImageID', 'm.ImageID')})
+    extra_ctes=_PX,
+    sql="""
+select ImageID, h as height, w as width, cast(b as bigint) as b, cast(g as bigint) as g, cast(r as bigint) as r
+from px where ImageID in (select ImageID from scaled) and not corrupt
 """,
 )
 def q_training_images(fx):
+    """Rows joined with their pixels, which are then read by a query."""
+    from boxframe.fixture_images import channel_sums
     from boxframe.operators.presence import join_images
 
-    px = _pixels(fx).where(F.col("error").isNull()).select("ImageID", "height", "width")
-    return join_images(fx.scaled.select("ImageID").distinct(), px, "ImageID", "inner")
+    px = _pixels(fx).where(F.col("error").isNull()).select("ImageID", "height", "width", "nChannels", "data")
+    joined = join_images(fx.scaled.select("ImageID").distinct(), px, "ImageID", "inner")
+    return joined.select("ImageID", "height", "width").join(channel_sums(joined), "ImageID")

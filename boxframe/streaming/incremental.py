@@ -3,8 +3,9 @@
 No new operator: the file source with a checkpoint hands each new list file
 to ``copy_objects`` exactly once; each micro-batch's manifest is written to
 its own ``batch_id=N`` folder with overwrite, so a replayed batch after a
-failure rewrites the same rows instead of appending duplicates, and the
-copies themselves skip finished objects.
+failure rewrites the same rows instead of appending duplicates. The
+checkpoint is the caller's: a restart with another one would number its
+batches from 0 again and overwrite manifests.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from boxframe.operators.listing import parse_image_list
 from boxframe.operators.transfer import copy_objects
-from boxframe.session import scratch_path
 
 
 def incremental_download(
@@ -24,7 +24,7 @@ def incremental_download(
     src_root: str,
     dst_root: str,
     manifest_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     ext: str = ".jpg",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
@@ -42,7 +42,7 @@ def incremental_download(
         )
 
     w = parsed.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint_location or scratch_path(spark, "download-stream")
+        "checkpointLocation", checkpoint_location
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
