@@ -30,15 +30,19 @@ def plan_batches(
     order_seed_col: str | None = None,
     group_count: int = 1,
     pad: bool = False,
+    equal: bool = False,
 ) -> DataFrame:
     """Add ``shard, batch_no, pos``: disjoint, complete batches of at most ``batch_size``.
 
     Shards come from the key's hash; inside a shard rows are ordered by
     md5 of the key (optionally salted by ``order_seed_col``, e.g. the epoch),
     numbered exactly with ``rank_by_hash``. ``drop_last`` removes each shard's
-    last incomplete batch. ``pad`` makes every shard as long as the longest
-    one by repeating its own first rows (flag ``padded``), like a sampler
-    that pads to equal shard lengths; no row is dropped.
+    last incomplete batch; with ``equal`` every shard also keeps no more
+    batches than the shortest one has, as data-parallel workers that wait for
+    each other need. ``pad`` makes every shard of ``0 .. world_size - 1`` as
+    long as the longest one by repeating its own first rows (flag ``padded``),
+    like a sampler that pads to equal shard lengths; a shard without rows
+    repeats those of the longest shard. No row is dropped by ``pad``.
     """
     parts = list(partition_cols or [])
     base = F.col(key).cast("string")
@@ -49,19 +53,27 @@ def plan_batches(
     ranked = rank_by_hash(d, "_ok", key, partition_cols=[*parts, "shard"], out="_rn", with_total="_n",
                           n_groups=world_size * group_count)
     if pad:
-        ranked = _pad_shards(ranked, parts)
+        ranked = _pad_shards(ranked, parts, world_size)
     out = ranked.withColumn("batch_no", F.floor((F.col("_rn") - 1) / batch_size).cast("int")).withColumn(
         "pos", F.pmod(F.col("_rn") - 1, F.lit(batch_size)).cast("int")
     )
     if drop_last:
         out = out.where(F.col("batch_no") < F.floor(F.col("_n") / batch_size))
+    if equal:
+        # a group's shards that have no rows at all leave nothing to the others
+        sizes = ranked.groupBy(*parts, "shard").agg(F.max("_n").alias("_s"))
+        every = F.min("_s") if drop_last else F.ceil(F.min("_s") / batch_size) * batch_size
+        least = sizes.groupBy(*parts).agg(
+            F.when(F.count(F.lit(1)) < world_size, 0).otherwise(F.floor(every / batch_size)).alias("_least"))
+        out = (out.join(least, parts) if parts else out.join(F.broadcast(least))).where(F.col("batch_no") < F.col("_least")).drop("_least")
     return out.drop("_ok", "_rn", "_n")
 
 
-def _pad_shards(ranked: DataFrame, parts: list[str]) -> DataFrame:
+def _pad_shards(ranked: DataFrame, parts: list[str], world_size: int) -> DataFrame:
     """Append copies of each shard's first rows until it is as long as the longest shard of its group.
 
-    Needs per-shard sizes (one row per group and shard, broadcast). Copy k of
+    A shard without rows gets copies of the longest shard's (of equals the
+    first). Needs per-shard sizes (one row per group and shard, broadcast). Copy k of
     row rn gets row number ``size * k + rn``; rows get ``padded`` and the
     shard size ``_n`` becomes the padded length.
     """
@@ -82,7 +94,14 @@ def _pad_shards(ranked: DataFrame, parts: list[str]) -> DataFrame:
         .withColumn("padded", F.lit(True))
         .drop("_k", "_size", "_need")
     )
-    both = base.unionByName(extra)
+    # shards that no row fell into: one donor shard per group, copied to each of them
+    longest = sizes.groupBy(*parts).agg(
+        F.max(F.struct("_size", (-F.col("shard")).alias("_s"))).alias("_m"), F.collect_set("shard").alias("_have"))
+    missing = longest.select(
+        *parts, (-F.col("_m._s")).alias("shard"), F.col("_m._size").alias("_target"),
+        F.explode(F.array_except(F.sequence(F.lit(0), F.lit(world_size - 1)), "_have")).alias("_empty"))
+    donated = ranked.join(missing, [*parts, "shard"]).withColumn("shard", F.col("_empty")).withColumn("padded", F.lit(True)).drop("_empty")
+    both = base.unionByName(extra).unionByName(donated.select(base.columns))
     return both.withColumn("_n", F.col("_target")).drop("_target")
 
 

@@ -48,6 +48,21 @@ def encode_labels(
     return df.join(v, df[label_col] == v["_lbl"], "left").drop("_lbl")
 
 
+def decode_labels(df: DataFrame, vocab: DataFrame, label_col: str = "label", out: str = "LabelName",
+                  max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+    """Turn label indices (as a detector emits them) back into names; unknown indices get NULL.
+
+    ``label_col`` is replaced by ``out``. The vocabulary is broadcast only after its row count is checked.
+    """
+    from boxframe.operators.stats import row_count
+
+    v = vocab.select(F.col("idx").cast("bigint").alias("_idx"), F.col("LabelName").alias("_name"))
+    if row_count(v) <= max_broadcast:
+        v = F.broadcast(v)
+    kept = [c for c in df.columns if c not in (label_col, out)]
+    return df.join(v, df[label_col].cast("bigint") == v["_idx"], "left").select(*kept, F.col("_name").alias(out))
+
+
 def training_targets(
     valid: DataFrame,
     vocab: DataFrame,

@@ -374,6 +374,62 @@ def q_batch_assembly(fx):
     )
 
 
+@register(
+    "shard_partitions",
+    views=["scaled"],
+    extra_ctes=_PLAN_CTE,
+    sql="select shard, count(*) as n_rows, cast(1 as bigint) as n_files from planned group by shard",
+)
+def q_shard_partitions(fx):
+    """The plan written by shard: every shard's rows lie together, in one file of its folder."""
+    from boxframe.operators.batches import partition_by_shard
+    from boxframe.session import scratch_path
+
+    path = scratch_path(fx.spark, "by-shard")
+    partition_by_shard(_plan(fx)).write.partitionBy("shard").parquet(path)
+    back = fx.spark.read.parquet(path).withColumn("_file", F.input_file_name())
+    return back.groupBy("shard").agg(F.count("*").alias("n_rows"), F.countDistinct("_file").alias("n_files"))
+
+
+@register(
+    "loader_batches",
+    views=["scaled", "image_meta"],
+    extra_ctes=_PLAN_CTE + """,
+vocab as (select LabelName, row_number() over (order by LabelName) - 1 as idx from (select distinct LabelName from valid)),
+tgt as (select v.ImageID, sum(v.xmin + 2 * v.ymin + 3 * v.xmax + 4 * v.ymax) as box_sum, sum(c.idx) as label_sum
+        from valid v join vocab c on c.LabelName = v.LabelName group by v.ImageID)""",
+    sql="""
+select p.shard, p.batch_no, cast(count(*) as int) as n_items, cast(sum(t.box_sum) as bigint) as box_sum,
+       cast(sum(t.label_sum) as bigint) as label_sum, cast(sum(greatest(1, m.width // 16) * greatest(1, m.height // 16) * 3) as bigint) as n_values
+from planned p join tgt t on t.ImageID = p.ImageID join image_meta m on m.ImageID = p.ImageID
+where cast('0x' || substring(p.ImageID, 15, 2) as int) % 97 <> 0
+group by p.shard, p.batch_no
+""",
+)
+def q_loader_batches(fx):
+    """What a training loader takes: the plan joined with targets and tensors, one row per batch."""
+    from boxframe.operators.batches import assemble_batches
+    from boxframe.operators.images import to_tensor_columns
+    from boxframe.operators.labels import build_vocabulary, training_targets
+    from boxframe.plans.queries_images import _pixels
+
+    valid = B.drop_invalid(fx.scaled)
+    targets = training_targets(valid, build_vocabulary(valid))
+    rows = _plan(fx).select("ImageID", "shard", "batch_no", "pos").join(targets, "ImageID").join(to_tensor_columns(_pixels(fx)), "ImageID")
+    batches = assemble_batches(rows, ["ImageID", "boxes", "labels", "shape", "tensor"])
+
+    def total(of):
+        return F.aggregate("items", F.lit(0).cast("bigint"), lambda a, i: a + of(i))
+
+    def boxes(i):
+        return F.aggregate(i["boxes"], F.lit(0).cast("bigint"), lambda a, b: a + (b[0] + 2 * b[1] + 3 * b[2] + 4 * b[3]).cast("bigint"))
+
+    return batches.select(
+        "shard", "batch_no", "n_items", total(boxes).alias("box_sum"),
+        total(lambda i: F.aggregate(i["labels"], F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("label_sum"),
+        total(lambda i: F.size(i["tensor"]).cast("bigint")).alias("n_values"))
+
+
 @register(
     "epoch_shuffle",
     views=["scaled"],

@@ -116,3 +116,46 @@ def test_partition_by_shard_colocates(spark):
     for r in rows:
         owners.setdefault(r.shard, set()).add(r.pid)
     assert all(len(v) == 1 for v in owners.values()) and len(owners) == 4
+
+
+def test_exact_split_follows_changed_files(spark, tmp_path):
+    """The same path, overwritten with more rows, is split by its own count."""
+    path = str(tmp_path / "t")
+    for n in (10, 1000):
+        spark.range(n).selectExpr("cast(id as string) as ImageID").write.mode("overwrite").parquet(path)
+        got = split_exact(spark.read.parquet(path)).groupBy("split").count().collect()
+        assert {r.split: r["count"] for r in got} == {"train": n * 8 // 10, "test": n - n * 8 // 10}
+
+
+def test_pages_of_repeated_rows(spark):
+    df = spark.createDataFrame([(k,) for k in (1, 1, 2, 2, 3, 3)], "k int")
+    assert sorted(r.k for r in rows_page(df, ["k"], 0, 4).collect()) == [1, 2]
+    assert sorted(r.k for r in rows_page(df, ["k"], 2, 4).collect()) == [2, 3]
+
+
+def test_pad_fills_empty_shards(spark):
+    df = spark.createDataFrame([(f"i{k}",) for k in range(3)], "ImageID string")
+    got = plan_batches(df, world_size=8, batch_size=2, pad=True).collect()
+    sizes = {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+    assert set(sizes) == set(range(8)) and len(set(sizes.values())) == 1
+    assert {r.ImageID for r in got if not r.padded} == {"i0", "i1", "i2"}
+
+
+def test_equal_batches(spark):
+    df = spark.createDataFrame([(f"i{k}",) for k in range(100)], "ImageID string")
+    for drop_last in (False, True):
+        got = plan_batches(df, world_size=3, batch_size=8, drop_last=drop_last, equal=True).collect()
+        assert len({max(r.batch_no for r in got if r.shard == s) for s in range(3)}) == 1
+    assert plan_batches(df.limit(1), world_size=3, batch_size=8, equal=True).count() == 0
+
+
+def test_labels_back_to_names(spark):
+    from boxframe.operators.labels import build_vocabulary, decode_labels, encode_labels
+
+    df = spark.createDataFrame([(1, "/m/b"), (2, "/m/a"), (3, "/m/b")], "k int, LabelName string")
+    vocab = build_vocabulary(df)
+    coded = encode_labels(df, vocab).drop("LabelName")
+    assert sorted(map(tuple, decode_labels(coded, vocab).collect())) == [(1, "/m/b"), (2, "/m/a"), (3, "/m/b")]
+    assert decode_labels(spark.createDataFrame([(1, 99)], "k int, label bigint"), vocab).first().LabelName is None
