@@ -1,9 +1,10 @@
 """Exact row numbers over large inputs without a single-partition window.
 
 ``rank_by_hash`` numbers rows by a uniformly distributed hex key (an md5 of a
-unique id): counts per 16-bit key prefix (a bounded table) give each prefix
-its offset, and the row number inside a prefix is a window over about
-``n / 65536`` rows. ``global_row_number`` orders by arbitrary columns: small
+unique id): counts per key prefix give each prefix its offset, and the row
+number inside a prefix is a window over about ``ROWS_PER_PREFIX`` rows. The
+offsets are summed in two levels (four hex digits, then the rest), so that no
+task sums more than 65,536 cells of a group at once. ``global_row_number`` orders by arbitrary columns: small
 inputs use one window, large ones range partitions plus partition offsets.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from boxframe.session import cut_lineage
 
 ROWS_PER_PREFIX = 2_000  # target rows per (group, key prefix) cell
+COARSE_HEX = 4  # hex digits of the offsets' first level
 
 
 def prefix_length(n_rows: int, n_groups: int = 1, rows_per_prefix: int = ROWS_PER_PREFIX) -> int:
@@ -53,9 +55,23 @@ def rank_by_hash(
         prefix_hex = prefix_length(row_count(df), n_groups)
     d = df.withColumn("_pre", F.substring(F.col(order_key), 1, prefix_hex))
     counts = d.groupBy(*parts, "_pre").agg(F.count(F.lit(1)).alias("_c"))
-    w_before = Window.partitionBy(*parts).orderBy("_pre").rowsBetween(Window.unboundedPreceding, -1)
-    extra = [F.sum("_c").over(Window.partitionBy(*parts)).alias(with_total)] if with_total else []
-    offs = counts.select(*parts, "_pre", F.coalesce(F.sum("_c").over(w_before), F.lit(0)).alias("_off"), *extra)
+
+    def before(groups: list[str], order: str):
+        w = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_c").over(w), F.lit(0))
+
+    def total(groups: list[str]):
+        return [F.sum("_c").over(Window.partitionBy(*groups)).alias(with_total)] if with_total else []
+
+    if prefix_hex <= COARSE_HEX:
+        offs = counts.select(*parts, "_pre", before(parts, "_pre").alias("_off"), *total(parts))
+    else:
+        counts = counts.withColumn("_top", F.substring("_pre", 1, COARSE_HEX))
+        tops = counts.groupBy(*parts, "_top").agg(F.sum("_c").alias("_c"))
+        tops = tops.select(*parts, "_top", before(parts, "_top").alias("_base"), *total(parts))
+        within = counts.select(*parts, "_top", "_pre", before([*parts, "_top"], "_pre").alias("_in"))
+        offs = within.join(tops, [*parts, "_top"]).select(
+            *parts, "_pre", (F.col("_base") + F.col("_in")).alias("_off"), *([with_total] if with_total else []))
     j = d.join(offs, [*parts, "_pre"])
     w = Window.partitionBy(*parts, "_pre").orderBy(order_key, tiebreak)
     return j.withColumn(out, F.row_number().over(w) + F.col("_off")).drop("_pre", "_off")

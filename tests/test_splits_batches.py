@@ -159,3 +159,19 @@ def test_labels_back_to_names(spark):
     coded = encode_labels(df, vocab).drop("LabelName")
     assert sorted(map(tuple, decode_labels(coded, vocab).collect())) == [(1, "/m/b"), (2, "/m/a"), (3, "/m/b")]
     assert decode_labels(spark.createDataFrame([(1, 99)], "k int, label bigint"), vocab).first().LabelName is None
+
+
+def test_two_level_offsets(spark):
+    """Long prefixes (two levels) number like short ones, per group, with totals."""
+    from boxframe.functions.hashing import hash_order_key
+    from boxframe.operators.ranking import rank_by_hash
+
+    df = spark.range(3000).selectExpr("cast(id as string) as k", "id % 3 as g").withColumn("o", hash_order_key("k"))
+    got = [{(r.k, r.rn, r.n) for r in rank_by_hash(df, "o", "k", ["g"], prefix_hex=h, with_total="n").collect()} for h in (1, 4, 5, 7)]
+    assert got[0] == got[1] == got[2] == got[3]
+    by = sorted((r.g, r.o, r.k) for r in df.collect())
+    want, last = set(), {}
+    for g, _, k in by:
+        last[g] = last.get(g, 0) + 1
+        want.add((k, last[g], 1000))
+    assert got[0] == want
