@@ -26,7 +26,7 @@ def to_pixel(rel: Column | str, size: Column | str, target: int) -> Column:
     s = _c(size)
     v = _c(rel) * s * (F.lit(float(target)) / s)
     low, high = F.lit(float(-(1 << 31))), F.lit(float((1 << 31) - 1))
-    return F.when(~F.isnan(v), F.greatest(low, F.least(high, v))).cast("int")
+    return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(low, F.least(high, v))).cast("int")
 
 
 def clamp_box(x0: Column, y0: Column, x1: Column, y1: Column, width: int, height: int) -> Box:

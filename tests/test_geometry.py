@@ -72,3 +72,11 @@ def test_non_finite_coordinates_quarantine_the_image(spark):
     r = scale_boxes(boxes, meta)
     assert {x.ImageID for x in r.result.collect()} == {"c"}
     assert {x.ImageID for x in r.quarantine.collect()} == {"a", "b"}
+
+
+def test_huge_coordinates_are_clamped(spark):
+    df = spark.createDataFrame([(1e300,), (-1e300,), (float("nan"),), (None,)], "x double")
+    px = to_pixel("x", F.lit(100), 299)
+    lo, _, hi, _ = clamp_box(px, px, px, px, 299, 299)
+    got = [tuple(r) for r in df.select(lo, hi).collect()]
+    assert got == [(2**31 - 1, 299), (0, -(2**31)), (None, None), (None, None)]
