@@ -16,7 +16,8 @@ lower-cased runs of letters and digits).
    if they agree at ``samples`` sampled positions of the embedding. The number
    of tables sets the recall.
 4. Every candidate is verified by the exact edit distance of the item to the
-   best stretch around the window.
+   best stretch around the window (unless the stretch lacks too many of the
+   item's words to come within reach).
 
 Items are searched in blocks of bounded size, each broadcast for a pass over
 the documents.
@@ -91,6 +92,14 @@ class Index:
         # The walk's random bits; words beyond the vocabulary are symbol 0, never equal to an item's word.
         self.bits = rng.integers(0, 2, (how.walks, longest, SYMBOLS), dtype=np.uint8)
         self.draws = rng.random((how.walks, how.tables, how.samples))
+        # What to write of each step: for every size and walk, step -> (table, sample).
+        self.wanted: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
+        for n in set(self.n.tolist()):
+            for w in range(how.walks):
+                steps: dict[int, list[tuple[int, int]]] = {}
+                for table, sample in np.ndindex(how.tables, how.samples):
+                    steps.setdefault(int(self.draws[w, table, sample] * 3 * n), []).append((table, sample))
+                self.wanted[n, w] = steps
         self.mix = rng.integers(1, 1 << 62, how.samples + 1, dtype=np.int64) | 1
         # Seeds by run length: sorted keys, and for each key its (item size, offset) places.
         self.seeds = {}
@@ -120,15 +129,15 @@ class Index:
 
     def signatures(self, x: np.ndarray, n: int) -> Iterator[np.ndarray]:
         """For every walk: (tables, rows) of the sampled symbols of the embedded rows of ``x``, each mixed into a number."""
-        how, steps = self.how, 3 * n
+        how = self.how
         padded = np.concatenate([x, np.full((len(x), 1), -1, np.int64)], axis=1)  # behind the end the walk stands still
         rows = np.arange(len(x))
         for w in range(how.walks):
-            wanted = (self.draws[w] * steps).astype(np.int64)
+            wanted = self.wanted[n, w]
             out, at = np.zeros((how.tables, len(x)), np.int64), np.zeros(len(x), np.int64)
-            for t in range(int(wanted.max()) + 1):
+            for t in range(max(wanted) + 1):
                 now = padded[rows, at]
-                for table, sample in zip(*np.nonzero(wanted == t), strict=True):
+                for table, sample in wanted.get(t, ()):
                     out[table] += (now + 2) * self.mix[sample]
                 at = np.minimum(at + self.bits[w, t][now % SYMBOLS], n)
             yield out
@@ -179,6 +188,7 @@ class Index:
         if not pairs:
             return []
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        plain: dict[int, list[int]] = {}
         for window, item in np.unique(np.concatenate(pairs), axis=0).tolist():
             p, n, d = self.items[item], int(self.n[item]), int(text[window])
             k = edits_allowed(n, self.how.similarity)
@@ -190,6 +200,12 @@ class Index:
                 continue
             else:
                 a, b = max(lo, first - k), min(hi, last + k)
+                # Every word of the item that the stretch lacks is an edit: a bound that loses nothing.
+                near = set(words[a:b].tolist())
+                if item not in plain:
+                    plain[item] = p.tolist()
+                if sum([w not in near for w in plain[item]]) > k:
+                    continue
                 distance, s, e = best_stretch(p, words[a:b])
                 if distance > k:
                     continue
@@ -213,7 +229,7 @@ def scan_block(docs: DataFrame, items: list[tuple[int, str]], how: Search, text_
             _INDEX.clear()
             index = _INDEX[mark] = Index(shared.value, how)
         get = index.vocabulary.get
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, max_chars=8_000_000, max_rows=20_000):
             words, ends = [], []
             for text in batch.column(column).to_pylist():
                 if text:
