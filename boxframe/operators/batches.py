@@ -62,10 +62,11 @@ def plan_batches(
     if equal:
         # a group's shards that have no rows at all leave nothing to the others
         sizes = ranked.groupBy(*parts, "shard").agg(F.max("_n").alias("_s"))
-        every = F.min("_s") if drop_last else F.ceil(F.min("_s") / batch_size) * batch_size
-        least = sizes.groupBy(*parts).agg(
-            F.when(F.count(F.lit(1)) < world_size, 0).otherwise(F.floor(every / batch_size)).alias("_least"))
-        out = (out.join(least, parts) if parts else out.join(F.broadcast(least))).where(F.col("batch_no") < F.col("_least")).drop("_least")
+        group = Window.partitionBy(*parts)  # one row per shard
+        least = F.min("_s").over(group) / batch_size
+        least = F.when(F.count(F.lit(1)).over(group) < world_size, 0).otherwise(F.floor(least) if drop_last else F.ceil(least))
+        sizes = sizes.select(*parts, "shard", least.alias("_least"))
+        out = out.join(sizes, [*parts, "shard"]).where(F.col("batch_no") < F.col("_least")).drop("_least")
     return out.drop("_ok", "_rn", "_n")
 
 

@@ -46,8 +46,8 @@ def test_score_and_iou_ties_are_deterministic(spark):
     gt = spark.createDataFrame([("i", 1, "a", 0, 0, 10, 10), ("i", 2, "a", 0, 0, 10, 10)], GT)
     # two identical detections with the same score: the lower det_id claims first
     det = spark.createDataFrame([("i", 8, "a", 0.5, 0, 0, 10, 10), ("i", 7, "a", 0.5, 0, 0, 10, 10)], DET)
-    w = sorted(map(tuple, M.voc_winners(gt, det, [0.5]).collect()))
-    assert w == [(0.5, 7)]  # both take truth 1 (lowest box_id); det 7 wins the tie
+    w = M.voc_winners(gt, det, [0.5]).collect()
+    assert [(r.iou_thr, r.det_id) for r in w] == [(0.5, 7)]  # both take truth 1 (lowest box_id); det 7 wins the tie
     m = sorted((r.box_id, r.det_id) for r in M.match_one_to_one(M.iou_pairs(gt, det)).collect())
     assert m == [(1, 7)]
     coco = M.average_precision(gt, det, [0.5], matching="coco").first().ap

@@ -125,7 +125,7 @@ def test_voc_true_positive_flags_agree_with_winners(fx):
     gt, det = drop_invalid(fx.scaled), fx.detections
     flags = M.voc_true_positives(gt, det, [0.5, 0.9]).where("tp = 1").select("iou_thr", "det_id").collect()
     win = M.voc_winners(gt, det, [0.5, 0.9]).collect()
-    assert sorted(map(tuple, flags)) == sorted(map(tuple, win))
+    assert sorted(map(tuple, flags)) == sorted((r.iou_thr, r.det_id) for r in win)
     assert M.voc_true_positives(gt, det, [0.5]).count() == det.count()
 
 
