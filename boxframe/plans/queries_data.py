@@ -49,7 +49,7 @@ from boxes
 )
 def q_group_annotations(fx):
     g = B.group_annotations(fx.boxes, ("XMin", "YMin", "XMax", "YMax", "LabelName"), order_by="box_id")
-    return B.explode_annotations(g)
+    return B.explode_annotations(g).drop("chunk")
 
 
 @register(
