@@ -30,6 +30,11 @@ select case o_orderkey % 10
          when 5 then 'train/'
          else concat('train/', id) end as line
 from (select o_orderkey, lpad(lower(hex(o_orderkey)), 16, '0') as id from {orders}) t
+""",
+    "all_objects": """
+select concat('gs://bkt_1/resized/', lpad(lower(hex(o_orderkey)), 16, '0'),
+              case when o_orderkey % 7 = 0 then '.png' else '.jpg' end) as path
+from {orders}
 """,
     "objects": """
 select concat('gs://bkt_1/resized/', lpad(lower(hex(o_orderkey)), 16, '0'),
@@ -85,6 +90,7 @@ from {events}
 VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "image_meta": ("orders",),
     "image_list": ("orders",),
+    "all_objects": ("orders",),
     "objects": ("orders",),
     "boxes": ("lineitem",),
     "scaled": ("boxes", "image_meta"),
@@ -119,17 +125,6 @@ _STORED: dict[tuple[str, str, str], str] = {}
 STORED_VIEWS = ("boxes", "scaled", "detections")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer input splits than the cluster has cores.
-
-    A file with a single row group is read by one task; spreading its rows
-    before the first wide operator lets the partial aggregation run on every
-    core. Inputs that already have enough splits are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Fixtures:
     """Lazily built fixture views over one scale-factor folder.
 
@@ -156,8 +151,6 @@ class Fixtures:
 
             return scale_boxes(self.boxes, self.image_meta).result
         deps = {d: getattr(self, d) for d in VIEW_DEPS[name]}
-        if name in STORED_VIEWS:
-            deps = {d: _spread(df) if d in BASE_TABLES else df for d, df in deps.items()}
         return view(self.spark, name, **deps)
 
     def _stored(self, name: str) -> DataFrame:

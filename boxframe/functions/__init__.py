@@ -10,7 +10,7 @@ from boxframe.functions.geometry import (  # noqa: F401
     to_pixel,
     valid_box,
 )
-from boxframe.functions.hashing import hash_bucket, hash_order_key  # noqa: F401
+from boxframe.functions.hashing import hash_order_key  # noqa: F401
 from boxframe.functions.ids import (  # noqa: F401
     image_id_from_path,
     normalize_line,

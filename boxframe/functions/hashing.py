@@ -21,8 +21,3 @@ def hash_order_key(key: Column | str, seed: int | str | None = None) -> Column:
 def hash_int32(order_key: Column | str, start: int = 1) -> Column:
     """Unsigned 32-bit integer from eight hex digits of an md5 key."""
     return F.conv(F.substring(_c(order_key), start, 8), 16, 10).cast("bigint")
-
-
-def hash_bucket(key: Column | str, buckets: int, seed: int | str | None = None) -> Column:
-    """Bucket in ``[0, buckets)`` from the first 32 bits of md5."""
-    return F.pmod(hash_int32(hash_order_key(key, seed)), F.lit(buckets))

@@ -34,17 +34,12 @@ from collections.abc import Callable, Iterator  # noqa: E402
 import numpy as np  # noqa: E402
 import pandas as pd  # noqa: E402
 
+from boxframe.operators.images import three_channels  # noqa: E402
 from boxframe.schemas import DETECTIONS  # noqa: E402
 
 Predict = Callable[[list], list]  # list of HWC RGB uint8 arrays -> list of (boxes[n,4], scores[n], labels[n])
 
 
-def _det_id(image_id: str, i: int) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(f"{image_id}:{i}") & 0x7FFFFFFFFFFFFFFF
-
-
 def _detect_batches(make_predict: Callable[[], Predict], batch_size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = make_predict()  # once per task: load weights here
@@ -55,12 +50,11 @@ def _detect_batches(make_predict: Callable[[], Predict], batch_size: int):
                 chunk = recs[s:s + batch_size]
                 imgs = []
                 for _, h, w, c, buf in chunk:
-                    a = np.frombuffer(buf, np.uint8).reshape(int(h), int(w), int(c))
-                    imgs.append(a[..., 2::-1] if int(c) >= 3 else a)  # BGR -> RGB
+                    imgs.append(three_channels(h, w, c, buf)[..., ::-1])  # BGR -> RGB
                 for (iid, *_), (boxes, scores, labels) in zip(chunk, predict(imgs)):
                     for i in range(len(scores)):
                         cols["ImageID"].append(iid)
-                        cols["det_id"].append(_det_id(iid, i))
+                        cols["det_id"].append(i)  # place in the image; hashed with the image's id outside of Python
                         for j, k in enumerate(("xmin", "ymin", "xmax", "ymax")):
                             cols[k].append(float(boxes[i][j]))
                         cols["score"].append(float(scores[i]))
@@ -84,9 +78,11 @@ def run_detector(pixels: DataFrame, make_predict: Callable[[], Predict], batch_s
 
     ship_package(pixels.sparkSession)
     ok = pixels.where(F.col("error").isNull() & F.col("data").isNotNull()) if "error" in pixels.columns else pixels
-    return ok.select("ImageID", "height", "width", "nChannels", "data").mapInPandas(
+    found = ok.select("ImageID", "height", "width", "nChannels", "data").mapInPandas(
         _detect_batches(make_predict, batch_size), schema=DETECTIONS
     )
+    unique = F.xxhash64("ImageID", "det_id").bitwiseAND(F.lit((1 << 63) - 1))
+    return found.withColumn("det_id", unique).select([f.name for f in DETECTIONS.fields])
 
 
 def bright_region_detector() -> Predict:

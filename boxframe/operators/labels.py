@@ -23,11 +23,6 @@ def build_vocabulary(df: DataFrame, label_col: str = "LabelName", base: int = 0)
     return ranked.select("LabelName", (F.col("_rn") - 1 + F.lit(base)).cast("int").alias("idx"))
 
 
-def labels_of_processed(processed: DataFrame, col: str = "Annotations") -> DataFrame:
-    """Nested projection ``Annotations.LabelName`` flattened to one label per row."""
-    return processed.select(F.explode(F.col(f"{col}.LabelName")).alias("LabelName"))
-
-
 def encode_labels(
     df: DataFrame,
     vocab: DataFrame,

@@ -69,8 +69,3 @@ def oracle_queries() -> dict[str, str]:
 def _load() -> None:
     # Importing the modules fills REGISTRY.
     from boxframe.plans import queries_data, queries_eval, queries_images  # noqa: F401
-
-
-def r6(c):
-    """Round a double to 6 decimals (sums differ in the last bits between engines)."""
-    return F.round(c, 6)

@@ -133,30 +133,31 @@ def q_object_keys(fx):
 
 @register(
     "split_uri",
-    views=["objects"],
+    views=["all_objects"],
     sql="""
 select path, split_part(path, '/', 3) as bucket,
        substr(path, strlen(split_part(path, '/', 1)) + strlen(split_part(path, '/', 2))
                     + strlen(split_part(path, '/', 3)) + 4) as key
-from objects
+from all_objects
 """,
 )
 def q_split_uri(fx):
     from boxframe.functions.ids import split_uri
 
     bucket, key = split_uri("path")
-    return fx.objects.select("path", bucket.alias("bucket"), key.alias("key"))
+    return fx.all_objects.select("path", bucket.alias("bucket"), key.alias("key"))
 
 
 _IDS_CTE = """ids as (select path, replace(string_split(path, '/')[-1], '.jpg', '') as image_id
     from objects where ends_with(path, '.jpg'))"""
 
 
-@register("listing_ids", views=["objects"], extra_ctes=_IDS_CTE, sql="select path, image_id from ids")
+@register("listing_ids", views=["all_objects"], extra_ctes=_IDS_CTE.replace("from objects", "from all_objects"),
+          sql="select path, image_id from ids")
 def q_listing_ids(fx):
     from boxframe.operators.presence import listing_ids
 
-    return listing_ids(fx.objects)
+    return listing_ids(fx.all_objects)
 
 
 @register(

@@ -76,15 +76,6 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def is_local_fs(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or "://" not in uri
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)
-
-
 _SHIPPED: set[str] = set()
 
 
