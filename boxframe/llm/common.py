@@ -12,6 +12,8 @@ from boxframe.session import cut_lineage, ship_package
 
 #: Words are runs of anything but space and the five ASCII control blanks.
 WORD = "[^\\x20\\x09-\\x0D]+"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 __all__ = ["BLANKS", "WORD", "cut_lineage", "held_out", "map_arrow", "read_table", "slices", "small"]
@@ -27,8 +29,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package shipped to the Python workers."""
-    ship_package(df.sparkSession)
+    """``mapInArrow`` with this package shipped to the Python workers.
+
+    Whole texts travel in these batches, so a session that allows more than
+    ``BATCH_ROWS`` rows a batch (the default is 10,000) is set to that.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    rows = int(spark.conf.get(BATCH_CONF))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 

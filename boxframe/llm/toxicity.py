@@ -244,21 +244,23 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most as large as the bounded sample
     columns, mark = [id_col, *keep], uuid4().hex
+    names = columns if text_col in columns else [*columns, text_col]  # a kept text travels once
+    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _SCORERS.get(mark)
         if scorer is None:
             _SCORERS.clear()
             scorer = _SCORERS[mark] = Scorer(shared.value)
-        for batch in slices(batches, "__text"):
-            got = [scorer.score(x) for x in batch.column(len(columns)).to_pylist()]
+        for batch in slices(batches, names[at]):
+            got = [scorer.score(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(columns)], pa.array([x[0] for x in got], pa.float64()), pa.array([x[1] for x in got], pa.string())],
                 [*columns, "score", "worst"])
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in columns], "score double", "worst string"])
-    return map_arrow(docs.select(*columns, docs[text_col].alias("__text")), run, schema)
+    return map_arrow(docs.select(*names), run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
