@@ -25,12 +25,13 @@ from functools import cache
 from itertools import groupby
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from boxframe.llm.common import map_arrow, slices
+from boxframe.llm.common import map_arrow, slices, worker_state
 
-CACHE = 500_000
+CACHE = 400_000
 COLUMNS = {
     "n_tokens": "bigint", "ids": "array<int>", "tokens": "array<string>", "decoded": "string",
     "ids_sha256": "string", "decoded_sha256": "string",
@@ -38,9 +39,11 @@ COLUMNS = {
 
 
 @cache
-def pre_token() -> re.Pattern:
-    """Pre-tokens, as the tokenizer files name them: contractions, letters, single numbers, others; white space is dropped.
+def patterns() -> tuple[re.Pattern, re.Pattern]:
+    """Pre-tokens, and what keeps a text from being plain.
 
+    Pre-tokens are split as the tokenizer files name them: contractions, letters, single numbers,
+    others; white space is dropped. A plain text is letters, white space and lone full stops and commas.
     The classes come from the standard library's Unicode tables, by which the
     letters of later Unicode versions are not letters yet.
     """
@@ -57,7 +60,20 @@ def pre_token() -> re.Pattern:
             codes = list(run)
             ranges[k].append(f"\\U{codes[0]:08x}-\\U{codes[-1]:08x}")
     letters, numbers, white = ("".join(ranges[k]) for k in "LNZ")
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{white}{letters}{numbers}]+")
+    # The alternatives begin with different letters but for the last, so the most frequent may come first.
+    return (re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{white}{letters}{numbers}]+"),
+            re.compile(f"[^{letters}{white}.,]|[.,][.,]"))
+
+
+def pre_tokens(text: str) -> list[str]:
+    """Pre-tokens of a normalised text. Plain texts and lines are split without the pattern, to the same result."""
+    token, odd = patterns()
+    if not odd.search(text):
+        return text.replace(".", " . ").replace(",", " , ").split()
+    out: list[str] = []
+    for line in text.split("\n"):
+        out += token.findall(line) if odd.search(line) else line.replace(".", " . ").replace(",", " , ").split()
+    return out
 
 
 @dataclass(frozen=True)
@@ -107,10 +123,11 @@ class Bpe:
         self.special = v.special
         self.split = re.compile("(" + "|".join(re.escape(s) for s in sorted(v.special, key=len, reverse=True)) + ")") if v.special else None
         self.name = {i: str(i) for i in self.token}
+        self.by_name = {self.name[i]: t for i, t in self.token.items()}
         self.complete = min(self.inner) >= 0 and min(self.last) >= 0
         # Two generations, so that frequent words outlive a full cache.
-        self.cache: dict[str, tuple[list[int], str, str]] = {}
-        self.old: dict[str, tuple[list[int], str, str]] = {}
+        self.cache: dict[str, str] = {}
+        self.old: dict[str, str] = {}
         self.limit = cache // 2
 
     def merge(self, ids: list[int]) -> list[int]:
@@ -181,8 +198,8 @@ class Bpe:
             low = tree[1]
         return [i for i in ids if i >= 0]
 
-    def word(self, word: str) -> tuple[list[int], str, str]:
-        """Ids, ids as text and tokens as text of one pre-token."""
+    def word(self, word: str) -> str:
+        """Ids of one pre-token, as text."""
         out = self.old.get(word)
         if out is None:
             out = self.encode_word(word)
@@ -192,36 +209,38 @@ class Bpe:
             self.cache[word] = out
         return out
 
-    def encode_word(self, word: str) -> tuple[list[int], str, str]:
+    def encode_word(self, word: str) -> str:
         raw = word.encode("utf-8", "surrogatepass")
         ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         ids = self.merge([i for i in ids if i >= 0])
-        return ids, " ".join([self.name[i] for i in ids]), " ".join([self.token[i] for i in ids])
+        return " ".join([self.name[i] for i in ids])
 
-    def pieces(self, text: str) -> list[tuple[list[int], str, str]]:
-        """What ``word`` returns for every pre-token of a whole text; pre-tokens without any known letter are left out."""
-        out: list[tuple[list[int], str, str]] = []
-        find = pre_token().findall
+    def names(self, text: str) -> str:
+        """Ids of a whole text, as text; pre-tokens without any known letter have none."""
+        out: list[str] = []
         for part in self.split.split(text) if self.split and "<" in text else (text,):
             if part in self.special:
-                out.append(([self.special[part]], str(self.special[part]), part))
+                out.append(str(self.special[part]))
                 continue
             if not unicodedata.is_normalized("NFC", part):
                 part = unicodedata.normalize("NFC", part)
             # Letter by letter: str.lower alone would write a final sigma by its context.
             get, word = self.cache.get, self.word
-            out += [get(w) or word(w) for w in find(part.replace("Σ", "σ").lower())]
-        return out if self.complete else [x for x in out if x[0]]
+            out += [get(w) or word(w) for w in pre_tokens(part.replace("Σ", "σ").lower())]
+        return " ".join(out if self.complete else [x for x in out if x])
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in self.pieces(text) for i in ids]
+        return [int(i) for i in self.names(text).split()]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by one space (files without a decoder); special tokens stay."""
-        return " ".join(self.token[i] for i in ids if i in self.token)
+        return self.decode_names(" ".join([str(i) for i in ids if i in self.token]))
+
+    def decode_names(self, names: str) -> str:
+        """``decode`` of ids given as text."""
+        return " ".join(map(self.by_name.__getitem__, names.split(" "))) if names else ""
 
 
-_BPE: dict[str, Bpe] = {}
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -234,24 +253,20 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(load(path))
-    mark = uuid4().hex
+    mark, decodes = uuid4().hex, any("decoded" in c or c == "tokens" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _BPE.get(mark)
-        if bpe is None:
-            _BPE.clear()
-            bpe = _BPE[mark] = Bpe(shared.value)
+        bpe = worker_state(mark, lambda: Bpe(shared.value))
         for batch in slices(batches, "__text"):
             out: dict[str, list] = {c: [] for c in columns}
             for text in batch.column(1).to_pylist():
-                got = bpe.pieces(text) if text else []
-                decoded = " ".join([x[2] for x in got])
-                names = " ".join([x[1] for x in got])
+                names = bpe.names(text) if text else ""
+                decoded = bpe.decode_names(names) if decodes else ""
                 for c in columns:
                     if c == "n_tokens":
                         out[c].append(names.count(" ") + bool(names))
                     elif c == "ids":
-                        out[c].append([i for x in got for i in x[0]])
+                        out[c].append(np.fromstring(names, np.int32, sep=" "))
                     elif c == "tokens":
                         out[c].append(decoded.split(" ") if decoded else [])
                     elif c == "decoded":

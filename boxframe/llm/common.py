@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 2_000
 BLANKS = " \t\n\x0b\x0c\r"
 
-__all__ = ["BLANKS", "WORD", "cut_lineage", "held_out", "map_arrow", "read_table", "slices", "small"]
+__all__ = ["BLANKS", "WORD", "cut_lineage", "held_out", "map_arrow", "read_table", "slices", "small", "worker_state"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +43,21 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+_STATE: dict[str, Any] = {}
+
+
+def worker_state(mark: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps for the tasks of one operator (a model with its caches).
+
+    Workers live on for other operators; one state at a time is kept, so that
+    memory does not add up over the stages of a job.
+    """
+    if mark not in _STATE:
+        _STATE.clear()
+        _STATE[mark] = make()
+    return _STATE[mark]
+
+
 def small(df: DataFrame, max_rows: int, name: str = "small") -> DataFrame:
     """``df`` written once, and marked for broadcast only if it has at most ``max_rows`` rows; else joins shuffle it."""
     stored = cut_lineage(df, name)

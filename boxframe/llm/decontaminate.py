@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.llm.common import map_arrow, slices
+from boxframe.llm.common import map_arrow, slices, worker_state
 
 WORDS = re.compile(r"[^\W_]+")
 BLOOM = 1 << 20
@@ -215,19 +215,13 @@ class Index:
         return [(d, self.ids[item], s, e - 1, distance) for (d, item), (distance, s, e) in sorted(found.items())]
 
 
-_INDEX: dict[str, Index] = {}
-
-
 def scan_block(docs: DataFrame, items: list[tuple[int, str]], how: Search, text_col: str) -> DataFrame:
     """``docs`` with ``__hits``: the block's items found in each row's text."""
     shared, mark = docs.sparkSession.sparkContext.broadcast(items), uuid4().hex
     names, column = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _INDEX.get(mark)
-        if index is None:
-            _INDEX.clear()
-            index = _INDEX[mark] = Index(shared.value, how)
+        index = worker_state(mark, lambda: Index(shared.value, how))
         get = index.vocabulary.get
         for batch in slices(batches, text_col, max_chars=8_000_000, max_rows=20_000):
             words, ends = [], []

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxframe.llm.common import held_out, map_arrow, slices
+from boxframe.llm.common import held_out, map_arrow, slices, worker_state
 
 WORDS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 18
@@ -289,7 +289,6 @@ class Labeller:
         return out
 
 
-_LABELLERS: dict[str, Labeller] = {}
 SPANS = "array<struct<lang:string,first:int,last:int>>"
 
 
@@ -303,12 +302,10 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     shared, mark = docs.sparkSession.sparkContext.broadcast(model), uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if shared.value is not None and mark not in _LABELLERS:
-            _LABELLERS.clear()
-            _LABELLERS[mark] = Labeller(shared.value)
+        labeller = worker_state(mark, lambda: Labeller(shared.value)) if shared.value is not None else None
         for batch in slices(batches, "__text", max_chars=1_000_000):
             texts = batch.column(1).to_pylist()
-            got = _LABELLERS[mark].label(texts, spans) if shared.value is not None else [(UNKNOWN, 0.0, [])] * len(texts)
+            got = labeller.label(texts, spans) if labeller else [(UNKNOWN, 0.0, [])] * len(texts)
             columns = [batch.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())]
             if spans:
                 columns.append(pa.array([x[2] for x in got], pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())]))))

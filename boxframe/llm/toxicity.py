@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.llm.common import held_out, map_arrow, slices
+from boxframe.llm.common import held_out, map_arrow, slices, worker_state
 
 #: Neutral terms for groups of people, by category. A term is swapped for others of its category.
 GROUPS = (
@@ -53,7 +53,7 @@ GROUPS = (
 WORDS = re.compile(r"[^\W\d_]+")
 BREAKS = re.compile(r"[.!?\n]+")
 SEGMENT = 40
-CACHE = 300_000
+CACHE = 150_000
 
 
 @dataclass(frozen=True)
@@ -233,9 +233,6 @@ class Scorer:
         return 1 / (1 + exp(-z)), " ".join(worst)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, ``keep`` columns, ``score`` (0 to 1) and ``worst`` (words of the most toxic segment) of every row.
 
@@ -248,10 +245,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _SCORERS.get(mark)
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[mark] = Scorer(shared.value)
+        scorer = worker_state(mark, lambda: Scorer(shared.value))
         for batch in slices(batches, names[at]):
             got = [scorer.score(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -89,3 +89,11 @@ def test_query(spark, library):
         want = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(want), hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_plain_texts_split_like_the_pattern():
+    rng = random.Random(12)
+    token, _ = bpe.patterns()
+    for _ in range(3000):
+        text = "".join(rng.choice("abéß .,\n\t\x1c\x85\xa0 '1!") if rng.random() < 0.3 else rng.choice("abc d.e, ") for _ in range(rng.randint(0, 30)))
+        assert bpe.pre_tokens(text) == token.findall(text), repr(text)
