@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from boxframe.llm.common import cut_lineage
@@ -130,27 +130,43 @@ def spans(voted: DataFrame, id_col: str = "doc_id", scan: Scan = Scan()) -> Data
     """Verified spans: row, id, template kind and number, first and last word, share of the template covered.
 
     A phrase's diagonal is a span if all its k-grams voted. A notice's
-    diagonals merge while they are at most ``drift`` apart and the next begins
-    no further than that beyond the words seen so far; the merged span must
-    cover ``min_share`` of the template's k-grams and be no longer than the
-    template with its missing part and drift.
+    diagonals are merged in three ways, and every merged span counts that
+    covers ``min_share`` of the template's k-grams and is no longer than the
+    template with its missing part and drift (spans of a notice may overlap):
+    all diagonals within ``drift`` of one; chains of diagonals in their order;
+    chains in the order of their first words, where the next begins no further
+    than ``drift`` beyond the words seen so far. A trigram that a template
+    repeats makes stray diagonals far from the notice's own; the first two ways
+    don't see them, whatever words stand between.
     """
     keys = ["__row", id_col, "n_words", "kind", "tmpl", "n_grams"]
     phrase = voted.filter((F.col("kind") == "b") & (F.col("votes") == F.col("n_grams"))).select(
         *keys, F.col("first_p").alias("first_word"), (F.col("last_p") + 1).alias("last_word"), F.lit(1.0).alias("share"))
-    w = Window.partitionBy("__row", "kind", "tmpl").orderBy("first_p", "diagonal")
+    same = Window.partitionBy("__row", "kind", "tmpl")
+    w, by_diagonal = same.orderBy("first_p", "diagonal"), same.orderBy("diagonal")
+    near = by_diagonal.rangeBetween(0, scan.drift)
     notice = voted.filter(F.col("kind") == "t")
     seen = F.max("last_p").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    apart = (F.abs(F.col("diagonal") - F.lag("diagonal").over(w)) > scan.drift) | (
-        F.col("first_p") > seen + scan.k + scan.drift)
-    merged = notice.withColumn("__new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn(
-        "__span", F.sum("__new").over(w)).groupBy(*keys, "__span").agg(
-        F.min("first_p").alias("first_word"), (F.max("last_p") + scan.k - 1).alias("last_word"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("__covered"))
+    far = {x: F.abs(F.col("diagonal") - F.lag("diagonal").over(x)) > scan.drift for x in (w, by_diagonal)}
+    apart = far[w] | (F.col("first_p") > seen + scan.k + scan.drift)
+    begun = notice.withColumns({"__new": F.coalesce(apart, F.lit(True)).cast("int"), "__own": F.coalesce(far[by_diagonal], F.lit(True)).cast("int")})
+
+    def covered(parts: Column) -> Column:
+        return F.size(F.array_distinct(F.flatten(parts)))
+
+    def chains(new: str, order: WindowSpec) -> DataFrame:
+        return begun.withColumn("__span", F.sum(new).over(order)).groupBy(*keys, "__span").agg(
+            F.min("first_p").alias("first_word"), (F.max("last_p") + scan.k - 1).alias("last_word"),
+            covered(F.collect_list("covered")).alias("__covered")).drop("__span")
+
+    around = notice.select(
+        *keys, F.min("first_p").over(near).alias("first_word"), (F.max("last_p").over(near) + scan.k - 1).alias("last_word"),
+        covered(F.collect_list("covered").over(near)).alias("__covered"))
+    merged = chains("__new", w).unionByName(chains("__own", by_diagonal)).unionByName(around)
     verified = merged.withColumn("share", F.col("__covered") / F.col("n_grams")).filter(
         (F.col("share") >= scan.min_share)
         & (F.col("last_word") - F.col("first_word") + 1 <= 1.5 * (F.col("n_grams") + scan.k - 1) + scan.drift))
-    return phrase.unionByName(verified.select(*keys, "first_word", "last_word", "share"))
+    return phrase.unionByName(verified.select(*keys, "first_word", "last_word", "share").distinct())
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scan: Scan = Scan()) -> DataFrame:

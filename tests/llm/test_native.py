@@ -121,6 +121,24 @@ def test_license_notices_with_edits(spark):
     assert got[1].labels == "" and got[2].labels == "cc-by,cc-by-nc" and got[3].labels == "bsd" and got[4].labels == ""
 
 
+def test_license_insertions_everywhere(spark):
+    """One word at every place of every longer notice, and two at many places of the three longest."""
+    texts, want = [], []
+    for label, notice in licenses.TEMPLATES:
+        words = notice.split()
+        if len(words) < 20:
+            continue
+        places = [(i,) for i in range(1, len(words))]
+        if label in ("mit", "apache", "gpl"):
+            places += [(i, j) for i in range(1, len(words), 3) for j in range(i + 1, len(words), 4)]
+        for at in places:
+            texts.append("foo " + " ".join(x for i, w in enumerate(words) for x in (["inserted"] * (i in at) + [w])) + " bar")
+            want.append(label)
+    voted = licenses.votes(rows(spark, texts).filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    found = {(r.doc_id, licenses.TEMPLATES[r.tmpl][0]) for r in licenses.spans(voted).filter("kind = 't'").collect()}
+    assert [i for i, x in enumerate(want) if (i, x) not in found] == []
+
+
 def test_fill_table_balanced_and_stable():
     a = sharding.fill_table([f"s{i}" for i in range(10)], 1009)
     b = sharding.fill_table([f"s{i}" for i in range(9)], 1009)
