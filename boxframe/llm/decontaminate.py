@@ -2,7 +2,9 @@
 
 A document is contaminated by a benchmark item if some stretch of its words is
 within edit distance ``(1 - similarity) * n`` of the item's n words (words:
-lower-cased runs of letters and digits).
+lower-cased runs of letters and digits; of scripts that don't put spaces
+between words, every letter). Items of fewer than ``Search.least`` words are
+searched without edits.
 
 1. Windows of the item's size are laid over every whole text. By the
    pigeonhole principle a stretch within k edits of n words holds a run of
@@ -37,7 +39,11 @@ from pyspark.sql import functions as F
 
 from boxframe.llm.common import map_arrow, slices, worker_state
 
-WORDS = re.compile(r"[^\W_]+")
+#: Letters of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u17dc\u17dd"
+            "\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
+            "\U00020000-\U000323af")
+WORDS = re.compile(rf"[^\W_{UNSPACED}]+|[{UNSPACED}]")
 BLOOM = 1 << 20
 SYMBOLS = 256  # words are hashed to so many symbols for the walk's random bits
 HIT = "array<struct<item:bigint,first:int,last:int,distance:int>>"
@@ -46,7 +52,7 @@ HIT = "array<struct<item:bigint,first:int,last:int,distance:int>>"
 @dataclass(frozen=True)
 class Search:
     similarity: float = 0.8
-    least: int = 5  # words an item must have
+    least: int = 5  # words an item must have to be searched with edits
     walks: int = 8
     tables: int = 6
     samples: int = 3
@@ -58,6 +64,11 @@ def edits_allowed(n: int, similarity: float) -> int:
     return int((1 - similarity) * n + 1e-9)
 
 
+def edits_of(n: int, how: Search) -> int:
+    """Edits allowed of an item of n words; short items are searched exactly."""
+    return edits_allowed(n, how.similarity) if n >= how.least else 0
+
+
 def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(distance, start, end) of the stretch of ``text`` nearest to ``item`` in edit distance; ties: the earliest end, then the longest."""
 
@@ -83,7 +94,7 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], how: Search) -> None:
         self.how, self.vocabulary = how, {}
         words = [(i, WORDS.findall((t or "").lower())) for i, t in items]
-        words = [(i, w) for i, w in words if len(w) >= how.least]
+        words = [(i, w) for i, w in words if w]
         self.ids = [i for i, _ in words]
         self.items = [np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in w], np.int64) for _, w in words]
         self.n = np.array([len(x) for x in self.items], np.int64)
@@ -103,7 +114,7 @@ class Index:
         self.mix = rng.integers(1, 1 << 62, how.samples + 1, dtype=np.int64) | 1
         # Seeds by run length: sorted keys, and for each key its (item size, offset) places.
         self.seeds = {}
-        run = [min(3, -(-(n - edits_allowed(n, how.similarity)) // (edits_allowed(n, how.similarity) + 1))) for n in self.n.tolist()]
+        run = [min(3, -(-(n - edits_of(n, how)) // (edits_of(n, how) + 1))) for n in self.n.tolist()]
         for q in sorted(set(run)):
             rows = [(*x[o : o + q].tolist(), len(x), o) for x, r in zip(self.items, run, strict=True) if r == q for o in range(len(x) - q + 1)]
             rows = np.unique(np.array(rows, np.int64), axis=0)
@@ -191,7 +202,7 @@ class Index:
         plain: dict[int, list[int]] = {}
         for window, item in np.unique(np.concatenate(pairs), axis=0).tolist():
             p, n, d = self.items[item], int(self.n[item]), int(text[window])
-            k = edits_allowed(n, self.how.similarity)
+            k = edits_of(n, self.how)
             first, last = int(starts[window]), int(starts[window]) + n
             lo, hi = int(begin[d]), int(ends[d])
             if lo <= first and last <= hi and np.array_equal(words[first:last], p):
@@ -250,7 +261,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, how: Search = Search(), text_col
     """``docs`` (all rows, all columns) with ``hits``: item, first and last word, edit distance of its best match, per item found.
 
     NULL and empty texts have none. Items with fewer than ``Search.least``
-    words or NULL text are not searched; repeated items are found each. A
+    words are found where all their words stand, in a row; items without words
+    or with NULL text are not searched; repeated items are found each. A
     column named like ``hits_col`` is replaced. Shuffles nothing; one pass over
     the texts per block of items.
     """

@@ -119,6 +119,20 @@ def test_edge_rows(spark):
     assert decontaminate.keep_clean(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_short_and_unspaced_items(spark):
+    """Items under the minimum are found exactly, those without spaces letter by letter."""
+    chinese, thai = "人工智能正在改变我们的世界", "ภาษาไทยไม่มีช่องว่าง"
+    items = [(1, "paris"), (2, "Forty two"), (3, "in the year 1815"), (4, chinese), (5, thai), (6, "東京")]
+    texts = ["He moved to Paris, then on.", "It is forty-two. Forty and two", "In the year of 1815", "x in the YEAR 1815 y", f"前言。{chinese}，结束。",
+             f"前言。{chinese[:5]}地{chinese[5:]}结束", f"x {thai}", "彼は東京に住む", "京東 parisian forty"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = decontaminate.scan(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = {r.doc_id: [(h.item, h.first, h.last, h.distance) for h in r.hits] for r in out}
+    assert got[0] == [(1, 3, 3, 0)] and got[1] == [(2, 2, 3, 0)] and got[2] == [] and got[3] == [(3, 1, 4, 0)]
+    assert got[4] == [(4, 2, 14, 0)] and [(i, n) for i, *_, n in got[5]] == [(4, 1)]
+    assert [(i, n) for i, *_, n in got[6]] == [(5, 0)] and got[7] == [(6, 2, 3, 0)] and got[8] == []
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     items = [(r.item_id, " ".join(decontaminate.WORDS.findall(r.text.lower()))) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
