@@ -1,15 +1,18 @@
 """Quality rules with risk-controlled thresholds, in DataFrame operations only.
 
-``measure`` takes the text measures of every whole text. ``certify`` picks, for
-every stratum and rule, a cutoff on labelled documents: candidates are
-quantiles of the good documents of a fitting half; on the other half an exact
-binomial test must show that the cutoff rejects at most ``max_reject / rules``
-of the good documents, at a level divided by the number of all tests made
-(strata x rules x candidates). The union bound over the rules then limits the
-false rejections of a whole stratum to ``max_reject``. Among the certified
-candidates the one that rejects most bad documents of the fitting half wins
-(ties: the loosest). A stratum without a certified cutoff rejects nothing by
-that rule.
+``measure`` takes the text measures of every whole text. ``certify`` picks
+cutoffs for every stratum on labelled documents. The documents of a fitting
+half give candidates: quantiles of the good documents (and a quartile of the bad
+ones beyond all good), from the loosest down, and among the rules of one
+quantile the one first that rejects most bad documents. Every step adds one
+candidate; on the other half an exact binomial test must show that all cutoffs
+so far together reject at most ``max_reject`` of the good documents. The steps are
+tested in this fixed sequence until one fails, so that only the number of
+strata divides the level. A stratum or rule without a certified cutoff rejects
+nothing.
+
+``judge`` tests strata that have too few good documents to certify anything as
+one stratum; the limit then holds for all of them together.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ RULES = ("symbols", "dup_lines", "repeats", "short_words", "long_words")
 class Risk:
     """Parameters of the certification."""
 
-    max_reject: float = 0.01  # of the good documents of a stratum
+    max_reject: float = 0.01  # of the good documents of a stratum, by all its rules together
     alpha: float = 0.05  # chance that any certified cutoff breaks its limit
     quantiles: tuple[float, ...] = (0.95, 0.98, 0.99, 0.995, 0.999, 1.0)
 
@@ -123,26 +126,46 @@ def certify(labelled: DataFrame, stratum: str, good: str = "good", fit: str = "f
     """
     stacked = labelled.select(stratum, good, fit, F.explode(F.map_from_arrays(
         F.array(*[F.lit(r) for r in RULES]), F.array(*[F.col(f"r_{r}") for r in RULES]))).alias("rule", "score"))
-    candidates = stacked.filter(F.col(fit) & F.col(good)).groupBy(stratum, "rule").agg(
-        F.percentile_approx("score", [float(q) for q in risk.quantiles], 100_000).alias("__q")).select(
-        stratum, "rule", F.array_distinct("__q").alias("cutoffs"))
-    # Counts per candidate in one pass: every row adds to the candidates below its score.
-    joined = stacked.join(small(candidates, MAX_BROADCAST, "candidates"), [stratum, "rule"]).select(
-        stratum, "rule", good, fit, "score", F.explode("cutoffs").alias("cutoff"))
-    over = F.col("score") > F.col("cutoff")
-    counted = joined.groupBy(stratum, "rule", "cutoff").agg(
-        F.count_if(~F.col(fit) & F.col(good)).alias("n_good"),
-        F.count_if(~F.col(fit) & F.col(good) & over).alias("n_rejected"),
-        F.count_if(F.col(fit) & ~F.col(good) & over).alias("bad_hit"))
-    total = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))  # one row per candidate: strata x rules x quantiles
-    tested = counted.withColumn("tests", total).withColumn(
-        "p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), risk.max_reject / len(RULES)))
-    ok = (F.col("p_value") * F.col("tests") <= risk.alpha) & (F.col("bad_hit") > 0)
-    best = F.max(F.when(ok, F.struct("bad_hit", "cutoff", "n_good", "n_rejected", "p_value"))).alias("b")
-    return tested.groupBy(stratum, "rule").agg(best).select(
+    levels = sorted({float(q) for q in risk.quantiles}, reverse=True)
+    fitting = stacked.filter(F.col(fit))
+    top = fitting.filter(F.col(good)).groupBy(stratum, "rule").agg(
+        F.percentile_approx("score", levels, 100_000).alias("__q"), F.max("score").alias("__top"))
+    top = cut_lineage(top, "quantiles")
+    beyond = fitting.filter(~F.col(good)).join(small(top, MAX_BROADCAST, "tops"), [stratum, "rule"]).filter(F.col("score") > F.col("__top")).groupBy(
+        stratum, "rule").agg(F.percentile_approx("score", 0.25, 100_000).alias("__loose"))
+    candidates = cut_lineage(top.join(beyond, [stratum, "rule"], "left").select(stratum, "rule", F.posexplode(
+        F.concat(F.array("__loose"), "__q")).alias("level", "cutoff")).filter("cutoff is not null"), "candidates")
+    hits = fitting.filter(~F.col(good)).join(small(candidates, MAX_BROADCAST, "levels"), [stratum, "rule"]).filter(F.col("score") > F.col("cutoff")).groupBy(
+        stratum, "rule", "level", "cutoff").agg(F.count("*").alias("bad_hit"))
+    order = Window.partitionBy(stratum).orderBy("level", F.desc("bad_hit"), "rule")
+    steps = cut_lineage(hits.withColumn("step", F.row_number().over(order)), "steps")
+    # Every good document of the holdout is rejected from one step on: cutoffs only get stricter.
+    table = steps.groupBy(F.col(stratum).alias("__s")).agg(F.collect_list(F.struct("rule", "cutoff", "step")).alias("__steps"))
+    scores = F.create_map(*[x for r in RULES for x in (F.lit(r), F.col(f"r_{r}"))])
+    held = labelled.filter(~F.col(fit) & F.col(good)).withColumn("__scores", scores).join(
+        small(table, MAX_BROADCAST, "steps-of"), F.col(stratum).eqNullSafe(F.col("__s"))).select(stratum, F.array_min(F.transform(F.filter(
+            "__steps", lambda x: F.col("__scores")[x["rule"]] > x["cutoff"]), lambda x: x["step"])).alias("step"))
+    rejected = held.groupBy(stratum, "step").agg(F.count("*").alias("__n"))
+    size = held.groupBy(stratum).agg(F.count("*").alias("n_good"))
+    strata = top.select(stratum).distinct().agg(F.count("*").alias("tests"))
+    so_far = Window.partitionBy(stratum).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    tested = steps.join(rejected, [stratum, "step"], "left").join(size, stratum).crossJoin(F.broadcast(strata)).withColumn(
+        "n_rejected", F.sum(F.coalesce("__n", F.lit(0))).over(so_far)).withColumn(
+        "p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), risk.max_reject))
+    passed = tested.withColumn("ok", F.min(F.col("p_value") * F.col("tests") <= risk.alpha).over(so_far)).filter("ok")
+    best = passed.groupBy(stratum, "rule").agg(F.max(F.struct("step", "cutoff", "n_good", "n_rejected", "p_value", "bad_hit")).alias("b"))
+    return top.select(stratum, "rule").join(best, [stratum, "rule"], "left").select(
         stratum, "rule", "b.cutoff", "b.n_good", "b.n_rejected", "b.p_value", "b.bad_hit")
 
 
+def pooled(labelled: DataFrame, stratum: str, good: str = "good", fit: str = "fit", risk: Risk = Risk()) -> DataFrame:
+    """The strata (column ``__own``) that are tested alone: even without a rejection, others have too few good documents of the holdout."""
+    counts = labelled.groupBy(F.col(stratum).alias("__own")).agg(F.count_if(~F.col(fit) & F.col(good)).alias("__n"))
+    tests = labelled.select(stratum).distinct().agg((F.count("*") + 1).alias("__t"))
+    return counts.crossJoin(F.broadcast(tests)).filter(
+        F.col("__n") * math.log1p(-risk.max_reject) <= F.log(risk.alpha / F.col("__t"))).select("__own")
+
+
 def apply_cutoffs(scored: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     """``rejected_by``: array of the rules whose certified cutoff the row exceeds (empty without a cutoff)."""
     table = cutoffs.filter(F.col("cutoff").isNotNull()).groupBy(F.col(stratum).alias("__s")).agg(
@@ -155,7 +178,8 @@ def apply_cutoffs(scored: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFr
 def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """Measures, base verdict and certified verdict of every row of ``docs`` (doc_id, text, lang).
 
-    Strata are the values of ``lang`` (NULL is one of its own). Labels count
+    Strata are the values of ``lang`` (NULL is one of its own); those with too
+    few labelled good documents are one. Labels count
     once per id (the smallest, if they differ); rows without a quality label
     only get the verdict. The measures are written once (numbers only) and
     read for certification and verdict.
@@ -167,6 +191,14 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     labelled = scored.join(marks, "doc_id").select(
         "stratum", *[f"r_{r}" for r in RULES], (F.col("quality") == 1).alias("good"),
         (F.crc32(F.concat(F.lit("fit"), F.col("doc_id").cast("string"))) % 2 == 0).alias("fit"))
-    cutoffs = certify(labelled, "stratum", risk=risk)
-    return apply_cutoffs(scored, cutoffs, "stratum").withColumn("base_failed", base_failed()).withColumn(
+    labelled = cut_lineage(labelled, "labelled")
+    alone = small(pooled(labelled, "stratum", risk=risk), MAX_BROADCAST, "alone")
+
+    def group(df: DataFrame) -> DataFrame:
+        """``stratum`` as certified: ``=`` and its own, or ``small`` for the small ones together."""
+        return df.join(alone, F.col("stratum") == F.col("__own"), "left").withColumn(
+            "stratum", F.when(F.col("__own").isNull(), F.lit("small")).otherwise(F.concat(F.lit("="), "__own"))).drop("__own")
+
+    cutoffs = cut_lineage(certify(group(labelled), "stratum", risk=risk), "cutoffs")
+    return apply_cutoffs(group(scored), cutoffs, "stratum").withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))

@@ -75,6 +75,21 @@ def test_certified_cutoffs_limit_false_rejection(spark):
     assert got["calm", "repeats"] is None  # rejects no bad document
 
 
+def test_few_good_documents_certify(spark):
+    """700 good documents of the holdout certify cutoffs; three small strata do together; the planted limit holds."""
+    sizes = {"big": 1400, "a": 500, "b": 500, "c": 500}
+    data = [(s, i % 10 != 0, i % 2 == 0, 0.3 if i % 10 == 0 else 0.0001 * (i % 7)) for s, n in sizes.items() for i in range(n * 10 // 9)]
+    data = [(s, g, (k // 10) % 2 == 0, x) for k, (s, g, _, x) in enumerate(data)]
+    labelled = spark.createDataFrame(data, "stratum string, good boolean, fit boolean, r_symbols double")
+    for r in quality.RULES[1:]:
+        labelled = labelled.withColumn(f"r_{r}", F.lit(0.0))
+    assert {r["__own"] for r in quality.pooled(labelled, "stratum").collect()} == {"big"}
+    got = {(r.stratum, r.rule): r.cutoff for r in quality.certify(labelled, "stratum").collect()}
+    assert 0.0 < got["big", "symbols"] < 0.3 and got["a", "symbols"] is None
+    together = labelled.withColumn("stratum", F.when(F.col("stratum") == "big", "big").otherwise("small"))
+    assert quality.certify(together, "stratum").filter("rule = 'symbols' and cutoff < 0.3").count() == 2
+
+
 def test_judge_edge_rows(spark):
     labels = spark.createDataFrame([(0, 1, 0), (1, None, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
     out = quality.judge(rows(spark), labels)
