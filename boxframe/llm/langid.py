@@ -8,7 +8,8 @@ Forward-backward gives the words' exact posteriors over whole texts; a text's
 language has the largest share of posterior mass, words weighted by letters.
 
 The fit is by gradient ascent on the likelihood of a bounded sample of labelled
-texts (``Fit.texts`` a language, chosen by the hash of their id). At first all
+texts (``Fit.texts`` a language, chosen by the hash of their id; all languages
+that are there). At first all
 words of a text bear its label; then each text's words are labelled anew by
 the model (leaning to the text's label), so that switches are learned.
 
@@ -45,8 +46,7 @@ class Fit:
     """Parameters of the fit."""
 
     texts: int = 250  # labelled texts per language, at most
-    words: int = 4_000  # words of each that are learned from, at most
-    languages: int = 100  # languages, at most; the most frequent ones
+    words: int = 4_000  # words of each that are learned from, about; of longer texts windows spread over the whole text
     steps: int = 14  # before and after the words are labelled anew
     rate: float = 0.3
     l2: float = 1e-6
@@ -143,6 +143,15 @@ def posteriors(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarr
     return post, there, text, first
 
 
+def windows_of(words: list[str], most: int) -> list[str]:
+    """``words``, or of a longer text windows of ``PIECE`` words (``most`` words in all, about), chosen by the hash of words and place."""
+    if len(words) <= most:
+        return words
+    starts = range(0, len(words), PIECE)
+    chosen = sorted(starts, key=lambda a: (crc32(" ".join([str(a), *words[a : a + PIECE]]).encode("utf-8", "surrogatepass")), a))
+    return [w for a in sorted(chosen[: max(1, most // PIECE)]) for w in words[a : a + PIECE]]
+
+
 def fit(texts: list[str], labels: list[str], how: Fit = Fit()) -> Model | None:
     """Fit on labelled texts; None if there is no word to learn from."""
     known = sorted(set(labels))
@@ -151,7 +160,7 @@ def fit(texts: list[str], labels: list[str], how: Fit = Fit()) -> Model | None:
     words, y, lengths = [], [], []
     seen = [Counter() for _ in known]
     for text, label in zip(texts, labels, strict=True):
-        found = WORDS.findall(text.lower())[: how.words]
+        found = windows_of(WORDS.findall(text.lower()), how.words)
         if not found:
             continue
         seen[number[label]].update(set(found))
@@ -215,7 +224,7 @@ def fit(texts: list[str], labels: list[str], how: Fit = Fit()) -> Model | None:
 def sample(docs: DataFrame, how: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str]]:
     """The bounded training sample: texts and labels of rows that are not held out, with a text and a language."""
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    sizes = usable.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(how.languages).collect()
+    sizes = usable.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).collect()
     texts, labels = [], []
     if not sizes:
         return texts, labels

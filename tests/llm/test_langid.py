@@ -5,8 +5,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from boxframe.llm import langid, queries
+from boxframe.llm.common import held_out
 from boxframe.llm.langid import Fit
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "zu"], "bb": ["ther", "ing", "wo", "sch"], "cc": ["éé", "ñu", "qui", "eau"]}
@@ -95,6 +97,18 @@ def test_switches():
     assert model.transitions.diagonal().min() > (model.transitions - 9 * np.eye(3)).max()
 
 
+def test_all_languages_and_whole_texts(spark):
+    """More than 100 languages are all in the sample; late words of a long text are learned."""
+    docs = spark.range(520).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), F.col("id")).alias("text"),
+                                   F.concat(F.lit("l"), (F.col("id") % 130).cast("string")).alias("lang"))
+    assert len(set(langid.sample(docs)[1])) == len({r.lang for r in docs.filter(~held_out(F.col("doc_id"))).collect()}) > 100
+    words = ["early"] * 10_000 + ["late"] * 10_000
+    some = langid.windows_of(words, 4_000)
+    assert 3_900 < len(some) <= 4_000 and 1_000 < some.count("late") < 3_000 and langid.windows_of(words[:50], 50) == words[:50]
+    model = langid.fit(["early " * 5_000 + "late " * 5_000, "other " * 50], ["a", "b"], Fit(steps=2))
+    assert "late" in model.lexicon
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
