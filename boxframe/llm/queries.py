@@ -7,15 +7,19 @@ table. Queries without SQL are tested against brute force in ``tests/llm``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import bpe, decontaminate, html_extract, langid, licenses, line_dedup, quality, sharding, simhash, toxicity
+from boxframe.llm import (bpe, byte_cnn, decontaminate, html_extract, langid, licenses, line_dedup, periodic, quality, sharding, simhash,
+                          toxicity, variants)
 from boxframe.llm.common import held_out, read_table
 
 #: Texts that score this much are toxic.
 TOXIC = 0.3
+#: Texts that score this much are good.
+QUALITY = 0.3
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: 64 shards for the placement query.
@@ -84,6 +88,45 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def looped(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """The words of one document in ten from word ``g % n`` on as a repeat of a period that the id's crc32 fixes."""
+    h = crc32(str(doc_id).encode("utf-8"))
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    block = words[a : a + p]
+    return words[:a] + (block * (-(-(n - a) // p)))[: n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return periodic.report(periodic.collapse(docs, least=12, rewrite=looped))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    net = byte_cnn.train(docs, read_table(spark, sf_dir, "labels"), "quality", ~held)
+    return byte_cnn.score(docs, net).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score",
+                                            F.when(F.col("score") >= QUALITY, 1).otherwise(0).alias("predicted"))
+
+
+def misspelt(doc_id: object, word: str) -> str:
+    """The word without one letter, for one (document, word) in 97 by their crc32."""
+    h = crc32(f"{'' if doc_id is None else doc_id}:{word}".encode("utf-8", "surrogatepass"))
+    if h % 97:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = variants.count_words(read_table(spark, sf_dir, "documents"), misspelt)
+    return variants.group_variants(counts, letters=5, occurrences=3, factor=2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
     "op2_toxicity": op2_toxicity,
@@ -95,6 +138,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {}

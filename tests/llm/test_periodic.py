@@ -1,0 +1,140 @@
+"""Periodic runs: against brute force on strings, tiles and whole tables; edge rows."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from boxframe.llm import periodic, queries
+from boxframe.llm.periodic import fragments
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(words, least=12):
+    """All runs by definition: maximal stretches per period, shorter periods first."""
+    n, seen, out = len(words), set(), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            start, length = i, j - i + q
+            if length >= max(least, 2 * q) and (start, length) not in seen:
+                seen.add((start, length))
+                out.append((start, q, length))
+            i = j
+    return sorted(out)
+
+
+def stitched(words, least, tile):
+    codes = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True)[1].astype(np.int32)
+    by: dict[int, list] = {}
+    for _, q, first, last in fragments([codes], least, tile):
+        by.setdefault(q, []).append((first, last))
+    out = []
+    for q, parts in by.items():
+        merged = []
+        for a, b in sorted(parts):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        out += [(a, q, b - a + q) for a, b in merged if b - a + q >= max(least, 2 * q)]
+    return sorted(out)
+
+
+def strings():
+    rng = random.Random(11)
+    fib = ["a", "ab"]
+    while len(fib[-1]) < 400:
+        fib.append(fib[-1] + fib[-2])
+    yield fib[-1]
+    yield "".join("ab"[bin(i).count("1") % 2] for i in range(512))
+    yield "a" * 300
+    yield "abcdefgaabcdefg" * 12
+    for letters, n in (("ab", 200), ("abc", 300), ("abcdefgh", 400)):
+        for _ in range(25):
+            s = [rng.choice(letters) for _ in range(n)]
+            for _ in range(rng.randrange(4)):  # planted repeats of any period, with faults
+                p, at = rng.randrange(1, 60), rng.randrange(n)
+                s[at : at + 4 * p] = (s[at : at + p] * 4)[: n - at]
+                if rng.random() < 0.5:
+                    s[rng.randrange(len(s))] = "z"
+            yield "".join(s)
+
+
+@pytest.mark.parametrize("least, tile", [(12, 16_384), (12, 16), (2, 16), (5, 64)])
+def test_against_brute_force(least, tile):
+    for s in strings():
+        assert stitched(list(s), least, tile) == brute(list(s), least), s
+
+
+def test_several_texts_share_an_array():
+    rng = random.Random(5)
+    texts = [np.array([rng.randrange(3) for _ in range(rng.randrange(0, 120))], np.int32) for _ in range(60)]
+    got: dict[int, set] = {}
+    for i, q, first, last in fragments(texts, 4):
+        got.setdefault(i, set()).add((first, q, last - first + q))
+    assert all(got.get(i, set()) == set(brute(t.tolist(), 4)) for i, t in enumerate(texts))
+
+
+def test_one_long_repeat_is_not_quadratic():
+    assert stitched(["a"] * 200_000, 12, 16_384) == [(0, 1, 200_000)]
+
+
+def expected(doc_id, text):
+    """The query's row, from the contract's words alone."""
+    words = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = brute(words)
+    gone = {i for s, q, m in runs for i in range(s + q, s + m)}
+    best = max(runs, key=lambda r: (r[2], -r[0], -r[1]), default=None)
+    lines = "".join(f"{s},{m},{q}\n" for s, q, m in runs)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    top = (best[0], best[2], best[1], 1000 * best[2] // best[1]) if best else (None,) * 4
+    return (doc_id, len(runs), *top, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def test_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    short = [r for r in docs if len((r.text or "").split()) < 1500]
+    assert len(short) > 150
+    got = {r.doc_id: tuple(r) for r in queries.op11_periodic_runs(spark, SF).collect()}
+    assert len(got) == len(docs)
+    assert sum(r[1] > 0 for r in got.values()) >= 10
+    for r in short:
+        assert got[r.doc_id] == expected(r.doc_id, r.text)
+
+
+def test_edge_rows(spark):
+    rep = "x y z " * 10
+    rows = [(1, None, 1), (2, "", 2), (3, " \t\n", 3), (4, rep, 4), (4, rep, 4), (4, "a b", 5), (None, rep, 6), (None, None, 7),
+            (5, "eins zwei " * 14, 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, period int")
+    got = sorted(((r.doc_id, [tuple(x) for x in r.runs], r.collapsed) for r in periodic.collapse(docs).collect()), key=str)
+    run = [(0, 3, 30)]
+    assert got == sorted([(1, [], ""), (2, [], ""), (3, [], ""), (4, run, "x y z"), (4, run, "x y z"), (4, [], "a b"),
+                          (None, run, "x y z"), (None, [], ""), (5, [(0, 1, 14)], "eins zwei")], key=str)
+    assert periodic.report(periodic.collapse(docs.limit(0))).collect() == []
+    none = periodic.report(periodic.collapse(docs.where("doc_id = 1"))).first()
+    assert (none.n_runs, none.start, none.runs_sha256) == (0, None, hashlib.sha256(b"").hexdigest())
+
+
+def test_runs_over_several_tiles(spark):
+    rng = random.Random(3)
+    block = [f"w{rng.randrange(10**6)}" for _ in range(700)]
+    text = " ".join([f"v{i}" for i in range(500)] + block * 5 + ["end"])
+    docs = spark.createDataFrame([("a", text)], "doc_id string, text string")
+    assert [tuple(r)[2:] for r in periodic.find_runs(docs, tile=256).collect()] == [(500, 700, 3500)]
