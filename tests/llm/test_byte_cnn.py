@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxframe.llm import byte_cnn, queries
-from boxframe.llm.byte_cnn import BLOCK, DIM, FILTERS, LEAD, PIECE, STEP, WIDTH, Fit, Network
+from boxframe.llm.byte_cnn import BLOCK, DIM, FILTERS, HIDDEN, LEAD, PIECE, STEP, WIDTH, Fit, Network
 
 SF = "/root/testdata/sf0.1"
 
@@ -16,7 +16,8 @@ SF = "/root/testdata/sf0.1"
 def network(seed=1):
     rng = np.random.default_rng(seed)
     net = Network(rng.normal(0, 0.5, (256, DIM)).astype(np.float32), rng.normal(0, 0.3, (WIDTH * DIM, FILTERS)).astype(np.float32),
-                  rng.normal(0, 0.1, FILTERS).astype(np.float32), rng.normal(0, 0.3, FILTERS).astype(np.float32), 0.2)
+                  rng.normal(0, 0.1, FILTERS).astype(np.float32), rng.normal(0, 0.2, (FILTERS + 2, HIDDEN)).astype(np.float32),
+                  rng.normal(0, 0.3, HIDDEN).astype(np.float32), 0.2)
     net.table[0] = 0
     return net
 
@@ -29,7 +30,9 @@ def plain(net, text):
     for c in range(max(1, blocks - 1)):
         end = min(blocks, c + 2) * BLOCK
         got = [net.table[list(data[s : s + WIDTH])].reshape(-1) @ net.filters for s in range(c * BLOCK, end, STEP)]
-        feats.append(np.maximum(np.max(got, axis=0) + net.shift, 0))
+        size = min(PIECE, len(text) + LEAD - c * BLOCK)
+        chunk = [*np.maximum(np.max(got, axis=0) + net.shift, 0), np.log1p(size) / 7, 1]
+        feats.append(np.maximum(chunk @ net.hidden, 0))
     return 1 / (1 + np.exp(-(np.mean(feats, axis=0) @ net.layer + net.bias)))
 
 
