@@ -1,12 +1,14 @@
 """COCO-style AP vs a plain-Python restatement of the greedy protocol on the smallest fixture."""
 
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
 from boxframe.operators import metrics as M
 from boxframe.operators.boxes import drop_invalid
-from boxframe.operators.coco import top_detections
+from boxframe.operators.coco import coco_winners, top_detections
+from boxframe.operators.components import label_components
 from tests.test_geometry import py_iou
 
 
@@ -100,3 +102,83 @@ def test_equal_ids_in_two_images(spark):
     det = spark.createDataFrame([("i", 1, "a", 0.9, 0, 0, 10, 10), ("j", 1, "a", 0.8, 50, 50, 60, 60)], kind.format("det_id", "score double, "))
     for matching in ("coco", "voc"):
         assert abs(M.average_precision(gt, det, [0.5], matching=matching).first().ap - 51 / 101) < 1e-9
+
+
+def _chain(n):
+    """Detection k overlaps boxes k and k+1, the latter better; each is rivalled by the one before."""
+    gt = [("img", k, "a", 10.0 * k, 0.0, 10.0 * k + 10, 10.0) for k in range(n + 1)]
+    det = [("img", k, "a", 1.0 - k / (10 * n), 10.0 * k + 5.2, 0.0, 10.0 * k + 15.2, 10.0) for k in range(n)]
+    return gt, det
+
+
+def _frames(spark, gt, det):
+    box = "xmin double, ymin double, xmax double, ymax double"
+    return (spark.createDataFrame(gt, f"ImageID string, box_id long, LabelName string, {box}"),
+            spark.createDataFrame(det, f"ImageID string, det_id long, LabelName string, score double, {box}"))
+
+
+def _jobs(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_a_long_chain_of_rivals_needs_no_more_jobs(spark):
+    counts = []
+    for n in (6, 200):
+        gt, det = _frames(spark, *_chain(n))
+        won, jobs = _jobs(spark, f"chain-{n}", lambda: coco_winners(gt, det, [0.2, 0.3], cell=None)[0].count())
+        counts.append((won, jobs))
+    assert counts[0][1] == counts[1][1]
+    assert counts[1][0] == 400
+
+
+def test_all_ways_of_playing_agree(spark):
+    """Groups, components and rounds give the plain greedy result, on crowded images with ties."""
+    rng = random.Random(9)
+    gt, det = [], []
+    for image in ("x", "y"):
+        for k in range(120):
+            x, y = rng.randrange(60), rng.randrange(12)
+            gt.append((image, k, "ab"[k % 2], float(x), float(y), x + 8.0, y + 8.0))
+            x, y = rng.randrange(60), rng.randrange(12)
+            det.append((image, k, "ab"[rng.randrange(2)], rng.randrange(6) / 6, float(x), float(y), x + 8.0, y + 8.0))
+    for k in range(40):  # many small components in one class
+        gt.append(("x", 1000 + k, "c", 20.0 * k, 0.0, 20.0 * k + 10, 10.0))
+        det.append(("x", 1000 + k, "c", 0.5, 20.0 * k + 1, 0.0, 20.0 * k + 10, 10.0))
+    g, d = _frames(spark, gt, det)
+    thresholds = [0.5, 0.2, 1.0, 0.35]
+    want = set()
+    for t in thresholds:
+        for image in ("x", "y"):
+            for label in "abc":
+                taken = set()
+                mine = [x for x in det if x[0] == image and x[2] == label]
+                for x in sorted(mine, key=lambda x: (-x[3], x[1])):
+                    best = max(((py_iou(b[3:], x[4:]), b[1]) for b in gt if b[0] == image and b[2] == label and b[1] not in taken), default=(0, 0))
+                    if best[0] >= min(t, 1 - 1e-10):
+                        taken.add(best[1])
+                        want.add((t, image, x[1]))
+    assert len(want) > 100
+    for bound in (200_000, 50, 3):
+        won = [tuple(r) for r in coco_winners(g, d, thresholds, cell=None, group_pairs=bound)[0].collect()]
+        assert len(won) == len(set(won)) and set(won) == want, bound
+
+
+def test_groups_over_several_arrow_batches(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        gt, det = _frames(spark, *_chain(60))
+        assert coco_winners(gt, det, [0.2], cell=None)[0].count() == 60
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 101), (102, 101), (7, 7), (200, 200)]
+    got = {r.node: r.root for r in label_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 51)}, 101: 100, 102: 100}
+    assert label_components(spark.createDataFrame([], "a long, b long")).collect() == []
