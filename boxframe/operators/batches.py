@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxframe.functions.hashing import hash_int32, hash_order_key
+from boxframe.operators.paging import rows_page  # noqa: F401 - pages belong to the batch interface
 from boxframe.operators.ranking import rank_by_hash
 
 
@@ -134,18 +135,6 @@ def assemble_batches(plan: DataFrame, item_cols: list[str], group_cols: list[str
     return agg.select(*g, F.size("items").alias("n_items"), "items")
 
 
-def rows_page(df: DataFrame, order_cols: list[str], start: int, size: int) -> DataFrame:
-    """Distinct rows among the first ``start + size`` of an ordered frame that are not among the first ``start``.
-
-    Every page is EXCEPT DISTINCT over whole rows (nested columns included), the first one too.
-    """
-    ordered = df.orderBy(*order_cols)
-    upto = ordered.limit(start + size)
-    if start == 0:
-        return upto.distinct()
-    return upto.subtract(ordered.limit(start))
-
-
 def partition_by_shard(plan: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Co-locate each shard's rows (``repartition`` on ``shard`` and ``extra``, e.g. epoch).
 

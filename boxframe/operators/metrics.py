@@ -198,13 +198,11 @@ def _weighted(u: DataFrame) -> DataFrame:
 
 def labelled_matches(gt: DataFrame, det: DataFrame, threshold: float = 0.5, **kw) -> DataFrame:
     """One-to-one matches (label-agnostic) carrying ``y_true`` and ``y_pred``."""
-    if kw.get("cell", "auto") == "auto":
+    if isinstance(kw.get("cell", "auto"), str):
         # decide the join strategy on the original frames (memoised), not the renamed ones
-        from boxframe.operators.pairs import choose_cell
-        from boxframe.operators.stats import memo
+        from boxframe.operators.pairs import auto_cell
 
-        box = ("xmin", "ymin", "xmax", "ymax")
-        kw["cell"] = memo("cell:ImageID", [gt, det], lambda: choose_cell(gt, det, "ImageID", box, box))
+        kw["cell"] = auto_cell(gt, det)
     pairs = overlap_pairs(
         gt.withColumnRenamed("LabelName", "y_true"), det.withColumnRenamed("LabelName", "y_pred"),
         gt_cols=("y_true",), det_cols=("y_pred",), **kw,

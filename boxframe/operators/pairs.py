@@ -7,21 +7,29 @@ replicated to the grid cells it covers and the join key is
 lower corner of its intersection, so each overlapping pair appears exactly
 once and non-overlapping boxes in far cells are never compared. The work is
 proportional to the boxes' cell coverage plus the pairs that really overlap.
+
+By default only images with very many candidate pairs take a grid, the others
+stay joined per image. That grid has a level per power of two: a box is
+entered in the cells of its own size (four at most), and probes the cells of
+the larger levels that its image has, four at most each. So boxes of any sizes
+meet in cells no smaller than the larger one, and no box is spread over many.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.functions.geometry import intersection, iou
-
-import math
+from boxframe.session import cut_lineage
 
 # The plain per-image join is used while the worst image's truth x prediction
 # candidates stay below this; beyond it the grid join takes over.
 MAX_CANDIDATES_PER_IMAGE = 1_000_000
 TARGET_BOXES_PER_CELL = 1_000
+MAX_BROADCAST_IMAGES = 100_000
 
 
 def choose_cell(gt: DataFrame, det: DataFrame, key: str, gt_box, det_box,
@@ -63,6 +71,39 @@ def _with_cells(df: DataFrame, box: tuple[str, str, str, str], cell: float, pref
     return d
 
 
+def hot_images(gt: DataFrame, det: DataFrame, key: str = "ImageID",
+               max_candidates: int = MAX_CANDIDATES_PER_IMAGE) -> DataFrame | None:
+    """``_k``: the images of more than ``max_candidates`` truth x prediction candidates, as a written table; ``None`` without any."""
+    sides = gt.select(F.col(key).alias("_k"), F.lit(1).alias("_g")).unionByName(det.select(F.col(key).alias("_k"), F.lit(0).alias("_g")))
+    per = sides.groupBy("_k").agg(F.sum("_g").alias("g"), F.count(F.lit(1)).alias("n"))
+    hot = cut_lineage(per.where(F.col("g") * (F.col("n") - F.col("g")) > max_candidates).select("_k"), "hot-images")
+    found = hot.limit(MAX_BROADCAST_IMAGES + 1).count()
+    if not found:
+        return None
+    return F.broadcast(hot) if found <= MAX_BROADCAST_IMAGES else hot
+
+
+def _level(box: tuple[str, str, str, str]):
+    x0, y0, x1, y1 = (F.col(c) for c in box)
+    return F.ceil(F.log2(F.greatest(x1 - x0, y1 - y0, F.lit(1.0)))).cast("int")
+
+
+def level_cells(df: DataFrame, box: tuple[str, str, str, str], levels: DataFrame, image: str, prefix: str) -> DataFrame:
+    """Boxes of hot images with their cells: ``{prefix}l, {prefix}x, {prefix}y`` and ``{prefix}own`` at the box's own level.
+
+    ``levels`` has the levels of each image (``_k, _levels``). A box gets at
+    most four cells of each level from its own upwards.
+    """
+    x0, y0, x1, y1 = (F.col(c) for c in box)
+    d = df.where((x1 > x0) & (y1 > y0)).withColumn("_own", _level(box))
+    d = d.join(levels.select(F.col("_k").alias("_image"), "_levels"), F.col(image) == F.col("_image")).drop("_image")
+    d = d.withColumn(f"{prefix}l", F.explode(F.filter("_levels", lambda x: x >= F.col("_own")))).drop("_levels")
+    c = F.pow(F.lit(2.0), F.col(f"{prefix}l"))
+    d = d.withColumn(f"{prefix}own", F.col(f"{prefix}l") == F.col("_own")).drop("_own")
+    d = d.withColumn(f"{prefix}x", F.explode(F.sequence(F.floor(x0 / c), F.ceil(x1 / c) - 1)))
+    return d.withColumn(f"{prefix}y", F.explode(F.sequence(F.floor(y0 / c), F.ceil(y1 / c) - 1)))
+
+
 def overlap_pairs(
     gt: DataFrame,
     det: DataFrame,
@@ -74,19 +115,18 @@ def overlap_pairs(
     same: str | None = None,
     gt_cols: tuple[str, ...] = (),
     det_cols: tuple[str, ...] = (),
-    cell: float | str | None = "auto",
+    cell: float | str | None | DataFrame = "auto",
 ) -> DataFrame:
     """Pairs ``(key, gt_id, det_id, iou, *gt_cols, *det_cols)`` with intersection > 0.
 
     ``same`` adds an equality on that column (e.g. the class label).
     Column names of ``gt_cols`` and ``det_cols`` must differ. ``cell``:
-    ``"auto"`` decides with ``choose_cell``, ``None`` joins per image, a
-    number uses a grid of that cell size.
+    ``"auto"`` looks for hot images and gives them levelled grids, a frame of
+    ``hot_images`` does so for these images, ``None`` joins per image, a number
+    uses one grid of that cell size for all.
     """
-    if cell == "auto":
-        from boxframe.operators.stats import memo
-
-        cell = memo(f"cell:{key}", [gt, det], lambda: choose_cell(gt, det, key, gt_box, det_box))
+    if isinstance(cell, str):
+        cell = auto_cell(gt, det, key)
     g = gt.select(
         F.col(key).alias("_k"),
         F.col(gt_id).alias(gt_id),
@@ -103,16 +143,41 @@ def overlap_pairs(
     )
     a = tuple(F.col(f"_g{i}") for i in range(4))
     b = tuple(F.col(f"_d{i}") for i in range(4))
-    cond = g["_k"] == d["_k2"]
-    if cell is not None:
+
+    def meet(g: DataFrame, d: DataFrame, *extra) -> DataFrame:
+        cond = g["_k"] == d["_k2"]
+        for e in extra:
+            cond = cond & e
+        if same:
+            cond = cond & (g["_gs"] == d["_ds"])
+        j = g.join(d, cond & (intersection(a, b) > 0), "inner")
+        return j.select(F.col("_k").alias(key), gt_id, det_id, iou(a, b).alias("iou"), *gt_cols, *det_cols)
+
+    def corner(c, x: str, y: str) -> list:
+        """The cell of the intersection's lower corner: each pair is kept once."""
+        return [F.floor(F.greatest(a[0], b[0]) / c) == F.col(x), F.floor(F.greatest(a[1], b[1]) / c) == F.col(y)]
+
+    if cell is None:
+        return meet(g, d)
+    if not isinstance(cell, DataFrame):
         g = _with_cells(g, ("_g0", "_g1", "_g2", "_g3"), cell, "_g")
         d = _with_cells(d, ("_d0", "_d1", "_d2", "_d3"), cell, "_d")
-        c = F.lit(float(cell))
-        cond = cond & (g["_gcx"] == d["_dcx"]) & (g["_gcy"] == d["_dcy"])
-        # the cell of the intersection's lower corner: each pair is kept once
-        cond = cond & (F.floor(F.greatest(a[0], b[0]) / c) == g["_gcx"]) & (F.floor(F.greatest(a[1], b[1]) / c) == g["_gcy"])
-    if same:
-        cond = cond & (g["_gs"] == d["_ds"])
-    cond = cond & (intersection(a, b) > 0)
-    j = g.join(d, cond, "inner")
-    return j.select(F.col("_k").alias(key), gt_id, det_id, iou(a, b).alias("iou"), *gt_cols, *det_cols)
+        return meet(g, d, g["_gcx"] == d["_dcx"], g["_gcy"] == d["_dcy"], *corner(F.lit(float(cell)), "_gcx", "_gcy"))
+    rest = meet(g.join(cell, "_k", "left_anti"), d.join(cell, F.col("_k2") == F.col("_k"), "left_anti"))
+    g_hot, d_hot = g.join(cell, "_k", "left_semi"), d.join(cell, F.col("_k2") == F.col("_k"), "left_semi")
+    sizes = g_hot.select("_k", _level(("_g0", "_g1", "_g2", "_g3")).alias("l")).unionByName(
+        d_hot.select(F.col("_k2").alias("_k"), _level(("_d0", "_d1", "_d2", "_d3")).alias("l")))
+    levels = cut_lineage(sizes.groupBy("_k").agg(F.collect_set("l").alias("_levels")), "hot-levels")
+    g_hot = level_cells(g_hot, ("_g0", "_g1", "_g2", "_g3"), levels, "_k", "_g")
+    d_hot = level_cells(d_hot, ("_d0", "_d1", "_d2", "_d3"), levels, "_k2", "_d")
+    # At the larger box's own level, and there only, one of the two is at home.
+    hot = meet(g_hot, d_hot, g_hot["_gl"] == d_hot["_dl"], g_hot["_gx"] == d_hot["_dx"], g_hot["_gy"] == d_hot["_dy"],
+               g_hot["_gown"] | d_hot["_down"], *corner(F.pow(F.lit(2.0), F.col("_gl")), "_gx", "_gy"))
+    return rest.unionByName(hot)
+
+
+def auto_cell(gt: DataFrame, det: DataFrame, key: str = "ImageID") -> DataFrame | None:
+    """``hot_images``, remembered per input plan: it only chooses between ways to the same pairs."""
+    from boxframe.operators.stats import memo
+
+    return memo(f"hot:{key}", [gt, det], lambda: hot_images(gt, det, key))

@@ -162,15 +162,27 @@ def q_write_images(fx):
     return status.select("ImageID", "ok", "error").join(sums, "ImageID", "left")
 
 
+# Pixel boxes by the size of the image as decoded, which is what the job scales by.
+_SCALED_PX = _PX + """,
+scaled_px as (select ImageID, greatest(0, cast(sign(px0) * floor(abs(px0)) as int)) as xmin,
+                     greatest(0, cast(sign(py0) * floor(abs(py0)) as int)) as ymin,
+                     least(299, cast(sign(px1) * floor(abs(px1)) as int)) as xmax,
+                     least(299, cast(sign(py1) * floor(abs(py1)) as int)) as ymax
+              from (select b.ImageID, b.XMin * p.w * (cast(299 as double) / p.w) as px0, b.YMin * p.h * (cast(299 as double) / p.h) as py0,
+                           b.XMax * p.w * (cast(299 as double) / p.w) as px1, b.YMax * p.h * (cast(299 as double) / p.h) as py1
+                    from boxes b join px p on p.ImageID = b.ImageID
+                    where b.ImageID not in (select ImageID from boxes where XMin is null)) t)"""
+
+
 @register(
     "preprocess",
-    views=["boxes", "scaled", "image_meta"],
-    extra_ctes=_PX,
+    views=["boxes", "image_meta"],
+    extra_ctes=_SCALED_PX,
     sql="""
 select s.ImageID, count(*) as n_boxes, cast(sum(s.xmin + 2 * s.ymin + 3 * s.xmax + 4 * s.ymax) as bigint) as coordinates,
        cast(null as varchar) as error,
        cast(max(case when not p.pattern then 299 * 299 * (p.b // (p.w * p.h)) end) as bigint) as b
-from scaled s join px p on p.ImageID = s.ImageID where not p.corrupt group by s.ImageID
+from scaled_px s join px p on p.ImageID = s.ImageID where not p.corrupt group by s.ImageID
 union all
 select b.ImageID, cast(null as bigint), cast(null as bigint),
        case when max(case when p.corrupt then 1 else 0 end) = 1 then 'failed to decode image' else 'null or NaN coordinate' end,

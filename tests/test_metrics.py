@@ -148,3 +148,37 @@ def test_cumulative_counts_distributed_path(fx):
     for img in sorted(per):
         running += per[img]
         assert a[img][3] == running
+
+
+def test_levelled_grid_for_hot_images_only(spark):
+    """Boxes of very different sizes; one hot image leaves the others joined per image."""
+    import random
+
+    from boxframe.operators.pairs import _level, hot_images, level_cells, overlap_pairs
+
+    rng = random.Random(6)
+
+    def boxes(image, n, first):
+        out = []
+        for k in range(n):
+            size = rng.choice([0.4, 2.0, 3.0, 8.0, 40.0, 300.0])
+            x, y = rng.uniform(-50, 250), rng.uniform(-50, 250)
+            out.append((image, first + k, "ab"[k % 2], x, y, x + size * rng.uniform(0.2, 1), y + size))
+        return out
+
+    schema = "ImageID string, {} long, LabelName string, xmin double, ymin double, xmax double, ymax double"
+    rows = boxes("hot", 200, 0) + boxes("cold", 30, 1000) + [("hot", 900, "a", 5.0, 5.0, 5.0, 9.0), (None, 901, "a", 0.0, 0.0, 1.0, 1.0)]
+    gt = spark.createDataFrame(rows, schema.format("box_id"))
+    det = spark.createDataFrame(boxes("hot", 200, 0) + boxes("cold", 30, 1000) + boxes("alone", 3, 2000), schema.format("det_id"))
+    hot = hot_images(gt, det, max_candidates=5_000)
+    assert [r["_k"] for r in hot.collect()] == ["hot"] and hot_images(gt, det) is None
+    for same in (None, "LabelName"):
+        plain = sorted(tuple(r) for r in overlap_pairs(gt, det, same=same, cell=None).collect())
+        grid = sorted(tuple(r) for r in overlap_pairs(gt, det, same=same, cell=hot).collect())
+        assert len(plain) > 1000 and grid == plain
+    box = ("xmin", "ymin", "xmax", "ymax")
+    levels = gt.where("ImageID = 'hot'").groupBy(F.col("ImageID").alias("_k")).agg(F.collect_set(_level(box)).alias("_levels"))
+    cells = level_cells(gt.where("ImageID = 'hot'"), box, levels, "ImageID", "_g")
+    most = cells.groupBy("box_id", "_gl").count().agg(F.max("count")).first()[0]
+    assert 1 <= most <= 4
+    assert cells.where("_gown").groupBy("box_id").count().count() == 200  # the box without extent meets nothing

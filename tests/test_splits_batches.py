@@ -175,3 +175,38 @@ def test_two_level_offsets(spark):
         last[g] = last.get(g, 0) + 1
         want.add((k, last[g], 1000))
     assert got[0] == want
+
+
+def _plain_pages(rows, start, size):
+    before, upto = rows[:start], rows[: start + size]
+    return sorted(set(upto) - set(before))
+
+
+def test_pages_by_rank_selection(spark):
+    """Pages agree with slices of the sorted rows, however narrow the search must get."""
+    import random
+
+    rng = random.Random(3)
+    rows = sorted((rng.choice(["a", "b", "c", "d"]), rng.randrange(40)) for _ in range(900))
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "s string, k int")
+    for start, size in ((0, 25), (300, 40), (880, 100), (900, 5), (5000, 5), (10, 0)):
+        for few in (20_000, 30):
+            got = sorted(tuple(r) for r in rows_page(df, ["s", "k"], start, size, few=few).collect())
+            assert got == _plain_pages(rows, start, size), (start, size, few)
+
+
+def test_pages_are_disjoint_with_ties_and_nulls(spark):
+    rows = [(None, i) for i in range(20)] + [(1.5, i) for i in range(50)] + [(2.0, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k double, v int")
+    pages = [[tuple(r) for r in rows_page(df, ["k"], s, 15, few=5).collect()] for s in range(0, 105, 15)]
+    assert sorted((x for p in pages for x in p), key=str) == sorted(rows, key=str)
+    assert all(r[0] is None for r in pages[0]) and len(pages[-1]) == 10
+
+
+def test_a_deep_page_has_no_single_task(spark):
+    df = spark.range(0, 300_000, 1, 6).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
+    page = rows_page(df, ["k", "id"], 100_000, 50)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "TakeOrdered" not in plan and "GlobalLimit" not in plan
+    want = [r.id for r in df.orderBy("k", "id").offset(100_000).limit(50).collect()]
+    assert sorted(r.id for r in page.collect()) == sorted(want)
