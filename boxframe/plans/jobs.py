@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from boxframe.operators import boxes as B
 from boxframe.operators import metrics as M
 from boxframe.operators.batches import epoch_plan, partition_by_shard, plan_batches
-from boxframe.operators.images import encode_png, image_rows, image_session_conf, write_images
+from boxframe.operators.fetch import NOT_FOUND, decode_png, fetch_and_write, image_paths
+from boxframe.operators.images import arrow_batches, encode_png, image_rows, write_images
 from boxframe.operators.labels import build_vocabulary, training_targets
 from boxframe.operators.listing import parse_image_list, rejected_lines
 from boxframe.operators.presence import missing_images, with_existing_images
 from boxframe.operators.split import split_by_hash
 from boxframe.operators.transfer import copy_objects, transfer_summary
 from boxframe.session import cut_lineage
-from boxframe.sources.readers import list_objects, read_annotations, read_image_list, read_images
+from boxframe.sources.readers import read_annotations, read_image_list, read_images, walk_objects
 from boxframe.sources.sinks import write_processed, write_quarantine
 
 
@@ -31,14 +32,15 @@ from boxframe.sources.sinks import write_processed, write_quarantine
 
 
 def download_job(spark: SparkSession, list_path: str, src_root: str, dst_root: str, manifest_path: str,
-                 ext: str = ".jpg", strict: bool = False) -> DataFrame:
+                 ext: str = ".jpg", strict: bool = False, options: dict | None = None) -> DataFrame:
     """Parse the image list, copy the objects, write the manifest; returns the per-split summary.
 
-    Rejected lines are written next to the manifest (``{manifest_path}_rejected``).
+    ``options`` configures the stores (unsigned reads, for one; see
+    ``sources.fs.arrow_fs``). Rejected lines are written next to the manifest (``{manifest_path}_rejected``).
     """
     lines = read_image_list(spark, list_path)
     parsed = parse_image_list(lines, "value", strict=strict)
-    copy_objects(parsed, src_root, dst_root, ext=ext).write.mode("overwrite").parquet(manifest_path)
+    copy_objects(parsed, src_root, dst_root, ext=ext, options=options).write.mode("overwrite").parquet(manifest_path)
     rejected_lines(lines, "value", strict=strict).write.mode("overwrite").parquet(f"{manifest_path}_rejected")
     return transfer_summary(spark.read.parquet(manifest_path))
 
@@ -63,6 +65,8 @@ def preprocess_job(
     ext_in: str = ".jpg",
     ext_out: str = ".png",
     encoder=encode_png,
+    decoder=None,
+    options: dict | None = None,
 ) -> PreprocessOutput:
     """Annotations + images -> resized images, pixel boxes (processed table) and a quarantine table.
 
@@ -71,14 +75,25 @@ def preprocess_job(
     written goes to quarantine as a whole. Every image is decoded once: one
     pass resizes, encodes and writes it and reports its size and status, and
     that small table serves boxes and quarantine. ``encoder`` must give the
-    bytes that ``ext_out`` promises.
+    bytes that ``ext_out`` promises; ``options`` configures the stores.
+
+    With a ``decoder`` (bytes to BGR array), or PNGs, images are read by key in
+    the task that resizes them, so no pixels are joined or shuffled. Other
+    formats without a ``decoder`` are decoded by Spark's image source, whose
+    rows are joined to the wanted ids.
     """
-    image_session_conf(spark)
     ann = read_annotations(spark, csv_path)
-    pixels = image_rows(read_images(spark, image_dir), ext=ext_in)
     # ids only on the annotation side; images with a bad coordinate are looked at but not written
     wanted = ann.groupBy("ImageID").agg((~F.max(B.bad_coordinate())).alias("wanted"))
-    status = cut_lineage(write_images(pixels.join(wanted, "ImageID"), resized_dir, ext_out, size, encoder, "wanted"), "written")
+    with arrow_batches(spark):
+        if decoder or ext_in == ".png":
+            rows = image_paths(wanted.where("ImageID is not null"), image_dir, ext_in)
+            written = fetch_and_write(rows, resized_dir, ext_out, size, encoder, decoder or decode_png, options)
+        else:
+            pixels = image_rows(read_images(spark, image_dir), ext=ext_in)
+            written = write_images(pixels.join(wanted, "ImageID"), resized_dir, ext_out, size, encoder, "wanted", options)
+        status = cut_lineage(written, "written")
+    status = status.where(~F.col("error").eqNullSafe(NOT_FOUND))
     scaled = B.scale_boxes(ann, status.select("ImageID", "width", "height", "error"), size)
     write_processed(B.to_processed(scaled.result, resized_dir.rstrip("/") + "/", ext=ext_out), output_path)
     write_quarantine(scaled.quarantine, quarantine_path)
@@ -115,6 +130,7 @@ def prepare_training_job(
     seed: int = 42,
     train_fraction: float = 0.8,
     image_ext: str = ".png",
+    options: dict | None = None,
 ) -> dict[str, DataFrame]:
     """Keep images that exist, build the vocabulary, encode targets, split, and plan batches.
 
@@ -123,7 +139,7 @@ def prepare_training_job(
     ``missing_images`` under ``out_dir``.
     """
     processed = spark.read.parquet(processed_path)
-    listing = list_objects(spark, image_dir, ext=image_ext)
+    listing = walk_objects(spark, image_dir, ext=image_ext, stores=options)
     present = with_existing_images(processed, listing)
     out: dict[str, DataFrame] = {}
 

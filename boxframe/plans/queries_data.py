@@ -408,16 +408,16 @@ group by p.shard, p.batch_no
 """,
 )
 def q_loader_batches(fx):
-    """What a training loader takes: the plan joined with targets and tensors, one row per batch."""
+    """What a training loader takes: the plan joined with targets, one row per batch, and the tensors read by its task."""
     from boxframe.operators.batches import assemble_batches
-    from boxframe.operators.images import to_tensor_columns
+    from boxframe.operators.fetch import load_batches
     from boxframe.operators.labels import build_vocabulary, training_targets
-    from boxframe.plans.queries_images import _pixels
+    from boxframe.plans.queries_images import _rendered
 
     valid = B.drop_invalid(fx.scaled)
     targets = training_targets(valid, build_vocabulary(valid))
-    rows = _plan(fx).select("ImageID", "shard", "batch_no", "pos").join(targets, "ImageID").join(to_tensor_columns(_pixels(fx)), "ImageID")
-    batches = assemble_batches(rows, ["ImageID", "boxes", "labels", "shape", "tensor"])
+    rows = _plan(fx).select("ImageID", "shard", "batch_no", "pos").join(targets, "ImageID")
+    batches = load_batches(assemble_batches(rows, ["ImageID", "boxes", "labels"]), _rendered(fx)).where("n_items > 0")
 
     def total(of):
         return F.aggregate("items", F.lit(0).cast("bigint"), lambda a, i: a + of(i))
@@ -428,7 +428,7 @@ def q_loader_batches(fx):
     return batches.select(
         "shard", "batch_no", "n_items", total(boxes).alias("box_sum"),
         total(lambda i: F.aggregate(i["labels"], F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("label_sum"),
-        total(lambda i: F.size(i["tensor"]).cast("bigint")).alias("n_values"))
+        F.aggregate("tensors", F.lit(0).cast("bigint"), lambda a, t: a + F.size(t)).alias("n_values"))
 
 
 @register(
@@ -535,6 +535,22 @@ def q_page_subtract(fx):
     return page.select("ImageID", F.size("Annotations").cast("bigint").alias("n_boxes"))
 
 
+@register(
+    "box_page",
+    views=["scaled"],
+    sql="""
+select ImageID, box_id, xmin, LabelName from scaled
+order by xmin, LabelName, ImageID, box_id limit 500 offset (select count(*) // 2 from scaled)
+""",
+)
+def q_box_page(fx):
+    """A page from the middle of all boxes, by rank selection in parts of 2,000 rows."""
+    from boxframe.operators.batches import rows_page
+
+    rows = fx.scaled.select("ImageID", "box_id", "xmin", "LabelName")
+    return rows_page(rows, ["xmin", "LabelName", "ImageID", "box_id"], rows.count() // 2, 500, few=2_000)
+
+
 @register(
     "loss_by_epoch",
     views=["training_log"],

@@ -67,6 +67,15 @@ def q_iou_pairs(fx):
     return _pairs(fx).select("ImageID", "box_id", "det_id", "iou")
 
 
+@register("iou_pairs_crowded", views=_EV, extra_ctes=f"{_VALID},\n{_PAIRS}", sql="select ImageID, box_id, det_id, iou from pairs")
+def q_iou_pairs_crowded(fx):
+    """Images of over 16 candidate pairs (about half of them) on levelled grids, the others joined per image."""
+    from boxframe.operators.pairs import hot_images, overlap_pairs
+
+    gt, det = _gt(fx), fx.detections
+    return overlap_pairs(gt, det, cell=hot_images(gt, det, max_candidates=16)).select("ImageID", "box_id", "det_id", "iou")
+
+
 @register("best_iou", views=_EV, extra_ctes=f"{_VALID},\n{_PAIRS},\n{_BEST}", sql="select ImageID, box_id, best_iou from best")
 def q_best_iou(fx):
     return M.best_iou(_gt(fx), _pairs(fx))
@@ -283,3 +292,18 @@ def q_overlay_rows(fx):
 def q_map_coco(fx):
     ap = M.average_precision(_gt(fx), fx.detections, matching="coco")
     return ap.groupBy("iou_thr").agg(F.round(F.avg("ap"), 6).alias("map"))
+
+
+@register(
+    "map_coco_components",
+    views=_EV,
+    extra_ctes=_ap_ctes(_THR10, _COCO_WIN),
+    recursive=True,
+    sql="select iou_thr, count(*) as n_won from win group by iou_thr",
+)
+def q_map_coco_components(fx):
+    """Wins by threshold with groups of two pairs at most: the rest is cut into components, and those over it played in rounds."""
+    from boxframe.operators.coco import coco_winners
+
+    won, _ = coco_winners(_gt(fx), fx.detections, M.IOU_THRESHOLDS, group_pairs=2)
+    return won.groupBy("iou_thr").agg(F.count(F.lit(1)).alias("n_won"))

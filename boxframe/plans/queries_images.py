@@ -88,6 +88,35 @@ def q_list_objects(fx):
 _RESIZED = "cast(299 * 299 * (c // (w * h)) as bigint)"
 
 
+@register("walk_objects", views=list(_META), sql="""
+select ImageID as image_id, ImageID || '.png' as name from image_meta
+""")
+def q_walk_objects(fx):
+    """The folder as tasks list it, by a data source whose partitions are folders."""
+    from boxframe.sources.readers import walk_objects
+
+    return walk_objects(fx.spark, _rendered(fx), ext=".png").select("image_id", F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
+@register("fetch_images", views=list(_META), extra_ctes=_PX, sql="""
+select ImageID, case when not corrupt then h end as height, case when not corrupt then w end as width,
+       case when corrupt then null when gray then 1 when alpha then 4 else 3 end as nChannels,
+       case when corrupt then 'failed to decode image' end as error,
+       case when not corrupt then cast(b as bigint) end as b, case when not corrupt then cast(g as bigint) end as g,
+       case when not corrupt then cast(r as bigint) end as r
+from px
+""")
+def q_fetch_images(fx):
+    """As ``read_images``, but listed, read and decoded by tasks."""
+    from boxframe.fixture_images import channel_sums
+    from boxframe.operators.fetch import fetch_images
+    from boxframe.sources.readers import walk_objects
+
+    paths = walk_objects(fx.spark, _rendered(fx), ext=".png").select(F.col("image_id").alias("ImageID"), "path")
+    px = fetch_images(paths)
+    return px.select("ImageID", "height", "width", "nChannels", "error").join(channel_sums(px), "ImageID")
+
+
 @register(
     "resize_images",
     views=list(_META),
@@ -336,10 +365,10 @@ from px where ImageID in (select ImageID from scaled) and not corrupt
 """,
 )
 def q_training_images(fx):
-    """Rows joined with their pixels, which are then read by a query."""
+    """Ids joined to paths; the pixels are read by the task that sums them."""
     from boxframe.fixture_images import channel_sums
-    from boxframe.operators.presence import join_images
+    from boxframe.operators.fetch import fetch_images, image_paths
 
-    px = _pixels(fx).where(F.col("error").isNull()).select("ImageID", "height", "width", "nChannels", "data")
-    joined = join_images(fx.scaled.select("ImageID").distinct(), px, "ImageID", "inner")
+    ids = fx.scaled.select("ImageID").distinct()
+    joined = fetch_images(image_paths(ids, _rendered(fx), ".png")).where(F.col("error").isNull())
     return joined.select("ImageID", "height", "width").join(channel_sums(joined), "ImageID")
