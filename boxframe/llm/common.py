@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -40,7 +42,24 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     rows = int(spark.conf.get(BATCH_CONF))
     if not 0 < rows <= BATCH_ROWS:
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
+
+
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: Python workers live on, idle, beside other operators' tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 _STATE: dict[str, Any] = {}
@@ -64,7 +83,7 @@ def small(df: DataFrame, max_rows: int, name: str = "small") -> DataFrame:
     return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4_000_000,
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 1_000_000,
            max_rows: int = 2_000) -> Iterator[pa.RecordBatch]:
     """Cut batches into pieces of bounded rows and bounded text, so a task's memory does not follow the batch size.
 

@@ -36,6 +36,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from boxframe.llm.common import map_arrow, slices, worker_state
 
@@ -46,7 +48,11 @@ UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u0edc-\u0edf\u1000-\u103f\u
 WORDS = re.compile(rf"[^\W_{UNSPACED}]+|[{UNSPACED}]")
 BLOOM = 1 << 20
 SYMBOLS = 256  # words are hashed to so many symbols for the walk's random bits
-HIT = "array<struct<item:bigint,first:int,last:int,distance:int>>"
+
+
+def hit_type(item: str) -> str:
+    """Type of a row's hits; ``item``: type of the item ids."""
+    return f"array<struct<item:{item},first:int,last:int,distance:int>>"
 
 
 @dataclass(frozen=True)
@@ -226,10 +232,10 @@ class Index:
         return [(d, self.ids[item], s, e - 1, distance) for (d, item), (distance, s, e) in sorted(found.items())]
 
 
-def scan_block(docs: DataFrame, items: list[tuple[int, str]], how: Search, text_col: str) -> DataFrame:
+def scan_block(docs: DataFrame, items: list[tuple], how: Search, text_col: str, id_type: DataType) -> DataFrame:
     """``docs`` with ``__hits``: the block's items found in each row's text."""
     shared, mark = docs.sparkSession.sparkContext.broadcast(items), uuid4().hex
-    names, column = docs.columns, docs.columns.index(text_col)
+    names, column, id_kind = docs.columns, docs.columns.index(text_col), to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = worker_state(mark, lambda: Index(shared.value, how))
@@ -249,10 +255,10 @@ def scan_block(docs: DataFrame, items: list[tuple[int, str]], how: Search, text_
             for d, item, first, last, distance in index.search(flat, at + 3):
                 assert 0 <= first and last < at[d] - begin[d] + 3
                 hits[d].append({"item": item, "first": first, "last": min(last, int(at[d] - begin[d]) - 1), "distance": distance})
-            kind = pa.list_(pa.struct([("item", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("distance", pa.int32())]))
+            kind = pa.list_(pa.struct([("item", id_kind), ("first", pa.int32()), ("last", pa.int32()), ("distance", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], [*names, "__hits"])
 
-    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.dtypes], f"`__hits` {HIT}"])
+    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.dtypes], f"`__hits` {hit_type(id_type.simpleString())}"])
     return map_arrow(docs, run, schema)
 
 
@@ -262,17 +268,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, how: Search = Search(), text_col
 
     NULL and empty texts have none. Items with fewer than ``Search.least``
     words are found where all their words stand, in a row; items without words
-    or with NULL text are not searched; repeated items are found each. A
+    or with NULL text are not searched; repeated items are found each. Item ids
+    may be of any simple type. A
     column named like ``hits_col`` is replaced. Shuffles nothing; one pass over
     the texts per block of items.
     """
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("t is not null")
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).filter("t is not null")
+    id_type = items.schema["i"].dataType
     blocks = max(1, -(-items.count() // how.block))
-    out = docs.select(*[c for c in docs.columns if c != hits_col]).withColumn("__all", F.array().cast(HIT))
+    out = docs.select(*[c for c in docs.columns if c != hits_col]).withColumn("__all", F.array().cast(hit_type(id_type.simpleString())))
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b) if blocks > 1 else items
-        rows = sorted({(r.i, r.t) for r in part.collect()}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        out = scan_block(out, rows, how, text_col).withColumn("__all", F.concat("__all", "__hits")).drop("__hits")
+        rows = sorted({(r.i, r.t) for r in part.collect()}, key=lambda x: (x[0] is None, 0 if x[0] is None else x[0], x[1]))
+        out = scan_block(out, rows, how, text_col, id_type).withColumn("__all", F.concat("__all", "__hits")).drop("__hits")
     return out.withColumnRenamed("__all", hits_col)
 
 

@@ -66,7 +66,7 @@ def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
     """Buckets of a lower-cased word."""
     framed = f"^{word}$"
     names = [f"w{word}", *[f"p{word[:k]}" for k in (1, 2, 3)], *[f"s{word[-k:]}" for k in (1, 2, 3)]]
-    names += [framed[i : i + 3] for i in range(min(len(word), 40))]
+    names += [framed[i : i + 3] for i in range(len(word))]
     names += [f"l{k}" for k in lexicon.get(word, ())]
     return [crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
 

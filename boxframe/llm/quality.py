@@ -12,7 +12,9 @@ strata divides the level. A stratum or rule without a certified cutoff rejects
 nothing.
 
 ``judge`` tests strata that have too few good documents to certify anything as
-one stratum; the limit then holds for all of them together.
+one stratum. The limit then holds for all of them together, so a member takes a
+pooled cutoff only on evidence of its own: at least ``Risk.member`` labelled good
+documents, none of which is beyond the cutoff. Strata without labels reject nothing.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ class Risk:
 
     max_reject: float = 0.01  # of the good documents of a stratum, by all its rules together
     alpha: float = 0.05  # chance that any certified cutoff breaks its limit
+    member: int = 30  # labelled good documents that a stratum must have to take a cutoff certified with others
     quantiles: tuple[float, ...] = (0.95, 0.98, 0.99, 0.995, 0.999, 1.0)
 
 
@@ -147,12 +150,12 @@ def certify(labelled: DataFrame, stratum: str, good: str = "good", fit: str = "f
             "__steps", lambda x: F.col("__scores")[x["rule"]] > x["cutoff"]), lambda x: x["step"])).alias("step"))
     rejected = held.groupBy(stratum, "step").agg(F.count("*").alias("__n"))
     size = held.groupBy(stratum).agg(F.count("*").alias("n_good"))
-    strata = top.select(stratum).distinct().agg(F.count("*").alias("tests"))
+    tests = top.select(stratum).distinct().count()
     so_far = Window.partitionBy(stratum).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    tested = steps.join(rejected, [stratum, "step"], "left").join(size, stratum).crossJoin(F.broadcast(strata)).withColumn(
+    tested = steps.join(rejected, [stratum, "step"], "left").join(size, stratum).withColumn(
         "n_rejected", F.sum(F.coalesce("__n", F.lit(0))).over(so_far)).withColumn(
         "p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), risk.max_reject))
-    passed = tested.withColumn("ok", F.min(F.col("p_value") * F.col("tests") <= risk.alpha).over(so_far)).filter("ok")
+    passed = tested.withColumn("ok", F.min(F.col("p_value") * tests <= risk.alpha).over(so_far)).filter("ok")
     best = passed.groupBy(stratum, "rule").agg(F.max(F.struct("step", "cutoff", "n_good", "n_rejected", "p_value", "bad_hit")).alias("b"))
     return top.select(stratum, "rule").join(best, [stratum, "rule"], "left").select(
         stratum, "rule", "b.cutoff", "b.n_good", "b.n_rejected", "b.p_value", "b.bad_hit")
@@ -161,9 +164,20 @@ def certify(labelled: DataFrame, stratum: str, good: str = "good", fit: str = "f
 def pooled(labelled: DataFrame, stratum: str, good: str = "good", fit: str = "fit", risk: Risk = Risk()) -> DataFrame:
     """The strata (column ``__own``) that are tested alone: even without a rejection, others have too few good documents of the holdout."""
     counts = labelled.groupBy(F.col(stratum).alias("__own")).agg(F.count_if(~F.col(fit) & F.col(good)).alias("__n"))
-    tests = labelled.select(stratum).distinct().agg((F.count("*") + 1).alias("__t"))
-    return counts.crossJoin(F.broadcast(tests)).filter(
-        F.col("__n") * math.log1p(-risk.max_reject) <= F.log(risk.alpha / F.col("__t"))).select("__own")
+    tests = labelled.select(stratum).distinct().count() + 1
+    return counts.filter(F.col("__n") * math.log1p(-risk.max_reject) <= math.log(risk.alpha / tests)).select("__own")
+
+
+def member_cutoffs(labelled: DataFrame, pool: DataFrame, stratum: str, good: str = "good", risk: Risk = Risk()) -> DataFrame:
+    """``stratum, rule, cutoff``: the pooled cutoffs (``pool``: rule, cutoff) that each stratum of ``labelled`` may take.
+
+    A stratum needs ``risk.member`` good documents, of both halves, all of them within the cutoff.
+    """
+    tops = labelled.filter(F.col(good)).groupBy(stratum).agg(
+        F.count("*").alias("__n"), *[F.max(f"r_{r}").alias(f"r_{r}") for r in RULES]).filter(F.col("__n") >= risk.member)
+    stacked = tops.select(stratum, F.explode(F.map_from_arrays(
+        F.array(*[F.lit(r) for r in RULES]), F.array(*[F.col(f"r_{r}") for r in RULES]))).alias("rule", "__top"))
+    return stacked.join(pool.select("rule", "cutoff"), "rule").filter(F.col("__top") <= F.col("cutoff")).select(stratum, "rule", "cutoff")
 
 
 def apply_cutoffs(scored: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
@@ -179,7 +193,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """Measures, base verdict and certified verdict of every row of ``docs`` (doc_id, text, lang).
 
     Strata are the values of ``lang`` (NULL is one of its own); those with too
-    few labelled good documents are one. Labels count
+    few labelled good documents are certified as one (``member_cutoffs``). Labels count
     once per id (the smallest, if they differ); rows without a quality label
     only get the verdict. The measures are written once (numbers only) and
     read for certification and verdict.
@@ -199,6 +213,9 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
         return df.join(alone, F.col("stratum") == F.col("__own"), "left").withColumn(
             "stratum", F.when(F.col("__own").isNull(), F.lit("small")).otherwise(F.concat(F.lit("="), "__own"))).drop("__own")
 
-    cutoffs = cut_lineage(certify(group(labelled), "stratum", risk=risk), "cutoffs")
-    return apply_cutoffs(group(scored), cutoffs, "stratum").withColumn("base_failed", base_failed()).withColumn(
+    cutoffs = cut_lineage(certify(group(labelled), "stratum", risk=risk).filter("cutoff is not null"), "cutoffs")
+    own = cutoffs.filter(F.col("stratum").startswith("=")).select(F.expr("substring(stratum, 2)").alias("stratum"), "rule", "cutoff")
+    rest = labelled.join(alone, F.col("stratum") == F.col("__own"), "left_anti")
+    taken = member_cutoffs(rest, cutoffs.filter("stratum = 'small'"), "stratum", risk=risk)
+    return apply_cutoffs(scored, cut_lineage(own.unionByName(taken), "own-cutoffs"), "stratum").withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))

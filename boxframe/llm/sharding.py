@@ -65,15 +65,16 @@ def place(docs: DataFrame, shards: Sequence[str], key: str = "doc_id", size: int
     """
     spark = docs.sparkSession
     table = fill_table(shards, size)
-    lookup = spark.createDataFrame([(s, shards[k]) for s, k in enumerate(table)], "__slot int, __shard string")
+    lookup = spark.createDataFrame([(s, shards[k]) for s, k in enumerate(table)], "slot int, shard string")
     kept = [c for c in docs.columns if c not in (slot_col, shard_col)]
-    keyed = docs.select(*kept, slot_of(F.col(key), size).alias("__at"))
-    return keyed.join(F.broadcast(lookup), F.col("__at") == F.col("__slot")).select(
-        *kept, F.col("__at").alias(slot_col), F.col("__shard").alias(shard_col))
+    # own names: none can clash
+    keyed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], slot_of(F.col(f"`{key}`"), size).alias("at"))
+    return keyed.join(F.broadcast(lookup), F.col("at") == F.col("slot")).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], F.col("at").alias(slot_col), F.col("shard").alias(shard_col))
 
 
 def write_shards(placed: DataFrame, path: str, parts_per_shard: int = 8, shard_col: str = "shard") -> None:
-    """One folder per shard, each written by ``parts_per_shard`` tasks."""
-    part = (F.rand(seed=7) * parts_per_shard).cast("int")
+    """One folder per shard, each written by ``parts_per_shard`` tasks; rows are dealt by their hash, so a task that runs again gets the same."""
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in placed.columns]), F.lit(parts_per_shard)).cast("int")
     placed.withColumn("__part", part).repartition(F.col(shard_col), F.col("__part")).drop("__part").write.partitionBy(
         shard_col).parquet(path)

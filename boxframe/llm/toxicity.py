@@ -66,7 +66,7 @@ class Fit:
     rate: float = 0.5
     l2: float = 2e-4
     swap: float = 0.5  # weight of the counterfactual penalty
-    swaps: int = 3  # swapped copies per group term
+    swaps: int = 16  # swapped copies per group term, at most; categories have fewer terms, so every other one is swapped in
     support: int = 5  # texts that must hold a bucket
     clear: float = 3.0  # pooled standard errors between the classes' rates of a bucket
     least: float = 0.01  # smaller weights become zero

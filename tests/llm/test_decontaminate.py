@@ -142,3 +142,10 @@ def test_query(spark):
     assert verbatim and {k for k, v in got.items() if v == 0} == verbatim
     sizes = {i: len(x.split()) for i, x in items}
     assert all(v <= edits_allowed(sizes[i], 0.8) for (_, i), v in got.items())
+
+
+def test_items_of_any_id_type(spark):
+    docs = spark.createDataFrame([(1, "say the quick brown fox jumps over it"), (2, "nothing here")], "doc_id bigint, text string")
+    items = spark.createDataFrame([("x-1", "the quick brown fox jumps"), (None, "nothing"), ("y", None)], "item_id string, text string")
+    got = {r.doc_id: [h["item"] for h in r.hits] for r in decontaminate.scan(docs, items).collect()}
+    assert got == {1: ["x-1"], 2: [None]}

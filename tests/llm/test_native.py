@@ -194,3 +194,125 @@ def test_write_shards(spark, tmp_path):
     placed = sharding.place(spark.range(500).withColumnRenamed("id", "doc_id"), ["a", "b"], size=11)
     sharding.write_shards(placed, str(tmp_path / "out"), 2)
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().count() == 2
+
+
+def test_place_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, 2, 3, 4, 5)], "doc_id bigint, __slot int, __at int, __shard int, at int")
+    row = sharding.place(docs, ["a"]).first()
+    assert (row["__slot"], row["__at"], row["__shard"], row["at"], row["shard"]) == (2, 3, 4, 5, "a")
+
+
+def test_query_places_every_document(spark):
+    sf = "/root/testdata/sf0.001"
+    table = sharding.fill_table(queries.SHARDS, sharding.TABLE_SIZE)
+    rows = queries.op8_sharding(spark, sf).collect()
+    slots = {r.doc_id: r.s for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", sharding.slot_of(F.col("doc_id")).alias("s")).collect()}
+    assert len(rows) == len(slots) and all(r.slot == slots[r.doc_id] and r.shard == queries.SHARDS[table[r.slot]] for r in rows)
+
+
+def brute_verdicts(docs, marks, risk):
+    """``doc -> set of rules that reject it``, by the docstring of ``quality``: docs are (id, stratum, scores by rule)."""
+    fit = {d: zlib_crc32(f"fit{d}") % 2 == 0 for d, _, _ in docs}
+    good = {d: marks[d] == 1 for d, _, _ in docs if d in marks}
+    lab = [(d, s, x) for d, s, x in docs if d in marks]
+
+    def tail(k, n, p):
+        return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) if k <= n * p else 1.0
+
+    def certify(groups):
+        out = {}
+        for members in groups.values():
+            tops = {}
+            for r in quality.RULES:
+                fitting = sorted(x[r] for d, x in members if fit[d] and good[d])
+                if not fitting:
+                    continue
+                levels = [fitting[max(0, math.ceil(q * len(fitting)) - 1)] for q in sorted(risk.quantiles, reverse=True)]
+                beyond = sorted(x[r] for d, x in members if fit[d] and not good[d] and x[r] > fitting[-1])
+                cands = ([beyond[max(0, math.ceil(0.25 * len(beyond)) - 1)]] if beyond else []) + levels
+                tops[r] = cands
+            steps = []
+            for r, cands in tops.items():
+                for level, c in enumerate(cands):
+                    hit = sum(x[r] > c for d, x in members if fit[d] and not good[d])
+                    if hit:
+                        steps.append((level if len(cands) > len(risk.quantiles) else level, -hit, r, c))
+            steps.sort()
+            held = [x for d, x in members if not fit[d] and good[d]]
+            found = {}
+            for k in range(len(steps)):
+                gone = sum(any(x[r] > c for _, _, r, c in steps[: k + 1]) for x in held)
+                if not held or tail(gone, len(held), risk.max_reject) * len(groups) > risk.alpha:
+                    break
+                found[steps[k][2]] = steps[k][3]
+            out[id(members)] = found
+        return {g: out[id(m)] for g, m in groups.items()}
+
+    strata = {s for _, s, _ in lab}
+    alone = {s for s in strata if sum(not fit[d] and good[d] for d, t, _ in lab if t == s) * math.log1p(-risk.max_reject) <= math.log(risk.alpha / (len(strata) + 1))}
+    groups = {}
+    for d, s, x in lab:
+        groups.setdefault(s if s in alone else "(small)", []).append((d, x))
+    cut = certify(groups)
+    own = {s: cut[s] for s in alone}
+    for s in strata - alone:
+        mine = [x for d, t, x in lab if t == s and good[d]]
+        own[s] = {r: c for r, c in cut["(small)"].items() if len(mine) >= risk.member and max(x[r] for x in mine) <= c}
+    return {d: {r for r, c in own.get(s, {}).items() if x[r] > c} for d, s, x in docs}
+
+
+def zlib_crc32(text):
+    import zlib
+
+    return zlib.crc32(text.encode())
+
+
+def test_judge_against_brute_force(spark):
+    """Cutoffs, ``rejected_by`` and ``kept``: a big stratum, pooled ones, one whose good documents the pooled cutoff would reject, one without labels."""
+    import random
+
+    rng = random.Random(12)
+    rows, marks = [], {}
+
+    def add(lang, n, long_words, bad, labelled=True):
+        for _ in range(n):
+            d, worse = len(rows), rng.random() < bad
+            words = ["w" * rng.randint(20, 30) if long_words else "w" * rng.randint(3, 7) + rng.choice("abcdef") for _ in range(rng.randint(25, 40))]
+            if worse:
+                words = [w + "#$%"[: rng.randint(1, 3)] * rng.randint(2, 5) for w in words]
+            rows.append((d, " ".join(words + [f"x{d}"]), lang))
+            if labelled:
+                marks[d] = 0 if worse else 1
+
+    add("en", 1500, False, 0.1)
+    for lang in ("es", "de", "fr"):
+        add(lang, 700, False, 0.1)
+    add("xx", 120, True, 0.0)  # long words, labelled good
+    add("yy", 60, True, 0.0, labelled=False)
+    add("zz", 10, False, 0.5)  # too few to say anything
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame(list(marks.items()), "doc_id bigint, quality int")
+    risk = quality.Risk()
+    scored = quality.with_rules(quality.measure(docs, keep=("lang",))).collect()
+    want = brute_verdicts([(r.doc_id, r.lang, {x: r[f"r_{x}"] for x in quality.RULES}) for r in scored], marks, risk)
+    got = quality.judge(docs, labels, risk).collect()
+    assert {r.doc_id: set(r.rejected_by) for r in got} == want
+    assert all(r.kept == (not r.base_failed and not r.rejected_by) for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r.lang, []).append(bool(r.rejected_by))
+    assert sum(by["en"]) > 100 and sum(by["es"]) > 30
+    assert not any(by["yy"]) and not any(by["zz"])
+    assert sum(by["xx"]) <= 1
+
+
+def test_query_keeps_and_rejects(spark):
+    """The query's verdict on the labelled 0.1 GB table against the same brute force."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality is not None}
+    scored = quality.with_rules(quality.measure(docs, keep=("lang",))).collect()
+    want = brute_verdicts([(r.doc_id, r.lang, {x: r[f"r_{x}"] for x in quality.RULES}) for r in scored], marks, quality.Risk())
+    got = queries.op3_quality_rules(spark, sf).collect()
+    assert {r.doc_id: {x for x in r.rejected_by.split(",") if x} for r in got} == want
+    assert all(r.kept == (not r.base_failed and not r.rejected_by) for r in got)
