@@ -22,9 +22,11 @@ from boxframe.operators.labels import build_vocabulary, training_targets
 from boxframe.operators.listing import parse_image_list, rejected_lines
 from boxframe.operators.presence import missing_images, with_existing_images
 from boxframe.operators.split import split_by_hash
-from boxframe.operators.transfer import copy_objects, transfer_summary
+from boxframe.operators.transfer import transfer_summary
+from boxframe.schemas import MANIFEST
 from boxframe.session import cut_lineage
-from boxframe.sources.readers import read_annotations, read_image_list, read_images, walk_objects
+from boxframe.sources.copy_sink import copy_with_manifest
+from boxframe.sources.readers import read_image_list, read_images, split_annotations, walk_objects
 from boxframe.sources.sinks import write_processed, write_quarantine
 
 
@@ -40,9 +42,10 @@ def download_job(spark: SparkSession, list_path: str, src_root: str, dst_root: s
     """
     lines = read_image_list(spark, list_path)
     parsed = parse_image_list(lines, "value", strict=strict)
-    copy_objects(parsed, src_root, dst_root, ext=ext, options=options).write.mode("overwrite").parquet(manifest_path)
+    spark.createDataFrame([], MANIFEST).write.mode("overwrite").parquet(manifest_path)  # this run's rows alone
+    manifest = copy_with_manifest(parsed, src_root, dst_root, manifest_path, ext=ext, options=options)
     rejected_lines(lines, "value", strict=strict).write.mode("overwrite").parquet(f"{manifest_path}_rejected")
-    return transfer_summary(spark.read.parquet(manifest_path))
+    return transfer_summary(manifest)
 
 
 # ----------------------------------------------------------------- E2 preprocess
@@ -81,8 +84,14 @@ def preprocess_job(
     the task that resizes them, so no pixels are joined or shuffled. Other
     formats without a ``decoder`` are decoded by Spark's image source, whose
     rows are joined to the wanted ids.
+
+    Lines that don't fit the annotation schema are written to
+    ``{quarantine_path}_lines`` as they stand.
     """
-    ann = read_annotations(spark, csv_path)
+    ann, rejects = split_annotations(spark, csv_path)
+    rejects.write.mode("overwrite").parquet(f"{quarantine_path}_lines")
+    # A line that can't be read is a box without coordinates: its image goes to quarantine as a whole.
+    ann = ann.unionByName(rejects.select("ImageID", *[F.lit(None).cast("double").alias(c) for c in ann.columns[1:5]], F.lit(None).cast("string").alias("LabelName")))
     # ids only on the annotation side; images with a bad coordinate are looked at but not written
     wanted = ann.groupBy("ImageID").agg((~F.max(B.bad_coordinate())).alias("wanted"))
     with arrow_batches(spark):

@@ -320,6 +320,53 @@ def q_read_annotations(fx):
     return read_annotations(fx.spark, path)
 
 
+_LINE = ("case when box_id % 50 = 7 then ImageID || ',12,abc,13,14,/m/x' when box_id % 50 = 9 then ImageID || ',12'"
+         " when box_id % 50 = 11 then ImageID || ',1,2,3,4,/m/y,more' else ImageID || ',1,2,3,4,' || LabelName end")
+
+
+@register(
+    "annotation_rejects",
+    views=["boxes"],
+    extra_ctes=f"lines as (select ImageID, box_id % 50 in (7, 9, 11) as bad, {_LINE} as line from boxes)",
+    sql="""
+select ImageID, count(*) filter (where not bad) as n_good, count(*) filter (where bad) as n_rejected,
+       min(line) filter (where bad) as first_line
+from lines group by ImageID
+""",
+)
+def q_annotation_rejects(fx):
+    """A CSV with malformed numbers and wrong numbers of fields: what is parsed, and what is kept as it stands."""
+    from boxframe.sources.readers import split_annotations
+
+    head = "ImageID,XMin,YMin,XMax,YMax,LabelName"
+    path = _stored_text(fx, "faulty_csv", lambda p: fx.boxes.selectExpr(f"{_LINE} as value").sortWithinPartitions("value").withColumnRenamed(
+        "value", head).write.mode("overwrite").option("header", True).option("quote", "").csv(p))
+    good, rejects = split_annotations(fx.spark, path)
+    rows = good.select("ImageID", F.lit(None).cast("string").alias("line")).unionByName(rejects)
+    return rows.groupBy("ImageID").agg(F.count_if(F.col("line").isNull()).alias("n_good"), F.count("line").alias("n_rejected"),
+                                       F.min("line").alias("first_line"))
+
+
+@register(
+    "copy_with_manifest",
+    views=["image_list", "image_meta"],
+    extra_ctes=_PARSED,
+    sql="""
+select split, image_id, image_id in (select ImageID from image_meta) as ok
+from parsed
+""",
+)
+def q_copy_with_manifest(fx):
+    """The same copies as one committed job: its published manifest."""
+    from boxframe.operators.listing import parse_image_list
+    from boxframe.sources.copy_sink import copy_with_manifest
+
+    root = scratch_path(fx.spark, "committed")
+    parsed = parse_image_list(fx.image_list, col="line")
+    return copy_with_manifest(parsed, _rendered(fx).rstrip("/") + "/", f"{root}/copies/", f"{root}/manifest", ext=".png",
+                              src_by_split=False).select("split", "image_id", "ok")
+
+
 @register(
     "processed_table",
     views=["scaled"],

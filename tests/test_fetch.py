@@ -81,15 +81,15 @@ def test_read_ahead_is_bounded_and_in_order(tmp_path):
 
 
 def _exchanges(df) -> list[str]:
-    plan = df._jdf.queryExecution().executedPlan().toString()
     formatted = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert "Exchange" in plan
     return [part for part in formatted.split("\n\n") if ") Exchange" in part or ") BroadcastExchange" in part]
 
 
 @pytest.mark.parametrize("name", ["training_images", "loader_batches"])
 def test_no_pixels_in_any_exchange(spark, name):
-    for part in _exchanges(catalog.run(spark, SF_SMALL, name)):
+    parts = _exchanges(catalog.run(spark, SF_SMALL, name))
+    assert parts
+    for part in parts:
         inputs = part.split("Input [")[1].split("]")[0]
         names = {c.strip().split("#")[0] for c in inputs.split(":", 1)[1].split(",")} if ":" in inputs else set()
         assert not names & {"data", "tensor", "tensors", "image"}, part

@@ -115,3 +115,15 @@ def test_cli_evaluate(spark, tmp_path, capsys):
     # class a: one of two truths found at rank 1 (IoU 0.95) -> recall points 0..50 at precision 1
     assert abs(ap[("/m/a", 0.5)] - 51 / 101) < 1e-12
     assert ap[("/m/b", 0.5)] == 0.0
+
+
+def test_preprocess_keeps_lines_that_cannot_be_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in ("a", "b", "c"):
+        (tmp_path / "in" / f"{k}.png").write_bytes(_img(10, 20, 5))
+    csv = tmp_path / "a.csv"
+    csv.write_text("ImageID,XMin,YMin,XMax,YMax,LabelName\na,0.1,0.1,0.5,0.5,/m/x\nb,0.1,zero,0.5,0.5,/m/x\nb,0.1,0.1,0.5,0.5,/m/x\nc,0.1\n")
+    out = preprocess_job(spark, str(csv), str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "p"), str(tmp_path / "q"), ext_in=".png")
+    assert [r.ImageID for r in out.processed.collect()] == ["a"]
+    assert {r.ImageID: r.error for r in out.quarantine.collect()} == {"b": "null or NaN coordinate", "c": "null or NaN coordinate"}
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "q_lines")).collect()} == {("b", "b,0.1,zero,0.5,0.5,/m/x"), ("c", "c,0.1")}
