@@ -340,7 +340,7 @@ def q_annotation_rejects(fx):
 
     head = "ImageID,XMin,YMin,XMax,YMax,LabelName"
     path = _stored_text(fx, "faulty_csv", lambda p: fx.boxes.selectExpr(f"{_LINE} as value").sortWithinPartitions("value").withColumnRenamed(
-        "value", head).write.mode("overwrite").option("header", True).option("quote", "").csv(p))
+        "value", head).write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(p))
     good, rejects = split_annotations(fx.spark, path)
     rows = good.select("ImageID", F.lit(None).cast("string").alias("line")).unionByName(rejects)
     return rows.groupBy("ImageID").agg(F.count_if(F.col("line").isNull()).alias("n_good"), F.count("line").alias("n_rejected"),
