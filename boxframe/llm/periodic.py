@@ -230,7 +230,7 @@ def _solve_octave(w: np.ndarray, where: list[tuple], octave: int, step: int, lea
             yield i, period, first + move, end + move - period
 
 
-def _search(id_type: str, least: int, tile: int, rewrite: Rewrite | None):
+def _search(least: int, tile: int, rewrite: Rewrite | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_CHARS):
             ids, hashes = batch.column(0), batch.column(1)
@@ -263,7 +263,7 @@ def find_runs(docs: DataFrame, least: int = 12, rewrite: Rewrite | None = None,
     """
     keyed = _keyed(docs)
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    found = map_arrow(keyed, _search(kind, least, tile, rewrite),
+    found = map_arrow(keyed, _search(least, tile, rewrite),
                       f"doc_id {kind}, _text bigint, period bigint, first bigint, last bigint")
     order = Window.partitionBy("doc_id", "_text", "period").orderBy("first", "last")
     reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
