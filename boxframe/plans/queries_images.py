@@ -5,7 +5,8 @@ image, ``width/16 x height/16``, patterns and flat colours, some gray or with
 an alpha channel; ids whose last two hex digits are a multiple of 97 get
 undecodable bytes) into the shared checkpoint folder, once per application.
 Sizes and pixels follow from the table, so the oracles check the sums of the
-pixels themselves: of every image as read, and of one-colour images resized.
+pixels themselves, as read and as resized: SQL restates the bilinear weights
+as integers, and sums of pixels times their places show any pixel out of place.
 """
 
 from __future__ import annotations
@@ -59,10 +60,6 @@ px as (select ImageID, w, h, seed % 16 = 0 as pattern, seed % 16 = 1 as gray, se
        from px0)"""
 
 
-def _one_colour():
-    return F.conv(F.substring("ImageID", 13, 4), 16, 10).cast("int") % 16 != 0
-
-
 @register("read_images", views=list(_META), extra_ctes=_PX, sql="""
 select ImageID, case when not corrupt then h end as height, case when not corrupt then w end as width,
        case when corrupt then null when gray then 1 when alpha then 4 else 3 end as nChannels,
@@ -85,7 +82,42 @@ def q_list_objects(fx):
     return list_objects(fx.spark, _rendered(fx), ext=".png").select("image_id")
 
 
-_RESIZED = "cast(299 * 299 * (c // (w * h)) as bigint)"
+_N = 299
+
+
+def _blend(channel: str) -> str:
+    """One channel of an output pixel: four input pixels by whole weights of 1 / (2 * 299) a side, rounded once, halves up."""
+    whole = 2 * _N
+
+    def at(x: str, y: str) -> str:
+        return f"({channel.format(x=x, y=y)}) % 256"
+
+    def across(y: str) -> str:
+        return f"({at('a.x0', y)} * ({whole} - a.u) + {at('a.x1', y)} * a.u)"
+
+    return f"(({across('c.y0')} * ({whole} - c.v) + {across('c.y1')} * c.v + {whole * whole // 2}) // {whole * whole})"
+
+
+# Resized images: pattern pixels from the taps of every output column (a) and row (c), one colour stays that colour.
+_RS = f"""{_PX},
+places as (select ImageID, w, h, seed, unnest(range({_N})) as i from px0 where seed % 16 = 0 and not corrupt),
+shares as (select ImageID, seed, w, h, i, greatest(0, least((2 * i + 1) * w - {_N}, (w - 1) * {2 * _N})) as nx,
+                  greatest(0, least((2 * i + 1) * h - {_N}, (h - 1) * {2 * _N})) as ny from places),
+taps as (select ImageID, seed, i, nx // {2 * _N} as x0, least(nx // {2 * _N} + 1, w - 1) as x1, nx % {2 * _N} as u,
+                ny // {2 * _N} as y0, least(ny // {2 * _N} + 1, h - 1) as y1, ny % {2 * _N} as v from shares),
+blended as (select a.ImageID, c.i * {_N} + a.i + 1 as k, {_blend("{x} * 7 + a.seed")} as vb,
+                   {_blend("{y} * 5 + a.seed // 3")} as vg, {_blend("({x} + {y}) * 3 + a.seed // 7")} as vr
+            from taps a join taps c on a.ImageID = c.ImageID),
+pattern_sums as (select ImageID, sum(vb) as b, sum(vg) as g, sum(vr) as r,
+                        sum(vb * k) as mb, sum(vg * k) as mg, sum(vr * k) as mr from blended group by ImageID),
+plain_sums as (select ImageID, {_N * _N} * (b // (w * h)) as b, {_N * _N} * (g // (w * h)) as g, {_N * _N} * (r // (w * h)) as r
+               from px where not pattern and not corrupt),
+rs as (select ImageID, cast(b as bigint) as b, cast(g as bigint) as g, cast(r as bigint) as r,
+              cast(mb as bigint) as mb, cast(mg as bigint) as mg, cast(mr as bigint) as mr from pattern_sums
+       union all
+       select ImageID, cast(b as bigint), cast(g as bigint), cast(r as bigint), cast(b * {(_N * _N + 1) // 2} as bigint),
+              cast(g * {(_N * _N + 1) // 2} as bigint), cast(r * {(_N * _N + 1) // 2} as bigint) from plain_sums)"""
+_SUMS = ["b", "g", "r", "mb", "mg", "mr"]
 
 
 @register("walk_objects", views=list(_META), sql="""
@@ -120,23 +152,19 @@ def q_fetch_images(fx):
 @register(
     "resize_images",
     views=list(_META),
-    extra_ctes=_PX,
+    extra_ctes=_RS,
     sql=f"""
-select ImageID, case when not corrupt then 299 end as height, case when not corrupt then 299 end as width,
-       case when corrupt then 'failed to decode image' end as error,
-       case when not corrupt and not pattern then {_RESIZED.replace("c //", "b //")} end as b,
-       case when not corrupt and not pattern then {_RESIZED.replace("c //", "g //")} end as g,
-       case when not corrupt and not pattern then {_RESIZED.replace("c //", "r //")} end as r
-from px
+select px.ImageID, case when not corrupt then {_N} end as height, case when not corrupt then {_N} end as width,
+       case when corrupt then 'failed to decode image' end as error, rs.b, rs.g, rs.r, rs.mb, rs.mg, rs.mr
+from px left join rs on rs.ImageID = px.ImageID
 """,
 )
 def q_resize_images(fx):
     from boxframe.fixture_images import channel_sums
     from boxframe.operators.images import resize_images
 
-    px = resize_images(_pixels(fx), (299, 299))
-    sums = channel_sums(px).select("ImageID", *[F.when(_one_colour(), F.col(c)).alias(c) for c in "bgr"])
-    return px.select("ImageID", "height", "width", "error").join(sums, "ImageID")
+    px = resize_images(_pixels(fx), (_N, _N))
+    return px.select("ImageID", "height", "width", "error").join(channel_sums(px, moments=True), "ImageID")
 
 
 @register(
@@ -169,13 +197,11 @@ def q_to_tensor(fx):
 @register(
     "write_images",
     views=list(_META),
-    extra_ctes=_PX,
-    sql=f"""
-select ImageID, not corrupt as ok, case when corrupt then 'failed to decode image' end as error,
-       case when not corrupt and not pattern then {_RESIZED.replace("c //", "b //")} end as b,
-       case when not corrupt and not pattern then {_RESIZED.replace("c //", "g //")} end as g,
-       case when not corrupt and not pattern then {_RESIZED.replace("c //", "r //")} end as r
-from px
+    extra_ctes=_RS,
+    sql="""
+select px.ImageID, not corrupt as ok, case when corrupt then 'failed to decode image' end as error,
+       rs.b, rs.g, rs.r, rs.mb, rs.mg, rs.mr
+from px left join rs on rs.ImageID = px.ImageID
 """,
 )
 def q_write_images(fx):
@@ -185,14 +211,13 @@ def q_write_images(fx):
     from boxframe.sources.readers import read_images
 
     out = scratch_path(fx.spark, "written")
-    status = cut_lineage(write_images(_pixels(fx), out, size=(299, 299)), "status")
-    back = channel_sums(image_rows(read_images(fx.spark, out), ext=".png"))
-    sums = back.select("ImageID", *[F.when(_one_colour(), F.col(c)).alias(c) for c in "bgr"])
-    return status.select("ImageID", "ok", "error").join(sums, "ImageID", "left")
+    status = cut_lineage(write_images(_pixels(fx), out, size=(_N, _N)), "status")
+    back = channel_sums(image_rows(read_images(fx.spark, out), ext=".png"), moments=True)
+    return status.select("ImageID", "ok", "error").join(back, "ImageID", "left")
 
 
 # Pixel boxes by the size of the image as decoded, which is what the job scales by.
-_SCALED_PX = _PX + """,
+_SCALED_PX = _RS + """,
 scaled_px as (select ImageID, greatest(0, cast(sign(px0) * floor(abs(px0)) as int)) as xmin,
                      greatest(0, cast(sign(py0) * floor(abs(py0)) as int)) as ymin,
                      least(299, cast(sign(px1) * floor(abs(px1)) as int)) as xmax,
@@ -210,12 +235,12 @@ scaled_px as (select ImageID, greatest(0, cast(sign(px0) * floor(abs(px0)) as in
     sql="""
 select s.ImageID, count(*) as n_boxes, cast(sum(s.xmin + 2 * s.ymin + 3 * s.xmax + 4 * s.ymax) as bigint) as coordinates,
        cast(null as varchar) as error,
-       cast(max(case when not p.pattern then 299 * 299 * (p.b // (p.w * p.h)) end) as bigint) as b
-from scaled_px s join px p on p.ImageID = s.ImageID where not p.corrupt group by s.ImageID
+       max(p.b) as b, max(p.g) as g, max(p.r) as r, max(p.mb) as mb, max(p.mg) as mg, max(p.mr) as mr
+from scaled_px s join rs p on p.ImageID = s.ImageID group by s.ImageID
 union all
 select b.ImageID, cast(null as bigint), cast(null as bigint),
        case when max(case when p.corrupt then 1 else 0 end) = 1 then 'failed to decode image' else 'null or NaN coordinate' end,
-       cast(null as bigint)
+       null, null, null, null, null, null
 from boxes b join px p on p.ImageID = b.ImageID group by b.ImageID
 having max(case when p.corrupt or b.XMin is null then 1 else 0 end) = 1
 """,
@@ -233,10 +258,11 @@ def q_preprocess(fx):
     done = preprocess_job(fx.spark, csv, _rendered(fx), f"{out}/resized", f"{out}/processed", f"{out}/quarantine", ext_in=".png")
     weighted = F.col("xmin") + 2 * F.col("ymin") + 3 * F.col("xmax") + 4 * F.col("ymax")
     boxes = long_boxes(done.processed).groupBy("ImageID").agg(F.count("*").alias("n_boxes"), F.sum(weighted).alias("coordinates"))
-    pixels = channel_sums(image_rows(read_images(fx.spark, f"{out}/resized"), ext=".png")).select("ImageID", F.when(_one_colour(), F.col("b")).alias("b"))
-    good = boxes.join(pixels, "ImageID").select("ImageID", "n_boxes", "coordinates", F.lit(None).cast("string").alias("error"), "b")
+    pixels = channel_sums(image_rows(read_images(fx.spark, f"{out}/resized"), ext=".png"), moments=True)
+    good = boxes.join(pixels, "ImageID").select("ImageID", "n_boxes", "coordinates", F.lit(None).cast("string").alias("error"), *_SUMS)
     null = F.lit(None).cast("bigint")
-    return good.unionByName(done.quarantine.select("ImageID", null.alias("n_boxes"), null.alias("coordinates"), "error", null.alias("b")))
+    return good.unionByName(done.quarantine.select(
+        "ImageID", null.alias("n_boxes"), null.alias("coordinates"), "error", *[null.alias(c) for c in _SUMS]))
 
 
 _PARSED = r"""parsed as (select distinct regexp_extract(n, '^(test|train|validation|challenge2018)/([a-fA-F0-9]*)', 1) as split,
