@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.geometry import intersection, iou
 from boxframe.session import cut_lineage
+from boxframe.sources.bucketed import Bucketed
 
 # The plain per-image join is used while the worst image's truth x prediction
 # candidates stay below this; beyond it the grid join takes over.
@@ -176,6 +177,20 @@ def overlap_pairs(
     return rest.unionByName(hot)
 
 
+def bucketed_pairs(gt: Bucketed, det: Bucketed, **kw) -> DataFrame:
+    """``overlap_pairs`` of two tables in equal buckets of the image: no exchange but for crowded images.
+
+    An image within both tables' buckets has a bounded number of candidates, so
+    nothing is counted. Images crowded in either table are joined apart, on grids where they are hot.
+    """
+    key = gt.key
+    pairs = overlap_pairs(gt.buckets, det.buckets, key=key, cell=None, **kw)
+    if not gt.crowded and not det.crowded:
+        return pairs
+    keys = cut_lineage(gt.crowded_keys().union(det.crowded_keys()).distinct(), "crowded-images")
+    return pairs.unionByName(overlap_pairs(gt.rows_of(keys), det.rows_of(keys), key=key, **kw))
+
+
 def auto_cell(gt: DataFrame, det: DataFrame, key: str = "ImageID") -> DataFrame | None:
     """``hot_images``, remembered per input plan: it only chooses between ways to the same pairs."""
     from boxframe.operators.stats import memo
