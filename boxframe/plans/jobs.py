@@ -9,6 +9,7 @@ later steps read twice are written to the shared checkpoint folder first.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,13 @@ from boxframe.operators.fetch import NOT_FOUND, decode_png, fetch_and_write, ima
 from boxframe.operators.images import arrow_batches, encode_png, image_rows, write_images
 from boxframe.operators.labels import build_vocabulary, training_targets
 from boxframe.operators.listing import parse_image_list, rejected_lines
+from boxframe.operators.pairs import bucketed_pairs
 from boxframe.operators.presence import missing_images, with_existing_images
 from boxframe.operators.split import split_by_hash
 from boxframe.operators.transfer import transfer_summary
 from boxframe.schemas import MANIFEST
 from boxframe.session import cut_lineage
+from boxframe.sources.bucketed import Bucketed, read_bucketed, write_bucketed
 from boxframe.sources.copy_sink import copy_with_manifest
 from boxframe.sources.readers import read_image_list, read_images, split_annotations, walk_objects
 from boxframe.sources.sinks import write_processed, write_quarantine
@@ -70,6 +73,7 @@ def preprocess_job(
     encoder=encode_png,
     decoder=None,
     options: dict | None = None,
+    buckets: int | None = None,
 ) -> PreprocessOutput:
     """Annotations + images -> resized images, pixel boxes (processed table) and a quarantine table.
 
@@ -87,6 +91,10 @@ def preprocess_job(
 
     Lines that don't fit the annotation schema are written to
     ``{quarantine_path}_lines`` as they stand.
+
+    With ``buckets`` the processed table is written in that many buckets of the
+    image (images spread over several rows beside them), which the training
+    job can join without an exchange of the boxes.
     """
     ann, rejects = split_annotations(spark, csv_path)
     rejects.write.mode("overwrite").parquet(f"{quarantine_path}_lines")
@@ -104,8 +112,12 @@ def preprocess_job(
         status = cut_lineage(written, "written")
     status = status.where(~F.col("error").eqNullSafe(NOT_FOUND))
     scaled = B.scale_boxes(ann, status.select("ImageID", "width", "height", "error"), size)
-    write_processed(B.to_processed(scaled.result, resized_dir.rstrip("/") + "/", ext=ext_out), output_path)
+    processed = B.to_processed(scaled.result, resized_dir.rstrip("/") + "/", ext=ext_out)
     write_quarantine(scaled.quarantine, quarantine_path)
+    if buckets:
+        table = write_bucketed(cut_lineage(processed, "processed"), output_path, "ImageID", buckets, max_rows_per_key=1)
+        return PreprocessOutput(table.rows, spark.read.parquet(quarantine_path))
+    write_processed(processed, output_path)
     return PreprocessOutput(spark.read.parquet(output_path), spark.read.parquet(quarantine_path))
 
 
@@ -128,6 +140,11 @@ def long_boxes(processed: DataFrame) -> DataFrame:
     )
 
 
+def targets_by_part(parts: list[DataFrame], vocab: DataFrame) -> DataFrame:
+    """Training targets of long boxes in parts that share no image: a bucketed part is grouped where it lies."""
+    return reduce(DataFrame.unionByName, [training_targets(B.drop_invalid(p), vocab) for p in parts])
+
+
 def prepare_training_job(
     spark: SparkSession,
     processed_path: str,
@@ -140,16 +157,22 @@ def prepare_training_job(
     train_fraction: float = 0.8,
     image_ext: str = ".png",
     options: dict | None = None,
+    bucketed: bool = False,
 ) -> dict[str, DataFrame]:
     """Keep images that exist, build the vocabulary, encode targets, split, and plan batches.
 
     Writes ``vocabulary``, ``targets``, ``split``, ``train_batches`` (per
     epoch, partitioned by epoch and shard), ``test_batches`` and
-    ``missing_images`` under ``out_dir``.
+    ``missing_images`` under ``out_dir``. ``bucketed``: the processed table was
+    written in buckets; only the listing is shuffled to meet it.
     """
-    processed = spark.read.parquet(processed_path)
+    if bucketed:
+        table = read_bucketed(spark, processed_path)
+        processed, parts = table.rows, table.parts()
+    else:
+        processed = spark.read.parquet(processed_path)
+        parts = [processed]
     listing = walk_objects(spark, image_dir, ext=image_ext, stores=options)
-    present = with_existing_images(processed, listing)
     out: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
@@ -162,9 +185,9 @@ def prepare_training_job(
         return out[name]
 
     put("missing_images", missing_images(processed.select("ImageID"), listing))
-    boxes = long_boxes(present)
-    vocab = put("vocabulary", build_vocabulary(boxes))
-    t = put("targets", training_targets(B.drop_invalid(boxes), vocab))
+    boxes = [long_boxes(with_existing_images(p, listing)) for p in parts]
+    vocab = put("vocabulary", build_vocabulary(reduce(DataFrame.unionByName, [b.select("LabelName") for b in boxes])))
+    t = put("targets", targets_by_part(boxes, vocab))
     s = put("split", split_by_hash(t.select("ImageID").distinct(), train_fraction=train_fraction, seed=seed))
     train = s.where(F.col("split") == "train").select("ImageID")
     test = s.where(F.col("split") == "test").select("ImageID")
@@ -179,8 +202,8 @@ def prepare_training_job(
 
 def evaluate_job(
     spark: SparkSession,
-    truth: DataFrame,
-    detections: DataFrame,
+    truth: DataFrame | Bucketed,
+    detections: DataFrame | Bucketed,
     out_dir: str,
     iou_threshold: float = 0.5,
     count_mode: str = "per_image",
@@ -193,10 +216,17 @@ def evaluate_job(
     ``detections``: ``ImageID, det_id, LabelName, score, xmin..ymax``.
     The pair table is written once and read by every metric. ``matching``
     and ``max_dets`` choose the AP protocol (greedy COCO matching by default;
-    ``max_dets=100`` is that protocol's usual limit).
+    ``max_dets=100`` is that protocol's usual limit). Truth and detections
+    that were both written in the same number of buckets of the image meet there, without exchanges.
     """
-    gt = B.drop_invalid(truth)
-    pairs = cut_lineage(M.iou_pairs(gt, detections), "pairs")
+    if isinstance(truth, Bucketed) and isinstance(detections, Bucketed):
+        valid = truth.map(B.drop_invalid)
+        pairs = cut_lineage(bucketed_pairs(valid, detections), "pairs")
+        gt, detections = valid.rows, detections.rows
+    else:
+        truth, detections = (x.rows if isinstance(x, Bucketed) else x for x in (truth, detections))
+        gt = B.drop_invalid(truth)
+        pairs = cut_lineage(M.iou_pairs(gt, detections), "pairs")
     best = M.best_iou(gt, pairs)
     counts = M.detection_counts(gt, detections, pairs, iou_threshold, mode=count_mode)
     prf = M.prf_per_image(counts)

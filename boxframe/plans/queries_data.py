@@ -270,6 +270,32 @@ def q_encoded_targets(fx):
     )
 
 
+@register(
+    "bucketed_targets",
+    views=["scaled"],
+    extra_ctes=_VALID_CTE + ",\n" + _VOCAB_CTE,
+    sql="""
+select v.ImageID, cast(v.xmin as float) as x0, cast(v.ymin as float) as y0, cast(v.xmax as float) as x1,
+       cast(v.ymax as float) as y1, cast(l.idx as bigint) as label
+from valid v left join vocab l on v.LabelName = l.LabelName
+""",
+)
+def q_bucketed_targets(fx):
+    """Targets from a processed table in buckets; images spread over several rows (3 boxes each, about) lie beside them."""
+    from boxframe.operators.labels import build_vocabulary
+    from boxframe.plans.jobs import long_boxes, targets_by_part
+    from boxframe.session import cut_lineage, scratch_path
+    from boxframe.sources.bucketed import write_bucketed
+
+    named = fx.scaled.select("ImageID", "box_id", *[F.col(c).alias(n) for c, n in zip(("xmin", "ymin", "xmax", "ymax"), ("XMin", "YMin", "XMax", "YMax"))], "LabelName")
+    rows = B.group_annotations(named, ("XMin", "YMin", "XMax", "YMax", "LabelName"), order_by="box_id", out="Annotations", max_per_row=3)
+    table = write_bucketed(cut_lineage(rows, "processed"), scratch_path(fx.spark, "bucketed"), max_rows_per_key=1)
+    boxes = [long_boxes(p) for p in table.parts()]
+    t = targets_by_part(boxes, cut_lineage(build_vocabulary(long_boxes(table.rows))))
+    return t.select("ImageID", F.inline(F.arrays_zip("boxes", "labels"))).select(
+        "ImageID", *[F.col("boxes")[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))], F.col("labels").alias("label"))
+
+
 # --------------------------------------------------------------- splits
 
 _H = "cast('0x' || substring(md5({k}), 1, 8) as bigint)"

@@ -76,6 +76,38 @@ def q_iou_pairs_crowded(fx):
     return overlap_pairs(gt, det, cell=hot_images(gt, det, max_candidates=16)).select("ImageID", "box_id", "det_id", "iou")
 
 
+def _in_buckets(fx, max_rows_per_key: int):
+    """Truth and detections as tables in buckets of the image, written for this query."""
+    from boxframe.session import scratch_path
+    from boxframe.sources.bucketed import write_bucketed
+
+    root = scratch_path(fx.spark, "bucketed")
+    return (write_bucketed(_gt(fx), f"{root}/truth", max_rows_per_key=max_rows_per_key),
+            write_bucketed(fx.detections, f"{root}/detections", max_rows_per_key=max_rows_per_key))
+
+
+@register("iou_pairs_bucketed", views=_EV, extra_ctes=f"{_VALID},\n{_PAIRS}", sql="select ImageID, box_id, det_id, iou from pairs")
+def q_iou_pairs_bucketed(fx):
+    """The pairs of tables in buckets; images of more than 4 boxes a side lie beside the buckets."""
+    from boxframe.operators.pairs import bucketed_pairs
+
+    return bucketed_pairs(*_in_buckets(fx, 4)).select("ImageID", "box_id", "det_id", "iou")
+
+
+@register(
+    "counts_bucketed",
+    views=_EV,
+    extra_ctes=f"{_VALID},\n{_PAIRS},\n{_BEST},\n{_SIZES},\n{_COUNTS}",
+    sql="select ImageID, n_gt, n_pred, tp, fp, fn from counts",
+)
+def q_counts_bucketed(fx):
+    from boxframe.operators.pairs import bucketed_pairs
+    from boxframe.sources.bucketed import MAX_ROWS_PER_KEY
+
+    gt, det = _in_buckets(fx, MAX_ROWS_PER_KEY)
+    return M.detection_counts(gt.rows, det.rows, bucketed_pairs(gt, det), mode="per_image")
+
+
 @register("best_iou", views=_EV, extra_ctes=f"{_VALID},\n{_PAIRS},\n{_BEST}", sql="select ImageID, box_id, best_iou from best")
 def q_best_iou(fx):
     return M.best_iou(_gt(fx), _pairs(fx))
