@@ -132,16 +132,16 @@ def group_annotations(
     if max_per_row is None or largest <= max_per_row:
         src = df.withColumn("chunk", F.lit(0))
     else:
-        from boxframe.session import cut_lineage
+        from boxframe.session import cut_lineage_counted
 
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        hot = cut_lineage(
+        hot, n_hot = cut_lineage_counted(
             counts.where(F.col("_n") > max_per_row).select(
                 F.col(key), F.ceil(F.col("_n") / F.lit(max_per_row)).cast("int").alias("_chunks")
             ),
             "hot-images",
         )
-        if hot.count() <= MAX_BROADCAST_HOT:
+        if n_hot <= MAX_BROADCAST_HOT:
             hot = F.broadcast(hot)
         spread = F.xxhash64(*([order_by] if order_by else list(fields)))
         src = df.join(hot, key, "left").withColumn(

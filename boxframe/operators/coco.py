@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from boxframe.operators.components import label_components
 from boxframe.operators.pairs import overlap_pairs
-from boxframe.session import cut_lineage, ship_package
+from boxframe.session import cut_lineage, cut_lineage_counted, ship_package
 
 SALT = 64
 #: Pairs of an (image, class) or component that are played in one task.
@@ -141,18 +141,18 @@ def play_groups(pairs: DataFrame, thresholds: list[float]) -> DataFrame:
 def play_rounds(pairs: DataFrame, thresholds: list[float]) -> DataFrame:
     """The same by rounds over all of ``pairs``, for components that no task should hold."""
     thr = F.array(*[F.lit(float(t)) for t in thresholds])
-    left = cut_lineage(
+    left, n_left = cut_lineage_counted(
         pairs.select("ImageID", "det_id", "box_id", "score", "iou", F.explode(thr).alias("iou_thr")).where(
             F.col("iou") >= F.least("iou_thr", F.lit(1 - 1e-10))), "coco-pairs")
     by_det, by_box = ["iou_thr", "ImageID", "det_id"], ["iou_thr", "ImageID", "box_id"]
     rounds: list[DataFrame] = []
-    while left.limit(1).count():
+    while n_left:
         best = left.groupBy(*by_det).agg(F.max(F.struct("iou", "box_id")).alias("m")).select(*by_det, F.col("m.box_id").alias("box_id"))
         first = left.groupBy(*by_box).agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("m")).select(
             *by_box, (-F.col("m.nd")).alias("det_id"))
         won = cut_lineage(best.join(first, [*by_det, "box_id"]), "coco-round")
         rounds.append(won)
-        left = cut_lineage(
+        left, n_left = cut_lineage_counted(
             left.join(won.select(*by_det), by_det, "left_anti").join(won.select(*by_box), by_box, "left_anti"), "coco-pairs")
     return reduce(DataFrame.unionByName, rounds).select(*by_det) if rounds else left.select(*by_det)
 
@@ -182,16 +182,16 @@ def coco_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], max_det
     pairs = cut_lineage(pairs.select("ImageID", "LabelName", F.col("det_id").cast("bigint").alias("det_id"),
                                      F.col("box_id").cast("bigint").alias("box_id"), "score", "iou"), "coco-pairs")
     sizes = pairs.groupBy("ImageID", "LabelName").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_pairs)
-    large = cut_lineage(sizes.select("ImageID", "LabelName"), "coco-large")
+    large, n_large = cut_lineage_counted(sizes.select("ImageID", "LabelName"), "coco-large")
     whole = F.lit(0).cast("bigint").alias("_part")
-    if not large.limit(1).count():
+    if not n_large:
         return play_groups(pairs.select("*", whole), thresholds), kept
     key = ["ImageID", "LabelName"]
     small = pairs.join(large, key, "left_anti").select("*", whole)
     parts = cut_lineage(_by_component(pairs.join(large, key, "left_semi")), "coco-parts")
-    giants = cut_lineage(parts.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_pairs).drop("_n"), "coco-giants")
+    giants, n_giants = cut_lineage_counted(parts.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_pairs).drop("_n"), "coco-giants")
     rest = parts.join(giants, _GROUP, "left_anti").select(small.columns)
     won = play_groups(small.unionByName(rest), thresholds)
-    if giants.limit(1).count():
+    if n_giants:
         won = won.unionByName(play_rounds(parts.join(giants, _GROUP, "left_semi"), thresholds))
     return won, kept

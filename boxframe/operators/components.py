@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.session import cut_lineage
+from boxframe.session import cut_lineage, cut_lineage_observed
 
 
 def label_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -28,9 +28,10 @@ def label_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         hung = both.where("b > a").join(near, "a").select(F.col("b").alias("a"), F.col("_m").alias("b")).where("a <> b").distinct()
         least = hung.groupBy("a").agg(F.min("b").alias("_m"))
         moved = hung.join(least, "a").where("b <> _m").select(F.col("b").alias("a"), F.col("_m").alias("b"))
-        star = cut_lineage(moved.unionByName(least.select("a", F.col("_m").alias("b"))).distinct(), "star")
-        mark = tuple(star.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if mark == seen or not mark[0]:
+        star, mark = cut_lineage_observed(
+            moved.unionByName(least.select("a", F.col("_m").alias("b"))).distinct(), "star",
+            n=F.count(F.lit(1)), checksum=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+        if mark == seen or not mark["n"]:
             return star.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = mark
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

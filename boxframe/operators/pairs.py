@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.functions.geometry import intersection, iou
-from boxframe.session import cut_lineage
+from boxframe.session import cut_lineage, cut_lineage_counted
 from boxframe.sources.bucketed import Bucketed
 
 # The plain per-image join is used while the worst image's truth x prediction
@@ -77,8 +77,7 @@ def hot_images(gt: DataFrame, det: DataFrame, key: str = "ImageID",
     """``_k``: the images of more than ``max_candidates`` truth x prediction candidates, as a written table; ``None`` without any."""
     sides = gt.select(F.col(key).alias("_k"), F.lit(1).alias("_g")).unionByName(det.select(F.col(key).alias("_k"), F.lit(0).alias("_g")))
     per = sides.groupBy("_k").agg(F.sum("_g").alias("g"), F.count(F.lit(1)).alias("n"))
-    hot = cut_lineage(per.where(F.col("g") * (F.col("n") - F.col("g")) > max_candidates).select("_k"), "hot-images")
-    found = hot.limit(MAX_BROADCAST_IMAGES + 1).count()
+    hot, found = cut_lineage_counted(per.where(F.col("g") * (F.col("n") - F.col("g")) > max_candidates).select("_k"), "hot-images")
     if not found:
         return None
     return F.broadcast(hot) if found <= MAX_BROADCAST_IMAGES else hot

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "boxframe") -> SparkSession:
@@ -67,6 +68,21 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def cut_lineage_observed(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` and the aggregates ``totals`` of its rows, observed while they are written instead of by a job of their own."""
+    seen = Observation()
+    named = [c.alias(k) for k, c in totals.items()]
+    stored = cut_lineage(df.observe(seen, *named), name)
+    found = seen.get
+    return stored, found if found else stored.agg(*named).first().asDict()
+
+
+def cut_lineage_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """``cut_lineage`` and the number of rows."""
+    stored, found = cut_lineage_observed(df, name, n=F.count(F.lit(1)))
+    return stored, found["n"]
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme so Python code inside tasks can open the path."""
     if uri.startswith("file://"):
