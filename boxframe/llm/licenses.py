@@ -13,6 +13,7 @@ every k-gram of the phrase votes.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -61,7 +62,28 @@ TEMPLATES = (
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
             "to this work."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+            "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+            "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+            "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+            "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+            "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+            "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+            "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+             "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+             "following restrictions:"),
 )
+Templates = Sequence[tuple[str, str]]
+#: The bound of a template table: rows, and letters of all templates. Its k-grams are broadcast.
+MAX_TEMPLATES = 5_000
+MAX_LETTERS = 8_000_000
 
 #: Lower-cased words: digits, a-z and everything beyond ASCII.
 LICENSE_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -81,13 +103,26 @@ def template_words(text: str) -> list[str]:
     return re.findall(LICENSE_WORD, lowered)
 
 
-def template_grams(spark, k: int) -> DataFrame:
+def read_templates(table: DataFrame) -> list[tuple[str, str]]:
+    """The templates of a table (label, text): licence texts of any length, several a label if need be, in a fixed order.
+
+    The table must keep ``MAX_TEMPLATES`` and ``MAX_LETTERS``, which is checked
+    before it is read. Rows without a label or text, and repeated rows, count for nothing.
+    """
+    kept = table.select(F.col("label").cast("string"), F.col("text").cast("string")).where("label is not null and text is not null").distinct()
+    n, letters = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text") + F.length("label")), F.lit(0))).first()
+    if n > MAX_TEMPLATES or letters > MAX_LETTERS:
+        raise ValueError(f"{n} templates of {letters} letters; at most {MAX_TEMPLATES} of {MAX_LETTERS}")
+    return sorted((r.label, r.text) for r in kept.collect())
+
+
+def template_grams(spark, k: int, templates: Templates = TEMPLATES) -> DataFrame:
     """kind ('b' phrase, 't' notice), template number, position, its k-gram's hash and the template's k-gram count.
 
-    Hashes are made by the same Spark expressions as the texts'.
+    Hashes are made by the same Spark expressions as the texts'. Templates of fewer than ``k`` words have none.
     """
     rows = [("b", n, template_words(p), 2) for n, (p, _) in enumerate(PHRASES)]
-    rows += [("t", n, template_words(t), k) for n, (_, t) in enumerate(TEMPLATES)]
+    rows += [("t", n, template_words(t), k) for n, (_, t) in enumerate(templates)]
     raw = spark.createDataFrame(rows, "kind string, tmpl int, words array<string>, k int")
     hashed = raw.withColumn("wh", F.transform("words", lambda w: F.xxhash64(w)))
     grams = F.when(F.col("kind") == "b", gram_hashes("wh", 2)).otherwise(gram_hashes("wh", k))
@@ -103,7 +138,7 @@ def gram_hashes(wh: str, k: int):
         F.array().cast("array<bigint>"))
 
 
-def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scan: Scan = Scan()) -> DataFrame:
+def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scan: Scan = Scan(), templates: Templates = TEMPLATES) -> DataFrame:
     """Votes per (row, template, diagonal), plus one row of kind 'd' per input row carrying its word count.
 
     The row key ``__row`` keeps repeated rows and NULL ids apart.
@@ -119,7 +154,7 @@ def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scan:
         F.transform(gram_hashes("__wh", scan.k), lambda h, p: F.struct(p.alias("p"), h.alias("gram"))),
     )).alias("g")).select("__row", id_col, "n_words", "g.p", "g.gram")
     own = docs.sparkSession.createDataFrame([("d", -1, 0, -1, 0)], "kind string, tmpl int, n_grams int, q int, gram bigint")
-    table = template_grams(docs.sparkSession, scan.k).select(own.columns).unionByName(own)
+    table = template_grams(docs.sparkSession, scan.k, templates).select(own.columns).unionByName(own)
     hit = grams.join(F.broadcast(table), "gram").filter((F.col("kind") == "d") == (F.col("p") == -1))
     return hit.groupBy("__row", id_col, "n_words", "kind", "tmpl", "n_grams", (F.col("p") - F.col("q")).alias("diagonal")).agg(
         F.count("*").alias("votes"), F.min("p").alias("first_p"), F.max("p").alias("last_p"),
@@ -169,19 +204,25 @@ def spans(voted: DataFrame, id_col: str = "doc_id", scan: Scan = Scan()) -> Data
     return phrase.unionByName(verified.select(*keys, "first_word", "last_word", "share").distinct())
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scan: Scan = Scan()) -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scan: Scan = Scan(),
+                  templates: Templates | DataFrame = TEMPLATES) -> DataFrame:
     """One row per input row: words, base places and labels, all labels, score.
 
+    ``templates`` are (label, text) pairs, or a table of them (see
+    ``read_templates``), whole licence texts for instance; without any, base phrases alone give labels.
+
     NULL and empty texts have no words and no labels (empty strings, score 0);
     repeated rows give repeated results. The score is the largest covered share
     of a template (1 for a base phrase).
     """
-    voted = cut_lineage(votes(docs, id_col, text_col, scan), "votes")  # read three times below, and small
+    if isinstance(templates, DataFrame):
+        templates = read_templates(templates)
+    voted = cut_lineage(votes(docs, id_col, text_col, scan, templates), "votes")  # read three times below, and small
     own = voted.filter(F.col("kind") == "d").select(
         "__row", id_col, "n_words", F.lit("d").alias("kind"), F.lit(-1).alias("tmpl"),
         F.lit(None).cast("int").alias("first_word"), F.lit(0.0).alias("share"))
     found = spans(voted, id_col, scan).select("__row", id_col, "n_words", "kind", "tmpl", "first_word", "share")
-    names = F.array(*[F.lit(x) for _, x in PHRASES]), F.array(*[F.lit(x) for x, _ in TEMPLATES])
+    names = [F.array(*[F.lit(x) for x in labels]).cast("array<string>") for labels in ([x for _, x in PHRASES], [x for x, _ in templates])]
     base, more = F.col("kind") == "b", F.col("kind") == "t"
     label = F.when(base, F.get(names[0], F.col("tmpl"))).when(more, F.get(names[1], F.col("tmpl")))
     return own.unionByName(found).withColumn("label", label).groupBy("__row", id_col, "n_words").agg(

@@ -154,6 +154,107 @@ def test_license_insertions_everywhere(spark):
     assert [i for i, x in enumerate(want) if (i, x) not in found] == []
 
 
+def brute_scan(text, templates, scan=licenses.Scan()):
+    """``labels`` and ``score`` of a text by the docstrings of ``spans`` and ``scan_licenses``, with plain loops."""
+    words = licenses.template_words(text or "")
+    k, labels, shares = scan.k, set(), [0.0]
+    for phrase, label in licenses.PHRASES:
+        p = phrase.split()
+        if any(words[i : i + len(p)] == p for i in range(len(words))):
+            labels.add(label)
+            shares.append(1.0)
+    grams = {}
+    for p in range(len(words) - k + 1):
+        grams.setdefault(tuple(words[p : p + k]), []).append(p)
+    for label, notice in templates:
+        t = licenses.template_words(notice)
+        votes = [(p, q) for q in range(len(t) - k + 1) for p in grams.get(tuple(t[q : q + k]), ())]
+        by = {}
+        for p, q in votes:
+            by.setdefault(p - q, []).append((p, q))
+        groups = [[e for e in by if d <= e <= d + scan.drift] for d in by]
+        chain = []
+        for d in sorted(by):
+            if chain and d - chain[-1] > scan.drift:
+                groups.append(chain)
+                chain = []
+            chain.append(d)
+        groups.append(chain)
+        chain, seen = [], -1
+        for first, d in sorted((min(by[d])[0], d) for d in by):
+            if chain and (abs(d - chain[-1]) > scan.drift or first > seen + k + scan.drift):
+                groups.append(chain)
+                chain = []
+            chain.append(d)
+            seen = max(seen, max(by[d])[0])
+        groups.append(chain)
+        for group in groups:
+            own = [v for d in group for v in by[d]]
+            if not own:
+                continue
+            share = len({q for _, q in own}) / (len(t) - k + 1)
+            length = max(p for p, _ in own) + k - min(p for p, _ in own)
+            if share >= scan.min_share and length <= 1.5 * len(t) + scan.drift:
+                labels.add(label)
+                shares.append(share)
+    return ",".join(sorted(labels)), max(shares)
+
+
+def test_license_labels_on_documents(spark):
+    """The query's ``labels`` and ``score`` on the given table, which holds notices whole and in part."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    out = queries.op6_license_scan(spark, "/root/testdata/sf0.01").collect()
+    assert len(out) == len(texts) and any(r.labels for r in out)
+    for r in out:
+        labels, score = brute_scan(texts[r.doc_id], licenses.TEMPLATES)
+        assert (r.labels, round(r.score, 12)) == (labels, round(score, 12)), r.doc_id
+
+
+def test_license_labels_of_edited_notices(spark):
+    """Random cuts, insertions, exchanges and repeats of all notices, several in a text."""
+    import random
+
+    rng = random.Random(6)
+    texts = []
+    for _ in range(250):
+        words = ["foo"] * rng.randint(0, 6)
+        for _ in range(rng.randint(1, 3)):
+            notice = rng.choice(licenses.TEMPLATES)[1].split()
+            if rng.random() < 0.4:
+                cut = rng.randint(0, len(notice))
+                notice = notice[cut:] if rng.random() < 0.5 else notice[:cut]
+            for _ in range(rng.randint(0, 12)):
+                at = rng.randint(0, len(notice))
+                step = rng.random()
+                notice[at : at + (step < 0.6)] = ["odd"] * rng.randint(0, 3) if step < 0.8 else notice[at : at + 6]
+            words += notice + ["bar"] * rng.randint(0, 9)
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 12)) for r in licenses.scan_licenses(docs).collect()}
+    want = {i: brute_scan(t, licenses.TEMPLATES) for i, t in enumerate(texts)}
+    assert got == {i: (x, round(y, 12)) for i, (x, y) in want.items()}
+    assert len({x for x, _ in want.values()}) > 15
+
+
+def test_license_template_table(spark):
+    """Whole licence texts from a table, beside repeated, empty and NULL rows; a table over the bound; no templates at all."""
+    long = " ".join(f"clause{i % 400} of part{i // 7}" for i in range(1500))
+    table = spark.createDataFrame([("long", long), ("long", long), ("short", "any two"), ("none", None), (None, "x y z"), ("void", "")], "label string, text string")
+    words = long.split()
+    texts = ["a " + long + " b", " ".join(words[:1500]), " ".join(words[:2000] + ["new"] * 3 + words[2004:]), "any two", "", None, "mit license"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    pairs = licenses.read_templates(table)
+    assert [x for x, _ in pairs] == ["long", "short", "void"]
+    got = {r.doc_id: (r.labels, round(r.score, 12)) for r in licenses.scan_licenses(docs, templates=table).collect()}
+    assert got[0][0] == "long" and got[1][0] == "" and got[2][0] == "long" and got[6] == ("mit", 1.0)
+    full = [(x, t) for x, t in pairs if len(t.split()) >= 3]
+    assert got == {i: (x, round(y, 12)) for i, t in enumerate(texts) for x, y in [brute_scan(t, full)]}
+    bare = {r.doc_id: r.labels for r in licenses.scan_licenses(docs, templates=table.limit(0)).collect()}
+    assert bare == {i: "mit" if i == 6 else "" for i in range(len(texts))}
+    with pytest.raises(ValueError, match="templates"):
+        licenses.read_templates(spark.range(licenses.MAX_TEMPLATES + 1).selectExpr("cast(id as string) label", "cast(id as string) text"))
+
+
 def test_fill_table_balanced_and_stable():
     a = sharding.fill_table([f"s{i}" for i in range(10)], 1009)
     b = sharding.fill_table([f"s{i}" for i in range(9)], 1009)
