@@ -9,7 +9,8 @@ a bounded cache per Python worker (a cache only: it never changes a result).
 The tokenizer file is a public one, its path a parameter; it is read on the
 driver and broadcast (its size is that of the file). Supported: BPE models with
 an end-of-word suffix, lower-casing NFC normalisation, and the usual split into
-letters, single numbers and others (see ``Bpe``).
+letters, single numbers and others (see ``DECLARED``); a file that declares
+anything else is refused, since its ids would be wrong.
 """
 
 from __future__ import annotations
@@ -32,6 +33,18 @@ from pyspark.sql import DataFrame
 from boxframe.llm.common import map_arrow, slices, worker_state
 
 CACHE = 400_000
+#: What a tokenizer file must declare, as its format names it, to be encoded and decoded as built here.
+DECLARED = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True,
+         "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}]},
+    "decoder": None,
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False},
+    "added_tokens": {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False},
+}
 COLUMNS = {
     "n_tokens": "bigint", "ids": "array<int>", "tokens": "array<string>", "decoded": "string",
     "ids_sha256": "string", "decoded_sha256": "string",
@@ -86,9 +99,23 @@ class Vocabulary:
     special: dict[str, int]
 
 
+def _differs(found: object, want: object) -> bool:
+    """Whether a declaration lacks or contradicts what is wanted of it; keys that nothing is wanted of don't matter."""
+    if isinstance(want, dict):
+        return not isinstance(found, dict) or any(_differs(found.get(k), x) for k, x in want.items())
+    if isinstance(want, list):
+        return not isinstance(found, list) or len(found) != len(want) or any(map(_differs, found, want))
+    return (found or None) != (want or None)  # an option that is left out is off
+
+
 def load(path: str) -> Vocabulary:
+    """The vocabulary of a tokenizer file; ``ValueError`` if it declares another tokenizer than the one built here."""
     with open(path, encoding="utf-8") as f:
         raw = json.load(f)
+    for part, want in DECLARED.items():
+        found = raw.get(part)
+        if any(_differs(x, want) for x in (found or ())) if part == "added_tokens" else _differs(found, want):
+            raise ValueError(f"{path}: its {part} is not supported: {str(found)[:500] if part != 'model' else {k: found.get(k) for k in want}}")
     model = raw["model"]
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     special = {t["content"]: t["id"] for t in raw["added_tokens"]}
@@ -122,6 +149,7 @@ class Bpe:
         self.token = {i: t for t, i in (v.ids | v.special).items()}
         self.special = v.special
         self.split = re.compile("(" + "|".join(re.escape(s) for s in sorted(v.special, key=len, reverse=True)) + ")") if v.special else None
+        self.heads = sorted({s[0] for s in v.special})
         self.name = {i: str(i) for i in self.token}
         self.by_name = {self.name[i]: t for i, t in self.token.items()}
         self.complete = min(self.inner) >= 0 and min(self.last) >= 0
@@ -218,7 +246,7 @@ class Bpe:
     def names(self, text: str) -> str:
         """Ids of a whole text, as text; pre-tokens without any known letter have none."""
         out: list[str] = []
-        for part in self.split.split(text) if self.split and "<" in text else (text,):
+        for part in self.split.split(text) if self.split and any(h in text for h in self.heads) else (text,):
             if part in self.special:
                 out.append(str(self.special[part]))
                 continue

@@ -1,6 +1,7 @@
 """BPE against the tokenizers library, and the segment tree against a plain loop."""
 
 import hashlib
+import json
 import random
 import unicodedata
 
@@ -97,3 +98,25 @@ def test_plain_texts_split_like_the_pattern():
     for _ in range(3000):
         text = "".join(rng.choice("abéß .,\n\t\x1c\x85\xa0 '1!") if rng.random() < 0.3 else rng.choice("abc d.e, ") for _ in range(rng.randint(0, 30)))
         assert bpe.pre_tokens(text) == token.findall(text), repr(text)
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    with pytest.raises(ValueError, match="normalizer"):
+        bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(PATH, encoding="utf-8") as f:
+        raw = json.load(f)
+    raw["model"] |= {"vocab": {"a</w>": 0}, "merges": []}
+    changes = {"normalizer": {"type": "NFC"}, "pre_tokenizer": None, "decoder": {"type": "ByteLevel"},
+               "model": raw["model"] | {"byte_fallback": True}, "added_tokens": [raw["added_tokens"][0] | {"lstrip": True}]}
+    for part, other in changes.items():
+        path = tmp_path / f"{part}.json"
+        path.write_text(json.dumps(raw | {part: other}))
+        with pytest.raises(ValueError, match=part):
+            bpe.load(str(path))
+    path.write_text(json.dumps(raw))
+    assert bpe.load(str(path)).ids == {"a</w>": 0}
+
+
+def test_special_tokens_of_any_beginning():
+    own = bpe.Bpe(bpe.Vocabulary({"a</w>": 0, "b</w>": 1}, [], "</w>", {"[end]": 2, "<s>": 3}))
+    assert own.encode("a[end]b<s>a") == [0, 2, 1, 3, 0]
