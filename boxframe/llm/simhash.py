@@ -173,7 +173,10 @@ def compare_cells(cells: Iterator[pa.RecordBatch], bits: int, near: int = 16) ->
 
 def near_links(prints: DataFrame, bits: int = 3, cell: int = CELL) -> DataFrame:
     """Spanning links (a, b) between distinct fingerprints of ``prints`` (fp) that differ in at most ``bits`` bits."""
-    placed = replicas(prints.select("fp").distinct(), bits)
+    # Dealt by another hash than that of the distinct step, whose few partitions would all expand in a few tasks; written, as it is read twice.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    single = prints.select("fp").distinct().repartition(tasks, F.xxhash64("fp"))
+    placed = cut_lineage(replicas(single, bits), "replicas")
     counts = placed.groupBy("anchor").count().filter("count > 1")
     counts = cut_lineage(counts.filter(F.col("count") > cell), "heavy")
     heavy = counts.count()
