@@ -15,6 +15,9 @@
    ``factor`` times its own. Counts grow from form to form, so chains end;
    roots are found by pointer doubling, each round a written table.
 
+No table of words passes through the driver: the joins are merges, as the files
+of a vocabulary are small enough to be broadcast long after its rows are not.
+
 Defined cases: NULL text has no words; a NULL id is the empty string to
 ``change``; repeated rows count every time; other columns are ignored, whatever
 their names; an empty table gives an empty table.
@@ -113,7 +116,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     a, b = chunks(words), grams(words)
     small = F.bit_count(F.col("up").bitwiseXOR(F.col("vp"))) <= 2
     order = (F.length("v") > F.col("size")) | (F.col("u") < F.col("v"))
-    found = a.join(b, ["size", "gram", "pos"]).where(order & small & (F.levenshtein("u", "v", 1) == 1))
+    # A planner that doesn't know how many grams a word has would broadcast them: merged, whatever it expects.
+    found = a.join(b.hint("merge"), ["size", "gram", "pos"]).where(order & small & (F.levenshtein("u", "v", 1) == 1))
     return found.select("u", "un", "v", "vn").distinct()
 
 
@@ -122,7 +126,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     now = cut_lineage(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         hop = now.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        then = cut_lineage(now.join(hop, "root", "left").select(
+        then = cut_lineage(now.join(hop.hint("merge"), "root", "left").select(
             "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved")), "roots")
         moved = then.where("_moved").limit(1).count()
         now = then.drop("_moved")
@@ -146,6 +150,6 @@ def group_variants(counts: DataFrame, letters: int = 5, occurrences: int = 3, fa
     strong = -F.col("other.m") >= factor * F.col("n")
     near = cut_lineage(best.select("word", "n_near", F.when(strong, F.col("other.w")).alias("form"),
                                    F.when(strong, -F.col("other.m")).alias("form_n")), "forms")
-    known = near.join(_roots(near.where("form is not null")), "word", "left")
-    return words.join(known, "word", "left").select(
+    known = near.join(_roots(near.where("form is not null")).hint("merge"), "word", "left")
+    return words.join(known.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"), "form_n")

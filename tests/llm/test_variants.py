@@ -86,3 +86,21 @@ def test_tasks_hand_counts_on(spark, monkeypatch):
         for w, n in zip(p.column(0).to_pylist(), p.column(1).to_pylist()):
             total[w] += n
     assert len(parts) >= 2 and total == {"a": 6, "b": 2, "c": 2, "d": 2}
+
+
+def test_words_are_never_broadcast(spark, monkeypatch):
+    """However small the planner takes the tables to be, no join gathers words at the driver."""
+    plans = []
+    cut = variants.cut_lineage
+
+    def watch(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+
+    monkeypatch.setattr(variants, "cut_lineage", watch)
+    counts = spark.createDataFrame([("hello", 90), ("hallo", 9), ("halle", 3), ("world", 5)], "word string, n bigint")
+    found = variants.group_variants(counts)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert {r.word: (r.form, r.root) for r in found.collect()} == {
+        "hello": (None, "hello"), "hallo": ("hello", "hello"), "halle": ("hallo", "hello"), "world": (None, "world")}
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
