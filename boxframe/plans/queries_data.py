@@ -436,14 +436,14 @@ group by p.shard, p.batch_no
 def q_loader_batches(fx):
     """What a training loader takes: the plan joined with targets, one row per batch, and the tensors read by its task."""
     from boxframe.operators.batches import assemble_batches
-    from boxframe.operators.fetch import load_batches
+    from boxframe.operators.fetch import image_paths, load_batches
     from boxframe.operators.labels import build_vocabulary, training_targets
     from boxframe.plans.queries_images import _rendered
 
     valid = B.drop_invalid(fx.scaled)
     targets = training_targets(valid, build_vocabulary(valid))
-    rows = _plan(fx).select("ImageID", "shard", "batch_no", "pos").join(targets, "ImageID")
-    batches = load_batches(assemble_batches(rows, ["ImageID", "boxes", "labels"]), _rendered(fx)).where("n_items > 0")
+    rows = image_paths(_plan(fx).select("ImageID", "shard", "batch_no", "pos"), _rendered(fx), ".png").join(targets, "ImageID")
+    batches = load_batches(assemble_batches(rows, ["ImageID", "path", "boxes", "labels"]), _rendered(fx)).where("n_items > 0")
 
     def total(of):
         return F.aggregate("items", F.lit(0).cast("bigint"), lambda a, i: a + of(i))

@@ -6,7 +6,8 @@ files and sub-folders. ``walk`` reads level after level; the sub-folders of a
 level are written as a table, and the next read's partitions are cut from it.
 So the driver sees folders only, never files, and folders with many sub-folders
 spread over the cluster. A folder's own names are listed by one task, in batches;
-stores whose client can list parts of a folder plug in by ``lister``.
+stores whose client can list parts of a folder plug in by ``lister``. The indexes of a
+packed folder (``sources.packs``) are a level of their own.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from boxframe.session import scratch_path, ship_package
 from boxframe.sources.fs import arrow_fs
+from boxframe.sources.packs import INDEX, is_pack, list_pack
 
 SCHEMA = "path string, length bigint, folder boolean"
 #: Prefixes of a reader partition, and names of a batch.
@@ -33,10 +35,16 @@ def list_level(uri: str, options: dict | None = None) -> Iterator[tuple[str, int
     """``(path, length, is folder)`` of the names directly below a folder; a missing folder has none."""
     from pyarrow import fs as pafs
 
+    if uri.endswith(INDEX):
+        yield from list_pack(uri, options)
+        return
     fs, path = arrow_fs(uri, options)
     head = uri[: len(uri) - len(path)] if uri.endswith(path) else ""
     for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
-        if info.type in (pafs.FileType.File, pafs.FileType.Directory):
+        if is_pack(uri):  # its index files are listed as the next level, by tasks
+            if info.path.endswith(INDEX) and not info.base_name.startswith("_"):
+                yield head + info.path, info.size, True
+        elif info.type in (pafs.FileType.File, pafs.FileType.Directory):
             yield head + info.path, info.size, info.type == pafs.FileType.Directory
 
 
@@ -123,7 +131,7 @@ def walk(spark: SparkSession, root: str, recursive: bool = True, stores: dict |
         table = spark.read.schema(SCHEMA).parquet(path)
         files.append(table.where("not folder").select("path", "length"))
         folders = table.where("folder").select("path")
-        if not recursive or not folders.limit(1).count():
+        if not (recursive or is_pack(root) and len(files) == 1) or not folders.limit(1).count():
             return reduce(DataFrame.unionByName, files)
         wanted = scratch_path(spark, "prefixes")
         folders.write.parquet(wanted)
