@@ -235,12 +235,14 @@ def voc_winners(gt: DataFrame, det: DataFrame, thresholds: list[float], cell="au
     best = pairs.groupBy("ImageID", "det_id").agg(
         F.max(F.struct("iou", (-F.col("box_id")).alias("nb"))).alias("m"), F.max("score").alias("score")
     )
-    thr = F.array(*[F.lit(float(t)) for t in thresholds])
     cand = best.select(
-        "ImageID", "det_id", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), F.explode(thr).alias("iou_thr")
-    ).where(F.col("iou") > F.col("iou_thr"))
-    winners = cand.groupBy("iou_thr", "ImageID", "box_id").agg(F.max(F.struct("score", (-F.col("det_id")).alias("nd"))).alias("w"))
-    return winners.select("iou_thr", "ImageID", (-F.col("w.nd")).alias("det_id"))
+        "ImageID", "score", F.col("m.iou").alias("iou"), (-F.col("m.nb")).alias("box_id"), (-F.col("det_id")).alias("nd")
+    ).where(F.col("iou") > float(min(thresholds)))
+    # all thresholds of a box in one row: candidates are not repeated for each of them
+    bests = [F.max(F.when(F.col("iou") > float(t), F.struct("score", "nd"))).alias(f"_w{i}") for i, t in enumerate(thresholds)]
+    winners = cand.groupBy("ImageID", "box_id").agg(*bests)
+    each = F.array(*[F.struct(F.lit(float(t)).alias("iou_thr"), F.col(f"_w{i}").alias("w")) for i, t in enumerate(thresholds)])
+    return winners.select("ImageID", F.inline(each)).where("w is not null").select("iou_thr", "ImageID", (-F.col("w.nd")).alias("det_id"))
 
 
 def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | None = None,
@@ -252,6 +254,8 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     does not depend on the threshold, so it is computed once per detection;
     per threshold only the true positives are needed: the running count
     ``ctp`` over them in rank order gives each one's precision ``ctp / k``.
+    The counts of all thresholds run along one row per true positive, so nothing
+    that is sorted or shuffled is repeated for each threshold.
     Recall point i/100 is reached from the first rank where
     ``f = floor(100*ctp/n)`` >= i, and its interpolated precision is the max
     precision over ranks with a larger-or-equal ``f``; that maximum is always
@@ -286,9 +290,14 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
         [F.col("score").desc(), F.col("det_id"), F.col("ImageID")],
         {"k": F.lit(1)}, max_segment_rows=largest, single_task_rows=limit,
     )
-    tp = winners.join(ranks.select("ImageID", "det_id", "LabelName", "k"), ["ImageID", "det_id"])
-    tp = segmented_prefix(tp, ["LabelName", "iou_thr"], [F.col("k")], {"ctp": F.lit(1)},
+    # one row per detection that wins at any threshold; each threshold has a running count of its own
+    won = winners.groupBy("ImageID", "det_id").agg(F.collect_set("iou_thr").alias("_won"))
+    tp = won.join(ranks.select("ImageID", "det_id", "LabelName", "k"), ["ImageID", "det_id"])
+    single = list(dict.fromkeys(float(t) for t in thresholds))
+    tp = segmented_prefix(tp, ["LabelName"], [F.col("k")], {f"_c{i}": F.array_contains("_won", t).cast("int") for i, t in enumerate(single)},
                           max_segment_rows=largest, single_task_rows=limit)
+    counts = F.array(*[F.struct(F.lit(t).alias("iou_thr"), F.col(f"_c{i}").alias("ctp")) for i, t in enumerate(single)])
+    tp = tp.select("LabelName", "k", F.inline(F.filter(counts, lambda c: F.array_contains("_won", c["iou_thr"]))))
     seg = ["LabelName", "iou_thr"]
     steps = tp.join(n_gt, "LabelName").groupBy(*seg, F.expr("(100 * ctp) div n_gt").alias("f")).agg(
         F.max(F.col("ctp").cast("double") / F.col("k").cast("double")).alias("m")

@@ -182,3 +182,23 @@ def test_levelled_grid_for_hot_images_only(spark):
     most = cells.groupBy("box_id", "_gl").count().agg(F.max("count")).first()[0]
     assert 1 <= most <= 4
     assert cells.where("_gown").groupBy("box_id").count().count() == 200  # the box without extent meets nothing
+
+
+def test_thresholds_are_not_multiplied_in_exchanges(spark):
+    """What average precision ranks has a row per detection, however many thresholds there are."""
+    from boxframe.operators import scan
+
+    gt = spark.range(300).selectExpr("cast(id % 30 as string) ImageID", "id box_id", "'a' LabelName", "0 xmin", "cast(id * 10 as int) ymin", "10 xmax", "cast(id * 10 + 10 as int) ymax")
+    det = gt.selectExpr("ImageID", "box_id det_id", "LabelName", "xmin", "ymin", "xmax", "ymax", "cast(box_id % 7 as double) score")
+    seen, plain = [], scan.segmented_prefix
+
+    def watch(df, *a, **kw):
+        seen.append(df.count())
+        return plain(df, *a, **kw)
+
+    scan.segmented_prefix = watch
+    try:
+        ap = {(r.iou_thr, r.ap) for r in M.average_precision(gt, det, single_task_rows=50).collect()}
+    finally:
+        scan.segmented_prefix = plain
+    assert seen == [300, 300] and ap == {(t, 1.0) for t in M.IOU_THRESHOLDS}
