@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from boxframe.operators.pairs import overlap_pairs
 from boxframe.operators.scan import prefix_sum
+from boxframe.session import cut_lineage
 
 IOU_THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]  # 0.50:0.05:0.95
 NONE_LABEL = "__none__"
@@ -293,6 +294,8 @@ def average_precision(gt: DataFrame, det: DataFrame, thresholds: list[float] | N
     # one row per detection that wins at any threshold; each threshold has a running count of its own
     won = winners.groupBy("ImageID", "det_id").agg(F.collect_set("iou_thr").alias("_won"))
     tp = won.join(ranks.select("ImageID", "det_id", "LabelName", "k"), ["ImageID", "det_id"])
+    if largest > limit:  # range partitions count and sample their input first: the matching runs once for all three
+        tp = cut_lineage(tp, "ap-hits")
     single = list(dict.fromkeys(float(t) for t in thresholds))
     tp = segmented_prefix(tp, ["LabelName"], [F.col("k")], {f"_c{i}": F.array_contains("_won", t).cast("int") for i, t in enumerate(single)},
                           max_segment_rows=largest, single_task_rows=limit)

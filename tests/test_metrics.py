@@ -202,3 +202,22 @@ def test_thresholds_are_not_multiplied_in_exchanges(spark):
     finally:
         scan.segmented_prefix = plain
     assert seen == [300, 300] and ap == {(t, 1.0) for t in M.IOU_THRESHOLDS}
+
+
+def test_range_partitions_take_stored_true_positives(spark, monkeypatch):
+    """Classes too large for a window: the matching is not run again by each job that counts, samples or sorts its true positives."""
+    from boxframe.operators import scan
+
+    rows = [(f"i{i % 7}", i, "a" if i % 3 else "b", 10 * (i % 5), 0, 10 * (i % 5) + 8 + i % 4, 9) for i in range(60)]
+    gt = spark.createDataFrame(rows, "ImageID string, box_id long, LabelName string, xmin int, ymin int, xmax int, ymax int")
+    det = gt.selectExpr("ImageID", "box_id + 100 as det_id", "LabelName", "xmin", "ymin", "xmax - box_id % 3 as xmax", "ymax", "box_id % 10 / 10D as score")
+    want = {(r.LabelName, r.iou_thr): r.ap for r in M.average_precision(gt, det).collect()}
+    plans, kept = [], scan.segmented_prefix
+
+    def watched(df, *a, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, *a, **kw)
+
+    monkeypatch.setattr(scan, "segmented_prefix", watched)
+    assert {(r.LabelName, r.iou_thr): r.ap for r in M.average_precision(gt, det, single_task_rows=5).collect()} == want
+    assert len(plans) == 2 and "Join" not in plans[1] and 0 < max(want.values()) <= 1
