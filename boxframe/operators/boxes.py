@@ -102,6 +102,14 @@ def images_with_boxes(valid: DataFrame, key: str = "ImageID") -> DataFrame:
 MAX_BOXES_PER_ROW = 100_000
 # Hot-image lists up to this many rows are broadcast (checked by a count).
 MAX_BROADCAST_HOT = 1_000_000
+# Boxes that one task groups, about: beyond it a table gets more partitions than the session's.
+ROWS_PER_TASK = 500_000
+
+
+def deal(df: DataFrame, rows: int, *cols: str) -> DataFrame:
+    """``df`` of ``rows`` rows dealt by ``cols`` over so many tasks that none groups much more than ``ROWS_PER_TASK``."""
+    parts = -(-rows // ROWS_PER_TASK)
+    return df.repartition(parts, *cols) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def group_annotations(
@@ -123,17 +131,22 @@ def group_annotations(
     exceeds the bound are the hot images listed, and that list is broadcast
     after its size is checked, so ordinary images are grouped with a single
     shuffle on ``(key, chunk)``. ``largest`` passes that count when the
-    caller knows it (e.g. from the same boxes before a lookup join).
+    caller knows it (e.g. from the same boxes before a lookup join). Tables of
+    very many boxes are dealt over more tasks than the session's partitions (``deal``).
     """
     sort_key = [F.col(order_by).alias("_k")] if order_by else []
     item = F.struct(*sort_key, *[F.col(f) for f in fields])
+    rows = 0
     if largest is None and max_per_row is not None:
-        largest = _largest_image(df, key)
+        largest, rows = _image_sizes(df, key)
+    by, chunk = [key], F.lit(0).alias("chunk")
     if max_per_row is None or largest <= max_per_row:
-        src = df.withColumn("chunk", F.lit(0))
+        src = df
     else:
+        by, chunk = [key, "chunk"], F.col("chunk")
         from boxframe.session import cut_lineage_counted
 
+        rows = rows or _image_sizes(df, key)[1]
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         hot, n_hot = cut_lineage_counted(
             counts.where(F.col("_n") > max_per_row).select(
@@ -147,17 +160,18 @@ def group_annotations(
         src = df.join(hot, key, "left").withColumn(
             "chunk", F.coalesce(F.pmod(spread, F.col("_chunks")).cast("int"), F.lit(0))
         ).drop("_chunks")
-    agg = src.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(item)).alias("_a"))
+    agg = deal(src, rows, *by).groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("_a"))
     if order_by:
         arr = F.transform("_a", lambda s: F.struct(*[s[f].alias(f) for f in fields]))
     else:
         arr = F.col("_a")
-    return agg.select(key, "chunk", arr.alias(out))
+    return agg.select(key, chunk, arr.alias(out))
 
 
-def _largest_image(df: DataFrame, key: str) -> int:
-    """Counted anew each time: the result depends on it, and the files behind a plan can change."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+def _image_sizes(df: DataFrame, key: str) -> tuple[int, int]:
+    """Boxes of the largest image and of all. Counted anew each time: the result depends on it, and the files behind a plan can change."""
+    found = df.groupBy(key).count().agg(F.max("count").alias("largest"), F.sum("count").alias("rows")).first()
+    return found.largest or 0, found.rows or 0
 
 
 def explode_annotations(df: DataFrame, col: str = "annotations", key: str = "ImageID") -> DataFrame:

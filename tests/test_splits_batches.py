@@ -80,6 +80,25 @@ def test_hot_image_is_split_without_losing_boxes(spark):
     assert explode_annotations(spark.createDataFrame(g)).count() == 53
 
 
+def test_groupings_get_tasks_by_their_rows(spark, monkeypatch):
+    """A table of more rows than the session's partitions should hold is dealt over more of them."""
+    from pyspark.sql import functions as F
+
+    from boxframe.operators import boxes as B
+
+    df = spark.createDataFrame([(f"i{i % 90}", i, float(i)) for i in range(360)], "ImageID string, box_id long, XMin double")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for most in (3, 100_000):
+        monkeypatch.setattr(B, "ROWS_PER_TASK", 500_000)
+        want = sorted(map(str, B.group_annotations(df, ("XMin",), order_by="box_id", max_per_row=most).collect()))
+        monkeypatch.setattr(B, "ROWS_PER_TASK", 10)
+        dealt = B.group_annotations(df, ("XMin",), order_by="box_id", max_per_row=most)
+        assert sorted(map(str, dealt.collect())) == want
+        used = dealt.select("annotations", F.spark_partition_id().alias("p")).collect()
+        assert len({r.p for r in used}) > tasks
+        assert 360 > 10 * tasks and B.deal(df, 10 * tasks, "ImageID") is df
+
+
 def test_padded_shards_are_equal_and_complete(spark):
     from collections import Counter
 
