@@ -50,15 +50,26 @@ def image_status(boxes: DataFrame, image_meta: DataFrame, key: str = "ImageID")
     error = (
         F.when(F.col("_found").isNull(), F.lit("image not found"))
         .when(F.col("_merr").isNotNull(), F.col("_merr"))
-        .when(
-            F.col("width").isNull() | F.col("height").isNull() | (F.col("width") <= 0) | (F.col("height") <= 0),
-            F.lit("bad image size"),
-        )
+        .when(~_good_size(), F.lit("bad image size"))
         .when(F.col("_bad") == 1, F.lit("null or NaN coordinate"))  # also infinite
     )
     return joined.select(key, "width", "height", error.alias("error"))
 
 
+def _good_size() -> Column:
+    return F.coalesce((F.col("width") > 0) & (F.col("height") > 0), F.lit(False))
+
+
+def good_images(boxes: DataFrame, image_meta: DataFrame, key: str = "ImageID") -> DataFrame:
+    """``key, width, height`` of the images that ``image_status`` finds fine, annotated or not.
+
+    Only the images with a bad coordinate are collected, not a flag of each annotated one.
+    """
+    usable = image_meta.where("error is null") if "error" in image_meta.columns else image_meta
+    bad = boxes.where(bad_coordinate()).select(key).distinct()
+    return usable.where(_good_size()).select(key, "width", "height").join(bad, key, "left_anti")
+
+
 def scale_boxes(
     boxes: DataFrame,
     image_meta: DataFrame,
@@ -72,11 +83,9 @@ def scale_boxes(
     Result: passthrough columns + ``xmin, ymin, xmax, ymax`` (INT).
     """
     tw, th = size
-    status = image_status(boxes, image_meta, key)
-    good = status.where(F.col("error").isNull()).select(key, "width", "height")
-    quarantine = status.where(F.col("error").isNotNull()).select(key, "error")
+    quarantine = image_status(boxes, image_meta, key).where(F.col("error").isNotNull()).select(key, "error")
 
-    j = boxes.join(good, key, "inner")
+    j = boxes.join(good_images(boxes, image_meta, key), key, "inner")
     w, h = F.col("width"), F.col("height")
     x0 = to_pixel("XMin", w, tw)
     y0 = to_pixel("YMin", h, th)

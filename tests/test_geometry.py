@@ -80,3 +80,20 @@ def test_huge_coordinates_are_clamped(spark):
     lo, _, hi, _ = clamp_box(px, px, px, px, 299, 299)
     got = [tuple(r) for r in df.select(lo, hi).collect()]
     assert got == [(2**31 - 1, 299), (0, -(2**31)), (None, None), (None, None)]
+
+
+def test_scaling_flags_no_image_without_a_bad_box(spark):
+    """Only images with a bad coordinate are collected; the others are not counted up box by box."""
+    from boxframe.operators.boxes import scale_boxes
+
+    boxes = spark.createDataFrame([("a", 0.1, 0.1, 0.5, 0.5), ("a", 0.2, 0.2, 0.3, 0.4), ("b", 0.1, None, 0.5, 0.5), ("b", 0.1, 0.1, 0.5, 0.5),
+                                   ("c", 0.1, 0.1, 0.5, 0.5), (None, 0.1, 0.1, 0.5, 0.5), ("d", 0.1, 0.1, 0.5, 0.5), ("e", 0.1, 0.1, 0.5, 0.5)],
+                                  "ImageID string, XMin double, YMin double, XMax double, YMax double")
+    meta = spark.createDataFrame([("a", 100, 100, None), ("a", 200, 200, None), ("b", 100, 100, None), ("d", 0, 100, None), ("e", 9, 9, "no"), ("e", None, 9, None),
+                                  (None, 5, 5, None)], "ImageID string, width int, height int, error string")
+    r = scale_boxes(boxes, meta)
+    assert sorted(x.ImageID for x in r.result.collect()) == ["a"] * 4
+    assert {(x.ImageID, x.error) for x in r.quarantine.collect()} == {
+        ("b", "null or NaN coordinate"), ("c", "image not found"), (None, "image not found"), ("d", "bad image size"), ("e", "no"), ("e", "bad image size")}
+    plan = r.result._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "max(" not in plan
