@@ -11,7 +11,7 @@ proportional to the boxes' cell coverage plus the pairs that really overlap.
 By default only images with very many candidate pairs take a grid, the others
 stay joined per image. That grid has a level per power of two: a box is
 entered in the cells of its own size (four at most), and probes the cells of
-the larger levels that its image has, four at most each. So boxes of any sizes
+the larger levels that its image's boxes of the other side have, four at most each. So boxes of any sizes
 meet in cells no smaller than the larger one, and no box is spread over many.
 """
 
@@ -31,6 +31,8 @@ from boxframe.sources.bucketed import Bucketed
 MAX_CANDIDATES_PER_IMAGE = 1_000_000
 TARGET_BOXES_PER_CELL = 1_000
 MAX_BROADCAST_IMAGES = 100_000
+BOX = ("xmin", "ymin", "xmax", "ymax")
+MAX_LEVEL = 1_100  # beyond the level of any double
 
 
 def choose_cell(gt: DataFrame, det: DataFrame, key: str, gt_box, det_box,
@@ -73,11 +75,28 @@ def _with_cells(df: DataFrame, box: tuple[str, str, str, str], cell: float, pref
 
 
 def hot_images(gt: DataFrame, det: DataFrame, key: str = "ImageID",
-               max_candidates: int = MAX_CANDIDATES_PER_IMAGE) -> DataFrame | None:
-    """``_k``: the images of more than ``max_candidates`` truth x prediction candidates, as a written table; ``None`` without any."""
-    sides = gt.select(F.col(key).alias("_k"), F.lit(1).alias("_g")).unionByName(det.select(F.col(key).alias("_k"), F.lit(0).alias("_g")))
-    per = sides.groupBy("_k").agg(F.sum("_g").alias("g"), F.count(F.lit(1)).alias("n"))
-    hot, found = cut_lineage_counted(per.where(F.col("g") * (F.col("n") - F.col("g")) > max_candidates).select("_k"), "hot-images")
+               max_candidates: int = MAX_CANDIDATES_PER_IMAGE, levels: bool = False) -> DataFrame | None:
+    """``_k``: the images of more than ``max_candidates`` truth x prediction candidates, as a written table; ``None`` without any.
+
+    ``levels`` adds ``_gl, _dl``, the levels of each side's boxes (``BOX``), which ``overlap_pairs`` otherwise
+    looks up by another pass over the boxes of these images: for tables of which many images are hot.
+    """
+    def side(df: DataFrame, truth: int) -> DataFrame:
+        level = [F.coalesce(_level(BOX), F.lit(0)).alias("_l")] if levels else []
+        return df.select(F.col(key).alias("_k"), F.lit(truth).alias("_g"), *level)
+
+    def of_side(truth: int) -> list:
+        mine = F.col("_g") == truth
+        bits = F.bit_or(F.when(mine, F.expr("shiftleft(1L, least(_l, 62))")))
+        return [F.coalesce(bits, F.lit(0).cast("bigint")).alias(f"_b{truth}"), F.coalesce(F.max(F.when(mine, F.col("_l"))), F.lit(0)).alias(f"_m{truth}")]
+
+    per = side(gt, 1).unionByName(side(det, 0)).groupBy("_k").agg(
+        F.sum("_g").alias("g"), F.count(F.lit(1)).alias("n"), *(of_side(1) + of_side(0) if levels else []))
+    # bit 62 stands for all levels from there on: one that no box has does no harm
+    found_levels = [F.expr(f"filter(sequence(0, _m{k}), x -> x >= 62 or (shiftright(_b{k}, x) & 1) = 1)").alias(name)
+                    for k, name in ((1, "_gl"), (0, "_dl"))] if levels else []
+    hot, found = cut_lineage_counted(
+        per.where(F.col("g") * (F.col("n") - F.col("g")) > max_candidates).select("_k", *found_levels), "hot-images")
     if not found:
         return None
     return F.broadcast(hot) if found <= MAX_BROADCAST_IMAGES else hot
@@ -85,19 +104,19 @@ def hot_images(gt: DataFrame, det: DataFrame, key: str = "ImageID",
 
 def _level(box: tuple[str, str, str, str]):
     x0, y0, x1, y1 = (F.col(c) for c in box)
-    return F.ceil(F.log2(F.greatest(x1 - x0, y1 - y0, F.lit(1.0)))).cast("int")
+    return F.least(F.ceil(F.log2(F.greatest(x1 - x0, y1 - y0, F.lit(1.0)))), F.lit(MAX_LEVEL)).cast("int")
 
 
 def level_cells(df: DataFrame, box: tuple[str, str, str, str], levels: DataFrame, image: str, prefix: str) -> DataFrame:
     """Boxes of hot images with their cells: ``{prefix}l, {prefix}x, {prefix}y`` and ``{prefix}own`` at the box's own level.
 
-    ``levels`` has the levels of each image (``_k, _levels``). A box gets at
-    most four cells of each level from its own upwards.
+    ``levels`` has the levels of each image (``_k, _levels``) that boxes may meet at: those of the other
+    side's boxes. A box gets at most four cells of its own level and of each larger one of them.
     """
     x0, y0, x1, y1 = (F.col(c) for c in box)
     d = df.where((x1 > x0) & (y1 > y0)).withColumn("_own", _level(box))
     d = d.join(levels.select(F.col("_k").alias("_image"), "_levels"), F.col(image) == F.col("_image")).drop("_image")
-    d = d.withColumn(f"{prefix}l", F.explode(F.filter("_levels", lambda x: x >= F.col("_own")))).drop("_levels")
+    d = d.withColumn(f"{prefix}l", F.explode(F.filter(F.array_union("_levels", F.array("_own")), lambda x: x >= F.col("_own")))).drop("_levels")
     c = F.pow(F.lit(2.0), F.col(f"{prefix}l"))
     d = d.withColumn(f"{prefix}own", F.col(f"{prefix}l") == F.col("_own")).drop("_own")
     d = d.withColumn(f"{prefix}x", F.explode(F.sequence(F.floor(x0 / c), F.ceil(x1 / c) - 1)))
@@ -163,13 +182,20 @@ def overlap_pairs(
         g = _with_cells(g, ("_g0", "_g1", "_g2", "_g3"), cell, "_g")
         d = _with_cells(d, ("_d0", "_d1", "_d2", "_d3"), cell, "_d")
         return meet(g, d, g["_gcx"] == d["_dcx"], g["_gcy"] == d["_dcy"], *corner(F.lit(float(cell)), "_gcx", "_gcy"))
-    rest = meet(g.join(cell, "_k", "left_anti"), d.join(cell, F.col("_k2") == F.col("_k"), "left_anti"))
-    g_hot, d_hot = g.join(cell, "_k", "left_semi"), d.join(cell, F.col("_k2") == F.col("_k"), "left_semi")
-    sizes = g_hot.select("_k", _level(("_g0", "_g1", "_g2", "_g3")).alias("l")).unionByName(
-        d_hot.select(F.col("_k2").alias("_k"), _level(("_d0", "_d1", "_d2", "_d3")).alias("l")))
-    levels = cut_lineage(sizes.groupBy("_k").agg(F.collect_set("l").alias("_levels")), "hot-levels")
-    g_hot = level_cells(g_hot, ("_g0", "_g1", "_g2", "_g3"), levels, "_k", "_g")
-    d_hot = level_cells(d_hot, ("_d0", "_d1", "_d2", "_d3"), levels, "_k2", "_d")
+    # Both ways read the same rows, so that their exchanges are one; a box without extent overlaps nothing.
+    g, d = (x.where((c[2] > c[0]) & (c[3] > c[1])) for x, c in ((g, a), (d, b)))
+    images = cell.select("_k")
+    rest = meet(g.join(images, "_k", "left_anti"), d.join(images, F.col("_k2") == F.col("_k"), "left_anti"))
+    g_hot, d_hot = g.join(images, "_k", "left_semi"), d.join(images, F.col("_k2") == F.col("_k"), "left_semi")
+    if {"_gl", "_dl"} <= set(cell.columns) and gt_box == det_box == BOX:
+        levels = cell.select("_k", F.col("_gl").alias("g"), F.col("_dl").alias("d"))
+    else:
+        none = F.lit(None).cast("int")
+        sizes = g_hot.select("_k", _level(("_g0", "_g1", "_g2", "_g3")).alias("g"), none.alias("d")).unionByName(
+            d_hot.select(F.col("_k2").alias("_k"), none.alias("g"), _level(("_d0", "_d1", "_d2", "_d3")).alias("d")))
+        levels = cut_lineage(sizes.groupBy("_k").agg(F.collect_set("g").alias("g"), F.collect_set("d").alias("d")), "hot-levels")
+    g_hot = level_cells(g_hot, ("_g0", "_g1", "_g2", "_g3"), levels.select("_k", F.col("d").alias("_levels")), "_k", "_g")
+    d_hot = level_cells(d_hot, ("_d0", "_d1", "_d2", "_d3"), levels.select("_k", F.col("g").alias("_levels")), "_k2", "_d")
     # At the larger box's own level, and there only, one of the two is at home.
     hot = meet(g_hot, d_hot, g_hot["_gl"] == d_hot["_dl"], g_hot["_gx"] == d_hot["_dx"], g_hot["_gy"] == d_hot["_dy"],
                g_hot["_gown"] | d_hot["_down"], *corner(F.pow(F.lit(2.0), F.col("_gl")), "_gx", "_gy"))

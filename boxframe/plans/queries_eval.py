@@ -73,7 +73,7 @@ def q_iou_pairs_crowded(fx):
     from boxframe.operators.pairs import hot_images, overlap_pairs
 
     gt, det = _gt(fx), fx.detections
-    return overlap_pairs(gt, det, cell=hot_images(gt, det, max_candidates=16)).select("ImageID", "box_id", "det_id", "iou")
+    return overlap_pairs(gt, det, cell=hot_images(gt, det, max_candidates=16, levels=True)).select("ImageID", "box_id", "det_id", "iou")
 
 
 def _in_buckets(fx, max_rows_per_key: int):

@@ -221,3 +221,27 @@ def test_range_partitions_take_stored_true_positives(spark, monkeypatch):
     monkeypatch.setattr(scan, "segmented_prefix", watched)
     assert {(r.LabelName, r.iou_thr): r.ap for r in M.average_precision(gt, det, single_task_rows=5).collect()} == want
     assert len(plans) == 2 and "Join" not in plans[1] and 0 < max(want.values()) <= 1
+
+
+def test_levels_of_hot_images_come_with_their_list(spark, monkeypatch):
+    """The levels are found where candidates are counted: the boxes are not read once more for them, and large boxes meet too."""
+    import random
+
+    from boxframe.operators import pairs as P
+
+    rng, rows = random.Random(9), []
+    for k in range(120):
+        size = rng.choice([0.5, 3.0, 40.0, 3e5, 1e20])
+        x, y = rng.uniform(-50, 250), rng.uniform(-50, 250)
+        rows.append((f"i{k % 3}", k, x, y, x + size * rng.uniform(0.2, 1), y + size))
+    rows += [("i0", 500, 5.0, 5.0, 5.0, 9.0), ("i1", 501, None, 0.0, 1.0, 1.0), (None, 502, 0.0, 0.0, 1.0, 1.0), ("lone", 503, 0.0, 0.0, 1.0, 1.0)]
+    gt = spark.createDataFrame(rows, "ImageID string, box_id long, xmin double, ymin double, xmax double, ymax double")
+    det = gt.withColumnRenamed("box_id", "det_id").where("det_id % 4 > 0 and xmax - xmin < 1e6 or det_id = 3")
+    written, kept = [], P.cut_lineage
+    monkeypatch.setattr(P, "cut_lineage", lambda df, name="table": written.append(name) or kept(df, name))
+    plain = sorted(tuple(r) for r in P.overlap_pairs(gt, det, cell=None).collect())
+    hot = P.hot_images(gt, det, max_candidates=16, levels=True)
+    assert {r["_k"] for r in hot.collect()} == {"i0", "i1", "i2"} and len(plain) > 500
+    assert sorted(tuple(r) for r in P.overlap_pairs(gt, det, cell=hot).collect()) == plain
+    assert written == []
+    assert sorted(tuple(r) for r in P.overlap_pairs(gt, det, cell=hot.select("_k")).collect()) == plain and written == ["hot-levels"]
