@@ -5,8 +5,8 @@ menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 and reader comments go by their markup. A page that names its article
 (``article``, ``main``) gives the blocks in it; others give all remaining ones.
 
-What markup does not tell, the host does: the token streams of a host's pages
-are concatenated, their suffixes sorted to a depth of ``Rules.run`` tokens, and
+What markup does not tell, the host does: the suffixes of the token streams of
+a host's pages are sorted to a depth of ``Rules.run`` tokens (by a hash of these), and
 equal neighbours are substrings that repeat across pages. Windows repeated on
 enough distinct pages are boilerplate; a block mostly covered by them goes, the
 others stay whole and in order. Blocks shorter than a window (menu items) are
@@ -16,26 +16,18 @@ named article must be on most pages of the host. On pages that name no article,
 the same holds between the first and the last block that is the page's own;
 ``left_out`` has the rules.
 
-A host of up to about ``Rules.cell`` pages is one cell, with one suffix array.
-Larger hosts are dealt into cells of about that size by the hash of the row, each
-with its suffix array, so that a host with a third of all pages is many small
-tasks. What fewer pages repeat than a cell would show, Spark counts over the
-distinct contents of the whole host: every block by its hash, and of the windows
-of ``Rules.run`` tokens those of locally least hash, which are the same wherever a
-repeat of ``run + spread - 1`` tokens stands. ``Rules.most_open`` pages make such an
-open block boilerplate however large the host is; within a named article it
-takes a share of the whole host's pages. The counts that reach a limit go back
-to the host's cells.
+All suffixes of all of a host's pages are counted, by the same rules for hosts of any size. They are dealt
+over tasks by their hashes (``parts``), so that a host with a third of all pages is
+several tasks, packed to 5 bytes each; what a host repeats goes back to its pages.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.llm.common import cut_lineage, map_arrow, slices, small
+from boxframe.llm.common import map_arrow, slices, small
+from boxframe.session import cut_lineage, cut_lineage_observed
 
 #: Elements that start a block.
 BLOCKS = frozenset((
@@ -90,22 +83,25 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 NO_MARK, NAME, COMMENT, FIRM_MARK = 0, 1, 2, 3  # what marks an element: nothing, its names, names of comments or adverts, its attributes
 
-BUCKET_CELLS = 4  # cells of a large host whose windows are counted together, about
+PRINT_BITS = 38  # of a hash; the last two bits of 40 are its kind
+PART_PAGES = 8_000  # pages of a host whose suffixes are sorted together, about
+SHARE_PAGES = 2_000  # pages of a host that meet what it repeats in one task, about, if that is not broadcast
+KNOWN_BYTES = 32_000_000  # of all hosts' repeats that are broadcast
+IS_SHORT, ASKED, TEMPLATE = 1, 2, 4  # a whole short block; in open text somewhere; by at least half outside of articles
+MOST, ENOUGH, PLAIN = 1, 2, 4  # what a repeat is enough for: all blocks; open ones; open ones of pages with marked menus or headers
 WHOLE = 0x5DEECE66D  # seed of the hashes of whole blocks
 
 ARTICLE, OPEN, OUTSIDE = 0, 1, 2  # kinds of blocks: in a named article, on a page that names none, not of the article
-PLAIN = 3  # windows that are enough in open blocks of pages with marked menus or headers
+SHORT = 3  # whole blocks shorter than a window
 
 
 @dataclass(frozen=True)
 class Rules:
-    run: int = 8  # tokens of a repeated substring, a power of two
-    cell: int = 200  # pages compared with each other in one go, about
+    run: int = 8  # tokens of a repeated substring
     open_pages: float = 0.2  # share of a host's pages (3 at least) that make an open block's window boilerplate
-    most_open: int = 40  # pages of a host of several cells that do so whatever their share
+    most_open: int = 40  # pages that do so whatever their share, on pages without any marked menu or header
     article_pages: float = 0.6  # the same (5 at least) within a named article
     covered: float = 0.5  # share of a block's tokens
-    spread: int = 8  # neighbouring windows of which a large host's count takes the one of least hash
     least: int = 5  # pages that make an open block's window boilerplate on pages with marked menus or headers
     own: int = 8  # tokens of a block that the host does not repeat from which on it bounds a page's text
 
@@ -253,75 +249,18 @@ def _parse(page: str, spare: frozenset[int]) -> tuple[list[tuple[str, int]], fro
     return found, frozenset(x[0] for x in marks if not x[3] and (2 * x[4] > total or x[2] and none and x[4]))
 
 
-def boilerplate(pages: list[list[tuple[str, int]]], cells: np.ndarray, rules: Rules) -> list[list[bool]]:
-    """For every block of every page whether the host's repeats cover it. ``cells``: each page's cell; cells don't mix."""
-    return repeats(pages, cells, rules)[0]
-
-
-def repeats(pages: list[list[tuple[str, int]]], cells: np.ndarray, rules: Rules) -> tuple[list[list[bool]], ...]:
-    """``boilerplate``; the same without regard to what other pages' markup says of a repeat; covered by repeats on most pages (``article_pages``)."""
-    words, size, kind_of, page_of = [], [], [], []
-    known: defaultdict[str, int] = defaultdict(count().__next__)
-    prints = np.empty(len(pages), np.int64)
-    for i, blocks in enumerate(pages):
-        own = "\n\n".join(t for t, k in blocks if k != OUTSIDE)
-        prints[i] = xxhash.xxh64_intdigest(own.encode("utf-8", "surrogatepass")) >> 1 if own else -1 - i
-        for text, kind in blocks:
-            tokens = text.lower().split(" ")
-            words += map(known.__getitem__, tokens)
-            size.append(len(tokens))
-            kind_of.append(kind)
-            page_of.append(i)
-    n_blocks = len(size)
-    if not words:
-        return ([[False] * len(b) for b in pages],) * 3
-    word, block = np.array(words, np.int64), np.repeat(np.arange(n_blocks), size)
-    kind, page = (np.repeat(np.array(x, np.int64), size) for x in (kind_of, page_of))
-    # Copies count as one page: each page's number among the distinct contents of its cell.
-    distinct = np.unique(np.stack([cells, prints], axis=1), axis=0, return_inverse=True)[1].reshape(-1)
-    in_cell = np.bincount(np.unique(np.stack([cells, distinct], axis=1), axis=0)[:, 0], minlength=int(cells.max()) + 1)
-    # Sort the suffixes to the asked depth by doubling; the cell is part of the first rank. Only suffixes whose
-    # beginning repeats go on: both halves of a repeat are repeats.
-    n, depth = len(word), 1
-    rank = cells[page] * len(known) + word
-    alive = np.flatnonzero(np.bincount(rank)[rank] > 1)
-    while depth < rules.run:
-        again = np.zeros(n + depth, bool)
-        again[alive] = True
-        near = alive[again[alive + depth]]
-        near = near[page[near + depth] == page[near]]
-        _, number, times = np.unique(rank[near] * (rank.max() + 1) + rank[near + depth], return_inverse=True, return_counts=True)
-        rank = np.zeros(n, np.int64)
-        rank[near] = number.reshape(-1)
-        alive = near[times[number.reshape(-1)] > 1]
-        depth *= 2
-    suffixes = alive
-    suffixes = suffixes[np.lexsort((distinct[page[suffixes]], rank[suffixes]))]
-    r, d = rank[suffixes], distinct[page[suffixes]]
-    first = np.concatenate(([True], r[1:] != r[:-1])) if len(r) else np.zeros(0, bool)
-    group = np.cumsum(first) - 1
-    new_page = first | np.concatenate(([True], d[1:] != d[:-1])) if len(r) else first
-    pages_of = np.bincount(group[new_page]) if len(r) else np.zeros(0, np.int64)
-    outside = np.bincount(group, kind[suffixes] == OUTSIDE) if len(r) else np.zeros(0)
-    total = np.bincount(group) if len(r) else np.zeros(0, np.int64)
-    cell_pages = in_cell[cells[page[suffixes]]] if len(r) else np.zeros(0, np.int64)
-    often, template = pages_of[group] if len(r) else r, (outside * 2 >= total)[group] if len(r) else first
-    most = often >= np.maximum(5, rules.article_pages * cell_pages)
-    enough = often >= np.maximum(3, rules.open_pages * cell_pages)
-    hit, plain = (np.where(kind[suffixes] == OPEN, x, most) for x in (enough | (often >= 2) & template, enough & (often >= rules.least)))
-
-    def flags(hit: np.ndarray) -> list[list[bool]]:
-        cover = np.zeros(n + 1, np.int64)
-        np.add.at(cover, suffixes[hit], 1)
-        np.add.at(cover, np.minimum(suffixes[hit] + depth, n), -1)
-        share = np.bincount(block, np.cumsum(cover[:n]) > 0, n_blocks) / np.maximum(1, np.bincount(block, minlength=n_blocks))
-        all_flags, out, at = (share > rules.covered).tolist(), [], 0
-        for blocks in pages:
-            out.append(all_flags[at : at + len(blocks)])
-            at += len(blocks)
-        return out
-
-    return flags(hit), flags(plain), flags(most)
+def suffixes(blocks: list[tuple[str, int]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the first ``run`` tokens of a page's suffixes by their start, and every token's kind and block."""
+    tokens = [t.lower().split(" ") for t, _ in blocks]
+    size = [len(x) for x in tokens]
+    number = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(tokens)), np.uint64, sum(size))
+    kind = np.repeat(np.array([k for _, k in blocks], np.int8), size)
+    block = np.repeat(np.arange(len(blocks)), size)
+    n = max(0, len(number) - run + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(run):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + number[k : k + n]
+    return out, kind, block
 
 
 def short_blocks(blocks: list[tuple[str, int]], run: int) -> list[int]:
@@ -329,28 +268,99 @@ def short_blocks(blocks: list[tuple[str, int]], run: int) -> list[int]:
     return [b for b, (t, k) in enumerate(blocks) if k != OUTSIDE and t.count(" ") + 1 < run]
 
 
-def short_repeats(pages: list[list[tuple[str, int]]], cells: np.ndarray, rules: Rules) -> tuple[list[set[int]], list[set[int]]]:
-    """Short blocks whose whole text the host repeats, by page: on enough pages for an open block, and on most pages."""
-    found: dict[tuple[int, str], set[int]] = {}
-    contents: dict[int, set[int]] = {}
-    for i, blocks in enumerate(pages):
-        content, cell = content_of(blocks, str(i)), int(cells[i])
-        contents.setdefault(cell, set()).add(content)
-        for b in short_blocks(blocks, rules.run):
-            found.setdefault((cell, blocks[b][0].lower()), set()).add(content)
-    some, most = [], []
-    for i, blocks in enumerate(pages):
-        cell = int(cells[i])
-        size = len(contents[cell])
-        often = {b: len(found[cell, blocks[b][0].lower()]) for b in short_blocks(blocks, rules.run)}
-        some.append({b for b, n in often.items() if n >= max(3, rules.open_pages * size)})
-        most.append({b for b, n in often.items() if n >= max(5, rules.article_pages * size)})
-    return some, most
-
-
-def left_out(blocks: list[tuple[str, int]], flags: tuple[list[bool], ...], some_short: set[int], most_short: set[int],
-             rules: Rules) -> list[bool]:
-    """The blocks of a page that the host's repeats take away; ``flags``: those of ``repeats``.
+def codes_of(blocks: list[tuple[str, int]], rules: Rules) -> tuple[np.ndarray, np.ndarray]:
+    """What a page shows to its host: prints of its suffixes and whole short blocks, and their kinds (``SHORT`` for the blocks)."""
+    own, kind, _ = suffixes(blocks, rules.run)
+    short = np.array([short_print(blocks[b][0]) for b in short_blocks(blocks, rules.run)], np.uint64)
+    return np.concatenate((prints(own), short)), np.concatenate((kind[: len(own)], np.full(len(short), SHORT, np.int8)))
+
+
+def prints(own: np.ndarray) -> np.ndarray:
+    """The upper bits of hashes, whose lower ones are the weaker of a product."""
+    return own >> np.uint64(64 - PRINT_BITS)
+
+
+def short_print(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.lower().encode("utf-8", "surrogatepass"), WHOLE) >> 64 - PRINT_BITS
+
+
+def tally(code: np.ndarray, kind: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prints that repeat, sorted, on how many contents each is, and what it is (bits ``IS_SHORT``, ``ASKED``, ``TEMPLATE``).
+
+    ``code``, ``kind`` and ``content``: a row for every place of them on the host's pages.
+    """
+    order = np.lexsort((content, code))
+    code, kind, content = code[order], kind[order], content[order]
+    first = np.append(True, code[1:] != code[:-1])[: len(code)]
+    group = np.cumsum(first) - 1
+    often = np.bincount(group[first | np.append(True, content[1:] != content[:-1])[: len(code)]])
+    total, outside, asked = np.bincount(group), np.bincount(group, kind == OUTSIDE), np.bincount(group, (kind == OPEN) | (kind == SHORT)) > 0
+    what = IS_SHORT * (kind[first] == SHORT) + ASKED * asked + TEMPLATE * (outside * 2 >= total)
+    kept = often > 1
+    return code[first][kept], often[kept].astype(np.int64), what[kept].astype(np.int8)
+
+
+def enough(often: np.ndarray, what: np.ndarray, whole: int, rules: Rules) -> np.ndarray:
+    """For what prints of ``tally`` are repeated enough on a host of ``whole`` contents: bits ``MOST``, ``ENOUGH``, ``PLAIN``."""
+    suffix, asked = what & IS_SHORT == 0, what & ASKED > 0
+    some = np.maximum(3, rules.open_pages * whole)
+    open_ = (often >= min(some, max(3, rules.most_open))) | suffix & (what & TEMPLATE > 0)
+    plain = (often >= some) & (~suffix | (often >= rules.least))
+    most = often >= max(5, rules.article_pages * whole)
+    return (MOST * most + ENOUGH * (open_ & asked) + PLAIN * (plain & asked)).astype(np.int8)
+
+
+def covered(blocks: list[tuple[str, int]], known: np.ndarray, bits: np.ndarray, rules: Rules) -> tuple[list[bool], ...]:
+    """For the blocks of a page whether the host's repeats cover them: with and without regard to what other pages' markup
+    says of a repeat, and by repeats on most pages. Within a named article and outside only the last count.
+
+    ``known``, ``bits``: the prints that the page's host repeats, sorted, and those of ``enough``.
+    """
+    own, kind, block = suffixes(blocks, rules.run)
+
+    def found(code: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
+        return np.where(known[at] == code, bits[at], 0) if len(known) else np.zeros(len(code), np.int8)
+
+    got = found(prints(own))
+    size = np.maximum(1, np.bincount(block, minlength=len(blocks)))
+
+    def flags(bit: int) -> list[bool]:
+        hit = np.flatnonzero(np.where(kind[: len(own)] == OPEN, got & bit, got & MOST))
+        cover = np.zeros(len(kind) + 1, np.int64)
+        cover[hit] += 1
+        cover[hit + rules.run] -= 1
+        return (np.bincount(block[np.cumsum(cover[:-1]) > 0], minlength=len(blocks)) / size > rules.covered).tolist()
+
+    return flags(ENOUGH), flags(PLAIN), flags(MOST)
+
+
+def short_repeats(blocks: list[tuple[str, int]], known: np.ndarray, bits: np.ndarray, rules: Rules) -> tuple[set[int], ...]:
+    """The short blocks of a page whose whole text the host repeats, as ``covered`` has the others."""
+    short = short_blocks(blocks, rules.run)
+    code = np.array([short_print(blocks[b][0]) for b in short], np.uint64)
+    at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
+    got = np.where(known[at] == code, bits[at], 0).tolist() if len(known) else [0] * len(short)
+    return tuple({b for b, g in zip(short, got, strict=True) if g & bit} for bit in (ENOUGH, PLAIN, MOST))
+
+
+def boilerplate(pages: list[list[tuple[str, int]]], cells: np.ndarray, rules: Rules) -> list[list[bool]]:
+    """For every block of every page whether the host's repeats cover it. ``cells``: each page's host; hosts don't mix."""
+    out: list[list[bool]] = [[]] * len(pages)
+    for cell in np.unique(cells).tolist():
+        rows = np.flatnonzero(cells == cell).tolist()
+        content = np.array([content_of(pages[i], str(i)) for i in rows])
+        shown = [codes_of(pages[i], rules) for i in rows]
+        code, kind = (np.concatenate(x) for x in zip(*shown, strict=True))
+        known, often, what = tally(code, kind, np.repeat(content, [len(c) for c, _ in shown]))
+        bits = enough(often, what, len(set(content.tolist())), rules)
+        for i in rows:
+            out[i] = covered(pages[i], known, bits, rules)[0]
+    return out
+
+
+def left_out(blocks: list[tuple[str, int]], flags: tuple[list[bool], ...], short: tuple[set[int], ...], rules: Rules) -> list[bool]:
+    """The blocks of a page that the host's repeats take away; ``flags``: those of ``covered``, ``short``: of ``short_repeats``.
 
     A page whose markup tells no block as menu, header or the like goes by what other
     pages' markup says of the same words; on others, an open block may well quote them. Within a named article it takes repeats on most pages, and whole short
@@ -361,14 +371,14 @@ def left_out(blocks: list[tuple[str, int]], flags: tuple[list[bool], ...], some_
     """
     silent = all(k != OUTSIDE for _, k in blocks)
     most = flags[2]
-    weak = [f or b in some_short for b, f in enumerate(flags[0] if silent else flags[1])]
+    weak = [f or b in short[not silent] for b, f in enumerate(flags[not silent])]
     own = [b for b, (t, k) in enumerate(blocks) if k == OPEN and not weak[b]]
     own = [b for b in own if blocks[b][0].count(" ") + 1 >= rules.own] or own
     first, last = (own[0], own[-1]) if own else (len(blocks), -1)
     out = []
     for b, (_, k) in enumerate(blocks):
         if k == OPEN:
-            out.append(most[b] or b in most_short if first < b < last else weak[b] and b not in (first, last))
+            out.append(most[b] or b in short[2] if first < b < last else weak[b] and b not in (first, last))
         else:
             out.append(k == ARTICLE and most[b])
     return out
@@ -380,128 +390,110 @@ def content_of(blocks: list[tuple[str, int]], other: str) -> int:
     return xxhash.xxh64_intdigest((own or f"\0{other}").encode("utf-8", "surrogatepass"), 0 if own else 1) >> 1
 
 
-def windows(blocks: list[tuple[str, int]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (62 bits, above two that are free) of a page's windows of ``run`` tokens by their start, and every token's kind and block."""
-    tokens = [t.lower().split(" ") for t, _ in blocks]
-    size = [len(x) for x in tokens]
-    number = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(tokens)), np.uint64, sum(size))
-    kind = np.repeat(np.array([k for _, k in blocks], np.int64), size)
-    block = np.repeat(np.arange(len(blocks)), size)
-    n = max(0, len(number) - run + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(run):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + number[k : k + n]
-    return out.view(np.int64) & -4, kind, block
-
+def host_repeats(pages: DataFrame, rules: Rules) -> DataFrame:
+    """(__host, known, bits): what each host repeats (``enough``), in rows of bounded size.
 
-def chosen(blocks: list[tuple[str, int]], rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What a large host counts of a page: hashes (32 bits above two that are free, and more above them), kinds and blocks.
-
-    Every block as a whole, and of every ``spread`` neighbouring windows the one of
-    least hash, so that a repeat of ``run + spread - 1`` tokens gives the same windows wherever it stands.
+    ``pages``: __host, __key (of the row), __html of all pages. They are parsed here and once more where blocks
+    are left out: their texts would take more disk than what is counted of them.
     """
-    own, kind, block = windows(blocks, rules.run)
-    kind, block = kind[: len(own)], block[: len(own)]
-    if len(own) > rules.spread:
-        near = np.lib.stride_tricks.sliding_window_view(own, rules.spread)
-        at = np.unique(np.arange(len(near)) + near.argmin(axis=1))
-        own, kind, block = own[at], kind[at], block[at]
-    kept = [b for b, (_, k) in enumerate(blocks) if k != OUTSIDE]
-    whole = np.array([xxhash.xxh64_intdigest(blocks[b][0].lower().encode("utf-8", "surrogatepass"), WHOLE) >> 1 & ~3 for b in kept], np.int64)
-    return (np.concatenate((own, whole)), np.concatenate((kind, np.array([blocks[b][1] for b in kept], np.int64))),
-            np.concatenate((block, -1 - np.array(kept, np.int64))))
-
-
-def fingerprint(own: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(bucket, fingerprint)`` of hashes: the bucket from upper bits, 30 bits above two that are free from lower ones."""
-    return own >> 40 & buckets - 1, own & 0xFFFFFFFC
-
-
-def buckets_of(cells: int) -> int:
-    """Parts in which the windows of a host of so many cells are counted: a power of two."""
-    return 1 << (max(1, cells // BUCKET_CELLS) - 1).bit_length()
 
+    def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "__html", max_chars=8_000_000):
+            hosts: dict[str, int] = {}
+            host_of, parts_of, size, content, codes, kinds = [], [], [], [], [], []
+            for host, n, key, page in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                blocks = parse(page) if page else []
+                code, kind = codes_of(blocks, rules)
+                host_of.append(hosts.setdefault(host, len(hosts)))
+                parts_of.append(parts(n))
+                size.append(len(code)), content.append(content_of(blocks, key)), codes.append(code), kinds.append(kind)
+            if not hosts:
+                continue
+            names, contents = list(hosts), np.array(content, np.int64)
+            each = [np.unique(contents[np.array(host_of) == h]) for h in range(len(names))]
+            none = pa.array([b""] * len(names), pa.binary())
+            yield pa.RecordBatch.from_arrays(  # part -1: the contents alone
+                [pa.array(names, pa.string()), pa.array(np.full(len(names), -1, np.int32)), none, none, none,
+                 pa.array([x.tobytes() for x in each], pa.binary())], ["__host", "part", "low", "high", "length", "content"])
+            if not sum(size):
+                continue
+            code, kind = np.concatenate(codes), np.concatenate(kinds)
+            page = np.repeat(np.arange(len(size)), size)
+            host = np.array(host_of)[page]
+            part = (code % np.array(parts_of, np.uint64)[page]).astype(np.int64)
+            order = np.lexsort((page, part, host))
+            code, kind, page, host, part = code[order], kind[order], page[order], host[order], part[order]
+            new = np.append(True, (host[1:] != host[:-1]) | (part[1:] != part[:-1]))
+            start = np.flatnonzero(new)
+            # a run is what a page has in the part: its length and content are kept once
+            run = np.flatnonzero(new | np.append(True, page[1:] != page[:-1]))
+            length, own = np.diff(np.append(run, len(code))).astype(np.uint32), contents[page[run]]
+            low = (code & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            high = ((code >> np.uint64(32)).astype(np.uint8) << 2) | kind.astype(np.uint8)
+            ends, runs = np.append(start[1:], len(code)), np.searchsorted(run, np.append(start, len(code)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[h] for h in host[start]], pa.string()), pa.array(part[start].astype(np.int32)), *[pa.array([x[a:b].tobytes() for a, b in zip(start, ends, strict=True)], pa.binary()) for x in (low, high)],
+                 *[pa.array([x[a:b].tobytes() for a, b in zip(runs[:-1], runs[1:], strict=True)], pa.binary()) for x in (length, own)]],
+                ["__host", "part", "low", "high", "length", "content"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            low, high, length, own = (np.frombuffer(b"".join(r[k] for r in rows), t) for k, t in (
+                (2, np.uint32), (3, np.uint8), (4, np.uint32), (5, np.int64)))
+            if rows[0][1] < 0:
+                yield row(rows[0][0], len(np.unique(own)), None, None, None)
+                return
+            code = (high >> 2).astype(np.uint64) << np.uint64(32) | low
+            found = tally(code, (high & 3).astype(np.int8), np.repeat(own, length))
+            for k in range(0, len(found[0]), 100_000):
+                yield row(rows[0][0], None, *[x[k : k + 100_000].tobytes() for x in found])
+
+        def row(host: str, whole: int | None, *values: bytes | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([whole], pa.int64()), *[pa.array([v], pa.binary()) for v in values]],
+                                              ["__host", "__whole", "known", "often", "what"])
 
-def covered_by(blocks: list[tuple[str, int]], often: dict[int, np.ndarray], rules: Rules, cells: int) -> tuple[list[bool], ...]:
-    """The flags of ``repeats`` for a page of a large host, from whole blocks and chosen windows; ``often``: sorted (bucket, fingerprint) by kind."""
-    own, kind, block = chosen(blocks, rules)
-    bucket, print_ = fingerprint(own, buckets_of(cells))
-    coded = bucket << 32 | print_
-    windows_of = np.bincount(block[block >= 0], minlength=len(blocks))
+        held: list[tuple] = []
+        for batch in batches:
+            for one in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if held and held[0][:2] != one[:2]:
+                    yield from done(held)
+                    held = []
+                held.append(one)
+        if held:
+            yield from done(held)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for host, whole, known, often, what in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                bits = enough(np.frombuffer(often, np.int64), np.frombuffer(what, np.int8), whole, rules)
+                yield pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([np.frombuffer(known, np.uint64)[bits > 0].tobytes()], pa.binary()),
+                                                  pa.array([bits[bits > 0].tobytes()], pa.binary())], ["__host", "known", "bits"])
 
-    def among(k: int) -> np.ndarray:
-        known = often.get(k)
-        if known is None or not len(coded):
-            return np.zeros(len(coded), bool)
-        return known[np.minimum(np.searchsorted(known, coded), len(known) - 1)] == coded
+    hosts = small(pages.groupBy("__host").agg(F.count("*").alias("__pages")), 200_000, "hosts")
+    packed = map_arrow(pages.join(hosts, "__host").select("__host", "__pages", "__key", "__html"), shown,
+                       "__host string, part int, low binary, high binary, length binary, content binary")
+    tallied = cut_lineage(map_arrow(packed.repartition("__host", "part").sortWithinPartitions("__host", "part"), counted,
+                                    "__host string, __whole bigint, known binary, often binary, what binary"), "repeats", compression="zstd")
+    whole = small(tallied.where("__whole is not null").select("__host", "__whole"), 200_000, "hosts")
+    return map_arrow(tallied.where("known is not null").drop("__whole").join(whole, "__host").select("__host", "__whole", "known", "often", "what"),
+                     judged, "__host string, known binary, bits binary")
 
-    def flags(hit: np.ndarray) -> list[bool]:
-        share = np.bincount(block[hit & (block >= 0)], minlength=len(blocks)) / np.maximum(1, windows_of)
-        out = share > rules.covered
-        out[-1 - block[hit & (block < 0)]] = True
-        return out.tolist()
 
-    most = among(ARTICLE)
-    return tuple(flags(np.where(kind == OPEN, x, most)) for x in (among(OPEN), among(PLAIN), most))
+def parts(pages: int) -> int:
+    """Tasks' shares of what a host of so many pages shows: a power of two. They deal the work only, each print is in one."""
+    return 1 << (max(1, -(-pages // PART_PAGES)) - 1).bit_length()
 
 
-def host_windows(large: DataFrame, rules: Rules) -> DataFrame:
-    """(__host, kind, window) of the boilerplate of whole hosts; ``large``: __host, __key (of the row), __n (cells of the host) and __html of their pages.
+def blocks_of(texts: str, digits: str) -> list[tuple[str, int]]:
+    """A page's blocks, from their lines and kinds."""
+    return list(zip(texts.split("\n"), map(int, digits), strict=True)) if digits else []
 
-    Counts ``chosen`` windows and blocks over the distinct contents of all pages of a host; ``most_open`` pages suffice
-    in open blocks of pages without any marked menu or header. ``kind`` is ``ARTICLE`` for what is on most pages, ``OPEN``
-    and ``PLAIN`` for what is enough in open blocks, with and without regard to the markup of other pages.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__html", max_rows=1_000):
-            hosts: dict[str, int] = {}
-            host_of, bucket_of, coded, content_of_ = [], [], [], []
-            for host, key, n, page in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                blocks = parse(page) if page else []
-                own, kind, _ = chosen(blocks, rules)
-                content, buckets = content_of(blocks, str(key)), buckets_of(n)
-                bucket, prints = fingerprint(own, buckets)
-                # what is there more than once counts once per kind; the last is the page itself
-                both = np.append(np.unique(bucket << 32 | prints | kind + 1), (content & buckets - 1) << 32)
-                bucket_of.append(both >> 32)
-                coded.append(both & 0xFFFFFFFF)
-                content_of_.append(np.full(len(both), content))
-                host_of.append(np.full(len(both), hosts.setdefault(host, len(hosts))))
-            if not hosts:
-                continue
-            host, bucket, code, content = (np.concatenate(x) for x in (host_of, bucket_of, coded, content_of_))
-            order = np.lexsort((content, bucket, host))
-            host, bucket, code, content = host[order], bucket[order], code[order], content[order]
-            start = np.flatnonzero(np.append(True, (host[1:] != host[:-1]) | (bucket[1:] != bucket[:-1])))
-            offsets = pa.array(np.append(start, len(host)).astype(np.int32))
-            names = list(hosts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([names[h] for h in host[start]], pa.string()), pa.array(bucket[start].astype(np.int32)),
-                 pa.ListArray.from_arrays(offsets, pa.array(code.astype(np.uint32).view(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(content))],
-                ["__host", "bucket", "coded", "content"])
-
-    # Packed by bucket over many pages, so that the shuffle moves little more than the hashes.
-    packed = map_arrow(large.select("__host", "__key", "__n", "__html"), run, "__host string, bucket int, coded array<int>, content array<bigint>")
-    rows = packed.repartition("__host", "bucket").select("__host", "bucket", F.inline(F.arrays_zip("coded", "content")))
-    code = F.col("coded").bitwiseAND(F.lit(3))
-    kinds = {"article": ARTICLE, "open": OPEN, "outside": OUTSIDE}
-    distinct = rows.groupBy("__host", "bucket", (F.col("coded") - code).alias("window"), (code == 0).alias("page"), "content").agg(
-        *[F.count_if(code == k + 1).alias(name) for name, k in kinds.items()])
-    counted = cut_lineage(distinct.groupBy("__host", "bucket", "window", "page").agg(
-        F.count("*").alias("pages"), *[F.sum(k).alias(k) for k in kinds]).filter(
-        "page or pages > 1 and article + open > 0"), "windows")
-    n = small(counted.filter("page").groupBy("__host").agg(F.sum("pages").alias("__pages")), 200_000, "host-pages")
-    seen = counted.filter("not page").join(n, "__host")
-    often, whole = F.col("pages"), F.col("__pages")
-    template = 2 * F.col("outside") >= F.col("article") + F.col("open") + F.col("outside")
-    enough = often >= F.greatest(F.lit(3), F.least(F.lit(rules.most_open), rules.open_pages * whole))
-    most = often >= F.greatest(F.lit(5), rules.article_pages * whole)
-    in_open = F.col("open") > 0
-    hits = F.array_compact(F.array(F.when(most, F.lit(ARTICLE)), F.when(in_open & (enough | template), F.lit(OPEN)),
-                                   F.when(in_open & (often >= F.greatest(F.lit(rules.least), rules.open_pages * whole)), F.lit(PLAIN))))
-    window = F.shiftleft(F.col("bucket").cast("bigint"), 32).bitwiseOR(F.col("window").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return seen.select("__host", F.explode(hits).alias("kind"), window.alias("window"))
+def joined(chunks: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """What a host repeats, of the rows of ``host_repeats``."""
+    known, bits = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*chunks, strict=True) if chunks else ((), ()), (np.uint64, np.int8), strict=True))
+    order = np.argsort(known)
+    return known[order], bits[order]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules: Rules = Rules()) -> DataFrame:
@@ -511,79 +503,70 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     (NULL urls too) are one host of their own. Repeated rows count as one page
     and give equal results.
     """
+    spark, kinds = pages.sparkSession, dict(pages.dtypes)
+    names = [id_col, url_col, "__host"]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__html"):
-            found = [parse(x) if x else [] for x in batch.column(5).to_pylist()]
+            found = [parse(x) if x else [] for x in batch.column(3).to_pylist()]
             # A block has no line end, so a page's blocks are lines; their kinds are one digit each.
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(["\n".join([t for t, _ in x]) for x in found], pa.string()),
-                 pa.array(["".join([str(k) for _, k in x]) for x in found], pa.string())],
-                [id_col, url_col, "__host", "__cell", "__n", "__texts", "__kinds"])
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            number: dict[tuple, int] = {}
-            often: dict[tuple, list[tuple[int, int]]] = {}  # boilerplate windows of the cells of large hosts
-            for r in rows:
-                if r[7] is not None:
-                    often.setdefault(r[2:4], []).append((r[7], r[8]))
-            known = {c: {k: np.sort(np.array([w for x, w in found if x == k], np.int64)) for k in {x for x, _ in found}} for c, found in often.items()}
-            rows = [r for r in rows if r[7] is None]
-            parsed = [list(zip(r[5].split("\n"), map(int, r[6]), strict=True)) if r[6] else [] for r in rows]
-            gone: list[list[bool]] = [[]] * len(rows)
-            own = np.array([number.setdefault(r[2:4], len(number)) for r in rows], np.int64)
-            if rows:
-                some, always = short_repeats(parsed, own, rules)
-                for i, (r, flags, a, b) in enumerate(zip(rows, zip(*repeats(parsed, own, rules), strict=True), some, always, strict=True)):
-                    if r[4] > 1:  # what the whole host repeats besides
-                        host = covered_by(parsed[i], known.get(r[2:4], {}), rules, r[4])
-                        flags = tuple([x or y for x, y in zip(f, g, strict=True)] for f, g in zip(flags, host, strict=True))
-                    gone[i] = left_out(parsed[i], flags, a, b, rules)
-            texts = ["\n\n".join(t for (t, k), g in zip(p, f, strict=True) if k != OUTSIDE and not g) for p, f in zip(parsed, gone, strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], id_kind), pa.array([r[1] for r in rows], pa.string()), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], [id_col, url_col, "text", "n_chars"])
+                [*batch.columns[:3], pa.array(["\n".join([t for t, _ in x]) for x in found], pa.string()),
+                 pa.array(["".join([str(k) for _, k in x]) for x in found], pa.string())], [*names, "__texts", "__kinds"])
+
+    def left(batch: pa.RecordBatch, known: dict[str, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        """The result rows of pages (id, url, host, texts, kinds)."""
+        texts, nothing = [], joined([])
+        for host, lines, digits in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)], strict=True):
+            page, own = blocks_of(lines, digits), known.get(host, nothing)
+            gone = left_out(page, covered(page, *own, rules), short_repeats(page, *own, rules), rules) if page else []
+            texts.append("\n\n".join(t for (t, k), g in zip(page, gone, strict=True) if k != OUTSIDE and not g))
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                          [id_col, url_col, "text", "n_chars"])
 
-        held: list[tuple] = []
-        id_kind = None
-        for batch in batches:
-            id_kind = batch.schema.field(0).type
-            held += list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
-            if len(held) < 2 * rules.cell:
-                continue
-            last, cut = held[-1][2:4], len(held)
-            while cut and held[cut - 1][2:4] == last:  # the last cell may go on
-                cut -= 1
-            for start, end in bounds(held, cut):
-                yield done(held[start:end])
-            held = held[cut:]
-        for start, end in bounds(held, len(held)):
-            yield done(held[start:end])
-
-    def bounds(rows: list[tuple], end: int) -> Iterator[tuple[int, int]]:
-        """Slices of whole cells, of about two cells' pages."""
-        start = 0
-        for i in range(1, end + 1):
-            if i == end or i - start >= rules.cell and rows[i][2:4] != rows[i - 1][2:4]:
-                yield start, i
-                start = i
-
-    kinds = dict(pages.dtypes)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), HOST, 1)), F.lit(""))
-    own = pages.select(F.col(id_col), F.col(url_col), host.alias("__host"), F.col(html_col).alias("__html"))
-    counts = small(own.groupBy("__host").agg(F.ceil(F.count("*") / rules.cell).alias("__n")), 200_000, "hosts")
-    cell = F.pmod(F.xxhash64(id_col, url_col), F.col("__n")).cast("int")
-    dealt = own.join(counts, "__host").select(id_col, url_col, "__host", cell.alias("__cell"), F.col("__n").cast("int").alias("__n"), "__html")
-    parsed = map_arrow(dealt, blocks, f"`{id_col}` {kinds[id_col]}, `{url_col}` string, __host string, __cell int, __n int, "
-                       "__texts string, __kinds string").withColumns({"__kind": F.lit(None).cast("int"), "__window": F.lit(None).cast("bigint")})
-    if counts.filter("__n > 1").limit(1).count():
-        key = F.coalesce(F.concat_ws(" ", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(url_col), F.lit(""))), F.lit(""))
-        often = host_windows(dealt.filter("__n > 1").withColumn("__key", key), rules).join(counts, "__host")
-        parsed = parsed.unionByName(often.select(
-            F.lit(None).cast(kinds[id_col]).alias(id_col), F.lit(None).cast("string").alias(url_col), "__host",
-            F.explode(F.sequence(F.lit(0), F.col("__n").cast("int") - 1)).alias("__cell"), F.col("__n").cast("int").alias("__n"),
-            *[F.lit(None).cast("string").alias(c) for c in ("__texts", "__kinds")], F.col("kind").alias("__kind"), F.col("window").alias("__window")))
-    # Page order within a cell is fixed, so a task that runs again gives the same rows.
-    sorted_cells = parsed.repartition("__host", "__cell").sortWithinPartitions("__host", "__cell", id_col)
-    return map_arrow(sorted_cells, cells, f"`{id_col}` {kinds[id_col]}, `{url_col}` string, text string, n_chars bigint")
+    key = F.concat_ws(" ", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(url_col), F.lit("")))
+    own = pages.select(F.col(id_col), F.col(url_col), host.alias("__host"), key.alias("__key"), F.col(html_col).alias("__html"))
+    known, total = cut_lineage_observed(host_repeats(own.select("__host", "__key", "__html"), rules), "repeats", size=F.sum(F.length("known")))
+    rows, schema = own.select(*names, "__html"), f"`{id_col}` {kinds[id_col]}, `{url_col}` string, text string, n_chars bigint"
+    if (total["size"] or 0) <= KNOWN_BYTES:
+        shared = spark.sparkContext.broadcast(known.toArrow().to_pydict())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            chunks: dict[str, list] = {}
+            for name, *chunk in zip(*shared.value.values(), strict=True):
+                chunks.setdefault(name, []).append(chunk)
+            of = {name: joined(x) for name, x in chunks.items()}
+            for batch in blocks(batches):
+                yield left(batch, of)
+
+        return map_arrow(rows, run, schema)
+
+    # More than a task should hold: pages meet what their host repeats, in shares of a host's pages.
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[str, list] = {}  # of the host at hand, whose rows come before its pages
+        of: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in slices(batches, "__texts"):
+            at = 0
+            for i, (name, chunk) in enumerate(zip(batch.column(2).to_pylist(), zip(batch.column(5).to_pylist(), batch.column(6).to_pylist()), strict=True)):
+                if chunk[0] is not None:
+                    if i > at:
+                        yield left(batch.slice(at, i - at), of)
+                    at = i + 1
+                    chunks = {name: [*chunks.get(name, []), chunk]}
+                    of = {}
+                elif name not in of:
+                    if i > at:
+                        yield left(batch.slice(at, i - at), of)
+                    at = i
+                    of = {name: joined(chunks.get(name, []))}
+            if at < batch.num_rows:
+                yield left(batch.slice(at), of)
+
+    parsed = map_arrow(rows, blocks, f"`{id_col}` {kinds[id_col]}, `{url_col}` string, __host string, __texts string, __kinds string")
+    shares = small(own.groupBy("__host").agg(F.ceil(F.count("*") / SHARE_PAGES).cast("int").alias("__n")), 200_000, "hosts")
+    dealt = parsed.join(shares, "__host").withColumn("__share", F.pmod(F.xxhash64(id_col, url_col), F.col("__n")).cast("int")).drop("__n")
+    spread = known.join(shares, "__host").withColumn("__share", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    both = dealt.unionByName(spread, allowMissingColumns=True).repartition("__host", "__share").sortWithinPartitions(
+        "__host", "__share", F.col("known").isNull())
+    return map_arrow(both.select(*names, "__texts", "__kinds", "known", "bits"), meet, schema)

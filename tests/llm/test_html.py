@@ -204,3 +204,41 @@ def test_query(spark):
     got = queries.op10_html_text(spark, "/root/testdata/sf0.1").collect()
     assert len(got) == len(pages)
     assert all(r.text == article_of(pages[r.page_id]) for r in got)
+
+
+def _large_host(n):
+    """Pages of one host without any markup that tells: every tenth ends with a line of which nine tokens in a row are repeated."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    lines = [" ".join(rng.choice(words) for _ in range(9)) for _ in range(n // 50)]
+    rows, want = [], {}
+    for i in range(n):
+        own = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(2)]
+        foot = f"<p>{lines[i // 50]} x{i} y{i} z{i}</p>" if n < 200 else f"<p>{lines[i % len(lines)]} x{i} y{i} z{i}</p>"
+        rows.append((i, "http://one.example/", "".join(f"<p>{x}</p>" for x in own) + foot))
+        want[i] = "\n\n".join(own)
+    return rows, want
+
+
+def test_results_do_not_hang_on_the_size_of_a_host(spark, monkeypatch):
+    """Short repeats within blocks go on a host of any size, however its suffixes and pages are dealt."""
+    small, large = _large_host(50), _large_host(600)
+    schema = "page_id bigint, url string, html string"
+    for rows, want in (small, large):
+        assert {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, schema)).collect()} == want
+    monkeypatch.setattr(H, "PART_PAGES", 100)
+    dealt = H.extract(spark.createDataFrame(large[0], schema))
+    assert {r.page_id: r.text for r in dealt.collect()} == large[1]
+
+
+def test_repeats_that_are_not_broadcast(spark, monkeypatch):
+    """Pages meet the repeats of their host by a shuffle, in shares, to the same rows."""
+    rows, want = _large_host(600)
+    rows += [(1000 + i, f"http://h{i % 7}.example/", f"<p>page {i} of a small host that has no repeats</p><p>x{i}</p>") for i in range(40)]
+    rows += [(None, None, None), (2000, "", ""), (2000, "", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    once = sorted(H.extract(pages).collect(), key=str)
+    monkeypatch.setattr(H, "KNOWN_BYTES", -1)
+    monkeypatch.setattr(H, "SHARE_PAGES", 70)
+    assert sorted(H.extract(pages).collect(), key=str) == once and len(once) == 643
+    assert {r.page_id: r.text for r in once if r.page_id is not None and r.page_id < 1000} == want
