@@ -443,7 +443,22 @@ def q_loader_batches(fx):
     valid = B.drop_invalid(fx.scaled)
     targets = training_targets(valid, build_vocabulary(valid))
     rows = image_paths(_plan(fx).select("ImageID", "shard", "batch_no", "pos"), _rendered(fx), ".png").join(targets, "ImageID")
-    batches = load_batches(assemble_batches(rows, ["ImageID", "path", "boxes", "labels"]), _rendered(fx)).where("n_items > 0")
+    plan = assemble_batches(rows, ["ImageID", "path", "boxes", "labels"])
+
+    def sizes(loaded):
+        import numpy as np
+        import pyarrow as pa
+
+        for part in loaded:
+            tensors = part.column("tensors")
+            upto = np.cumsum([0, *tensors.flatten().value_lengths().to_pylist()])
+            counts = np.cumsum([0, *part.column("n_items").to_pylist()])
+            columns = [part.column(c) for c in ("shard", "batch_no", "items", "n_items")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(upto[counts]), pa.int64())], names=["shard", "batch_no", "items", "n_items", "n_values"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in plan.schema}
+    schema = f"shard {kinds['shard']}, batch_no {kinds['batch_no']}, items {kinds['items']}, n_items int, n_values bigint"
+    batches = load_batches(plan, _rendered(fx), then=(sizes, schema)).where("n_items > 0")
 
     def total(of):
         return F.aggregate("items", F.lit(0).cast("bigint"), lambda a, i: a + of(i))
@@ -453,8 +468,7 @@ def q_loader_batches(fx):
 
     return batches.select(
         "shard", "batch_no", "n_items", total(boxes).alias("box_sum"),
-        total(lambda i: F.aggregate(i["labels"], F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("label_sum"),
-        F.aggregate("tensors", F.lit(0).cast("bigint"), lambda a, t: a + F.size(t)).alias("n_values"))
+        total(lambda i: F.aggregate(i["labels"], F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("label_sum"), "n_values")
 
 
 @register(
